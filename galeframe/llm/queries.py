@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from galeframe.llm.near_dup import near_duplicates
 from galeframe.llm.quality_classifier import fit_quality, quality_scores
 from galeframe.llm.quality_rules import quality_rules
 
@@ -16,10 +17,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op7_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_minhash, op7_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}
