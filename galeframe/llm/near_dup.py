@@ -148,3 +148,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns; of rows that repeat a doc_id, one.
+
+    A null doc_id is kept as it is.
+    """
+    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1)
+    out = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi")
+    if repeated.take(1):
+        out = out.dropDuplicates(["doc_id"])
+    return out.union(docs.filter("doc_id IS NULL"))

@@ -166,3 +166,12 @@ def quality_scores(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     names = features(F.col("s"))
     out = f.select("doc_id", held_out(5, 0).alias("held_out"), model.column({k: F.col("f")[k] for k in names}).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def quality_filtered(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
+    """The rows of `docs` that are predicted 1, with all their columns."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    s = docs.select(row, statistics(F.col("text"), extra=True).alias("s"))
+    names = features(F.col("s"))
+    f = s.select("row", F.struct(*(v.alias(k) for k, v in names.items())).alias("f"))
+    return f.filter(model.column({k: F.col("f")[k] for k in names}) >= THRESHOLD).select("row.*")

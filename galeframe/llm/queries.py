@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from galeframe.llm.bpe import round_trip
+from galeframe.llm.decontaminate import find_leaks
 from galeframe.llm.near_dup import near_duplicates
 from galeframe.llm.quality_classifier import fit_quality, quality_scores
 from galeframe.llm.quality_rules import quality_rules
@@ -26,5 +29,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_minhash, op7_quality_classifier)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe)}
 ORACLE_SQL: dict[str, str] = {}
