@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from galeframe.llm.bpe import round_trip
+from galeframe.llm.chat import conversation_digests, format_conversations
 from galeframe.llm.decontaminate import find_leaks
 from galeframe.llm.near_dup import near_duplicates
 from galeframe.llm.quality_classifier import fit_quality, quality_scores
 from galeframe.llm.quality_rules import quality_rules
+from galeframe.llm.warc import pages_through_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +39,35 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_warc(table(spark, sf_dir, "pages"))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    return conversation_digests(format_conversations(rows.union(spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema))))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_chat, op3_quality_rules, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe)}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+        q AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS top FROM p)
+        SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM q""",
+    "op2_chat": r"""
+        WITH r AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *, length(regexp_replace(regexp_replace(text, '(<\\*)(/?s>)', '\1\\\2', 'g'), '(\[\\*)(/?INST\])', '\1\\\2', 'g')) AS n FROM r)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(3 + length(role) + 1 + n + CASE WHEN role = 'user' THEN 15 ELSE 0 END + 5)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
+}
