@@ -70,8 +70,8 @@ class Chunk(NamedTuple):
     bounds: np.ndarray
 
 
-def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Runs of rows of about `most` bytes; a longer text comes alone and whole. Nulls have no bytes."""
+def chunks(texts: pa.Array, most: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[Chunk]:
+    """Runs of rows of about `most` bytes and at most `rows` rows; a longer text comes alone and whole. Nulls have no bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
@@ -86,6 +86,7 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+        to = min(to, at + rows)
         yield Chunk(at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 

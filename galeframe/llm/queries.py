@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from galeframe.llm.bpe import round_trip
 from galeframe.llm.chat import conversation_digests, format_conversations
 from galeframe.llm.decontaminate import find_leaks
+from galeframe.llm.lang_id import fit_languages, identify_languages
+from galeframe.llm.licenses import scan_licenses
+from galeframe.llm.lm_scoring import score_documents, target_documents
 from galeframe.llm.near_dup import near_duplicates
 from galeframe.llm.quality_classifier import fit_quality, quality_scores
 from galeframe.llm.quality_rules import quality_rules
@@ -49,7 +52,20 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(rows.union(spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema))))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_chat, op3_quality_rules, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe)}
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), target_documents(table(spark, sf_dir, "labels")))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, fit_languages(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_chat, op3_quality_rules, op4_lm_scoring, op5_licenses, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe, op10_language_id)}
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
