@@ -1,4 +1,28 @@
 """All queries of the library by name, with the SQL that each is compared with."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, with its SQL where there is one."""
+
+    def put(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from galeframe.plans import alerts, lightning, radar, raster, storms, streams, telemetry  # noqa: F401
