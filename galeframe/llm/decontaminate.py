@@ -1,7 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every 3-word n-gram of the test items is counted over all training documents. The rarer half of each item's n-grams
-(ties included) are its seeds, so an item always has some, however often its text was copied. A seed found in a
+Every 3-word n-gram of the test items is counted over all training documents. An item's seeds are its n-grams in at most
+RARE_SHARE of them (or RARE_LEAST), and those at most twice as frequent as its median n-gram: so common phrases drop out,
+an item always has seeds however often its text was copied, and a few more copies leave them as they are. A seed in a
 document marks a window about as long as the item; overlapping windows of one item are joined, and the item is aligned
 with the words of each. Match scores 2, mismatch and gap -1; similarity is the best score by that of the whole item.
 
@@ -23,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from galeframe.llm import kernels
 
 SEED_WORDS, MATCH, OTHER, GAP = 3, 2, -1, -1
-SIMILARITY, LEAST_SCORE = 0.5, 16
+SIMILARITY, LEAST_SCORE = 0.4, 12
 BLOCK_WORDS = 2_000_000
+RARE_SHARE, RARE_LEAST = 1e-3, 10
 #: Cells that are aligned together.
 CELLS = 1 << 18
 
@@ -70,14 +73,15 @@ class Items:
         table[(grams & np.uint64(0xFFFF)).astype(np.int64)] = True
         return grams[order], owners[order], places[order], table
 
-    def rarest(self, counts: np.ndarray) -> Items:
-        """Only each item's n-grams whose count is at most the item's median. counts: of each n-gram."""
-        keep = np.zeros(len(self.grams), dtype=bool)
+    def rarest(self, counts: np.ndarray, documents: int) -> Items:
+        """Only the seeds. counts: in how many of the documents each n-gram stands."""
         order = np.lexsort((counts, self.owners))
-        owners, sorted_counts = self.owners[order], counts[order]
+        owners, ranked = self.owners[order], counts[order]
         first = np.searchsorted(owners, owners, side="left")
         size = np.searchsorted(owners, owners, side="right") - first
-        keep[order] = sorted_counts <= sorted_counts[first + (size - 1) // 2] if len(order) else False
+        keep = np.zeros(len(self.grams), dtype=bool)
+        if len(order):
+            keep[order] = ranked <= np.maximum(2 * ranked[first + (size - 1) // 2], max(RARE_LEAST, RARE_SHARE * documents))
         return Items(self.words, self.starts, self.ids, *Items._sorted(self.grams[keep], self.owners[keep], self.places[keep]))
 
     def hits(self, w: kernels.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,30 +171,31 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
             yield Items.of(got["item_id"].to_pylist(), got["text"].to_pylist())
 
 
-def _counted(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each n-gram of the block stands."""
+def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """In how many documents each n-gram of the block stands, and how many documents there are."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        counts = np.zeros(len(own.grams), dtype=np.int64)
+        counts, rows = np.zeros(len(own.grams), dtype=np.int64), 0
         for batch in batches:
+            rows += batch.num_rows
             for _, w, hashes in _words(batch.column("text")):
                 row, _, k = own.hits(w, hashes)
                 if len(row):
                     counts += np.bincount(np.unique(row * len(own.grams) + k) % len(own.grams), minlength=len(counts))
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, len(counts))), pa.array(np.append(counts[at], rows))], ["gram", "n"])
 
     found = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(items.grams), dtype=np.int64)
+    counts = np.zeros(len(items.grams) + 1, dtype=np.int64)
     counts[found["gram"].to_numpy()] = found["n"].to_numpy()
-    return counts[np.searchsorted(items.grams, items.grams)]
+    return counts[np.searchsorted(items.grams, items.grams)], int(counts[-1])
 
 
 def _seeded(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
     for items in _blocks(benchmark):
-        yield items.rarest(_counted(docs, items))
+        yield items.rarest(*_counted(docs, items))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -198,14 +203,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     id_type, item_type = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("item_id", item_type), T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType())])
-    out = spark.createDataFrame([], schema)
+    out, item_kind = spark.createDataFrame([], schema), to_arrow_type(item_type)
     for items in _seeded(docs, benchmark):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in batches:
-                item_ids = pa.array(own.ids)
+                item_ids = pa.array(own.ids, item_kind)
                 for chunk, w, hashes in _words(batch.column("text")):
                     if found := leaks(own, w, hashes):
                         r, o, share, a, b = zip(*found, strict=True)
