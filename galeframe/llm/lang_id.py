@@ -68,12 +68,13 @@ def svm(x: np.ndarray, y: np.ndarray, steps: int = 120, penalty: float = 1e-4) -
     """Weights of the squared hinge loss with an L2 penalty; y is 1 or -1, and both classes weigh alike."""
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w, b = np.zeros(x.shape[1], dtype=np.float32), 0.0
-    u, c, t, rate = w, b, 1.0, 1.0 / (4.0 + penalty)
+    u, c, t, rate = w, b, 1.0, np.float32(1.0 / (4.0 + penalty))
     for _ in range(steps):
-        gap = np.maximum(0, 1 - y * (x @ u + c)) * y * share * 2
-        nw, nb = u + rate * (x.T @ gap - penalty * u), c + rate * float(gap.sum())
+        gap = np.maximum(0, 1 - y * (x @ u + np.float32(c))) * y * share * np.float32(2)
+        nw, nb = u + rate * (gap @ x - np.float32(penalty) * u), c + float(rate) * float(gap.sum())
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        u, c = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
+        ahead = (t - 1) / nt
+        u, c = nw + np.float32(ahead) * (nw - w), nb + ahead * (nb - b)
         w, b, t = nw, nb, nt
     return w, b
 
