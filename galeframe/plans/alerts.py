@@ -132,11 +132,12 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy(F.col("props").alias("name")).agg(F.min("event_id").alias("first_id"))
 
 
-@query("WITH old AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0) SELECT o_orderkey, 'old' AS origin FROM old UNION ALL SELECT DISTINCT o_orderkey, 'new' FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM old)")
+@query("WITH old AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') SELECT o_orderkey, 'old' AS origin FROM old UNION ALL SELECT DISTINCT o_orderkey, 'new' FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)")
 def idempotent_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    old, batch = o.filter("o_orderkey % 3 = 0").withColumn("origin", F.lit("old")), o.filter("o_orderkey % 2 = 0").withColumn("origin", F.lit("new"))
-    return old.unionByName(U.not_yet_in(batch, old, ["o_orderkey"]))
+    """All orders are inserted into a table that has the finished ones."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    old = o.filter("o_orderstatus = 'F'").select("o_orderkey", F.lit("old").alias("origin"))
+    return old.unionByName(U.not_yet_in(o.select("o_orderkey", F.lit("new").alias("origin")), old, ["o_orderkey"]))
 
 
 @query(r"SELECT page_id, len(string_split(url, '/')) - 1 AS depth, regexp_extract(url, '^([a-z]+)://([^/?#]+)', 2) AS host, string_split(url, '/')[-1] AS tail FROM pages WHERE url IS NOT NULL")
