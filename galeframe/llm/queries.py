@@ -86,4 +86,15 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                sum(3 + length(role) + 1 + n + CASE WHEN role = 'user' THEN 15 ELSE 0 END + 5)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op6_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w),
+        n AS (SELECT d.doc_id, count(g) AS n FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(d, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.d)
+        SELECT n.doc_id, n.n AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept
+        FROM n JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) m ON m.d = n.doc_id""",
 }
