@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from galeframe.functions import geo
 from galeframe.operators import overlap as O
 from galeframe.operators import raster as R
-from galeframe.operators.tracker import components
+from galeframe.operators.tracker import TrackerParams, components, track
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.radar import detections
 from galeframe.plans.registry import query
@@ -147,7 +147,7 @@ def family_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detections(spark, sf_dir)
     km = lambda c: (F.col(c) * 4 - 150) * 1000  # noqa: E731  # blocks of 4 km
-    return found.select("site", (F.col("vol") * 300).cast("double").alias("t"), F.col("obj").alias("cell_id"), km("cx").alias("x"), km("cy").alias("y"), F.col("area_km2").alias("area"), "pix_y", "pix_x")
+    return found.select("site", (F.col("vol") * 300).cast("double").alias("t"), F.col("obj").alias("cell_id"), km("cx").alias("x"), km("cy").alias("y"), F.col("area_km2").alias("area"), F.col("max_dbz").alias("dbz"), "pix_y", "pix_x")
 
 
 @query()
@@ -156,6 +156,12 @@ def overlap_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.overlap_tracks(_cells(spark, sf_dir), O.OverlapParams(grid_km=4.0))
 
 
+@query()
+def detected_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detected cells under the window tracker, with daughters known by their footprints."""
+    return track(_cells(spark, sf_dir), TrackerParams(grid_km=4.0))
+
+
 @query()
 def track_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.overlap_tracks(_cells(spark, sf_dir), O.OverlapParams(grid_km=4.0), events=True).groupBy("site", "kind").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from galeframe.functions.bulletins import REMOVE
-from galeframe.operators.tracker import OUTPUT, Tracker, TrackerParams, run_volumes
+from galeframe.operators.tracker import OUTPUT, Tracker, TrackerParams, run_volumes, tracked_columns
 from galeframe.sources.units import MAX_ATTEMPTS, decoded, not_yet_in
 
 
@@ -28,8 +28,7 @@ def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:
         out.insert(0, "site", key[0])
         yield out
 
-    rows = cells.select("site", F.col("t").cast("double").alias("t"), "cell_id", "x", "y", "area", "dbz")
-    return rows.groupBy("site").applyInPandasWithState(run, f"site {kind}, {OUTPUT}", "tracker binary", "append", GroupStateTimeout.NoTimeout)
+    return tracked_columns(cells).groupBy("site").applyInPandasWithState(run, f"site {kind}, {OUTPUT}", "tracker binary", "append", GroupStateTimeout.NoTimeout)
 
 
 EVENTS = "key string, kind string, seq bigint, ugc string, ring string"

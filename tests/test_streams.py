@@ -45,6 +45,14 @@ def test_split_inherits_and_identity_lasts():
     assert seen[8][1]["age_min"] == 40.0 and seen[4][1]["area_trend"] is not None
 
 
+def test_daughter_is_known_by_its_footprint():
+    box = lambda y, x, h, w: frozenset((a, b) for a in range(y, y + h) for b in range(x, x + w))
+    t = Tracker(TrackerParams())
+    t.update(0.0, [(1, 0.0, 0.0, 100.0, 50.0, box(0, 0, 10, 10))])
+    rows = {r["cell_id"]: r for r in t.update(300.0, [(1, 100.0, 0.0, 50.0, 50.0, box(0, 0, 10, 5)), (2, 5000.0, 0.0, 40.0, 50.0, box(0, 6, 10, 4)), (3, 90_000.0, 0.0, 9.0, 50.0, box(0, 90, 3, 3))])}
+    assert rows[2]["split_from"] == rows[1]["cell_uid"] and rows[2]["age_min"] == 5.0 and rows[3]["split_from"] is None
+
+
 def test_empty_volume_and_retirement():
     t = Tracker(TrackerParams(retire_min=10))
     a = t.update(0.0, [(1, 0.0, 0.0, 5.0, 40.0)])[0]["cell_uid"]
