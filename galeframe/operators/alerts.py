@@ -70,3 +70,9 @@ def geometry(current: DataFrame, shapes: DataFrame) -> DataFrame:
     own = current.filter("poly IS NOT NULL").select("key", F.lit("polygon").alias("kind"), F.lit(None).cast("string").alias("ugc"), F.col("poly.ring").alias("ring"))
     zones = current.filter("poly IS NULL").select("key", F.explode("ugc").alias("ugc")).join(shapes, "ugc")
     return own.unionByName(zones.select("key", F.lit("zone").alias("kind"), "ugc", "ring"))
+
+
+def document(current: DataFrame) -> DataFrame:
+    """One JSON text of all active hazards, sorted by key: their polygon if they have one, else their zones."""
+    item = F.struct("key", "name", "ends", "etn", F.when(F.col("poly").isNull(), F.col("ugc")).alias("ugc"), F.col("poly.ring").alias("poly"))
+    return current.agg(F.to_json(F.struct(F.count("*").alias("count"), F.sort_array(F.collect_list(item)).alias("alerts"))).alias("body"))

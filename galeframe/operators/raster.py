@@ -88,3 +88,17 @@ def sun_elevation(lat: Column, lon: Column, day_of_year: Column, utc_hour: Colum
 def albedo(reflectance: Column, elevation: Column) -> Column:
     """Reflectance by the cosine of the zenith angle; null with the sun under 5 degrees."""
     return F.when(elevation >= 5e0, reflectance / F.sin(F.radians(elevation)))
+
+
+def plate_pixel(lon: Column, lat: Column, west: float, south: float, east: float, north: float, width: int, height: int) -> tuple[Column, Column]:
+    """(x, y) of a point on an equirectangular crop."""
+    return (lon - west) / (east - west) * width, (north - lat) / (north - south) * height
+
+
+def manifest(frames: DataFrame, bounds: tuple[float, float, float, float]) -> DataFrame:
+    """One JSON text: bounds, palette and the frames (path, frame_time) in time order, their files named by time."""
+    name = F.concat(F.date_format("frame_time", "yyyyMMdd'T'HHmmss'Z'"), F.lit(".png"))
+    anchors = F.array(*(F.array(*(F.lit(int(v)) for v in a)) for a in ANCHORS))
+    rows = F.sort_array(F.collect_list(F.struct("frame_time", name.alias("file"))))
+    files = F.transform(rows, lambda r: r["file"])
+    return frames.filter("frame_time IS NOT NULL").agg(F.to_json(F.struct(F.array(*map(F.lit, bounds)).alias("bounds"), anchors.alias("palette"), files.alias("frames"))).alias("body"))

@@ -142,3 +142,13 @@ def claims(voted: DataFrame) -> DataFrame:
     w = Window.partitionBy("uid").orderBy(F.desc("votes"), F.desc("size"), F.desc("grp"))
     rank = F.row_number().over(w)
     return voted.withColumn("rank", rank).select("grp", F.when(F.col("uid").isNotNull() & (F.col("rank") == 1), F.col("uid")).alias("kept"), F.when(F.col("uid").isNotNull() & (F.col("rank") > 1), F.col("uid")).alias("parent"))
+
+
+def as_text(scores: DataFrame, places: int = 2) -> DataFrame:
+    """A line "name value" of each number of a one-row table; what isn't finite is n/a."""
+    def line(c: str) -> Column:
+        v = F.col(c).cast("double")
+        finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+        return F.concat(F.rpad(F.lit(c), 24, " "), F.when(finite, F.format_number(v, places)).otherwise("n/a"))
+
+    return scores.select(F.explode(F.array(*map(line, scores.columns))).alias("line"))

@@ -1,7 +1,11 @@
+import io
 import json
 import math
 import os
+import struct
 import time
+import zipfile
+from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
@@ -78,3 +82,65 @@ def test_bulletins_arrive_as_a_stream(spark, tmp_path):
 def test_wider_families_are_fewer(spark):
     n = [r.per_volume for r in family_sweep(spark, SF).orderBy("km").collect()]
     assert n == sorted(n, reverse=True)
+
+
+def shapefile(rows):
+    shp, dbf = b"\0" * 100, b""
+    for k, (rings, state, fips, zone) in enumerate(rows):
+        points = [p for r in rings for p in r]
+        starts, n = [], 0
+        for r in rings:
+            starts.append(n)
+            n += len(r)
+        body = struct.pack("<i4d2i", 5, 0, 0, 0, 0, len(rings), n) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        shp += struct.pack(">2i", k + 1, len(body) // 2) + body
+        dbf += b" " + f"{state:<2}{fips:<5}{zone:<3}".encode()
+    field = lambda name, size: name.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([size]) + b"\0" * 15
+    head = b"".join([field("STATE", 2), field("FIPS", 5), field("ZONE", 3)]) + b"\r"
+    table = struct.pack("<4BI2H20x", 3, 0, 0, 0, len(rows), 32 + len(head), 11) + head + dbf
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a.shp", shp)
+        z.writestr("a.dbf", table)
+    return out.getvalue()
+
+
+def test_zone_shapes(spark):
+    square = [(-87.0, 30.0), (-87.0, 31.0), (-86.0, 31.0), (-87.0, 30.0)]
+    far = [(10.0, 50.0), (10.0, 51.0), (11.0, 51.0), (10.0, 50.0)]
+    data = shapefile([([square, far], "FL", "12033", ""), ([far], "AL", "", "7"), ([square], "", "1", "2")])
+    df = spark.createDataFrame([("a.zip", bytearray(data))], "path string, content binary")
+    from galeframe.sources.shapes import zone_shapes
+
+    got = zone_shapes(df).collect()
+    assert [(r.ugc, r.ring_id, len(r.ring)) for r in got] == [("FLC033", 0, 4), ("FLC033", 1, 4), ("ALZ007", 0, 4)] and got[0].ring[1].lat == 31.0
+    assert [(r.ugc, r.ring_id) for r in zone_shapes(df, (-88, 29, -85, 32)).collect()] == [("FLC033", 0)]
+
+
+@dataclass(frozen=True)
+class Settings:
+    on: bool = False
+    n: int = 3
+    x: float = 1.5
+    s: str = "a"
+
+
+def test_settings_are_typed():
+    from galeframe.sources.settings import from_environment
+
+    assert from_environment(Settings(), "gf", {"GF_ON": "Yes", "GF_N": "7", "GF_X": "2", "OTHER": "1"}) == Settings(True, 7, 2.0, "a")
+
+
+def test_documents(spark):
+    from galeframe.operators import alerts, raster, tracks
+
+    rows = [("b", "B", "e", "0002", ["FLZ001"], None), ("a", "A", "e", "0001", [], ([(-87.0, 30.0)],))]
+    df = spark.createDataFrame(rows, "key string, name string, ends string, etn string, ugc array<string>, poly struct<ring:array<struct<lon:double,lat:double>>>")
+    body = json.loads(alerts.document(df).first().body)
+    assert body["count"] == 2 and [a["key"] for a in body["alerts"]] == ["a", "b"] and body["alerts"][0]["poly"] and body["alerts"][1]["ugc"] == ["FLZ001"]
+    frames = spark.createDataFrame([("2024-01-02 00:30:00",), ("2024-01-02 00:00:00",), (None,)], "t string").select(F.col("t").cast("timestamp").alias("frame_time"))
+    assert json.loads(raster.manifest(frames, (1.0, 2.0, 3.0, 4.0)).first().body)["frames"] == ["20240102T000000Z.png", "20240102T003000Z.png"]
+    lines = [r.line for r in tracks.as_text(spark.createDataFrame([(1.234, float("nan"), None)], "a double, b double, c double")).collect()]
+    assert [x.split() for x in lines] == [["a", "1.23"], ["b", "n/a"], ["c", "n/a"]]
+    x, y = raster.plate_pixel(F.lit(-80.0), F.lit(30.0), -90.0, 20.0, -70.0, 40.0, 200, 100)
+    assert tuple(spark.range(1).select(x, y).first()) == (100.0, 50.0)
