@@ -208,9 +208,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = staged(_confirmed(sets, stars), "minhash-links")
-    placed = members.join(components(links), "node", "left").select("bucket", "band", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+    joined = components(links)
+    placed = members.join(joined, "node", "left").select("bucket", "band", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
     again = staged(_across(staged(placed, "minhash-placed"), rows.filter("n_shingles > 0"), sets), "minhash-across")
-    joined = components(links.union(_confirmed(sets, again)))
+    more = staged(_confirmed(sets, again), "minhash-links")
+    if more.take(1):
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     by_key = classes.join(joined, "node", "left").select("key", F.coalesce("component", "node").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")

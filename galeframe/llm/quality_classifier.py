@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galeframe.llm.statistics import statistics
+from galeframe.llm.statistics import let, statistics
 
 #: At most so many labelled rows are learnt from, those of the smallest hashes of doc_id.
 MAX_TRAINING_ROWS = 20_000
@@ -155,23 +155,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_R
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> RuleEnsemble:
-    rows = training_rows(docs, labels, most).toPandas().drop_duplicates().sort_values(["doc_id", "words"]).head(2 * most)
+    rows = training_rows(docs, labels, most).dropDuplicates().limit(2 * most).toPandas().sort_values(["doc_id", "words"])
     return fit_rules({c: rows[c].to_numpy(float) for c in rows.columns if c not in ("doc_id", "y")}, rows["y"].to_numpy(float))
 
 
+def score(text: Column, model: RuleEnsemble) -> Column:
+    """The score of a text: its statistics and features are worked out once, and all rules read them."""
+
+    def rules(f: Column) -> Column:
+        return model.column({k: f[k] for k in names})
+
+    names = list(features(F.lit(None)))
+    return let(statistics(text, extra=True), lambda s: let(F.struct(*(v.alias(k) for k, v in features(s).items())), rules))
+
+
 def quality_scores(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """doc_id, held_out, score and predicted of each row of `docs`."""
-    s = docs.select("doc_id", statistics(F.col("text"), extra=True).alias("s"))
-    f = s.select("doc_id", F.struct(*(v.alias(k) for k, v in features(F.col("s")).items())).alias("f"))
-    names = features(F.col("s"))
-    out = f.select("doc_id", held_out(5, 0).alias("held_out"), model.column({k: F.col("f")[k] for k in names}).alias("score"))
+    out = docs.select("doc_id", held_out(5, 0).alias("held_out"), score(F.col("text"), model).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def quality_filtered(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """The rows of `docs` that are predicted 1, with all their columns."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    s = docs.select(row, statistics(F.col("text"), extra=True).alias("s"))
-    names = features(F.col("s"))
-    f = s.select("row", F.struct(*(v.alias(k) for k, v in names.items())).alias("f"))
-    return f.filter(model.column({k: F.col("f")[k] for k in names}) >= THRESHOLD).select("row.*")
+    return docs.select(row, score(F.col("text"), model).alias("p")).filter(F.col("p") >= THRESHOLD).select("row.*")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galeframe.llm.staging import staged
-from galeframe.llm.statistics import COUNTS, statistics
+from galeframe.llm.statistics import COUNTS, let, statistics
 
 SUPPORT, STEPS, MIN_ROWS = 0.75, 3, 300
 #: Squared distance. Clean vectors follow about a chi-squared law of 5 degrees, heavier in its tail.
@@ -25,7 +25,6 @@ CUTOFF = 45.0
 #: Name and the least standard deviation of each dimension: many are 0 for nearly all clean texts.
 DIMENSIONS = {"v_length": 0.035, "v_symbols": 0.05, "v_lines": 0.08, "v_repeats": 0.06, "v_upper": 0.03}
 NAMES = tuple(DIMENSIONS)
-GROUP, STATISTICS, VECTOR = ("quality rules: source", "quality rules: language"), "quality rules: statistics", "quality rules: vector"
 #: What makes the variance of the kept share that of a Gaussian whole: 1 / P(chi2_7 <= q), with P(chi2_5 <= q) = SUPPORT.
 CONSISTENCY = 1.64
 
@@ -51,11 +50,12 @@ def _key(*columns: str) -> Column:
     return F.to_json(F.struct(*(F.col(c).cast("string").alias(str(i)) for i, c in enumerate(columns))))
 
 
-def _groups(vectors: DataFrame) -> DataFrame:
-    """`grp` of each by_source: itself, its language or all, whichever first has MIN_ROWS rows that passed the base."""
+def _grouped(vectors: DataFrame) -> DataFrame:
+    """`vectors` with `grp`: the source, the language or all, whichever first has MIN_ROWS rows that passed the base."""
     counts = vectors.filter("NOT base_failed").groupBy("by_source", "by_lang").count()
     lang = counts.groupBy("by_lang").agg(F.sum("count").alias("in_lang"))
-    return counts.join(lang, "by_lang").select("by_source", F.when(F.col("count") >= MIN_ROWS, F.col("by_source")).when(F.col("in_lang") >= MIN_ROWS, F.col("by_lang")).otherwise("all").alias("grp"))
+    pick = counts.join(lang, "by_lang").select("by_source", F.when(F.col("count") >= MIN_ROWS, F.col("by_source")).when(F.col("in_lang") >= MIN_ROWS, F.col("by_lang")).otherwise("all").alias("grp"))
+    return vectors.join(pick, "by_source", "left")
 
 
 def _cholesky(fit: DataFrame) -> DataFrame:
@@ -98,23 +98,24 @@ def _distances(vectors: DataFrame, fit: DataFrame) -> DataFrame:
     return out.select(*vectors.columns, sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(len(NAMES))), F.lit(0e0)).alias("d2"))
 
 
-def _measured(docs: DataFrame) -> DataFrame:
-    """`docs` with by_source, by_lang, the struct `s` of statistics and the struct `v` of base_failed and the vector."""
-    out = docs.select("*", _key("lang", "source").alias(GROUP[0]), _key("lang").alias(GROUP[1]), statistics(F.col("text"), extra=True).alias(STATISTICS))
-    s = F.col(f"`{STATISTICS}`")
-    return out.withColumn(VECTOR, F.struct(base_failed(s).alias("base_failed"), *(v.alias(k) for k, v in vector(s).items())))
+def _measured(text: Column) -> Column:
+    """A struct of the counts, base_failed and the vector of a text, its statistics worked out once."""
+    return let(statistics(text, extra=True), lambda s: F.struct(*(s[c].alias(c) for c in COUNTS), base_failed(s).alias("base_failed"), *(v.alias(k) for k, v in vector(s).items())))
 
 
-def fit(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From by_source, by_lang, base_failed and the vector of each row: the group of each source, and the estimates."""
-    picks = staged(_groups(vectors), "quality-groups")
-    inner = staged(vectors.filter("NOT base_failed").join(picks, "by_source"), "quality-inner")
+def _keys() -> list[Column]:
+    return [_key("lang", "source").alias("by_source"), _key("lang").alias("by_lang")]
+
+
+def fit(vectors: DataFrame) -> DataFrame:
+    """The estimates of all groups, from by_source, by_lang, base_failed and the vector of each row."""
+    inner = staged(_grouped(vectors).filter("NOT base_failed").select("grp", *NAMES), "quality-inner")
     estimate = staged(_cholesky(_start(inner)), "quality-fit")
     for _ in range(STEPS):
         far = _distances(inner, estimate)
-        within = staged(far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(SUPPORT), 10000).alias("edge")), "quality-edge")
+        within = far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(SUPPORT), 10000).alias("edge"))
         estimate = staged(_cholesky(_estimate(far.join(within, "grp").filter("d2 <= edge"))), "quality-fit")
-    return picks, estimate
+    return estimate
 
 
 def _kept() -> Column:
@@ -123,18 +124,14 @@ def _kept() -> Column:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, distance2 (null without an estimate) and kept of each row of `docs`."""
-    rows = _measured(docs.select("doc_id", "text", "lang", "source"))
-    rows = staged(rows.select("doc_id", *(F.col(f"`{c}`").alias(n) for c, n in zip(GROUP, ("by_source", "by_lang"), strict=True)), *(F.col(f"`{STATISTICS}`")[c].alias(c) for c in COUNTS), f"`{VECTOR}`.*"), "quality-vectors")
-    picks, estimate = fit(rows)
-    out = _distances(rows.join(picks, "by_source", "left"), estimate)
+    rows = staged(docs.select("doc_id", *_keys(), _measured(F.col("text")).alias("m")).select("doc_id", "by_source", "by_lang", "m.*"), "quality-vectors")
+    out = _distances(_grouped(rows), fit(rows))
     return out.select("doc_id", *COUNTS, "base_failed", F.col("d2").alias("distance2"), _kept().alias("kept"))
 
 
 def rule_filtered(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept, with all their columns. Texts are measured twice, rather than shuffled."""
-    names = [F.col(f"`{c}`").alias(n) for c, n in zip(GROUP, ("by_source", "by_lang"), strict=True)]
-    vectors = staged(_measured(docs.select("text", "lang", "source")).select(*names, f"`{VECTOR}`.*"), "quality-vectors")
-    picks, estimate = fit(vectors)
+    """The rows of `docs` that are kept, with all their columns. They are written with their vectors, and not shuffled."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    out = _measured(docs).select(row, *names, f"`{VECTOR}`.*").join(picks, "by_source", "left")
-    return _distances(out, estimate).filter(_kept()).select("row.*")
+    rows = staged(docs.select(row, *_keys(), _measured(F.col("text")).alias("m")).select("row", "by_source", "by_lang", "m.*"), "quality-rows")
+    estimate = fit(rows.drop("row"))
+    return _distances(_grouped(rows), estimate).filter(_kept()).select("row.*")
