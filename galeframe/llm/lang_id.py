@@ -6,7 +6,7 @@ languages votes on the language. Ties go to the larger sum of margins, then to t
 least margin of the winner in either step.
 
 It learns from at most MAX_ROWS documents, dealt evenly over the languages (at most MAX_LANGUAGES, the most frequent):
-of each, those of the smallest hashes of doc_id. A language outside FAMILIES is a family of its own.
+of each, those of the smallest hashes of doc_id and text. A language outside FAMILIES is a family of its own.
 
 Edge cases: a text that is null or has no letter is `und` with score 0. Rows without doc_id or lang aren't learnt from.
 With one known language it is the prediction for all other texts, at score 1; with none, all are `und`. Texts are taken
@@ -148,15 +148,15 @@ def held_out() -> F.Column:
 
 
 def training_rows(docs: DataFrame, most: int = MAX_ROWS) -> DataFrame:
-    """text and lang of about `most` documents, evenly over the languages."""
+    """doc_id, text and lang of about `most` documents, evenly over the languages; equal rows count once."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     each = max(1, most // max(1, len(counts)))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
     chosen = F.lit(False)
     for r in counts:
         chosen = chosen | ((F.col("lang") == r["lang"]) & (place < int((1 << 40) * min(1.0, each / r["count"]))))
-    return known.filter(chosen).select("doc_id", "text", "lang")
+    return known.filter(chosen).select("doc_id", "text", "lang").dropDuplicates()
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
