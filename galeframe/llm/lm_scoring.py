@@ -1,23 +1,30 @@
 """Language-model scoring by cross-entropy difference.
 
 A target model (documents labelled of good quality) and a background model (all other documents) are bigram models of
-the same order, smoothing and vocabulary. The vocabulary has FREQUENT words, the most frequent of the whole corpus, and
-CLASSES classes that share all other words by their last three bytes, so every word of every text is modelled and the
-tables have a fixed size. Both models are matched: the background's counts are scaled to the target's number of words,
-so smoothing weighs alike in both. A document's score is its mean loss per word under the target less that under the
-background: the lower, the closer to the target.
+the same order, smoothing and vocabulary: every word and every bigram of the whole corpus, without a cut, so what is
+counted grows with the corpus. Both models are matched: the background's counts are scaled to the target's number of
+words, so smoothing weighs alike in both. A document's score is its mean loss per word under the target less that under
+the background: the lower, the closer to the target.
 
-All counts cover all documents. Words and bigrams are added up in each task before they are shuffled.
+Words and bigrams stand as 64-bit hashes. Those that make up at least 1 / SHARE of all words (so at most SHARE of each)
+are counted in tasks, sent to all tasks and scored where the text is. Every other bigram of a document becomes one row,
+dealt by its word, or by itself if its word is frequent: the rows that meet there are all that the counts of the word and
+the bigram are made of, so one shuffle counts and scores, and no key has more than 2 / SHARE of the rows. Losses are
+added in units of 1 / UNIT, so their order doesn't matter.
 
 Edge cases: a null or empty text has 0 words and null losses and score. Without target or background documents that
 model is uniform. A document with several labels is a target if their mean is a half or more; labels without doc_id or
-quality don't count. Rows without doc_id are background. Ties in frequency go to the smaller hash. Other columns are
-ignored; repeated rows count each time and give repeated results, empty tables empty ones.
+quality don't count. Rows without doc_id are background. Other columns are ignored; repeated rows count each time and give
+repeated results in the order of the table, empty tables empty ones.
+
+`vocabulary`, `numbers` and `losses` are the same models as matrices; they are exact for up to FREQUENT words, and tests
+compare with them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galeframe.llm import kernels
+from galeframe.llm.staging import staged
 
 FREQUENT, CLASSES = 767, 256
 #: Number 0 stands before the first word.
@@ -32,6 +40,8 @@ VOCABULARY = 1 + FREQUENT + CLASSES
 #: Weight of the unigram behind each history, and of the uniform law behind the unigram, in words.
 HISTORY_WEIGHT, UNIFORM_WEIGHT = 50.0, 100.0
 HELD_WORDS = 1 << 20
+SHARE = 4096
+UNIT = 1 << 24
 
 
 def _hashed(texts: pa.Array) -> Iterator[tuple[kernels.Chunk, kernels.Words, np.ndarray]]:
@@ -82,39 +92,6 @@ def numbers(chunk: kernels.Chunk, w: kernels.Words, hashes: np.ndarray, known: n
     return out
 
 
-def _histories(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    before = np.zeros_like(ids)
-    before[1:] = ids[:-1]
-    before[rows[:-1][rows[:-1] < len(ids)]] = 0
-    return before
-
-
-def bigram_counts(docs: DataFrame, target: DataFrame, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Matrices (history, word) of the counts in the documents of `target` (doc_id) and in all others."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, VOCABULARY * VOCABULARY), dtype=np.int64)
-        for batch in batches:
-            chosen = batch.column("target").to_numpy(zero_copy_only=False)
-            for chunk, w, hashes in _hashed(batch.column("text")):
-                ids = numbers(chunk, w, hashes, shared.value)
-                cell = _histories(ids, w.rows) * VOCABULARY + ids
-                mine = np.repeat(chosen[chunk.first : chunk.last], np.diff(w.rows)).astype(bool)
-                for side, part in ((0, cell[mine]), (1, cell[~mine])):
-                    some, n = np.unique(part, return_counts=True)
-                    counts[side, some] += n
-        at = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["cell", "t", "b"])
-
-    marked = docs.select("doc_id", "text").join(target.select("doc_id", F.lit(True).alias("is_target")).hint("shuffle_hash"), "doc_id", "left")
-    marked = marked.select("text", F.coalesce("is_target", F.lit(False)).alias("target"))
-    found = marked.mapInArrow(run, "cell long, t long, b long").groupBy("cell").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
-    out = np.zeros((2, VOCABULARY * VOCABULARY))
-    out[:, found["cell"].to_numpy()] = found["t"].to_numpy(), found["b"].to_numpy()
-    return out[0].reshape(VOCABULARY, VOCABULARY), out[1].reshape(VOCABULARY, VOCABULARY)
-
-
 def losses(counts: np.ndarray, scale: float = 1.0) -> np.ndarray:
     """The negative log probability of each word after each history."""
     counts = counts * scale
@@ -133,23 +110,210 @@ def target_documents(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.avg("quality").alias("q")).filter("q >= 0.5").select("doc_id")
 
 
-def score_documents(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """doc_id, n_words, loss_target, loss_background and score of each row of `docs`."""
-    known = vocabulary(docs)
-    tables = matched_losses(*bigram_counts(docs, target, known))
-    shared = docs.sparkSession.sparkContext.broadcast((known, *(t.astype(np.float32).ravel() for t in tables)))  # VOCABULARY ** 2 cells each
+class Tokens(NamedTuple):
+    """Each word's hash, that of its bigram, its row in the chunk, and whether it is its row's first or last."""
+
+    words: np.ndarray
+    bigrams: np.ndarray
+    rows: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
+def tokens(w: kernels.Words, hashes: np.ndarray) -> Tokens:
+    n = len(hashes)
+    some = w.rows[1:] > w.rows[:-1]
+    first, last = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    first[w.rows[:-1][some]] = True
+    last[w.rows[1:][some] - 1] = True
+    before = np.zeros(n, dtype=np.uint64)
+    before[1:] = hashes[:-1]
+    before[first] = 0
+    bigrams = kernels.mix(before * kernels.PLACE[0] + hashes * kernels.PLACE[1])
+    return Tokens(hashes, bigrams, np.repeat(np.arange(len(some)), np.diff(w.rows)), first, last)
+
+
+def _places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The index of each key, -1 for those that are not there."""
+    if not len(sorted_keys):
+        return np.full(len(keys), -1)
+    k = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[k] == keys, k, -1)
+
+
+def frequent_keys(docs: DataFrame, share: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many different words there are, and the sorted hashes of the words and bigrams that are 1 / `share` of all words.
+
+    All words are counted. A bigram counts in the chunks where it has that share; it has it in some, if it has it at all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, of_target, of_background = shared.value
+        held = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))] * 2
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for kind, (keys, counts) in enumerate(held):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind)), pa.array(kernels.as_long(keys)), pa.array(counts)], ["kind", "key", "n"])
+
+        for batch in batches:
+            parts = [([k], [n]) for k, n in held]
+            for _, w, hashes in _hashed(batch.column("text")):
+                for kind, keys in enumerate((hashes, tokens(w, hashes).bigrams)):
+                    some, n = np.unique(keys, return_counts=True)
+                    enough = n * share >= kind * len(keys)
+                    parts[kind][0].append(some[enough])
+                    parts[kind][1].append(n[enough])
+            held = [_added(*p) for p in parts]
+            if sum(len(k) for k, _ in held) > HELD_WORDS:
+                yield from out()
+                held = [(k[:0], n[:0]) for k, n in held]
+        yield from out()
+
+    table = staged(docs.select("text").mapInArrow(run, "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    different, total = table.filter("kind = 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    top = table.filter(F.col("n") * share >= total).select("kind", "key").toArrow()
+    kind, keys = top["kind"].to_numpy(), top["key"].to_numpy().view(np.uint64)
+    return different, np.sort(keys[kind == 0]), np.sort(keys[kind == 1])
+
+
+class Model(NamedTuple):
+    """Counts (target, background) of all words and documents and of the frequent words, histories and bigrams."""
+
+    different: int
+    words: np.ndarray
+    bigrams: np.ndarray
+    total: np.ndarray
+    starts: np.ndarray
+    of_words: np.ndarray
+    of_histories: np.ndarray
+    of_bigrams: np.ndarray
+
+    def scales(self) -> tuple[float, float]:
+        t, b = self.total
+        return 1.0, (t / b if t and b else 1.0)
+
+    def joint(self, side: int, bigram: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The loss before a word's history is known to divide by."""
+        scale, size = self.scales()[side], max(VOCABULARY, 1 + self.different)
+        law = (word * scale + UNIFORM_WEIGHT / size) / (self.total[side] * scale + UNIFORM_WEIGHT)
+        return -np.log(bigram * scale + HISTORY_WEIGHT * law)
+
+    def history(self, side: int, count: np.ndarray) -> np.ndarray:
+        return np.log(count * self.scales()[side] + HISTORY_WEIGHT)
+
+
+def fitted(marked: DataFrame, different: int, words: np.ndarray, bigrams: np.ndarray) -> Model:
+    shared = marked.sparkSession.sparkContext.broadcast((words, bigrams))
+    sizes = [1, 1, len(words), len(words), len(bigrams)]
+    at = np.cumsum([0, *sizes])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, pairs = shared.value
+        counts = np.zeros((2, at[-1]), dtype=np.int64)
         for batch in batches:
+            chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
             for chunk, w, hashes in _hashed(batch.column("text")):
-                ids = numbers(chunk, w, hashes, words)
-                cell = _histories(ids, w.rows) * VOCABULARY + ids
-                n = np.diff(w.rows)
-                sums = [np.concatenate([[0.0], np.cumsum(t[cell], dtype=np.float64)]) for t in (of_target, of_background)]
-                a, b = ((s[w.rows[1:]] - s[w.rows[:-1]]) / np.maximum(n, 1) for s in sums)
-                ids_of = batch.column("doc_id").slice(chunk.first, len(n))
-                yield pa.RecordBatch.from_arrays([ids_of, pa.array(n), *(pa.array(v, mask=n == 0) for v in (a, b, a - b))], ["doc_id", "n_words", "loss_target", "loss_background", "score"])
+                x = tokens(w, hashes)
+                mine = chosen[chunk.first : chunk.last][x.rows]
+                word, pair = _places(known, x.words), _places(pairs, x.bigrams)
+                for side, here in enumerate((mine, ~mine)):
+                    counts[side, 0] += here.sum()
+                    counts[side, 1] += (here & x.first).sum()
+                    for i, ids in ((2, word[here]), (3, word[here & ~x.last]), (4, pair[here])):
+                        counts[side, at[i] : at[i + 1]] += np.bincount(ids[ids >= 0], minlength=sizes[i])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(at[-1])), *map(pa.array, counts)], ["cell", "t", "b"])
+
+    found = marked.select("target", "text").mapInArrow(run, "cell long, t long, b long").groupBy("cell").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
+    out = np.zeros((2, at[-1]))
+    out[:, found["cell"].to_numpy()] = found["t"].to_numpy(), found["b"].to_numpy()
+    total, starts, *rest = (out[:, a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+    return Model(different, words, bigrams, total[:, 0], starts[:, 0], *rest)
+
+
+def _units(x: np.ndarray) -> pa.Array:
+    return pa.array(np.rint(x * UNIT).astype(np.int64))
+
+
+def _rare_losses(parts: list[np.ndarray], m: Model) -> pa.RecordBatch:
+    """Losses of rows (row, key, pair, meta), sorted by key and pair, that hold all rows of their keys."""
+    row, key, pair, meta = np.concatenate(parts, axis=1)
+    n, target, last, word = meta >> 32, meta & 1, (meta >> 1) & 1, ((meta & 0xFFFFFFFF) >> 2) - 1
+    new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    new_pair = np.concatenate([[True], new_key[1:] | (pair[1:] != pair[:-1])])
+    of_key, of_pair, rare = np.cumsum(new_key) - 1, np.cumsum(new_pair) - 1, word < 0
+    out = []
+    for side, mine in enumerate((target, 1 - target)):
+        words = np.bincount(of_key, n * mine)[of_key]
+        if len(m.words):
+            words = np.where(rare, words, m.of_words[side, word])
+        loss = n * m.joint(side, np.bincount(of_pair, n * mine)[of_pair], words)
+        history = np.bincount(of_key, (n - last) * mine)[of_key]
+        out.append(_units(loss + np.where(rare, (n - last) * m.history(side, history), 0)))
+    return pa.RecordBatch.from_arrays([pa.array(row), *out], ["row", "t", "b"])
+
+
+def score_documents(docs: DataFrame, target: DataFrame, share: int = SHARE) -> DataFrame:
+    """doc_id, n_words, loss_target, loss_background and score of each row of `docs`."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    marked = rows.join(target.select("doc_id", F.lit(True).alias("is_target")).hint("shuffle_hash"), "doc_id", "left")
+    marked = staged(marked.select("row", "doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("target")), "lm-texts", compression="zstd")
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(marked, *frequent_keys(marked, share)))
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for chunk, w, hashes in _hashed(batch.column("text")):
+                x, n = tokens(w, hashes), np.diff(w.rows)
+                word, pair = _places(m.words, x.words), _places(m.bigrams, x.bigrams)
+                both, follows = pair >= 0, (word >= 0) & ~x.last
+                out = []
+                for side in (0, 1):
+                    loss = np.where(x.first, m.history(side, m.starts[side]), 0.0)
+                    loss[both] += m.joint(side, m.of_bigrams[side, pair[both]], m.of_words[side, word[both]])
+                    loss[follows] += m.history(side, m.of_histories[side, word[follows]])
+                    out.append(_units(np.bincount(x.rows, loss, minlength=len(n))))
+                mine = (batch.column(c).slice(chunk.first, len(n)) for c in ("row", "doc_id"))
+                yield pa.RecordBatch.from_arrays([*mine, pa.array(n), *out], ["row", "doc_id", "n", "t", "b"])
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            chosen, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("target", "row"))
+            for chunk, w, hashes in _hashed(batch.column("text")):
+                x = tokens(w, hashes)
+                x = Tokens(*(v[_places(m.bigrams, x.bigrams) < 0] for v in x))
+                order = np.lexsort((x.bigrams, x.rows))
+                x = Tokens(*(v[order] for v in x))
+                begin = np.flatnonzero(np.concatenate([[True], (x.bigrams[1:] != x.bigrams[:-1]) | (x.rows[1:] != x.rows[:-1])])) if len(order) else order
+                n = np.diff(np.append(begin, len(order)))
+                last = np.add.reduceat(x.last.astype(np.int64), begin) if len(begin) else n
+                x = Tokens(*(v[begin] for v in x))
+                word, at = _places(m.words, x.words), chunk.first + x.rows
+                key = np.where(word < 0, x.words, x.bigrams)
+                pair = np.where(word < 0, x.bigrams, np.uint64(0))
+                meta = (n << 32) | ((word + 1) << 2) | (last << 1) | chosen[at].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), *(pa.array(kernels.as_long(v)) for v in (key, pair)), pa.array(meta)], ["row", "key", "pair", "meta"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, held = shared.value, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = np.stack([c.to_numpy() for c in batch.columns])
+            cut = int(np.searchsorted(part[1], part[1, -1]))
+            if held and (cut or held[0][1, 0] != part[1, -1]):
+                yield _rare_losses([*held, part[:, :cut]], m)
+                held = []
+            elif cut:
+                yield _rare_losses([part[:, :cut]], m)
+            held.append(part[:, cut:])
+        if held:
+            yield _rare_losses(held, m)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, loss_target double, loss_background double, score double")
+    here = marked.select("row", "doc_id", "text").mapInArrow(frequent, f"row long, doc_id {kind}, n long, t long, b long")
+    dealt = marked.select("row", "target", "text").mapInArrow(rare, "row long, key long, pair long, meta long").repartition("key").sortWithinPartitions("key", "pair")
+    there = dealt.mapInArrow(met, "row long, t long, b long").groupBy("row").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    both = here.unionByName(there, allowMissingColumns=True).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_words"), F.sum("t").alias("t"), F.sum("b").alias("b"))
+    mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.lit(float(UNIT)) / F.col("n_words"))
+    out = both.orderBy("row").select("doc_id", "n_words", mean("t").alias("loss_target"), mean("b").alias("loss_background"))
+    return out.withColumn("score", F.col("loss_target") - F.col("loss_background"))

@@ -21,8 +21,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/galeframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read again."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -233,6 +234,42 @@ def test_lm_scores_match_brute_force(spark, make_docs):
     assert M.score_documents(make_docs([]), M.target_documents(labels)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 20, 4096])
+def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
+    stems = [f"{a}{b}{c}ing" for a in "bcdfghklmn" for b in "aeiou" for c in "rstvwxyz"]
+    r = random.Random(5)
+    rows = [(i, " ".join(["of the", *r.sample(stems, 40), stems[i % len(stems)], "of the"])) for i in range(400)]
+    rows += [(i, " ".join(f"{i}w{k}" for k in range(20))) for i in range(400, 500)] + [(600, None), (None, rows[3][1]), (3, rows[3][1]), (601, "of of of of")]
+    good = {i for i in range(0, 500, 3)}
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id bigint, quality int")
+    got = M.score_documents(make_docs(rows).repartition(3), M.target_documents(labels), share).collect()
+
+    pairs, words, histories = ([Counter(), Counter()] for _ in range(3))
+    for d, t in rows:
+        seq = ["", *(t or "").split()]
+        side = int(d not in good)
+        pairs[side].update(zip(seq[:-1], seq[1:], strict=True))
+        words[side].update(seq[1:])
+        histories[side].update(seq[:-1])
+    totals = [sum(w.values()) for w in words]
+    size = 1 + len(set(words[0]) | set(words[1]))
+    assert size > M.VOCABULARY
+
+    def loss(side, text):
+        scale = totals[0] / totals[1] if side else 1.0
+        seq, out = ["", *text.split()], 0.0
+        for a, b in zip(seq[:-1], seq[1:], strict=True):
+            law = (words[side][b] * scale + M.UNIFORM_WEIGHT / size) / (totals[side] * scale + M.UNIFORM_WEIGHT)
+            out -= math.log((pairs[side][a, b] * scale + M.HISTORY_WEIGHT * law) / (histories[side][a] * scale + M.HISTORY_WEIGHT))
+        return out / (len(seq) - 1)
+
+    key = lambda x: (x[0] is None, x[0] or 0)
+    want = sorted(((d, len((t or "").split()), *((loss(0, t), loss(1, t)) if t else (None, None))) for d, t in rows), key=key)
+    for x, (d, n, a, b) in zip(sorted(got, key=key), want, strict=True):
+        assert (x.doc_id, x.n_words) == (d, n)
+        assert x.score is None if not n else math.isclose(x.loss_target, a, abs_tol=1e-5) and math.isclose(x.loss_background, b, abs_tol=1e-5)
+
+
 @pytest.mark.parametrize("n", [1, 2, 30])
 def test_losses_are_of_a_law(n):
     counts = np.random.default_rng(n).integers(0, 5, (M.VOCABULARY, M.VOCABULARY)).astype(float)
