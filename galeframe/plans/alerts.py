@@ -14,7 +14,7 @@ from galeframe.sources import units as U
 _V = r"/([OTEX])\.(NEW|CON|CAN|EXP|EXA|EXB|EXT|UPG|ROU)\.([A-Z]{4})\.([A-Z]{2})\.([AWYSFO])\.(\d{4})\.(\d{6}T\d{4}Z)-(\d{6}T\d{4}Z)/"
 _G = ", ".join(f"regexp_extract(text, '{_V}', {i}) AS {n}" for i, n in ((2, "action"), (3, "office"), (4, "phen"), (5, "sig"), (6, "etn"), (8, "ends")))
 _SEG = with_views("bulletin") + f", v AS (SELECT bulletin_id, text, {_G} FROM bulletin), seg AS (SELECT *, concat_ws('.', office, phen, sig, etn) AS key, strptime(ends, '%y%m%dT%H%MZ') AS end_time FROM v)"
-_TIE = ["bulletin_id"]
+_TIE = ["bulletin_id", "pos"]
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:

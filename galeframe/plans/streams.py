@@ -51,9 +51,9 @@ def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the hazard stream; tests compare them with the batch state."""
     where = new_folder(spark, "hazards")
-    rows = segments(replayed(spark, sf_dir, "bulletin")).select("key", F.col("bulletin_id").alias("seq"), "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"))
+    rows = segments(replayed(spark, sf_dir, "bulletin")).select("key", F.col("bulletin_id").alias("seq"), "pos", "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"))
     finished(S.hazard_events(rows), put_batch(where), "append", where)
-    return spark.read.parquet(where).drop("batch")
+    return S.last_events(spark.read.parquet(where))
 
 
 @query()

@@ -17,12 +17,17 @@ from galeframe.sources.units import MAX_ATTEMPTS, decoded, not_yet_in
 
 
 def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:  # noqa: B008
-    """`track` over a stream of cells, each site's tracker kept as its state; volumes that come late are left out."""
+    """`track` over a stream of cells, each site's tracker kept as its state.
+
+    Cells that come after a later volume of their site were tracked go out without identities (null cell_uid).
+    """
     kind = cells.schema["site"].dataType.simpleString()
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracker = pickle.loads(state.get[0]) if state.exists else Tracker(p)
-        rows = run_volumes(tracker, pd.concat(list(frames)))
+        pdf = pd.concat(list(frames))
+        late = pdf[pdf["t"] <= tracker.frames[-1][0]].dropna(subset=["cell_id"]) if tracker.frames else pdf[:0]
+        rows = run_volumes(tracker, pdf) + [{"t": float(t), "cell_id": int(c)} for t, c in zip(late["t"], late["cell_id"], strict=True)]
         state.update((pickle.dumps(tracker),))
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in OUTPUT.split(", ")])
         out.insert(0, "site", key[0])
@@ -31,38 +36,58 @@ def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:
     return tracked_columns(cells).groupBy("site").applyInPandasWithState(run, f"site {kind}, {OUTPUT}", "tracker binary", "append", GroupStateTimeout.NoTimeout)
 
 
-EVENTS = "key string, kind string, seq bigint, ugc string, ring string"
-STATE = "seq bigint, ugc string, ring string"
+EVENTS = "key string, kind string, seq bigint, pos int, ugc string, ring string"
+STATE = "segments string"
+
+
+def folded(segments: list) -> dict[tuple, tuple]:
+    """The event (kind, ugc, ring) of each segment (seq, pos, action, ugc, ring) of a key that has one, by (seq, pos)."""
+    ugc, ring, active, out = None, None, False, {}
+    for seq, pos, action, zones, own in segments:
+        if action in REMOVE:
+            if active:
+                out[seq, pos] = ("removed", ugc, ring)
+            active, ugc, ring = False, None, None
+        else:
+            ugc, ring = zones or "", (own if own is not None else ring)
+            out[seq, pos] = ("new" if not active and action == "NEW" else "update", ugc, ring)
+            active = True
+    return out
 
 
 def hazard_events(segments: DataFrame) -> DataFrame:
-    """new, update and removed events of a stream of segments (key, seq, action, ugc, ring as text).
+    """new, update and removed events of a stream of segments (key, seq, pos, action, ugc, ring as text).
 
-    A key's state is its active hazard; a follow-up without a ring keeps the last one. Segments that come after a later
-    one of their key are left out.
+    Segments apply in the order of (seq, pos), one of each; a follow-up without a ring keeps the last one. A key's state is
+    its segments. One that comes after a later one of its key is put in its place, and the events that this changes go out
+    again, as `void` where none is left: of several events of one (key, seq, pos) the last counts.
     """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seq, ugc, ring = state.get if state.exists else (-1, None, None)
-        active, rows = ugc is not None, []
-        for r in pd.concat(list(frames)).sort_values("seq").itertuples(index=False):
-            if r.seq <= seq:
-                continue
-            seq = int(r.seq)
-            if r.action in REMOVE:
-                if active:
-                    rows.append((key[0], "removed", seq, ugc, ring))
-                active, ugc, ring = False, None, None
-            else:
-                ugc, ring = r.ugc or "", (r.ring if r.ring is not None else ring)
-                rows.append((key[0], "new" if not active and r.action == "NEW" else "update", seq, ugc, ring))
-                active = True
-        state.update((seq, ugc, ring))
-        yield pd.DataFrame(rows, columns=["key", "kind", "seq", "ugc", "ring"])
+        held = json.loads(state.get[0]) if state.exists else []
+        places = {(s[0], s[1]): s for s in held}
+        for r in pd.concat(list(frames)).itertuples(index=False):
+            places.setdefault((int(r.seq), int(r.pos)), [int(r.seq), int(r.pos), r.action, r.ugc, r.ring])
+        whole = [places[k] for k in sorted(places)]
+        before, after = folded(held), folded(whole)
+        state.update((json.dumps(whole),))
+        rows = []
+        for k in sorted(before.keys() | after.keys()):
+            if before.get(k) != after.get(k):
+                kind, ugc, ring = after.get(k, ("void", None, None))
+                rows.append((key[0], kind, *k, ugc, ring))
+        yield pd.DataFrame(rows, columns=["key", "kind", "seq", "pos", "ugc", "ring"])
 
     return segments.groupBy("key").applyInPandasWithState(run, EVENTS, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def last_events(events: DataFrame, batch: str = "batch") -> DataFrame:
+    """The events that count among those of all batches."""
+    names = [c for c in events.columns if c not in ("key", "seq", "pos", batch)]
+    last = events.groupBy("key", "seq", "pos").agg(F.max_by(F.struct(*names), batch).alias("e"))
+    return last.select("key", "seq", "pos", "e.*").filter("kind <> 'void'").select(*(c for c in events.columns if c != batch))
+
+
 def flash_windows(flashes: DataFrame, late: str = "10 minutes", length: str = "30 minutes", slide: str = "10 minutes") -> DataFrame:
     """Flashes per satellite and sliding window; rows later than `late` behind the newest are left out."""
     at = F.col("flash_time").cast("timestamp")

@@ -1,12 +1,13 @@
 import json
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from galeframe.operators.alerts import active, alert_state, segments
 from galeframe.operators.tracker import Tracker, TrackerParams
 from galeframe.plans.fixtures import view
-from galeframe.plans.streams import storm_tracks, stream_hazards, stream_tracks
+from galeframe.plans.streams import finished, storm_tracks, stream_hazards, stream_tracks
 from galeframe.sources.shared import new_folder, put_batch
 from galeframe.streaming import live as S
 
@@ -76,6 +77,53 @@ def test_hazard_stream_ends_in_the_batch_state(spark):
     assert {k for k, kind in last.items() if kind != "removed"} == batch
 
 
+def hazard_batches(spark, batches):
+    """The events of batches of (bulletin_id, text), each a file of its own."""
+    table, where = new_folder(spark, "bulletins"), new_folder(spark, "hazards")
+    for rows in batches:
+        spark.createDataFrame(rows, "bulletin_id bigint, text string").coalesce(1).write.mode("append").parquet(table)
+        time.sleep(0.05)
+    stream = spark.readStream.schema("bulletin_id bigint, text string").option("maxFilesPerTrigger", 1).parquet(table)
+    rows = segments(stream).select("key", F.col("bulletin_id").alias("seq"), "pos", "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"))
+    finished(S.hazard_events(rows), put_batch(where), "append", where)
+    return [(r.seq, r.kind, r.ugc) for r in S.last_events(spark.read.parquet(where)).orderBy("seq", "pos").collect()]
+
+
+def bulletin(*parts):
+    return "".join(f"{zone}-072000-\n/O.{action}.KMOB.TO.W.0001.240101T0000Z-240102T0000Z/\n" for zone, action in parts)
+
+
+def test_cancelled_zones_and_the_rest_of_one_bulletin(spark):
+    texts = [(1, bulletin(("FLZ201", "NEW"))), (2, bulletin(("FLZ201", "CAN"), ("FLZ202", "CON")))]
+    assert hazard_batches(spark, [texts]) == [(1, "new", "FLZ201"), (2, "removed", "FLZ201"), (2, "update", "FLZ202")]
+    state = active(alert_state(segments(spark.createDataFrame(texts, "bulletin_id bigint, text string")), ["bulletin_id", "pos"])).collect()
+    assert [(r.bulletin_id, r.action) for r in state] == [(2, "CON")]
+
+
+def test_late_segments_take_their_place(spark):
+    texts = [(i, bulletin((f"FLZ{200 + i}", a))) for i, a in enumerate(["NEW", "CON", "CAN", "CAN", "NEW", "EXT"], 1)]
+    want = hazard_batches(spark, [texts])
+    assert [w[:2] for w in want] == [(1, "new"), (2, "update"), (3, "removed"), (5, "new"), (6, "update")]
+    assert hazard_batches(spark, [[texts[i]] for i in (3, 5, 0, 4, 2, 1)]) == want
+
+
+def test_hazards_of_a_shuffled_table_of_many_files(spark):
+    folder = new_folder(spark, "orders-in-files")
+    spark.read.parquet(f"{SF}/orders.parquet").orderBy(F.xxhash64("o_orderkey")).repartition(7).write.parquet(f"{folder}/orders.parquet")
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.collect())))
+    assert rows(stream_hazards(spark, folder)) == rows(stream_hazards(spark, SF))
+
+
+def test_late_volumes_go_out_without_identity(spark):
+    table, where = new_folder(spark, "cells"), new_folder(spark, "out")
+    schema = "site int, t double, cell_id long, x double, y double, area double, dbz double"
+    for t in (0.0, 600.0, 300.0):
+        spark.createDataFrame([(1, t, 7, 0.0, 0.0, 9.0, 50.0)], schema).coalesce(1).write.mode("append").parquet(table)
+        time.sleep(0.05)
+    finished(S.tracked(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(table)), put_batch(where), "append", where)
+    assert sorted((r.t, r.cell_uid is None) for r in spark.read.parquet(where).collect()) == [(0.0, False), (300.0, True), (600.0, False)]
+
+
 def test_units_go_once_to_one_place(spark):
     done, dead = new_folder(spark, "done"), new_folder(spark, "dead")
     body = lambda s, e: json.dumps({"site": s, "volume_epoch": e, "vcp": 12})
