@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,8 +52,23 @@ def receiver_status(up: Column, age_s: Column, socket_ms: Column, product_min: C
 
 
 def allowed_restarts(events: DataFrame, keys: list[str], time: str, cooldown_s: int = 300) -> DataFrame:
-    """Those events that lie a cooldown or more after the last allowed one of their key: a fold over ordered times."""
-    step = lambda a, t: F.when((F.size(a) == 0) | (t - F.element_at(a, -1) >= cooldown_s), F.concat(a, F.array(t))).otherwise(a)
-    times = events.groupBy(*keys).agg(F.sort_array(F.collect_list(F.col(time).cast("long"))).alias("times"))
-    kept = F.aggregate("times", F.array().cast("array<bigint>"), step)
-    return times.select(*keys, F.explode(kept).alias(time))
+    """Those events that lie a cooldown or more after the last allowed one of their key; without a time, none.
+
+    Each key's times stream in order through one task, which holds its last allowed time only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = last = None
+        for batch in batches:
+            times, keep = batch.column(time).to_pylist(), []
+            owners = zip(*(batch.column(k).to_pylist() for k in keys), strict=True) if keys else [()] * len(times)
+            for i, (own, t) in enumerate(zip(owners, times, strict=True)):
+                if own != key or t - last >= cooldown_s:
+                    keep.append(i)
+                    key, last = own, t
+            yield batch.take(pa.array(keep, type=pa.int64()))
+
+    rows = events.select(*keys, F.col(time).cast("long").alias(time)).filter(F.col(time).isNotNull())
+    rows = rows.distinct() if cooldown_s > 0 else rows
+    dealt = rows.repartition(*keys) if keys else rows.repartition(1)
+    return dealt.sortWithinPartitions(*keys, time).mapInArrow(run, rows.schema)

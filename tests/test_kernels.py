@@ -196,6 +196,18 @@ def test_cooldown_is_a_plain_loop(spark):
     assert {(x.u, x.t) for x in got} == want
 
 
+def test_cooldown_of_a_key_larger_than_a_batch(spark):
+    rows = [(1, 7 * i % 250_000) for i in range(35_000)] + [(None, 5), (None, 5), (2, None), (3, 0), (3, 300)]
+    got = M.allowed_restarts(spark.createDataFrame(rows, "u int, t bigint").repartition(5), ["u"], "t")
+    assert "collect_list" not in got._jdf.queryExecution().toString()
+    want, last = [(3, 0), (3, 300), (None, 5)], None
+    for t in sorted({t for u, t in rows if u == 1}):
+        if last is None or t - last >= 300:
+            want.append((1, t))
+            last = t
+    assert sorted(map(str, ((x.u, x.t) for x in got.collect()))) == sorted(map(str, want))
+
+
 def test_status_order(spark):
     cases = [(False, 0, None, None, "down"), (True, 10, None, 99, "ok (grace)"), (True, 500, None, 99, "disconnected"), (True, 500, 130_000, 99, "stalled"), (True, 500, 5, 31, "no-products"), (True, 500, 5, 5, "ok"), (True, 500, 5, None, "ok")]
     df = spark.createDataFrame(cases, "up boolean, age int, socket int, product int, want string")
