@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+import re
+import time
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+from pyspark.sql.types import StructType
 
 #: Month codes in archive names, report kinds that count, and the layout of a report file.
 MONTHS = {"ja": 1, "fe": 2, "mr": 3, "ap": 4, "my": 5, "jn": 6, "jl": 7, "au": 8, "se": 9, "oc": 10, "no": 11, "de": 12}
@@ -11,6 +21,8 @@ SEVERE = ("T", "H", "G", "D")
 REPORTS = "features array<struct<geometry:struct<coordinates:array<double>>,properties:struct<type:string,valid:string>>>"
 SHAPE = "struct<type:string,coordinates:string>"
 MIN_AGE_S = 20
+#: How long the names of files that are gone are known.
+KEEP_S = 7 * 86400
 
 
 def archive_listing(names: DataFrame, since: str, until: str) -> DataFrame:
@@ -28,13 +40,74 @@ def storm_reports(documents: DataFrame, text: str = "text") -> DataFrame:
     return rows.filter(F.col("kind").isin(*SEVERE) & F.col("t").isNotNull())
 
 
+def _system(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if re.match(r"\w+:", folder) else (fs.LocalFileSystem(), os.path.abspath(folder))
+
+
+class BulletinFiles(DataSource):
+    """A streaming source of the bulletin files (path, modified in seconds) below a folder, once they are MIN_AGE_S old.
+
+    The offset holds the names taken so far, so a younger file is left for a later batch. Names stay for KEEP_S after
+    their file is gone.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "galeframe_bulletins"
+
+    def schema(self) -> str:
+        return "path string, modified double"
+
+    def simpleStreamReader(self, schema: StructType) -> SimpleDataSourceStreamReader:  # noqa: N802
+        return BulletinReader(self.options["path"], self.options["delete"] == "true")
+
+
+class BulletinReader(SimpleDataSourceStreamReader):
+    def __init__(self, folder: str, delete: bool) -> None:
+        self.folder, self.delete = folder, delete
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        now = time.time()
+        system, root = _system(self.folder)
+        infos = system.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
+        files = {f.base_name: [f.path, f.mtime.timestamp()] for f in infos if f.is_file and f.extension in ("TXT", "txt")}
+        end = {n: f for n, f in start.items() if n in files or now - f[1] < KEEP_S}
+        end |= {n: f for n, f in sorted(files.items()) if n not in end and now - f[1] >= MIN_AGE_S}
+        return self.readBetweenOffsets(start, end), end
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
+        return iter([tuple(f) for n, f in end.items() if n not in start])
+
+    def commit(self, end: dict) -> None:
+        system, _ = _system(self.folder)
+        for path, _ in end.values() if self.delete else ():
+            with contextlib.suppress(FileNotFoundError):
+                system.delete_file(path)
+
+
 def bulletin_stream(spark: SparkSession, folder: str, delete: bool = False) -> DataFrame:
-    """Whole bulletins (path, text) as their files appear below a folder; a name seen once isn't read again."""
-    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{TXT,txt}").option("fileNameOnly", True)
-    if delete:
-        reader = reader.option("cleanSource", "delete")
-    out = reader.load(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("text"))
-    return out.filter(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("modified") >= MIN_AGE_S) if not delete else out
+    """Whole bulletins (path, modified, text) as their files come of age below a folder; a name taken once isn't read again.
+
+    A file that can't be read any more has an empty text. With `delete`, files go once the batch that took them is done.
+    """
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = _system(folder)
+        for batch in batches:
+            for path, modified in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    with system.open_input_file(path) as f:
+                        text = f.read().decode(errors="ignore")
+                except OSError:
+                    text = ""
+                yield pa.RecordBatch.from_pylist([{"path": path, "modified": modified, "text": text}])
+
+    spark.dataSource.register(BulletinFiles)
+    files = spark.readStream.format(BulletinFiles.name()).option("path", folder).option("delete", str(delete).lower()).load()
+    return files.repartition("path").mapInArrow(texts, "path string, modified double, text string").withColumn("modified", F.timestamp_seconds("modified"))
 
 
 def latest_graphics(files: DataFrame) -> DataFrame:

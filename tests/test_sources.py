@@ -7,6 +7,7 @@ import time
 import zipfile
 from dataclasses import dataclass
 
+import pytest
 from pyspark.sql import functions as F
 
 from galeframe.operators.overlap import Cell, OverlapTracker
@@ -79,6 +80,27 @@ def test_bulletins_arrive_as_a_stream(spark, tmp_path):
     assert sorted(r.text for r in spark.table("bulletins_seen").collect()) == ["text of a/ONE.TXT\nline 2", "text of two.txt\nline 2"]
 
 
+@pytest.mark.parametrize("delete", [False, True])
+def test_a_fresh_bulletin_comes_in_a_later_batch(spark, tmp_path, delete):
+    (tmp_path / "in").mkdir()
+    old, fresh = tmp_path / "in/OLD.TXT", tmp_path / "in/FRESH.TXT"
+    old.write_text("old")
+    fresh.write_text("half")
+    os.utime(old, (time.time() - 100, time.time() - 100))
+
+    def texts():
+        q = S.bulletin_stream(spark, str(tmp_path / "in"), delete).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        return sorted(r.text for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert texts() == ["old"]
+    fresh.write_text("whole")
+    assert texts() == ["old"]
+    os.utime(fresh, (time.time() - 100, time.time() - 100))
+    assert texts() == ["old", "whole"]
+    assert texts() == ["old", "whole"] and old.exists() != delete
+
+
 def test_wider_families_are_fewer(spark):
     n = [r.per_volume for r in family_sweep(spark, SF).orderBy("km").collect()]
     assert n == sorted(n, reverse=True)
