@@ -67,6 +67,7 @@ class Automaton:
     """A suffix automaton of several word sequences; ends[v]: where in which template the runs of state v end."""
 
     def __init__(self, sequences: list[list[int]]) -> None:
+        self.sequences = sequences
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         ends: list[set[tuple[int, int]]] = [set()]
@@ -122,16 +123,15 @@ class Automaton:
             yield v, size
 
     def matches(self, words: list[int], offset: int) -> Iterator[Match]:
-        """Right-maximal runs of MIN_MATCH or more words, in each template that has them."""
-        stats = [*self.statistics(words), (0, 0)]
-        for i, (v, size) in enumerate(stats[:-1]):
-            if size < MIN_MATCH or stats[i + 1][1] == size + 1:
-                continue
+        """The longest runs of MIN_MATCH or more words in each template, where that template doesn't go on like the text."""
+        for i, (v, size) in enumerate(self.statistics(words)):
+            follows = words[i + 1 : i + 2]
             seen: set[int] = set()
             while v and size >= MIN_MATCH:
                 fresh = [e for e in self.ends[v] if e[0] not in seen]
                 for t, end in fresh:
-                    yield Match(t, end - size, offset + i + 1 - size, size)
+                    if not follows or self.sequences[t][end : end + 1] != follows:
+                        yield Match(t, end - size, offset + i + 1 - size, size)
                 seen.update(t for t, _ in fresh)
                 v = self.link[v]
                 size = self.length[v]

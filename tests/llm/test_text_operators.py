@@ -234,6 +234,19 @@ def test_lm_scores_match_brute_force(spark, make_docs):
     assert M.score_documents(make_docs([]), M.target_documents(labels)).count() == 0
 
 
+def test_runs_end_in_each_template_by_itself():
+    a, b = [1, 2, 3, 4, 5, 6, 7, 8], [1, 2, 3, 4, 5, 6, 9, 7]
+    found = set(X.Automaton([a, b]).matches(a, 0))
+    assert found == {X.Match(0, 0, 0, 8), X.Match(1, 0, 0, 6)}
+    spans = dict((s.label, s.coverage) for s in scanned("This work is licensed under a Creative Commons Attribution 4.0 International License"))
+    assert spans["cc-by"] == 1.0 and spans["cc-by-nc"] >= 0.85
+
+
+def scanned(text):
+    for chunk in K.chunks(pa.array([text])):
+        return X.Scanner().scan(chunk)[0][-1]
+
+
 @pytest.mark.parametrize("share", [1, 20, 4096])
 def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
     stems = [f"{a}{b}{c}ing" for a in "bcdfghklmn" for b in "aeiou" for c in "rstvwxyz"]
