@@ -3,22 +3,25 @@
 A target model (documents labelled of good quality) and a background model (all other documents) are bigram models of
 the same order, smoothing and vocabulary: every word and every bigram of the whole corpus, without a cut, so what is
 counted grows with the corpus. Both models are matched: the background's counts are scaled to the target's number of
-words, so smoothing weighs alike in both. A document's score is its mean loss per word under the target less that under
-the background: the lower, the closer to the target.
+words, so smoothing weighs alike in both. A word's loss is the negative logarithm of
 
-Words and bigrams stand as 64-bit hashes. Those that make up at least 1 / SHARE of all words (so at most SHARE of each)
-are counted in tasks, sent to all tasks and scored where the text is. Every other bigram of a document becomes one row,
-dealt by its word, or by itself if its word is frequent: the rows that meet there are all that the counts of the word and
-the bigram are made of, so one shuffle counts and scores, and no key has more than 2 / SHARE of the rows. Losses are
-added in units of 1 / UNIT, so their order doesn't matter.
+    (c(history, word) + HISTORY_WEIGHT * (c(word) + UNIFORM_WEIGHT / V) / (words + UNIFORM_WEIGHT)) / (c(history) + HISTORY_WEIGHT)
+
+with V one more than the number of different words. A document's score is its mean loss a word under the target less
+that under the background: the lower, the closer to the target.
+
+Words, bigrams and documents (doc_id with text) stand as 64-bit hashes. Words and bigrams that make up at least
+1 / share of all words (so at most `share` of each, MOST_SHARE at the utmost) are counted in tasks, sent to all tasks and
+scored where the text is. Of every other bigram of a document an entry is dealt by its word, or by itself if its word is
+frequent: the entries that meet there are all that the counts of the word and the bigram are made of, so one shuffle
+counts and scores. Entries travel as array columns, a row for each part of the hashes; a part holds about PART entries,
+and no key more than 2 / share of all. Labels of up to BROADCAST_ROWS documents are sent to all tasks, more are joined by
+a shuffle.
 
 Edge cases: a null or empty text has 0 words and null losses and score. Without target or background documents that
 model is uniform. A document with several labels is a target if their mean is a half or more; labels without doc_id or
 quality don't count. Rows without doc_id are background. Other columns are ignored; repeated rows count each time and give
-repeated results in the order of the table, empty tables empty ones.
-
-`vocabulary`, `numbers` and `losses` are the same models as matrices; they are exact for up to FREQUENT words, and tests
-compare with them.
+repeated results, empty tables empty ones. Texts are taken whole.
 """
 
 from __future__ import annotations
@@ -34,75 +37,24 @@ from pyspark.sql import functions as F
 from galeframe.llm import kernels
 from galeframe.llm.staging import staged
 
-FREQUENT, CLASSES = 767, 256
-#: Number 0 stands before the first word.
-VOCABULARY = 1 + FREQUENT + CLASSES
 #: Weight of the unigram behind each history, and of the uniform law behind the unigram, in words.
 HISTORY_WEIGHT, UNIFORM_WEIGHT = 50.0, 100.0
-HELD_WORDS = 1 << 20
-SHARE = 4096
-UNIT = 1 << 24
+#: `share` is a word for so many bytes of text, within these bounds.
+SHARE_BYTES, LEAST_SHARE, MOST_SHARE = 1 << 25, 1 << 12, 1 << 20
+HELD, PART, BROADCAST_ROWS = 1 << 20, 1 << 20, 1_000_000
+#: Rows that are cut into words together: two such runs are numbered by 16 bits.
+ROWS_TOGETHER = 1 << 14
 
 
 def _hashed(texts: pa.Array) -> Iterator[tuple[kernels.Chunk, kernels.Words, np.ndarray]]:
-    for chunk in kernels.chunks(texts):
+    for chunk in kernels.chunks(texts, rows=ROWS_TOGETHER):
         w = kernels.words(chunk, kernels.NOT_SPACE, lower=True)
         yield chunk, w, kernels.word_hashes(chunk, w, lower=True)
 
 
-def _added(parts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    words, back = np.unique(np.concatenate(parts), return_inverse=True)
-    return words, np.bincount(back, np.concatenate(counts), minlength=len(words)).astype(np.int64)
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-    out = lambda: pa.RecordBatch.from_arrays([pa.array(kernels.as_long(words)), pa.array(counts)], ["word", "n"])
-    for batch in batches:
-        parts, numbers = [words], [counts]
-        for _, _, hashes in _hashed(batch.column("text")):
-            some, n = np.unique(hashes, return_counts=True)
-            parts.append(some)
-            numbers.append(n)
-        words, counts = _added(parts, numbers)
-        if len(words) > HELD_WORDS:
-            yield out()
-            words, counts = words[:0], counts[:0]
-    yield out()
-
-
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """The hashes of the FREQUENT most frequent words, sorted."""
-    counts = docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
-    return np.sort(top["word"].to_numpy().view(np.uint64))
-
-
-def numbers(chunk: kernels.Chunk, w: kernels.Words, hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Each word's number in the vocabulary."""
-    tail = np.zeros(len(hashes), dtype=np.uint32)
-    for back in (1, 2, 3):
-        at = w.ends - back
-        letter = np.where(at >= w.starts, kernels.LOWER[chunk.data[np.maximum(at, 0)]], 0).astype(np.uint32)
-        tail = tail * np.uint32(263) + letter
-    out = 1 + FREQUENT + (((tail * np.uint32(0x9E3779B1)) >> np.uint32(11)) % np.uint32(CLASSES)).astype(np.int64)
-    if len(known):
-        k = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        out = np.where(known[k] == hashes, 1 + k, out)
-    return out
-
-
-def losses(counts: np.ndarray, scale: float = 1.0) -> np.ndarray:
-    """The negative log probability of each word after each history."""
-    counts = counts * scale
-    single = counts.sum(axis=0)
-    law = (single + UNIFORM_WEIGHT / VOCABULARY) / (single.sum() + UNIFORM_WEIGHT)
-    return -np.log((counts + HISTORY_WEIGHT * law) / (counts.sum(axis=1, keepdims=True) + HISTORY_WEIGHT)).astype(np.float64)
-
-
-def matched_losses(target: np.ndarray, background: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = target.sum() / background.sum() if target.sum() and background.sum() else 1.0
-    return losses(target), losses(background, scale)
+def _added(parts: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    keys, back = np.unique(np.concatenate(parts), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate(counts), minlength=len(keys)).astype(np.int64)
 
 
 def target_documents(labels: DataFrame) -> DataFrame:
@@ -141,38 +93,59 @@ def _places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[k] == keys, k, -1)
 
 
-def frequent_keys(docs: DataFrame, share: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """How many different words there are, and the sorted hashes of the words and bigrams that are 1 / `share` of all words.
+class Vocabulary(NamedTuple):
+    """How many words there are, and different ones, and the sorted hashes of frequent words and bigrams."""
+
+    total: int
+    different: int
+    words: np.ndarray
+    bigrams: np.ndarray
+
+
+def vocabulary(docs: DataFrame, share: int) -> Vocabulary:
+    """Counts all words; a word is frequent with 1 / `share` of them, a bigram at the latest with 2 / `share`.
 
-    All words are counted. A bigram counts in the chunks where it has that share; it has it in some, if it has it at all.
+    Bigrams are counted in windows of a task's texts, and those with their share of a window go on. One with 2 / `share`
+    of all words loses less than half of its count to windows in which it has less.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))] * 2
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for kind, (keys, counts) in enumerate(held):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind)), pa.array(kernels.as_long(keys)), pa.array(counts)], ["kind", "key", "n"])
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+        most, size = (HELD, max(HELD, 4 * share)), 0
+
+        def full(kind: int) -> bool:
+            """Whether so many different keys are held; those of several chunks are added up now and then."""
+            if sum(len(k) for k, _ in held[kind]) <= 2 * most[kind]:
+                return False
+            held[kind] = [_added(*zip(*held[kind], strict=True))]
+            return len(held[kind][0][0]) > most[kind]
+
+        def out(kind: int, least: int) -> Iterator[pa.RecordBatch]:
+            if held[kind]:
+                keys, counts = _added(*zip(*held[kind], strict=True))
+                some = counts * share >= least
+                held[kind] = []
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(some.sum(), kind)), pa.array(kernels.as_long(keys[some])), pa.array(counts[some])], ["kind", "key", "n"])
 
         for batch in batches:
-            parts = [([k], [n]) for k, n in held]
             for _, w, hashes in _hashed(batch.column("text")):
                 for kind, keys in enumerate((hashes, tokens(w, hashes).bigrams)):
-                    some, n = np.unique(keys, return_counts=True)
-                    enough = n * share >= kind * len(keys)
-                    parts[kind][0].append(some[enough])
-                    parts[kind][1].append(n[enough])
-            held = [_added(*p) for p in parts]
-            if sum(len(k) for k, _ in held) > HELD_WORDS:
-                yield from out()
-                held = [(k[:0], n[:0]) for k, n in held]
-        yield from out()
-
-    table = staged(docs.select("text").mapInArrow(run, "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+                    held[kind].append(np.unique(keys, return_counts=True))
+                size += len(hashes)
+                if full(0):
+                    yield from out(0, 0)
+                if full(1):
+                    yield from out(1, size)
+                    size = 0
+        yield from out(0, 0)
+        yield from out(1, size)
+
+    counts = docs.select("text").mapInArrow(run, "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    table = staged(counts, "lm-counts")
     different, total = table.filter("kind = 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    top = table.filter(F.col("n") * share >= total).select("kind", "key").toArrow()
+    top = table.filter(F.col("n") * share >= total).select("kind", "key").toArrow()  # at most `share` of either kind
     kind, keys = top["kind"].to_numpy(), top["key"].to_numpy().view(np.uint64)
-    return different, np.sort(keys[kind == 0]), np.sort(keys[kind == 1])
+    return Vocabulary(total, different, np.sort(keys[kind == 0]), np.sort(keys[kind == 1]))
 
 
 class Model(NamedTuple):
@@ -193,17 +166,17 @@ class Model(NamedTuple):
 
     def joint(self, side: int, bigram: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The loss before a word's history is known to divide by."""
-        scale, size = self.scales()[side], max(VOCABULARY, 1 + self.different)
-        law = (word * scale + UNIFORM_WEIGHT / size) / (self.total[side] * scale + UNIFORM_WEIGHT)
+        scale = self.scales()[side]
+        law = (word * scale + UNIFORM_WEIGHT / (1 + self.different)) / (self.total[side] * scale + UNIFORM_WEIGHT)
         return -np.log(bigram * scale + HISTORY_WEIGHT * law)
 
     def history(self, side: int, count: np.ndarray) -> np.ndarray:
         return np.log(count * self.scales()[side] + HISTORY_WEIGHT)
 
 
-def fitted(marked: DataFrame, different: int, words: np.ndarray, bigrams: np.ndarray) -> Model:
-    shared = marked.sparkSession.sparkContext.broadcast((words, bigrams))
-    sizes = [1, 1, len(words), len(words), len(bigrams)]
+def fitted(marked: DataFrame, v: Vocabulary) -> Model:
+    shared = marked.sparkSession.sparkContext.broadcast((v.words, v.bigrams))
+    sizes = [1, 1, len(v.words), len(v.words), len(v.bigrams)]
     at = np.cumsum([0, *sizes])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,20 +199,67 @@ def fitted(marked: DataFrame, different: int, words: np.ndarray, bigrams: np.nda
     out = np.zeros((2, at[-1]))
     out[:, found["cell"].to_numpy()] = found["t"].to_numpy(), found["b"].to_numpy()
     total, starts, *rest = (out[:, a:b] for a, b in zip(at[:-1], at[1:], strict=True))
-    return Model(different, words, bigrams, total[:, 0], starts[:, 0], *rest)
+    return Model(v.different, v.words, v.bigrams, total[:, 0], starts[:, 0], *rest)
+
 
+class Entries(NamedTuple):
+    """Bigrams of documents: the document, the number of a frequent word (else -1), and by what it is dealt.
+
+    That is a rare word, or a bigram of a frequent word; `pair` is the bigram of a rare one. Then, in one number: how often,
+    whether the document ends with it, and whether it is a target.
+    """
 
-def _units(x: np.ndarray) -> pa.Array:
-    return pa.array(np.rint(x * UNIT).astype(np.int64))
+    doc: np.ndarray
+    word: np.ndarray
+    key: np.ndarray
+    pair: np.ndarray
+    meta: np.ndarray
 
+    @staticmethod
+    def joined(parts: list[Entries]) -> Entries:
+        return Entries(*(np.concatenate(v) for v in zip(*parts, strict=True)))
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
 
-def _rare_losses(parts: list[np.ndarray], m: Model) -> pa.RecordBatch:
-    """Losses of rows (row, key, pair, meta), sorted by key and pair, that hold all rows of their keys."""
-    row, key, pair, meta = np.concatenate(parts, axis=1)
-    n, target, last, word = meta >> 32, meta & 1, (meta >> 1) & 1, ((meta & 0xFFFFFFFF) >> 2) - 1
-    new_key = np.concatenate([[True], key[1:] != key[:-1]])
-    new_pair = np.concatenate([[True], new_key[1:] | (pair[1:] != pair[:-1])])
-    of_key, of_pair, rare = np.cumsum(new_key) - 1, np.cumsum(new_pair) - 1, word < 0
+
+def _blocks(e: Entries, parts: int) -> pa.RecordBatch:
+    """A row for each part: its documents, and its entries, each once in a document, with the place of their document."""
+    docs, own = np.unique(e.doc, return_inverse=True)
+    group = ((e.key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((own, e.pair, e.key, e.word, group))
+    own, group, e = own[order], group[order], Entries(*(v[order] for v in e))
+    begin = np.flatnonzero(_new(own, e.pair, e.key))
+    meta = (np.add.reduceat(e.meta >> 2, begin) << 2) | (np.add.reduceat((e.meta >> 1) & 1, begin) << 1) | (e.meta[begin] & 1)
+    own, group, e = own[begin], group[begin], Entries(*(v[begin] for v in e))
+    some, at = np.unique(group * len(docs) + own, return_inverse=True)
+    here = np.unique(group)
+    cuts = np.append(np.searchsorted(some, here * len(docs)), len(some)).astype(np.int32)
+    ends = np.append(np.searchsorted(group, here), len(group)).astype(np.int32)
+    place = (at - np.searchsorted(some, group * len(docs))).astype(np.int16)
+    lists = lambda offsets, values: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    columns = [lists(cuts, docs[some % len(docs)]), *(lists(ends, v) for v in (place, e.word.astype(np.int32), kernels.as_long(e.key), kernels.as_long(e.pair), meta.astype(np.int32)))]
+    return pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), *columns], [c.split()[0] for c in BLOCK.split(", ")])
+
+
+BLOCK = "part int, docs array<long>, place array<short>, word array<int>, key array<long>, pair array<long>, meta array<int>"
+
+
+def _losses(table: pa.Table, m: Model) -> pa.Table:
+    """Losses (doc, t, b) of the blocks of a part, which hold all entries of their keys."""
+    lists = {c: table[c].combine_chunks() for c in table.column_names if c != "part"}
+    word, key, pair, meta = (lists[c].flatten().to_numpy() for c in ("word", "key", "pair", "meta"))
+    begin = np.cumsum([0, *lists["docs"].value_lengths().to_numpy()[:-1]])
+    doc = lists["docs"].flatten().to_numpy()[np.repeat(begin, lists["key"].value_lengths().to_numpy()) + lists["place"].flatten().to_numpy()]
+    order = np.lexsort((pair, key))
+    doc, word, key, pair, meta = (v[order] for v in (doc, word, key, pair, meta.astype(np.int64)))
+    n, last, target, rare = meta >> 2, (meta >> 1) & 1, meta & 1, word < 0
+    of_key, of_pair = np.cumsum(_new(key)) - 1, np.cumsum(_new(key, pair)) - 1
+    docs, own = np.unique(doc, return_inverse=True)
     out = []
     for side, mine in enumerate((target, 1 - target)):
         words = np.bincount(of_key, n * mine)[of_key]
@@ -247,16 +267,30 @@ def _rare_losses(parts: list[np.ndarray], m: Model) -> pa.RecordBatch:
             words = np.where(rare, words, m.of_words[side, word])
         loss = n * m.joint(side, np.bincount(of_pair, n * mine)[of_pair], words)
         history = np.bincount(of_key, (n - last) * mine)[of_key]
-        out.append(_units(loss + np.where(rare, (n - last) * m.history(side, history), 0)))
-    return pa.RecordBatch.from_arrays([pa.array(row), *out], ["row", "t", "b"])
+        out.append(np.bincount(own, loss + np.where(rare, (n - last) * m.history(side, history), 0), minlength=len(docs)))
+    return pa.table([docs, *out], ["doc", "t", "b"])
+
+
+def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """doc (a hash of doc_id and text), doc_id, text and target of each row."""
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
+    target = staged(target.select("doc_id", F.lit(True).alias("is_target")), "lm-target")
+    few = target.count() <= BROADCAST_ROWS
+    marked = rows.join(F.broadcast(target) if few else target.hint("shuffle_hash"), "doc_id", "left")
+    marked = marked.select("doc", "doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("target"))
+    return marked if few else staged(marked, "lm-texts", compression="zstd")
 
 
-def score_documents(docs: DataFrame, target: DataFrame, share: int = SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None) -> DataFrame:
     """doc_id, n_words, loss_target, loss_background and score of each row of `docs`."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    marked = rows.join(target.select("doc_id", F.lit(True).alias("is_target")).hint("shuffle_hash"), "doc_id", "left")
-    marked = staged(marked.select("row", "doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("target")), "lm-texts", compression="zstd")
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(marked, *frequent_keys(marked, share)))
+    spark = docs.sparkSession
+    marked = _marked(docs, target)
+    if share is None:
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        share = min(MOST_SHARE, max(LEAST_SHARE, size // SHARE_BYTES))
+    v = vocabulary(docs, share)
+    parts = max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-v.total // PART))
+    shared = spark.sparkContext.broadcast(fitted(marked, v))
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -270,50 +304,35 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int = SHARE) -> D
                     loss = np.where(x.first, m.history(side, m.starts[side]), 0.0)
                     loss[both] += m.joint(side, m.of_bigrams[side, pair[both]], m.of_words[side, word[both]])
                     loss[follows] += m.history(side, m.of_histories[side, word[follows]])
-                    out.append(_units(np.bincount(x.rows, loss, minlength=len(n))))
-                mine = (batch.column(c).slice(chunk.first, len(n)) for c in ("row", "doc_id"))
-                yield pa.RecordBatch.from_arrays([*mine, pa.array(n), *out], ["row", "doc_id", "n", "t", "b"])
+                    out.append(pa.array(np.bincount(x.rows, loss, minlength=len(n))))
+                mine = (batch.column(c).slice(chunk.first, len(n)) for c in ("doc", "doc_id"))
+                yield pa.RecordBatch.from_arrays([*mine, pa.array(n), *out], ["doc", "doc_id", "n", "t", "b"])
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, held, rows = shared.value, [], 0
         for batch in batches:
-            chosen, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("target", "row"))
+            chosen, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("target", "doc"))
             for chunk, w, hashes in _hashed(batch.column("text")):
                 x = tokens(w, hashes)
-                x = Tokens(*(v[_places(m.bigrams, x.bigrams) < 0] for v in x))
-                order = np.lexsort((x.bigrams, x.rows))
-                x = Tokens(*(v[order] for v in x))
-                begin = np.flatnonzero(np.concatenate([[True], (x.bigrams[1:] != x.bigrams[:-1]) | (x.rows[1:] != x.rows[:-1])])) if len(order) else order
-                n = np.diff(np.append(begin, len(order)))
-                last = np.add.reduceat(x.last.astype(np.int64), begin) if len(begin) else n
-                x = Tokens(*(v[begin] for v in x))
+                x = Tokens(*(c[_places(m.bigrams, x.bigrams) < 0] for c in x))
+                if not len(x.words):
+                    continue
                 word, at = _places(m.words, x.words), chunk.first + x.rows
-                key = np.where(word < 0, x.words, x.bigrams)
-                pair = np.where(word < 0, x.bigrams, np.uint64(0))
-                meta = (n << 32) | ((word + 1) << 2) | (last << 1) | chosen[at].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), *(pa.array(kernels.as_long(v)) for v in (key, pair)), pa.array(meta)], ["row", "key", "pair", "meta"])
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, held = shared.value, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = np.stack([c.to_numpy() for c in batch.columns])
-            cut = int(np.searchsorted(part[1], part[1, -1]))
-            if held and (cut or held[0][1, 0] != part[1, -1]):
-                yield _rare_losses([*held, part[:, :cut]], m)
-                held = []
-            elif cut:
-                yield _rare_losses([part[:, :cut]], m)
-            held.append(part[:, cut:])
+                key, pair = np.where(word < 0, x.words, x.bigrams), np.where(word < 0, x.bigrams, np.uint64(0))
+                held.append(Entries(ids[at], word, key, pair, 4 | (x.last.astype(np.int64) << 1) | chosen[at].astype(np.int64)))
+                rows += chunk.last - chunk.first
+                if rows >= ROWS_TOGETHER or sum(len(e.doc) for e in held) >= HELD:
+                    yield _blocks(Entries.joined(held), parts)
+                    held, rows = [], 0
         if held:
-            yield _rare_losses(held, m)
+            yield _blocks(Entries.joined(held), parts)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    here = marked.select("row", "doc_id", "text").mapInArrow(frequent, f"row long, doc_id {kind}, n long, t long, b long")
-    dealt = marked.select("row", "target", "text").mapInArrow(rare, "row long, key long, pair long, meta long").repartition("key").sortWithinPartitions("key", "pair")
-    there = dealt.mapInArrow(met, "row long, t long, b long").groupBy("row").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    both = here.unionByName(there, allowMissingColumns=True).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_words"), F.sum("t").alias("t"), F.sum("b").alias("b"))
-    mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.lit(float(UNIT)) / F.col("n_words"))
-    out = both.orderBy("row").select("doc_id", "n_words", mean("t").alias("loss_target"), mean("b").alias("loss_background"))
-    return out.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+    here = marked.select("doc", "doc_id", "text").mapInArrow(frequent, f"doc long, doc_id {kind}, n long, t double, b double")
+    there = marked.select("doc", "target", "text").mapInArrow(rare, BLOCK).groupBy("part").applyInArrow(lambda table: _losses(table, shared.value), "doc long, t double, b double")
+    sums = [F.sum(c).alias(c) for c in ("t", "b")]
+    both = here.withColumn("copies", F.lit(1).cast("long")).unionByName(there, allowMissingColumns=True)
+    both = both.groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.sum("copies").alias("copies"), *sums)
+    mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("copies") / F.col("n_words"))
+    out = both.select("doc_id", "n_words", mean("t").alias("loss_target"), mean("b").alias("loss_background"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return out.select("doc_id", "n_words", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from galeframe.llm.bpe import round_trip
 from galeframe.llm.chat import conversation_digests, format_conversations
@@ -53,7 +54,8 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"), target_documents(table(spark, sf_dir, "labels")))
+    out = score_documents(table(spark, sf_dir, "documents"), target_documents(table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", *(F.round(c, 6).alias(c) for c in ("loss_target", "loss_background", "score")))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +88,26 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                sum(3 + length(role) + 1 + n + CASE WHEN role = 'user' THEN 15 ELSE 0 END + 5)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op4_lm_scoring": r"""
+        WITH g AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING avg(quality) >= 0.5),
+        d AS (
+            SELECT row_number() OVER () AS r, d.doc_id, (g.doc_id IS NOT NULL)::INT AS t,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id),
+        w AS (SELECT r, t, unnest(ws) AS w, unnest(list_prepend('', ws)[1:len(ws)]) AS h FROM d),
+        s AS (SELECT sum(t)::DOUBLE AS t, sum(1 - t)::DOUBLE AS b, 1.0 + count(DISTINCT w) AS v FROM w),
+        k AS (SELECT CASE WHEN t > 0 AND b > 0 THEN t / b ELSE 1 END AS k, * FROM s),
+        one AS (SELECT w, sum(t)::DOUBLE AS t, sum(1 - t)::DOUBLE AS b FROM w GROUP BY w),
+        hist AS (SELECT h, sum(t)::DOUBLE AS t, sum(1 - t)::DOUBLE AS b FROM w GROUP BY h),
+        two AS (SELECT h, w, sum(t)::DOUBLE AS t, sum(1 - t)::DOUBLE AS b FROM w GROUP BY h, w),
+        loss AS (
+            SELECT two.h, two.w,
+                   -ln((two.t + 50 * (one.t + 100 / k.v) / (k.t + 100)) / (hist.t + 50)) AS lt,
+                   -ln((two.b * k + 50 * (one.b * k + 100 / k.v) / (k.b * k + 100)) / (hist.b * k + 50)) AS lb
+            FROM two JOIN one ON one.w = two.w JOIN hist ON hist.h = two.h CROSS JOIN k),
+        a AS (SELECT r, avg(lt) AS lt, avg(lb) AS lb FROM w JOIN loss l ON l.h = w.h AND l.w = w.w GROUP BY r)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, round(lt, 6) AS loss_target, round(lb, 6) AS loss_background, round(lt - lb, 6) AS score
+        FROM d LEFT JOIN a ON a.r = d.r""",
     "op6_minhash": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -205,35 +205,6 @@ def test_languages(make_docs):
     assert {r.lang_pred for r in L.identify_languages(alone, L.fit_languages(make_docs([]))).collect()} == {"und"}
 
 
-def test_lm_scores_match_brute_force(spark, make_docs):
-    rows = [(i, prose(i % 7 if i < 20 else 100 + i, 30)) for i in range(40)] + [(90, None), (91, ""), (92, "x"), (None, "to li ra"), (3, prose(3, 30))]
-    docs = make_docs(rows)
-    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(40)] + [(2, None)], "doc_id bigint, quality int")
-    got = M.score_documents(docs, M.target_documents(labels)).collect()
-    known = M.vocabulary(docs)
-
-    def ids(text):
-        for c, w, h in M._hashed(pa.array([text])):
-            return M.numbers(c, w, h, known).tolist()
-
-    counts = np.zeros((2, M.VOCABULARY, M.VOCABULARY))
-    for d, t in rows:
-        seq = [0, *ids(t)]
-        for a, b in zip(seq[:-1], seq[1:], strict=True):
-            counts[0 if d is not None and d < 20 else 1, a, b] += 1
-    target, background = M.matched_losses(*counts)
-    want = []
-    for d, t in rows:
-        seq = [0, *ids(t)]
-        n = len(seq) - 1
-        a, b = (sum(x[p, q] for p, q in zip(seq[:-1], seq[1:], strict=True)) / n if n else None for x in (target, background))
-        want.append((d, n, a, b))
-    for r, (d, n, a, b) in zip(got, want, strict=True):
-        assert (r.doc_id, r.n_words) == (d, n)
-        assert r.score is None if not n else math.isclose(r.score, a - b, abs_tol=1e-4) and math.isclose(r.loss_target, a, rel_tol=1e-4)
-    assert M.score_documents(make_docs([]), M.target_documents(labels)).count() == 0
-
-
 def test_runs_end_in_each_template_by_itself():
     a, b = [1, 2, 3, 4, 5, 6, 7, 8], [1, 2, 3, 4, 5, 6, 9, 7]
     found = set(X.Automaton([a, b]).matches(a, 0))
@@ -247,7 +218,7 @@ def scanned(text):
         return X.Scanner().scan(chunk)[0][-1]
 
 
-@pytest.mark.parametrize("share", [1, 20, 4096])
+@pytest.mark.parametrize("share", [1, 20, 4096, None])
 def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
     stems = [f"{a}{b}{c}ing" for a in "bcdfghklmn" for b in "aeiou" for c in "rstvwxyz"]
     r = random.Random(5)
@@ -256,6 +227,7 @@ def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
     good = {i for i in range(0, 500, 3)}
     labels = spark.createDataFrame([(i, 1) for i in good], "doc_id bigint, quality int")
     got = M.score_documents(make_docs(rows).repartition(3), M.target_documents(labels), share).collect()
+    assert M.score_documents(make_docs([]), M.target_documents(labels), share).count() == 0
 
     pairs, words, histories = ([Counter(), Counter()] for _ in range(3))
     for d, t in rows:
@@ -266,7 +238,6 @@ def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
         histories[side].update(seq[:-1])
     totals = [sum(w.values()) for w in words]
     size = 1 + len(set(words[0]) | set(words[1]))
-    assert size > M.VOCABULARY
 
     def loss(side, text):
         scale = totals[0] / totals[1] if side else 1.0
@@ -281,10 +252,3 @@ def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
     for x, (d, n, a, b) in zip(sorted(got, key=key), want, strict=True):
         assert (x.doc_id, x.n_words) == (d, n)
         assert x.score is None if not n else math.isclose(x.loss_target, a, abs_tol=1e-5) and math.isclose(x.loss_background, b, abs_tol=1e-5)
-
-
-@pytest.mark.parametrize("n", [1, 2, 30])
-def test_losses_are_of_a_law(n):
-    counts = np.random.default_rng(n).integers(0, 5, (M.VOCABULARY, M.VOCABULARY)).astype(float)
-    counts[n:] = 0
-    assert np.allclose(np.exp(-M.losses(counts)).sum(axis=1), 1)
