@@ -41,7 +41,7 @@ from galeframe.llm.staging import staged
 HISTORY_WEIGHT, UNIFORM_WEIGHT = 50.0, 100.0
 #: `share` is a word for so many bytes of text, within these bounds.
 SHARE_BYTES, LEAST_SHARE, MOST_SHARE = 1 << 25, 1 << 12, 1 << 20
-HELD, PART, BROADCAST_ROWS = 1 << 20, 1 << 20, 1_000_000
+HELD, PART, BROADCAST_ROWS = 1 << 19, 1 << 20, 1_000_000
 #: Rows that are cut into words together: two such runs are numbered by 16 bits.
 ROWS_TOGETHER = 1 << 14
 
@@ -115,7 +115,7 @@ def vocabulary(docs: DataFrame, share: int) -> Vocabulary:
 
         def full(kind: int) -> bool:
             """Whether so many different keys are held; those of several chunks are added up now and then."""
-            if sum(len(k) for k, _ in held[kind]) <= 2 * most[kind]:
+            if sum(len(k) for k, _ in held[kind]) <= most[kind] + HELD:
                 return False
             held[kind] = [_added(*zip(*held[kind], strict=True))]
             return len(held[kind][0][0]) > most[kind]
@@ -331,8 +331,9 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None
     here = marked.select("doc", "doc_id", "text").mapInArrow(frequent, f"doc long, doc_id {kind}, n long, t double, b double")
     there = marked.select("doc", "target", "text").mapInArrow(rare, BLOCK).groupBy("part").applyInArrow(lambda table: _losses(table, shared.value), "doc long, t double, b double")
     sums = [F.sum(c).alias(c) for c in ("t", "b")]
-    both = here.withColumn("copies", F.lit(1).cast("long")).unionByName(there, allowMissingColumns=True)
-    both = both.groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.sum("copies").alias("copies"), *sums)
+    both = here.groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.count("*").alias("copies"), *sums)
+    both = both.join(there.groupBy("doc").agg(F.sum("t").alias("more_t"), F.sum("b").alias("more_b")).hint("merge"), "doc", "left")
+    both = both.select("doc_id", "n_words", "copies", *((F.col(c) + F.coalesce(f"more_{c}", F.lit(0e0))).alias(c) for c in ("t", "b")))
     mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("copies") / F.col("n_words"))
     out = both.select("doc_id", "n_words", mean("t").alias("loss_target"), mean("b").alias("loss_background"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select("doc_id", "n_words", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))
