@@ -14,8 +14,8 @@ Words, bigrams and documents (doc_id with text) stand as 64-bit hashes. Words an
 1 / share of all words (so at most `share` of each, MOST_SHARE at the utmost) are counted in tasks, sent to all tasks and
 scored where the text is. Of every other bigram of a document an entry is dealt by its word, or by itself if its word is
 frequent: the entries that meet there are all that the counts of the word and the bigram are made of, so one shuffle
-counts and scores. Entries travel as array columns, a row for each part of the hashes; a part holds about PART entries,
-and no key more than 2 / share of all. Labels of up to BROADCAST_ROWS documents are sent to all tasks, more are joined by
+counts and scores, and another brings the losses of a document together. Entries and losses travel as array columns, a
+row for each part of the hashes; a part holds about PART entries, and no key more than 2 / share of all. Labels of up to BROADCAST_ROWS documents are sent to all tasks, more are joined by
 a shuffle.
 
 Edge cases: a null or empty text has 0 words and null losses and score. Without target or background documents that
@@ -26,7 +26,7 @@ repeated results, empty tables empty ones. Texts are taken whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +40,7 @@ from galeframe.llm.staging import staged
 #: Weight of the unigram behind each history, and of the uniform law behind the unigram, in words.
 HISTORY_WEIGHT, UNIFORM_WEIGHT = 50.0, 100.0
 #: `share` is a word for so many bytes of text, within these bounds.
-SHARE_BYTES, LEAST_SHARE, MOST_SHARE = 1 << 25, 1 << 12, 1 << 20
+SHARE_BYTES, LEAST_SHARE, MOST_SHARE = 1 << 25, 1 << 16, 1 << 20
 HELD, PART, BROADCAST_ROWS = 1 << 19, 1 << 20, 1_000_000
 #: Rows that are cut into words together: two such runs are numbered by 16 bits.
 ROWS_TOGETHER = 1 << 14
@@ -193,7 +193,8 @@ def fitted(marked: DataFrame, v: Vocabulary) -> Model:
                     counts[side, 1] += (here & x.first).sum()
                     for i, ids in ((2, word[here]), (3, word[here & ~x.last]), (4, pair[here])):
                         counts[side, at[i] : at[i + 1]] += np.bincount(ids[ids >= 0], minlength=sizes[i])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(at[-1])), *map(pa.array, counts)], ["cell", "t", "b"])
+        cells = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(cells), *map(pa.array, counts[:, cells])], ["cell", "t", "b"])
 
     found = marked.select("target", "text").mapInArrow(run, "cell long, t long, b long").groupBy("cell").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
     out = np.zeros((2, at[-1]))
@@ -227,39 +228,52 @@ def _new(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _lists(parts: np.ndarray, **columns: np.ndarray) -> dict[str, pa.Array]:
+    """A row for each value of the sorted `parts`, with lists of the other columns."""
+    here = np.unique(parts)
+    ends = pa.array(np.append(np.searchsorted(parts, here), len(parts)).astype(np.int32))
+    return {"part": pa.array(here.astype(np.int32)), **{k: pa.ListArray.from_arrays(ends, pa.array(v)) for k, v in columns.items()}}
+
+
 def _blocks(e: Entries, parts: int) -> pa.RecordBatch:
     """A row for each part: its documents, and its entries, each once in a document, with the place of their document."""
     docs, own = np.unique(e.doc, return_inverse=True)
-    group = ((e.key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    group = _part(e.key, parts)
     order = np.lexsort((own, e.pair, e.key, e.word, group))
     own, group, e = own[order], group[order], Entries(*(v[order] for v in e))
     begin = np.flatnonzero(_new(own, e.pair, e.key))
     meta = (np.add.reduceat(e.meta >> 2, begin) << 2) | (np.add.reduceat((e.meta >> 1) & 1, begin) << 1) | (e.meta[begin] & 1)
     own, group, e = own[begin], group[begin], Entries(*(v[begin] for v in e))
     some, at = np.unique(group * len(docs) + own, return_inverse=True)
-    here = np.unique(group)
-    cuts = np.append(np.searchsorted(some, here * len(docs)), len(some)).astype(np.int32)
-    ends = np.append(np.searchsorted(group, here), len(group)).astype(np.int32)
     place = (at - np.searchsorted(some, group * len(docs))).astype(np.int16)
-    lists = lambda offsets, values: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-    columns = [lists(cuts, docs[some % len(docs)]), *(lists(ends, v) for v in (place, e.word.astype(np.int32), kernels.as_long(e.key), kernels.as_long(e.pair), meta.astype(np.int32)))]
-    return pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), *columns], [c.split()[0] for c in BLOCK.split(", ")])
+    out = _lists(some // len(docs), docs=docs[some % len(docs)])
+    out |= _lists(group, place=place, word=e.word.astype(np.int32), key=kernels.as_long(e.key), pair=kernels.as_long(e.pair), meta=meta.astype(np.int32))
+    return pa.RecordBatch.from_pydict(out)
 
 
 BLOCK = "part int, docs array<long>, place array<short>, word array<int>, key array<long>, pair array<long>, meta array<int>"
+SHARES = "part int, docs array<long>, t array<double>, b array<double>"
 
 
-def _losses(table: pa.Table, m: Model) -> pa.Table:
-    """Losses (doc, t, b) of the blocks of a part, which hold all entries of their keys."""
-    lists = {c: table[c].combine_chunks() for c in table.column_names if c != "part"}
-    word, key, pair, meta = (lists[c].flatten().to_numpy() for c in ("word", "key", "pair", "meta"))
-    begin = np.cumsum([0, *lists["docs"].value_lengths().to_numpy()[:-1]])
-    doc = lists["docs"].flatten().to_numpy()[np.repeat(begin, lists["key"].value_lengths().to_numpy()) + lists["place"].flatten().to_numpy()]
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table[column].combine_chunks().flatten().to_numpy()
+
+
+def _losses(table: pa.Table, m: Model, parts: int) -> pa.RecordBatch:
+    """Losses of each document (SHARES, by the part of its hash) in the blocks of a part, which hold all entries of their keys."""
+    word, key, pair, meta = (_flat(table, c) for c in ("word", "key", "pair", "meta"))
+    sizes = {c: table[c].combine_chunks().value_lengths().to_numpy() for c in ("docs", "key")}
+    begin = np.cumsum([0, *sizes["docs"][:-1]])
+    doc = _flat(table, "docs")[np.repeat(begin, sizes["key"]) + _flat(table, "place")]
     order = np.lexsort((pair, key))
     doc, word, key, pair, meta = (v[order] for v in (doc, word, key, pair, meta.astype(np.int64)))
     n, last, target, rare = meta >> 2, (meta >> 1) & 1, meta & 1, word < 0
     of_key, of_pair = np.cumsum(_new(key)) - 1, np.cumsum(_new(key, pair)) - 1
-    docs, own = np.unique(doc, return_inverse=True)
+    docs, own = np.unique(doc.view(np.uint64), return_inverse=True)
     out = []
     for side, mine in enumerate((target, 1 - target)):
         words = np.bincount(of_key, n * mine)[of_key]
@@ -268,7 +282,33 @@ def _losses(table: pa.Table, m: Model) -> pa.Table:
         loss = n * m.joint(side, np.bincount(of_pair, n * mine)[of_pair], words)
         history = np.bincount(of_key, (n - last) * mine)[of_key]
         out.append(np.bincount(own, loss + np.where(rare, (n - last) * m.history(side, history), 0), minlength=len(docs)))
-    return pa.table([docs, *out], ["doc", "t", "b"])
+    return pa.RecordBatch.from_pydict(_lists(_part(docs, parts), docs=kernels.as_long(docs), t=out[0], b=out[1]))
+
+
+def _summed(table: pa.Table) -> pa.RecordBatch:
+    docs, own = np.unique(_flat(table, "docs"), return_inverse=True)
+    return pa.RecordBatch.from_arrays([pa.array(docs), *(pa.array(np.bincount(own, _flat(table, c), minlength=len(docs))) for c in ("t", "b"))], ["doc", "more_t", "more_b"])
+
+
+def _by_part(rows: DataFrame, run: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """`run` of all rows of each part; a task holds one part at a time."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and b > a and held[0].column("part")[0].as_py() != part[a]:
+                    yield run(pa.Table.from_batches(held))
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield run(pa.Table.from_batches(held))
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionById(n, F.pmod("part", F.lit(n))).sortWithinPartitions("part").mapInArrow(each, schema)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -289,7 +329,8 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None
         size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
         share = min(MOST_SHARE, max(LEAST_SHARE, size // SHARE_BYTES))
     v = vocabulary(docs, share)
-    parts = max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-v.total // PART))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = tasks * max(1, -(-v.total // (PART * tasks)))
     shared = spark.sparkContext.broadcast(fitted(marked, v))
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,10 +370,11 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     here = marked.select("doc", "doc_id", "text").mapInArrow(frequent, f"doc long, doc_id {kind}, n long, t double, b double")
-    there = marked.select("doc", "target", "text").mapInArrow(rare, BLOCK).groupBy("part").applyInArrow(lambda table: _losses(table, shared.value), "doc long, t double, b double")
+    there = marked.select("doc", "target", "text").mapInArrow(rare, BLOCK)
+    there = _by_part(_by_part(there, lambda table: _losses(table, shared.value, parts), SHARES), _summed, "doc long, more_t double, more_b double")
     sums = [F.sum(c).alias(c) for c in ("t", "b")]
     both = here.groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.count("*").alias("copies"), *sums)
-    both = both.join(there.groupBy("doc").agg(F.sum("t").alias("more_t"), F.sum("b").alias("more_b")).hint("merge"), "doc", "left")
+    both = both.join(there.hint("merge"), "doc", "left")
     both = both.select("doc_id", "n_words", "copies", *((F.col(c) + F.coalesce(f"more_{c}", F.lit(0e0))).alias(c) for c in ("t", "b")))
     mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("copies") / F.col("n_words"))
     out = both.select("doc_id", "n_words", mean("t").alias("loss_target"), mean("b").alias("loss_background"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
