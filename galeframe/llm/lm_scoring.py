@@ -41,7 +41,7 @@ from galeframe.llm.staging import staged
 HISTORY_WEIGHT, UNIFORM_WEIGHT = 50.0, 100.0
 #: `share` is a word for so many bytes of text, within these bounds.
 SHARE_BYTES, LEAST_SHARE, MOST_SHARE = 1 << 25, 1 << 16, 1 << 20
-HELD, PART, BROADCAST_ROWS = 1 << 19, 1 << 20, 1_000_000
+HELD, PART, BROADCAST_ROWS = 1 << 19, 1 << 21, 1_000_000
 #: Rows that are cut into words together: two such runs are numbered by 16 bits.
 ROWS_TOGETHER = 1 << 14
 
@@ -204,15 +204,12 @@ def fitted(marked: DataFrame, v: Vocabulary) -> Model:
 
 
 class Entries(NamedTuple):
-    """Bigrams of documents: the document, the number of a frequent word (else -1), and by what it is dealt.
-
-    That is a rare word, or a bigram of a frequent word; `pair` is the bigram of a rare one. Then, in one number: how often,
-    whether the document ends with it, and whether it is a target.
-    """
+    """Bigrams of documents: the document, the word (the number of a frequent one, else -1, and the hash of a rare one, else
+    0), the bigram, and in one number how often it occurs, whether the document ends with it, and whether it is a target."""
 
     doc: np.ndarray
     word: np.ndarray
-    key: np.ndarray
+    rare: np.ndarray
     pair: np.ndarray
     meta: np.ndarray
 
@@ -240,22 +237,26 @@ def _lists(parts: np.ndarray, **columns: np.ndarray) -> dict[str, pa.Array]:
 
 
 def _blocks(e: Entries, parts: int) -> pa.RecordBatch:
-    """A row for each part: its documents, and its entries, each once in a document, with the place of their document."""
+    """A row for each part: its documents, and its entries, each once in a document, with the place of their document.
+
+    Of hashes, the lower 48 bits go along; the part is told by the upper ones.
+    """
     docs, own = np.unique(e.doc, return_inverse=True)
-    group = _part(e.key, parts)
-    order = np.lexsort((own, e.pair, e.key, e.word, group))
+    group = _part(np.where(e.word < 0, e.rare, e.pair), parts)
+    order = np.lexsort((own, e.pair, e.rare, e.word, group))
     own, group, e = own[order], group[order], Entries(*(v[order] for v in e))
-    begin = np.flatnonzero(_new(own, e.pair, e.key))
+    begin = np.flatnonzero(_new(own, e.pair, e.rare))
     meta = (np.add.reduceat(e.meta >> 2, begin) << 2) | (np.add.reduceat((e.meta >> 1) & 1, begin) << 1) | (e.meta[begin] & 1)
     own, group, e = own[begin], group[begin], Entries(*(v[begin] for v in e))
     some, at = np.unique(group * len(docs) + own, return_inverse=True)
     place = (at - np.searchsorted(some, group * len(docs))).astype(np.int16)
+    low, high = (lambda h: h.astype(np.uint32).view(np.int32)), (lambda h: (h >> np.uint64(32)).astype(np.uint16).view(np.int16))
     out = _lists(some // len(docs), docs=docs[some % len(docs)])
-    out |= _lists(group, place=place, word=e.word.astype(np.int32), key=kernels.as_long(e.key), pair=kernels.as_long(e.pair), meta=meta.astype(np.int32))
+    out |= _lists(group, place=place, word=e.word.astype(np.int32), meta=meta.astype(np.int32), rare_low=low(e.rare), rare_high=high(e.rare), pair_low=low(e.pair), pair_high=high(e.pair))
     return pa.RecordBatch.from_pydict(out)
 
 
-BLOCK = "part int, docs array<long>, place array<short>, word array<int>, key array<long>, pair array<long>, meta array<int>"
+BLOCK = "part int, docs array<long>, place array<short>, word array<int>, meta array<int>, rare_low array<int>, rare_high array<short>, pair_low array<int>, pair_high array<short>"
 SHARES = "part int, docs array<long>, t array<double>, b array<double>"
 
 
@@ -263,17 +264,19 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
     return table[column].combine_chunks().flatten().to_numpy()
 
 
-def _losses(table: pa.Table, m: Model, parts: int) -> pa.RecordBatch:
-    """Losses of each document (SHARES, by the part of its hash) in the blocks of a part, which hold all entries of their keys."""
-    word, key, pair, meta = (_flat(table, c) for c in ("word", "key", "pair", "meta"))
-    sizes = {c: table[c].combine_chunks().value_lengths().to_numpy() for c in ("docs", "key")}
+def _losses(table: pa.Table, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents with their losses (target, background) from the blocks of a part, which hold all entries of their keys."""
+    word, meta = _flat(table, "word"), _flat(table, "meta").astype(np.int64)
+    whole = lambda c: _flat(table, f"{c}_low").view(np.uint32).astype(np.int64) | (_flat(table, f"{c}_high").view(np.uint16).astype(np.int64) << 32)
+    key, pair = np.where(word < 0, whole("rare") + (1 << 48), word), whole("pair")
+    sizes = {c: table[c].combine_chunks().value_lengths().to_numpy() for c in ("docs", "place")}
     begin = np.cumsum([0, *sizes["docs"][:-1]])
-    doc = _flat(table, "docs")[np.repeat(begin, sizes["key"]) + _flat(table, "place")]
+    doc = _flat(table, "docs")[np.repeat(begin, sizes["place"]) + _flat(table, "place")]
     order = np.lexsort((pair, key))
-    doc, word, key, pair, meta = (v[order] for v in (doc, word, key, pair, meta.astype(np.int64)))
+    doc, word, key, pair, meta = (v[order] for v in (doc, word, key, pair, meta))
     n, last, target, rare = meta >> 2, (meta >> 1) & 1, meta & 1, word < 0
     of_key, of_pair = np.cumsum(_new(key)) - 1, np.cumsum(_new(key, pair)) - 1
-    docs, own = np.unique(doc.view(np.uint64), return_inverse=True)
+    docs, own = np.unique(doc, return_inverse=True)
     out = []
     for side, mine in enumerate((target, 1 - target)):
         words = np.bincount(of_key, n * mine)[of_key]
@@ -282,33 +285,59 @@ def _losses(table: pa.Table, m: Model, parts: int) -> pa.RecordBatch:
         loss = n * m.joint(side, np.bincount(of_pair, n * mine)[of_pair], words)
         history = np.bincount(of_key, (n - last) * mine)[of_key]
         out.append(np.bincount(own, loss + np.where(rare, (n - last) * m.history(side, history), 0), minlength=len(docs)))
-    return pa.RecordBatch.from_pydict(_lists(_part(docs, parts), docs=kernels.as_long(docs), t=out[0], b=out[1]))
+    return docs, *out
+
+
+def _added_losses(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    docs, own = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    return docs, *(np.bincount(own, np.concatenate([f[i] for f in found]), minlength=len(docs)) for i in (1, 2))
+
+
+def _shares(tables: Iterator[pa.Table], m: Model, parts: int) -> Iterator[pa.RecordBatch]:
+    """The losses of all parts of a task, added up by document as far as memory goes, as SHARES by the part of the document."""
+
+    def out() -> pa.RecordBatch:
+        docs, t, b = _added_losses(found)
+        by = docs.view(np.uint64)
+        order = np.argsort(by, kind="stable")
+        return pa.RecordBatch.from_pydict(_lists(_part(by[order], parts), docs=docs[order], t=t[order], b=b[order]))
+
+    found: list[tuple[np.ndarray, ...]] = []
+    for table in tables:
+        found.append(_losses(table, m))
+        if sum(len(f[0]) for f in found) > HELD:
+            found = [_added_losses(found)]
+            if len(found[0][0]) > HELD // 2:
+                yield out()
+                found = []
+    if found:
+        yield out()
 
 
-def _summed(table: pa.Table) -> pa.RecordBatch:
-    docs, own = np.unique(_flat(table, "docs"), return_inverse=True)
-    return pa.RecordBatch.from_arrays([pa.array(docs), *(pa.array(np.bincount(own, _flat(table, c), minlength=len(docs))) for c in ("t", "b"))], ["doc", "more_t", "more_b"])
+def _sums(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    for table in tables:
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in _added_losses([tuple(_flat(table, c) for c in ("docs", "t", "b"))])], ["doc", "more_t", "more_b"])
 
 
-def _by_part(rows: DataFrame, run: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
-    """`run` of all rows of each part; a task holds one part at a time."""
+def _by_part(rows: DataFrame, run: Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`run` of the tables of all rows of each part, of which a task holds one at a time."""
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             part = batch.column("part").to_numpy()
             cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if held and b > a and held[0].column("part")[0].as_py() != part[a]:
-                    yield run(pa.Table.from_batches(held))
+                    yield pa.Table.from_batches(held)
                     held = []
                 if b > a:
                     held.append(batch.slice(a, b - a))
         if held:
-            yield run(pa.Table.from_batches(held))
+            yield pa.Table.from_batches(held)
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionById(n, F.pmod("part", F.lit(n))).sortWithinPartitions("part").mapInArrow(each, schema)
+    return rows.repartitionById(n, F.pmod("part", F.lit(n))).sortWithinPartitions("part").mapInArrow(lambda batches: run(tables(batches)), schema)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -359,8 +388,7 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None
                 if not len(x.words):
                     continue
                 word, at = _places(m.words, x.words), chunk.first + x.rows
-                key, pair = np.where(word < 0, x.words, x.bigrams), np.where(word < 0, x.bigrams, np.uint64(0))
-                held.append(Entries(ids[at], word, key, pair, 4 | (x.last.astype(np.int64) << 1) | chosen[at].astype(np.int64)))
+                held.append(Entries(ids[at], word, np.where(word < 0, x.words, np.uint64(0)), x.bigrams, 4 | (x.last.astype(np.int64) << 1) | chosen[at].astype(np.int64)))
                 rows += chunk.last - chunk.first
                 if rows >= ROWS_TOGETHER or sum(len(e.doc) for e in held) >= HELD:
                     yield _blocks(Entries.joined(held), parts)
@@ -371,7 +399,7 @@ def score_documents(docs: DataFrame, target: DataFrame, share: int | None = None
     kind = docs.schema["doc_id"].dataType.simpleString()
     here = marked.select("doc", "doc_id", "text").mapInArrow(frequent, f"doc long, doc_id {kind}, n long, t double, b double")
     there = marked.select("doc", "target", "text").mapInArrow(rare, BLOCK)
-    there = _by_part(_by_part(there, lambda table: _losses(table, shared.value, parts), SHARES), _summed, "doc long, more_t double, more_b double")
+    there = _by_part(_by_part(there, lambda tables: _shares(tables, shared.value, parts), SHARES), _sums, "doc long, more_t double, more_b double")
     sums = [F.sum(c).alias(c) for c in ("t", "b")]
     both = here.groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.count("*").alias("copies"), *sums)
     both = both.join(there.hint("merge"), "doc", "left")
