@@ -1,14 +1,21 @@
 """Quality rules by robust multivariate outliers, with DataFrame functions only.
 
-Each text becomes a vector of transformed statistics. For every group of language and source, the mean and the
-covariance of the least spread share `SUPPORT` of its vectors are estimated (minimum covariance determinant): from a
-start by medians and absolute deviations, each concentration step keeps the vectors nearest by Mahalanobis distance
-and estimates anew. A document goes if it fails the base rules or lies beyond `CUTOFF` from its group's estimate.
+Each text becomes a vector of transformed statistics. For every language with source, every language, and all documents
+the minimum covariance determinant is estimated: from each of three starts (medians with the spread of the quartiles,
+means with covariances, medians with covariances), concentration steps keep the share `SUPPORT` of vectors nearest by
+Mahalanobis distance and estimate mean and covariance anew, until no determinant falls by more than FALLS any more
+(STEPS times at most); of the starts, the one with the least determinant counts. To every variance the square of its
+value in DIMENSIONS is added, so covariances stay regular. The estimate of a language with source is drawn towards that
+of its language, and that towards the one of all documents, as if by PRIOR rows; so a small group follows the larger
+one that it is part of, and no number of rows switches anything. A document goes if it fails the base rules or lies
+beyond `CUTOFF` from the estimate of its language and source.
+
+Tables of estimates have a row for each group. They are sent to all tasks if there are at most BROADCAST_GROUPS, else
+joined by group and one of SALTS random numbers, so no group is one task's.
 
 Edge cases: a null or empty text has no words and fails the base rules. A null language or source is a value like any
-other. Groups with fewer than `MIN_ROWS` vectors pool by language, and languages with fewer pool all together; without
-any vector there is nothing to reject by and the base rules alone decide. Repeated rows count as often as they come and
-get equal results. Other columns of `docs` are ignored. An empty table gives an empty result.
+other. A group in which all fail has no estimate; then the base rules alone decide. Repeated rows count as often as they
+come and get equal results. Other columns of `docs` are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,10 +26,11 @@ from pyspark.sql import functions as F
 from galeframe.llm.staging import staged
 from galeframe.llm.statistics import COUNTS, let, statistics
 
-SUPPORT, STEPS, MIN_ROWS = 0.75, 3, 300
-#: Squared distance. Clean vectors follow about a chi-squared law of 5 degrees, heavier in its tail.
+SUPPORT, STEPS, FALLS, PRIOR = 0.75, 6, 0.05, 100e0
+BROADCAST_GROUPS, SALTS = 50_000, 64
+#: Squared distance. A chi-squared law of 5 degrees goes beyond it with probability 1.5e-8; clean texts have heavier tails.
 CUTOFF = 45.0
-#: Name and the least standard deviation of each dimension: many are 0 for nearly all clean texts.
+#: Name and, in its unit, the spread that is added to each dimension: many are 0 for nearly all clean texts.
 DIMENSIONS = {"v_length": 0.035, "v_symbols": 0.05, "v_lines": 0.08, "v_repeats": 0.06, "v_upper": 0.03}
 NAMES = tuple(DIMENSIONS)
 #: What makes the variance of the kept share that of a Gaussian whole: 1 / P(chi2_7 <= q), with P(chi2_5 <= q) = SUPPORT.
@@ -46,56 +54,103 @@ def base_failed(s: Column) -> Column:
 
 
 def _key(*columns: str) -> Column:
-    """A text that differs for different values, null among them."""
-    return F.to_json(F.struct(*(F.col(c).cast("string").alias(str(i)) for i, c in enumerate(columns))))
+    """A text that differs for different values, null among them, and for different numbers of columns."""
+    return F.to_json(F.array(*(F.col(c).cast("string") for c in columns)))
 
 
-def _grouped(vectors: DataFrame) -> DataFrame:
-    """`vectors` with `grp`: the source, the language or all, whichever first has MIN_ROWS rows that passed the base."""
-    counts = vectors.filter("NOT base_failed").groupBy("by_source", "by_lang").count()
-    lang = counts.groupBy("by_lang").agg(F.sum("count").alias("in_lang"))
-    pick = counts.join(lang, "by_lang").select("by_source", F.when(F.col("count") >= MIN_ROWS, F.col("by_source")).when(F.col("in_lang") >= MIN_ROWS, F.col("by_lang")).otherwise("all").alias("grp"))
-    return vectors.join(pick, "by_source", "left")
+ALL = "[]"
+D = range(len(NAMES))
+CELLS = [(i, j) for i in D for j in range(i + 1)]
+
+
+def _with(rows: DataFrame, table: DataFrame, few: bool, *keys: str) -> DataFrame:
+    """`rows` with the columns of `table` that has the same grp (and `keys`)."""
+    if few:
+        return rows.join(F.broadcast(table), ["grp", *keys], "left")
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.floor(F.rand(7) * SALTS).cast("int")).join(salted.hint("merge"), ["grp", *keys, "salt"], "left").drop("salt")
 
 
 def _cholesky(fit: DataFrame) -> DataFrame:
-    """Columns l_i_j with L L^T = the covariance c_i_j."""
-    for i in range(len(NAMES)):
-        for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            fit = fit.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return fit.select("grp", *(f"m_{i}" for i in range(len(NAMES))), *(f"l_{i}_{j}" for i in range(len(NAMES)) for j in range(i + 1)))
-
-
-def _start(vectors: DataFrame) -> DataFrame:
-    """Medians, and a diagonal covariance from the spread about them."""
-    mid = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).alias(f"q_{i}") for i, v in enumerate(NAMES)]
-    q = vectors.groupBy("grp").agg(*mid)
-    means = [F.col(f"q_{i}")[1].alias(f"m_{i}") for i in range(len(NAMES))]
-    spread = lambda i: F.greatest((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349e0, F.lit(DIMENSIONS[NAMES[i]]))
-    return q.select("grp", *means, *((spread(i) ** 2 if i == j else F.lit(0e0)).alias(f"c_{i}_{j}") for i in range(len(NAMES)) for j in range(i + 1)))
-
-
-def _estimate(near: DataFrame) -> DataFrame:
-    """Means and covariance of the kept rows, the variances at least those of DIMENSIONS."""
-    d = range(len(NAMES))
-    means = [F.avg(v).alias(f"m_{i}") for i, v in enumerate(NAMES)]
-    fit = near.groupBy("grp").agg(*means, *(F.covar_pop(NAMES[i], NAMES[j]).alias(f"s_{i}_{j}") for i in d for j in range(i + 1)))
-    floor = lambda i, j: F.lit(DIMENSIONS[NAMES[i]] ** 2 if i == j else 0e0)
-    return fit.select("grp", *(f"m_{i}" for i in d), *((F.col(f"s_{i}_{j}") * CONSISTENCY + floor(i, j)).alias(f"c_{i}_{j}") for i in d for j in range(i + 1)))
-
-
-def _distances(vectors: DataFrame, fit: DataFrame) -> DataFrame:
-    """`vectors` with `d2`, the squared Mahalanobis distance from their group's estimate (null without one)."""
-    out = vectors.join(fit, "grp", "left")
-    for i, v in enumerate(NAMES):
-        rest = F.col(v) - F.col(f"m_{i}")
-        for j in range(i):
-            rest = rest - F.col(f"l_{i}_{j}") * F.col(f"y_{j}")
-        out = out.withColumn(f"y_{i}", rest / F.col(f"l_{i}_{i}"))
-    return out.select(*vectors.columns, sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(len(NAMES))), F.lit(0e0)).alias("d2"))
+    """`fit` with l_i_j, so that L L^T is the covariance c_i_j, and its determinant det."""
+    rest = lambda i, j: " - ".join([f"c_{i}_{j}", *(f"l_{i}_{h} * l_{j}_{h}" for h in range(j))])
+    cells = [f"sqrt(greatest({rest(i, j)}, 1e-9)) AS l_{i}_{j}" if i == j else f"({rest(i, j)}) / l_{j}_{j} AS l_{i}_{j}" for i, j in CELLS]
+    return fit.selectExpr("*", *cells, " * ".join(f"l_{i}_{i} * l_{i}_{i}" for i in D) + " AS det")
+
+
+def _regular(i: int, j: int, c: str) -> str:
+    return f"{c} + {DIMENSIONS[NAMES[i]] ** 2 if i == j else 0.0!r}D AS c_{i}_{j}"
+
+
+def _moments() -> list[Column]:
+    return [F.avg(v).alias(f"a_{i}") for i, v in enumerate(NAMES)] + [F.covar_pop(NAMES[i], NAMES[j]).alias(f"s_{i}_{j}") for i, j in CELLS]
+
+
+def _start(inner: DataFrame) -> DataFrame:
+    """n and the estimate of each start of every group."""
+    quartiles = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).alias(f"q_{i}") for i, v in enumerate(NAMES)]
+    q = staged(inner.groupBy("grp").agg(F.count("*").alias("n"), *quartiles, *_moments()), "quality-start")
+    spread = lambda i: f"power((q_{i}[2] - q_{i}[0]) / 1.349D, 2)"
+
+    def begin(k: int) -> DataFrame:
+        means = [(f"a_{i}" if k == 1 else f"q_{i}[1]") + f" AS m_{i}" for i in D]
+        return q.selectExpr("grp", f"{k} AS start", "n", *means, *(_regular(i, j, f"s_{i}_{j}" if k else spread(i) if i == j else "0D") for i, j in CELLS))
+
+    return _cholesky(begin(0).union(begin(1)).union(begin(2)))
+
+
+def _distance(rows: DataFrame) -> DataFrame:
+    """`rows` with d, the squared Mahalanobis distance from the estimate (m_i, l_i_j) beside them."""
+    rest = lambda i: " - ".join([f"{NAMES[i]} - m_{i}", *(f"l_{i}_{j} * y_{j}" for j in range(i))])
+    return rows.selectExpr("*", *(f"({rest(i)}) / l_{i}_{i} AS y_{i}" for i in D), " + ".join(f"y_{i} * y_{i}" for i in D) + " AS d")
+
+
+def _concentrated(inner: DataFrame, fit: DataFrame, few: bool) -> DataFrame:
+    """One step from every start: the estimate of the vectors nearest to it, with was, the determinant before."""
+    far = _distance(_with(inner, fit.drop("n", "det", *(f"c_{i}_{j}" for i, j in CELLS)), few)).select("grp", "start", *NAMES, "d")
+    edges = far.groupBy("grp", "start").agg(F.percentile_approx("d", F.lit(SUPPORT), 10000).alias("edge"))
+    near = _with(far, edges, few, "start").filter("d <= edge").groupBy("grp", "start").agg(*_moments())
+    new = near.selectExpr("grp", "start", *(f"a_{i} AS m_{i}" for i in D), *(_regular(i, j, f"{CONSISTENCY}D * s_{i}_{j}") for i, j in CELLS))
+    return _cholesky(_with(new, fit.select("grp", "start", "n", F.col("det").alias("was")), few, "start"))
+
+
+def _least(fit: DataFrame) -> DataFrame:
+    """grp, n, m_i and c_i_j of the start with the least determinant."""
+    columns = ["n", *(f"m_{i}" for i in D), *(f"c_{i}_{j}" for i, j in CELLS)]
+    return fit.groupBy("grp").agg(F.min(F.struct("det", "start", *columns)).alias("best")).select("grp", *(f"best.{c}" for c in columns))
+
+
+def _drawn(groups: DataFrame, wider: DataFrame) -> DataFrame:
+    """The estimates of `groups` (beside them `up`, the group they are part of) drawn towards those of `wider`.
+
+    It is the mean and covariance of a mixture of both, in which the wider one has the weight of PRIOR rows.
+    """
+    both = groups.join(wider.selectExpr("grp AS up", *(f"{c} AS w{c}" for c in wider.columns if c[0] in "mc")), "up")
+    own, rest = f"(n / (n + {PRIOR}D))", f"({PRIOR}D / (n + {PRIOR}D))"
+    means = [f"{own} * m_{i} + {rest} * wm_{i} AS m_{i}" for i in D]
+    cells = [f"{own} * c_{i}_{j} + {rest} * wc_{i}_{j} + {own} * {rest} * (m_{i} - wm_{i}) * (m_{j} - wm_{j}) AS c_{i}_{j}" for i, j in CELLS]
+    return both.selectExpr("grp", "n", *(x.replace(" AS m_", " AS d_m_") for x in means), *(x.replace(" AS c_", " AS d_c_") for x in cells)).toDF(*groups.drop("up").columns)
+
+
+def fit(vectors: DataFrame) -> tuple[DataFrame, bool]:
+    """The estimates (grp, m_i, l_i_j) of all languages with sources, and whether they are few.
+
+    `vectors` has by_source, by_lang, base_failed and the vector of each row.
+    """
+    passed = vectors.filter("NOT base_failed")
+    inner = staged(passed.select(F.explode(F.array(F.lit(ALL), "by_lang", "by_source")).alias("grp"), *NAMES), "quality-inner")
+    now = staged(_start(inner), "quality-fit")
+    few = now.count() <= BROADCAST_GROUPS
+    for _ in range(STEPS):
+        now = staged(_concentrated(inner, now, few), "quality-fit")
+        fell = now.agg(F.max(1 - F.col("det") / F.col("was"))).first()[0]
+        if fell is None or fell <= FALLS:
+            break
+    best = staged(_least(now), "quality-fit")
+    ups = passed.select("by_source", "by_lang").distinct()
+    lang = _drawn(best.join(ups.select(F.col("by_lang").alias("grp"), F.lit(ALL).alias("up")).distinct(), "grp"), best)
+    source = _drawn(best.join(ups.select(F.col("by_source").alias("grp"), F.col("by_lang").alias("up")), "grp"), lang)
+    return staged(_cholesky(source).select("grp", *(f"m_{i}" for i in D), *(f"l_{i}_{j}" for i, j in CELLS)), "quality-fit"), few
 
 
 def _measured(text: Column) -> Column:
@@ -107,31 +162,24 @@ def _keys() -> list[Column]:
     return [_key("lang", "source").alias("by_source"), _key("lang").alias("by_lang")]
 
 
-def fit(vectors: DataFrame) -> DataFrame:
-    """The estimates of all groups, from by_source, by_lang, base_failed and the vector of each row."""
-    inner = staged(_grouped(vectors).filter("NOT base_failed").select("grp", *NAMES), "quality-inner")
-    estimate = staged(_cholesky(_start(inner)), "quality-fit")
-    for _ in range(STEPS):
-        far = _distances(inner, estimate)
-        within = far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(SUPPORT), 10000).alias("edge"))
-        estimate = staged(_cholesky(_estimate(far.join(within, "grp").filter("d2 <= edge"))), "quality-fit")
-    return estimate
+def _distances(rows: DataFrame) -> DataFrame:
+    """`rows` with d, the squared distance from the estimate of their language and source (null without one)."""
+    estimate, few = fit(rows)
+    return _distance(_with(rows.withColumn("grp", F.col("by_source")), estimate, few))
 
 
 def _kept() -> Column:
-    return ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0e0)) <= CUTOFF)
+    return ~F.col("base_failed") & (F.coalesce(F.col("d"), F.lit(0e0)) <= CUTOFF)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, distance2 (null without an estimate) and kept of each row of `docs`."""
     rows = staged(docs.select("doc_id", *_keys(), _measured(F.col("text")).alias("m")).select("doc_id", "by_source", "by_lang", "m.*"), "quality-vectors")
-    out = _distances(_grouped(rows), fit(rows))
-    return out.select("doc_id", *COUNTS, "base_failed", F.col("d2").alias("distance2"), _kept().alias("kept"))
+    return _distances(rows).select("doc_id", *COUNTS, "base_failed", F.col("d").alias("distance2"), _kept().alias("kept"))
 
 
 def rule_filtered(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns. They are written with their vectors, and not shuffled."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = staged(docs.select(row, *_keys(), _measured(F.col("text")).alias("m")).select("row", "by_source", "by_lang", "m.*"), "quality-rows")
-    estimate = fit(rows.drop("row"))
-    return _distances(_grouped(rows), estimate).filter(_kept()).select("row.*")
+    return _distances(rows).filter(_kept()).select("row.*")

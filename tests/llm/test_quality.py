@@ -1,9 +1,13 @@
+import math
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from galeframe.llm import quality_classifier as C
+from galeframe.llm import quality_rules as Q
 from galeframe.llm.quality_rules import quality_rules, rule_filtered
 from galeframe.llm.statistics import COUNTS, statistics
 from tests.llm.conftest import prose
@@ -82,3 +86,56 @@ def test_classifier_without_labels(spark, make_docs):
     docs = make_docs([(1, "a"), (2, None)])
     assert {round(r.score, 6) for r in C.quality_scores(docs, C.fit_quality(docs, none)).collect()} == {0.5}
     assert C.quality_scores(make_docs([]), C.fit_quality(docs, none)).count() == 0
+
+
+def concentrated(x, floor):
+    """The regularised minimum covariance determinant of the rows of `x`, from the starts that the operator names."""
+    cov = lambda y: np.cov(y.T, bias=True).reshape(x.shape[1], -1)
+    q = np.quantile(x, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf")
+    starts = [(q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2)), (x.mean(axis=0), cov(x)), (q[1], cov(x))]
+    fits = [(m, c + floor) for m, c in starts]
+    for _ in range(Q.STEPS):
+        d = [np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) for m, c in fits]
+        near = [x[e <= np.quantile(e, Q.SUPPORT, method="inverted_cdf")] for e in d]
+        fits = [(y.mean(axis=0), Q.CONSISTENCY * cov(y) + floor) for y in near]
+    return min(fits, key=lambda f: np.linalg.det(f[1]))
+
+
+def drawn(n, own, wider):
+    w = n / (n + Q.PRIOR)
+    gap = own[0] - wider[0]
+    return w * own[0] + (1 - w) * wider[0], w * own[1] + (1 - w) * wider[1] + w * (1 - w) * np.outer(gap, gap)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_distances_match_brute_force(make_docs, monkeypatch, few):
+    monkeypatch.setattr(Q, "FALLS", -math.inf)
+    monkeypatch.setattr(Q, "STEPS", 4)
+    if not few:
+        monkeypatch.setattr(Q, "BROADCAST_GROUPS", 0)
+    rows = [(r[0], r[1] and r[1] + "\n#" * (k % 5) + " Word!" * (k % 3), *r[2:]) for k, r in enumerate(corpus(200))]
+    rows += [(5000 + i, prose(i, 90), "en", "tiny") for i in range(3)] + [(6000 + i, prose(i, 70), None, None) for i in range(60)] + [(7000, prose(1, 80), "fr", None)]
+    docs = make_docs(rows)
+    vectors = docs.select("lang", "source", Q._measured(F.col("text")).alias("m")).select("lang", "source", "m.base_failed", *(f"m.{v}" for v in Q.NAMES)).collect()
+    floor = np.diag([s**2 for s in Q.DIMENSIONS.values()])
+    x = np.array([[r[v] for v in Q.NAMES] for r in vectors])
+    passed = np.array([not r.base_failed for r in vectors])
+    of = lambda test: passed & np.array([test(r) for r in vectors])
+    everything = concentrated(x[passed], floor)
+    final = {}
+    for lang, source in {(r.lang, r.source) for r, p in zip(vectors, passed, strict=True) if p}:
+        mine, tongue = of(lambda r: (r.lang, r.source) == (lang, source)), of(lambda r: r.lang == lang)  # noqa: B023
+        final[lang, source] = drawn(mine.sum(), concentrated(x[mine], floor), drawn(tongue.sum(), concentrated(x[tongue], floor), everything))
+    got = quality_rules(docs).select("doc_id", "n_words", "distance2", "kept", "base_failed").collect()
+    assert len(got) == len(vectors)
+    want = [(r, v, final.get((r.lang, r.source))) for r, v in zip(vectors, x, strict=True)]
+    distance = [None if f is None else (v - f[0]) @ np.linalg.inv(f[1]) @ (v - f[0]) for _, v, f in want]
+    assert np.allclose(sorted((g.distance2 for g in got if g.distance2 is not None)), sorted(d for d in distance if d is not None), rtol=1e-6, atol=1e-9)
+    assert sum(g.kept for g in got) == sum(not r.base_failed and (d is None or d <= Q.CUTOFF) for (r, *_), d in zip(want, distance, strict=True))
+
+
+def test_no_group_is_merged_with_another(make_docs):
+    import json
+
+    keys = make_docs([(1, "a", "en", None), (2, "a", "en", "x"), (3, "a", None, "x"), (4, "a", None, None)]).select(*Q._keys()).collect()
+    assert len({r.by_source for r in keys} | {r.by_lang for r in keys} | {Q.ALL}) == 7 and json.loads(keys[0].by_source) == ["en", None]
