@@ -2,7 +2,7 @@
 
 A document's set holds its distinct 5-word shingles, as 64-bit hashes. One permutation scatters the hashes over a
 circle of 2**20 places; a second one, read at K successive shifts, gives all K signature coordinates. Bands of ROWS
-coordinates put documents into buckets. Documents with equal sets are one node from the start.
+coordinates put documents into buckets. Documents with equal sets are one node from the start, known by a hash of the set.
 
 Candidates of a bucket are first compared with its smallest member only. What these links join is one component. In
 buckets that still hold several components, members of different ones are compared in numpy, in blocks of about BLOCK
@@ -12,8 +12,8 @@ out, so each two members of a bucket are compared or already joined, and no pair
 confirmed on the full sets. At similarity 0.75 a pair misses all bands with probability 5e-6, and LEAST_SHARE with 5e-6.
 
 Edge cases: a null or empty text, or one of white space, has an empty set and links with nothing. A row without doc_id
-is kept, links with nothing and has a null component. Repeated rows are one node and share their fate. Equal sets and
-ties resolve to the smallest doc_id. Other columns are ignored; an empty table gives an empty result.
+is kept, links with nothing and has a null component. Repeated rows are one node and share their fate; rows of one doc_id
+with different texts are judged each by its text. Equal sets and ties resolve to the smallest doc_id. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SHINGLE, SIMILAR = 5, 75
 PLACES, K, ROWS = 1 << 20, 128, 4
 LEAST_SHARE, BLOCK = 0.58, 1024
 STEP = 1 << 15
-_SCATTER, _KEY_A, _KEY_B = (np.uint64(x) for x in np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 3))
+_SCATTER, _KEY = (np.uint64(x) for x in np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 2))
 _circle: list[np.ndarray] = []
 
 
@@ -98,33 +98,32 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingles(chunk)
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
-            keys, bands = np.zeros((len(sets), 2), dtype=np.uint64), np.empty(0, dtype=np.uint64)
+            nodes, bands = np.zeros(len(sets), dtype=np.uint64), np.empty(0, dtype=np.uint64)
             signature = np.zeros((len(sets), K), dtype=np.int32)
             if len(full):
                 flat = np.concatenate(sets)
                 starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                keys[full, 0] = np.add.reduceat(kernels.mix(flat ^ _KEY_A), starts)
-                keys[full, 1] = np.add.reduceat(kernels.mix(flat ^ _KEY_B), starts)
+                nodes[full] = np.add.reduceat(kernels.mix(flat ^ _KEY), starts)
                 signature[full] = signatures(flat, starts)
                 bands = buckets(signature[full]).ravel()
-            ids = batch.column("doc_id").slice(chunk.first, chunk.last - chunk.first)
-            columns = [ids, pa.array(sizes, pa.int64()), _binary(keys), _lists((sizes > 0) * (K // ROWS), bands), _binary(signature)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key", "bands", "signature"])
+            ids = (batch.column(c).slice(chunk.first, chunk.last - chunk.first) for c in ("doc_id", "text_hash"))
+            columns = [*ids, pa.array(sizes, pa.int64()), pa.array(kernels.as_long(nodes)), _lists((sizes > 0) * (K // ROWS), bands), _binary(signature)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands", "signature"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in kernels.chunks(batch.column("text")):
             sets = shingles(chunk)
-            ids = batch.column("doc_id").slice(chunk.first, chunk.last - chunk.first)
+            ids = batch.column("node").slice(chunk.first, chunk.last - chunk.first)
             short = [np.sort((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([ids, _lists(np.array([len(s) for s in sets]), np.concatenate(sets)), pa.array(short, pa.binary())], ["doc_id", "shingles", "short"])
+            yield pa.RecordBatch.from_arrays([ids, _lists(np.array([len(s) for s in sets]), np.concatenate(sets)), pa.array(short, pa.binary())], ["node", "shingles", "short"])
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of `pairs` (a, b) whose full sets are similar enough."""
-    one = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
-    two = one.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a")
+    one = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
+    two = one.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a")
     sizes = two.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("both"))
     return sizes.filter(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b")
 
@@ -181,55 +180,70 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(rest)
 
 
-def _across(members: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of `members` (bucket, band, node, n_shingles, component) that may link two components."""
     mixed = members.groupBy("bucket").agg(F.count("*").alias("m"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
     found = members.join(mixed.select("bucket", F.ceil(F.col("m") / BLOCK).alias("blocks")).hint("merge"), "bucket")
-    signatures_of = rows.select(F.col("doc_id").alias("node"), "signature").hint("merge")
-    found = found.join(signatures_of, "node").join(sets.select(F.col("doc_id").alias("node"), "short").hint("merge"), "node")
+    found = found.join(nodes.select("node", "signature").hint("merge"), "node").join(sets.select("node", "short").hint("merge"), "node")
     found = found.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     found = found.select("bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "band", "node", "component", "n_shingles", "signature", "short")
     dealt = found.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     return dealt.mapInArrow(_compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of `docs`."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = staged(docs.mapInArrow(_sign, "doc_id long, n_shingles long, key binary, bands array<long>, signature binary"), "minhash-rows")
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component (a node) and component_id of each row; the last two are null for rows that link with nothing."""
+    docs = _hashed(docs)
+    rows = staged(docs.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>, signature binary"), "minhash-rows")
     usable = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(usable.groupBy("key").agg(F.min("doc_id").alias("node")), "minhash-classes")
-    nodes = staged(usable.withColumnRenamed("doc_id", "node").join(classes.hint("merge"), ["key", "node"]).select("node", "n_shingles", "bands"), "minhash-nodes")
+    classes = staged(usable.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("node", "first.*"), "minhash-classes")
+    nodes = usable.join(classes.hint("merge"), ["node", "doc_id", "text_hash"]).select("node", "n_shingles", "bands", "signature")
+    nodes = staged(nodes.dropDuplicates(["node"]), "minhash-nodes")
     banded = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last").drop("last")
     members = staged(banded.join(shared.hint("merge"), "bucket").distinct(), "minhash-members")
-    texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = staged(texts.mapInArrow(_sets, "doc_id long, shingles array<long>, short binary"), "minhash-sets")
+    needed = classes.join(members.select("node").distinct(), "node")
+    texts = docs.join(needed.hint("shuffle_hash"), ["doc_id", "text_hash"]).select("node", "text")
+    sets = staged(texts.mapInArrow(_sets, "node long, shingles array<long>, short binary"), "minhash-sets")
 
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = staged(_confirmed(sets, stars), "minhash-links")
     joined = components(links)
     placed = members.join(joined, "node", "left").select("bucket", "band", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
-    again = staged(_across(staged(placed, "minhash-placed"), rows.filter("n_shingles > 0"), sets), "minhash-across")
+    again = staged(_across(staged(placed, "minhash-placed"), nodes, sets), "minhash-across")
     more = staged(_confirmed(sets, again), "minhash-links")
     if more.take(1):
         joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    by_key = classes.join(joined, "node", "left").select("key", F.coalesce("component", "node").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
-    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    placed = staged(classes.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component")), "minhash-placed")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_node = placed.join(least, "component").select("node", "component", "component_id")
+    linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
+    return rows.select("doc_id", "text_hash", "n_shingles", linked.alias("node")).join(by_node, "node", "left").drop("node")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of `docs`."""
+    out = _judged(docs).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept, with all their columns; of rows that repeat a doc_id, one.
+    """One row of each component of `docs`, of its least doc_id, with all columns, and all rows that link with nothing.
 
-    A null doc_id is kept as it is.
+    Of rows with the same doc_id and text, one stays; rows of one doc_id with different texts go only as what they are. A row
+    of null doc_id stays as it is.
     """
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1)
-    out = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi")
-    if repeated.take(1):
-        out = out.dropDuplicates(["doc_id"])
+    judged = _judged(docs).filter("doc_id IS NOT NULL")
+    first = judged.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    kept = staged(first.union(judged.filter("component IS NULL").select("doc_id", "text_hash")).distinct(), "minhash-kept")
+    here = (F.col("doc_id").cast("long") == F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    out = docs.join(kept, here, "left_semi")
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).take(1):
+        out = out.dropDuplicates(["doc_id", "text"])
     return out.union(docs.filter("doc_id IS NULL"))

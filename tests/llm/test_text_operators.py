@@ -85,6 +85,16 @@ def test_near_duplicates_edge_rows(make_docs):
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
 
 
+def test_deduplication_goes_by_text_not_by_id(make_docs):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    near = a.replace(a.split()[-1], "end")
+    rows = [(1, a), (2, a), (2, b), (2, near), (3, b.upper()), (4, c), (4, c), (4, c + " "), (5, None), (5, ""), (None, a)]
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in N.deduplicated(make_docs(rows)).collect()))
+    assert kept == sorted([(0, a), (1, a), (2, b), (4, kept[-3][1]), (5, ""), (5, "")]) and kept[-3][1].strip() == c
+    got = {(r.doc_id, r.component_id, r.kept) for r in N.near_duplicates(make_docs(rows)).collect()}
+    assert {(2, 1, False), (2, 2, True), (3, 2, False), (1, 1, True), (4, 4, True), (5, 5, True)} <= got
+
+
 def test_blocks_of_a_large_bucket_find_what_one_block_finds():
     r = np.random.default_rng(3)
     base = r.integers(0, 1 << 20, N.K).astype(np.int32)
