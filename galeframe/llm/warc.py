@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from galeframe.llm.staging import new_folder, staged
 
 REVISIT_BYTES = 1000
-#: Bytes of a reading task's range, and of a file after which a writing task begins another.
-RANGE_BYTES, FILE_BYTES = 4 << 20, 256 << 20
+#: Bytes of a reading task's range, of a file after which a writing task begins another, and that a reader keeps behind it.
+RANGE_BYTES, FILE_BYTES, KEPT_BYTES = 4 << 20, 256 << 20, 1 << 20
 #: The first bytes that every gzip member written here or by common tools has, and how much of one is decoded as a probe.
 MAGIC, PROBE = b"\x1f\x8b\x08", 4096
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -107,8 +107,9 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     p = p.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")))).withColumn("size", F.octet_length(F.coalesce("html", F.lit(""))))
     large = p.filter(F.col("size") >= REVISIT_BYTES)
     first = large.groupBy("digest", "size").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).filter("n > 1 AND largest IS NOT NULL").drop("n")
-    out = p.join(first, ["digest", "size"], "left")
-    return out.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
+    found = large.join(first, ["digest", "size"], "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
+    small = p.filter(F.col("size") < REVISIT_BYTES)  # these stay where they are
+    return found.union(small.select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to")))
 
 
 def write_pages(pages: DataFrame, folder: str) -> DataFrame:
@@ -117,7 +118,7 @@ def write_pages(pages: DataFrame, folder: str) -> DataFrame:
 
 
 class _Bytes:
-    """A file from an offset on, read as needed and let go of."""
+    """A file from an offset on, read as needed; what is done with is let go of now and then."""
 
     def __init__(self, path: str, start: int) -> None:
         store, name = _store(path)
@@ -130,7 +131,15 @@ class _Bytes:
             self.data += self.file.read_at(min(end, self.size) - have, have)
 
     def drop(self, offset: int) -> None:
-        self.data, self.start = self.data[offset - self.start :], offset
+        if offset - self.start >= max(KEPT_BYTES, len(self.data) // 2):
+            self.data, self.start = self.data[offset - self.start :], offset
+
+    def find(self, what: bytes, offset: int) -> int:
+        at = self.data.find(what, offset - self.start)
+        return at if at < 0 else at + self.start
+
+    def piece(self, offset: int, size: int) -> bytes:
+        return self.data[offset - self.start : offset - self.start + size]
 
 
 def _is_member(data: bytes) -> bool:
@@ -157,38 +166,44 @@ def _parsed(text: bytes) -> tuple[dict[str, str], bytes] | None:
 def read_range(path: str, start: int, end: int) -> Iterator[Record]:
     """The records of a file whose members start in [start, end)."""
     data = _Bytes(path, start)
-    at = start
-    follows = start == 0
+    try:
+        yield from _records(data, start, end)
+    finally:
+        data.file.close()
+
+
+def _records(data: _Bytes, start: int, end: int) -> Iterator[Record]:
+    at, follows = start, start == 0
     while at < min(end, data.size):
         data.drop(at)
         data.upto(end + PROBE)
-        if not (follows and data.data.startswith(MAGIC)):
-            found = data.data.find(MAGIC)
-            if found < 0 or at + found >= end:
+        if not (follows and data.piece(at, len(MAGIC)) == MAGIC):
+            found = data.find(MAGIC, at)
+            if found < 0 or found >= end:
                 return
-            if found:
-                at, follows = at + found, False
+            if found > at:
+                at, follows = found, False
                 continue
-        if not follows and not _is_member(data.data[: 4 * PROBE]):
+        if not follows and not _is_member(data.piece(at, 4 * PROBE)):
             at += 1
             continue
-        unpack, text, used = zlib.decompressobj(31), [], 0
+        unpack, text, used = zlib.decompressobj(31), [], at
         try:
             while not unpack.eof:
-                if used >= len(data.data):
-                    data.upto(data.start + max(2 * len(data.data), 1 << 16))
-                    if used >= len(data.data):
-                        raise zlib.error("the file ends within a member")
-                piece = data.data[used : used + (1 << 16)]
+                piece = data.piece(used, 1 << 16)
+                if not piece:
+                    data.upto(used + max(used - at, 1 << 16))
+                    piece = data.piece(used, 1 << 16)
+                if not piece:
+                    raise zlib.error("the file ends within a member")
                 text.append(unpack.decompress(piece))
                 used += len(piece)
         except zlib.error:
             at, follows = at + 1, False
             continue
-        used -= len(unpack.unused_data)
         if (record := _parsed(b"".join(text))) is not None:
             yield Record(at, *record)
-        at, follows = at + used, True
+        at, follows = used - len(unpack.unused_data), True
 
 
 def read_warc(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

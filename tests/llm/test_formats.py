@@ -129,3 +129,24 @@ def test_reader_goes_on_after_damage(tmp_path):
 
 def test_queries_are_all_there():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+
+
+def test_staged_tables_are_cleared(spark):
+    from pathlib import Path
+
+    from galeframe.llm.staging import clear, shared_folder, staged
+
+    assert staged(spark.range(3), "numbers").count() == 3
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    assert any(folder.iterdir())
+    clear(spark)
+    assert not folder.exists()
+
+
+def test_ranges_of_any_size_give_every_record_once(tmp_path):
+    path = tmp_path / "x.warc.gz"
+    records = [warc.page_record(i, None, prose(i, 1 + i % 40).encode() * (200 if i == 7 else 1), None) for i in range(300)]
+    path.write_bytes(b"".join(records))
+    for size in (1000, 4096, 1 << 16, 1 << 22):
+        found = [r.offset for a in range(0, path.stat().st_size, size) for r in warc.read_range(str(path), a, a + size)]
+        assert found == [sum(map(len, records[:i])) for i in range(300)]
