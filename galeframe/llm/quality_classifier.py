@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from galeframe.llm.statistics import let, statistics
 
-#: At most so many labelled rows are learnt from, those of the smallest hashes of doc_id.
+#: At most so many labelled documents, and different texts of them, are learnt from: those of the smallest hashes.
 MAX_TRAINING_ROWS = 20_000
 TREES, DEPTH, RATE, LASSO, THRESHOLD = 24, 3, 0.3, 2e-3, 0.3
 
@@ -150,12 +150,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_R
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     known = known.filter(~held_out(5, 0)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most `most` rows of 16 bytes
+    texts = texts.dropDuplicates(["doc_id", "text"]).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(most)
     s = texts.select("doc_id", "y", statistics(F.col("text"), extra=True).alias("s"))
     return s.select("doc_id", "y", *(v.alias(k) for k, v in features(F.col("s")).items()))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> RuleEnsemble:
-    rows = training_rows(docs, labels, most).dropDuplicates().limit(2 * most).toPandas().sort_values(["doc_id", "words"])
+    rows = training_rows(docs, labels, most).toPandas().sort_values(["doc_id", "words", "word_length"])
     return fit_rules({c: rows[c].to_numpy(float) for c in rows.columns if c not in ("doc_id", "y")}, rows["y"].to_numpy(float))
 
 
