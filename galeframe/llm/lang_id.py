@@ -5,8 +5,8 @@ support vector machines, one for each pair of families, vote on the family; with
 languages votes on the language. Ties go to the larger sum of margins, then to the name. The score is a logistic of the
 least margin of the winner in either step.
 
-It learns from at most MAX_ROWS documents, dealt evenly over the languages (at most MAX_LANGUAGES, the most frequent):
-of each, those of the smallest hashes of doc_id and text. A language outside FAMILIES is a family of its own.
+It learns from about MAX_ROWS documents, dealt evenly over all languages, and from LEAST_ROWS of each at least: those of
+the smallest hashes of doc_id and text. A language outside FAMILIES is a family of its own.
 
 Edge cases: a text that is null or has no letter is `und` with score 0. Rows without doc_id or lang aren't learnt from.
 With one known language it is the prediction for all other texts, at score 1; with none, all are `und`. Texts are taken
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from galeframe.llm import kernels
 
-DIMENSIONS, MAX_ROWS, MAX_LANGUAGES = 4096, 6000, 200
+DIMENSIONS, MAX_ROWS, LEAST_ROWS = 4096, 6000, 20
 UNKNOWN = "und"
 #: The family of each language.
 FAMILIES = {
@@ -150,13 +150,12 @@ def held_out() -> F.Column:
 def training_rows(docs: DataFrame, most: int = MAX_ROWS) -> DataFrame:
     """doc_id, text and lang of about `most` documents, evenly over the languages; equal rows count once."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    each = max(1, most // max(1, len(counts)))
+    counts = known.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
+    each = max(LEAST_ROWS, most // max(1, len(counts)))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (place < int((1 << 40) * min(1.0, each / r["count"]))))
-    return known.filter(chosen).select("doc_id", "text", "lang").dropDuplicates()
+    shares = docs.sparkSession.createDataFrame([(r["lang"], int((1 << 40) * min(1.0, each / r["count"]))) for r in counts], "lang string, upto long")
+    chosen = known.join(F.broadcast(shares), "lang").filter(place < F.col("upto"))
+    return chosen.select("doc_id", "text", "lang").dropDuplicates()
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +182,7 @@ def fit_languages(docs: DataFrame, most: int = MAX_ROWS) -> LanguageModel:
 
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a size set by DIMENSIONS and MAX_LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a size set by DIMENSIONS and the number of languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
