@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 
 #: How a text parts into words; \s is Unicode's White_Space. A fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words whose ids a worker remembers, and rows that are encoded together.
-REMEMBERED, TOGETHER = 300_000, 64
+#: Words whose ids a worker remembers and the letters that such a word has at most, and rows that are encoded together.
+REMEMBERED, LETTERS, TOGETHER = 300_000, 64, 64
 NO_RANK = 1 << 40
 NEVER = np.int64(NO_RANK)
 
@@ -207,6 +207,9 @@ class Codec:
                 else:
                     out.append(p)
             yield out
+        for word in new:
+            if len(word) > LETTERS:
+                del self.known[word]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
