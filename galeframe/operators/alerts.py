@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from galeframe.functions.bulletins import REMOVE, VTEC, polygons, positioned, ugc_blocks, vtec_time
 
 #: Names of hazards.
-NAMES = {"TO": "Tornado", "SV": "Severe Thunderstorm", "FF": "Flash Flood", "MA": "Marine", "WI": "Wind"}
-LEVELS = {"W": "Warning", "A": "Watch", "Y": "Advisory", "S": "Statement"}
+NAMES = {
+    "TO": "Tornado", "SV": "Severe Thunderstorm", "FF": "Flash Flood", "FL": "Flood", "FA": "Areal Flood", "MA": "Marine", "SM": "Special Marine",
+    "EW": "Extreme Wind", "HU": "Hurricane", "TR": "Tropical Storm", "HW": "High Wind", "WI": "Wind", "HT": "Heat", "FG": "Dense Fog",
+    "CF": "Coastal Flood", "RP": "Rip Current", "SU": "High Surf", "FZ": "Freeze", "WS": "Winter Storm", "BZ": "Blizzard", "FR": "Frost",
+}
+LEVELS = {"W": "Warning", "A": "Watch", "Y": "Advisory", "S": "Statement", "F": "Forecast", "O": "Outlook"}
 
 
-def segments(bulletins: DataFrame) -> DataFrame:
-    """A row per event code: its parts, the zone list before it, and the first polygon behind it."""
+def segments(bulletins: DataFrame, office: str | None = None) -> DataFrame:
+    """A row per event code (of one office, if it is given): its parts, the zone list before it, and the first polygon behind it."""
     parsed = bulletins.select("*", positioned(F.col("text"), VTEC, 8).alias("vtec"), ugc_blocks(F.col("text")).alias("zones"), polygons(F.col("text")).alias("polys"))
-    rows = parsed.withColumn("v", F.explode("vtec"))
+    rows = parsed.withColumn("v", F.explode_outer("vtec")).filter("v IS NOT NULL")  # an inner explode would have the codes parsed a second time, to see if there are any
+    if office is not None:
+        rows = rows.filter(F.col("v.g3") == office)
     pos = F.col("v.pos")
     before = F.filter("zones", lambda z: z["pos"] < pos)
     behind = F.filter("polys", lambda p: p["pos"] > pos)
@@ -76,3 +82,14 @@ def document(current: DataFrame) -> DataFrame:
     """One JSON text of all active hazards, sorted by key: their polygon if they have one, else their zones."""
     item = F.struct("key", "name", "ends", "etn", F.when(F.col("poly").isNull(), F.col("ugc")).alias("ugc"), F.col("poly.ring").alias("poly"))
     return current.agg(F.to_json(F.struct(F.count("*").alias("count"), F.sort_array(F.collect_list(item)).alias("alerts"))).alias("body"))
+
+
+def touching(current: DataFrame, places: DataFrame) -> DataFrame:
+    """The hazards (key, ugc) of which a zone is one of any place's (place, ugc), and these places; both meet by zone."""
+    zones = lambda df, *keep: df.select(*keep, F.explode(F.array_distinct("ugc")).alias("zone"))
+    return zones(current, "key").join(zones(places, "place"), "zone").select("key", "place").distinct()
+
+
+def local_expiry(current: DataFrame, zone: str) -> DataFrame:
+    """`current` with `expires`, its end in local time as in "Mon 03:05 PM CST" without the zone's name."""
+    return current.withColumn("expires", F.date_format(F.from_utc_timestamp("end_time", zone), "EEE hh:mm a"))

@@ -173,3 +173,8 @@ def detect(columns: DataFrame, p: LadderParams = LadderParams()) -> DataFrame:
     slim = columns.filter(F.col("colmax") >= min(p.base_dbz, *p.thresholds)).select(*VOLUME, "iy", "ix", "colmax", "etop_km", "ebase_km", "nlev_seed")
     found = slim.groupBy(*VOLUME).applyInPandas(lambda pdf: _detect_volume(pdf, p), f"site {kinds['site']}, vol {kinds['vol']}, {DETECTION}")
     return admitted(found, p.gates)
+
+
+def component_levels(voxels: DataFrame) -> DataFrame:
+    """How many levels (iz) each object of a volume reaches."""
+    return voxels.groupBy(*VOLUME, "obj").agg(F.count_distinct("iz").alias("n_levels"))

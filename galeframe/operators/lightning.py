@@ -14,25 +14,29 @@ def near_places(flashes: DataFrame, places: DataFrame, now: Column, miles: float
     """Flashes of the last minutes within some miles of each place (place, plat, plon), with `mi`.
 
     Flashes and places meet in cells of a degree, so no flash is compared with far places; the ring of cells about a
-    place is as wide as the distance needs at its latitude.
+    place is as wide as the distance needs at its latitude, goes on across 180 degrees, and is whole near a pole.
     """
     km = miles * MILE_M / 1000
     reach = km / KM_PER_DEGREE
-    wide = F.lit(reach) / F.greatest(F.cos(F.radians(F.abs("plat") + reach)), F.lit(0.01))
+    top = F.abs("plat") + reach
+    wide = F.when(top >= 89, F.lit(179.5)).otherwise(F.least(F.lit(reach) / F.cos(F.radians(top)), F.lit(179.5)))
+    around = lambda c: F.pmod(c + 180, F.lit(360)) - 180
     cells = places.filter("plat IS NOT NULL AND plon IS NOT NULL").select(
         "*", F.explode(F.sequence(F.floor(F.col("plat") - reach), F.floor(F.col("plat") + reach))).alias("cy"), wide.alias("wide")
     )
-    cells = cells.select("place", "plat", "plon", "cy", F.explode(F.sequence(F.floor(F.col("plon") - F.col("wide")), F.floor(F.col("plon") + F.col("wide")))).alias("cx"))
+    cells = cells.select("place", "plat", "plon", "cy", F.explode(F.sequence(F.floor(F.col("plon") - F.col("wide")), F.floor(F.col("plon") + F.col("wide")))).alias("cx")).withColumn("cx", around(F.col("cx")))
     recent = flashes.filter((F.col("flash_time") > now - F.expr(f"INTERVAL {minutes} MINUTES")) & (F.col("flash_time") <= now))
-    recent = recent.withColumns({"cy": F.floor("lat"), "cx": F.floor("lon")})
+    recent = recent.withColumns({"cy": F.floor("lat"), "cx": around(F.floor("lon"))})
     mi = haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")) * (1000 / MILE_M)
     return recent.join(cells, ["cy", "cx"]).withColumn("mi", mi).filter(F.col("mi") <= miles).drop("cy", "cx")
 
 
-def proximity(near: DataFrame, rings: tuple[int, ...] = RINGS_MI) -> DataFrame:
-    """Of each place: the nearest flash, counts within the rings, and the last flash. Places without flashes have no row."""
+def proximity(near: DataFrame, places: DataFrame, rings: tuple[int, ...] = RINGS_MI) -> DataFrame:
+    """Of each place with a position: the nearest flash, counts within the rings (0 without flashes), and the last flash."""
     counts = [F.count(F.when(F.col("mi") <= r, 1)).alias(f"n{r}") for r in rings]
-    return near.groupBy("place").agg(F.min("mi").alias("nearest_mi"), *counts, F.max("flash_time").alias("last_flash"))
+    found = near.groupBy("place").agg(F.min("mi").alias("nearest_mi"), *counts, F.max("flash_time").alias("last_flash"))
+    known = places.filter("plat IS NOT NULL AND plon IS NOT NULL").select("place").distinct()
+    return known.join(found, "place", "left").fillna(0, [f"n{r}" for r in rings])
 
 
 def hot_bins(flashes: DataFrame, most: int = 3) -> DataFrame:

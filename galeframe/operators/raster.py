@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,10 @@ def scan_position(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
 
 
 def mercator_latitude(row: Column, rows: int, south: float, north: float) -> Column:
-    """Latitude of the middle of an output row between two parallels on a Mercator axis."""
+    """Latitude of a row of an axis that is even in Mercator y: the first row lies on the northern parallel, the last on the southern."""
     y = lambda v: F.log(F.tan(F.lit(0.7853981633974483) + F.radians(v) / 2e0))
     top, low = y(F.lit(north)), y(F.lit(south))
-    return F.degrees(2e0 * F.atan(F.exp(top - (top - low) * (row + 0.5e0) / float(rows))) - F.lit(1.5707963267948966))
+    return F.degrees(2e0 * F.atan(F.exp(top - (top - low) * row / float(max(1, rows - 1)))) - F.lit(1.5707963267948966))
 
 
 def kelvin(level: Column, table: Column | None = None) -> Column:
@@ -102,3 +104,26 @@ def manifest(frames: DataFrame, bounds: tuple[float, float, float, float]) -> Da
     rows = F.sort_array(F.collect_list(F.struct("frame_time", name.alias("file"))))
     files = F.transform(rows, lambda r: r["file"])
     return frames.filter("frame_time IS NOT NULL").agg(F.to_json(F.struct(F.array(*map(F.lit, bounds)).alias("bounds"), anchors.alias("palette"), files.alias("frames"))).alias("body"))
+
+
+def mercator_height(width: int, west: float, south: float, east: float, north: float) -> int:
+    """Rows that give square pixels on a Mercator map."""
+    y = lambda v: math.log(math.tan(math.pi / 4 + math.radians(v) / 2))
+    return round(width * (y(north) - y(south)) / math.radians(east - west))
+
+
+def whole_frames(frames: DataFrame, size: int = SIZE) -> DataFrame:
+    """Frames (height, width) of the full size; others go, those of unknown size among them."""
+    return frames.filter((F.col("height") == size) & (F.col("width") == size))
+
+
+def calibrated(pixels: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """`pixels` (path, level) with kelvin by the table (path, kelvin_table) of the same name before the ending, else linearly.
+
+    Tables are a row for each frame; of several with one name that of the least path counts.
+    """
+    stem = lambda c: F.regexp_replace(F.element_at(F.split(c, "/"), -1), r"\.[^.]*$", "")
+    tables = sidecars.groupBy(stem(F.col("path")).alias("stem")).agg(F.min_by("kelvin_table", "path").alias("kelvin_table"))
+    out = pixels.withColumn("stem", stem(F.col("path"))).join(tables, "stem", "left")
+    linear, by_table = kelvin(F.col("level")), kelvin(F.col("level"), F.col("kelvin_table"))
+    return out.withColumn("kelvin", F.coalesce(by_table, linear)).drop("stem", "kelvin_table")

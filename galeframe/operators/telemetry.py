@@ -72,3 +72,13 @@ def allowed_restarts(events: DataFrame, keys: list[str], time: str, cooldown_s:
     rows = rows.distinct() if cooldown_s > 0 else rows
     dealt = rows.repartition(*keys) if keys else rows.repartition(1)
     return dealt.sortWithinPartitions(*keys, time).mapInArrow(run, rows.schema)
+
+
+def socket_age(text: Column) -> Column:
+    """Milliseconds since a socket last received, from a listing; null without a socket."""
+    return F.nullif(F.regexp_extract(text, r"lastrcv:(\d+)", 1), F.lit("")).cast("long")
+
+
+def deliveries(messages: DataFrame) -> DataFrame:
+    """`messages` (unit_id, at) with how often their unit has been delivered by then."""
+    return messages.withColumn("delivery", F.row_number().over(Window.partitionBy("unit_id").orderBy("at")))

@@ -152,3 +152,20 @@ def as_text(scores: DataFrame, places: int = 2) -> DataFrame:
         return F.concat(F.rpad(F.lit(c), 24, " "), F.when(finite, F.format_number(v, places)).otherwise("n/a"))
 
     return scores.select(F.explode(F.array(*map(line, scores.columns))).alias("line"))
+
+
+def volume_gap(volumes: DataFrame, default_s: float = 300e0) -> DataFrame:
+    """The median time between the volumes (site, vol_time) of each site; a site with one volume has the default."""
+    w = Window.partitionBy("site").orderBy("vol_time")
+    gap = (F.unix_micros("vol_time") - F.unix_micros(F.lag("vol_time").over(w))) / 1e6
+    return volumes.withColumn("gap", gap).groupBy("site").agg(F.coalesce(F.median("gap"), F.lit(default_s)).alias("dt_s"))
+
+
+def volume_time(start: Column, first_ray: Column, now: Column) -> Column:
+    """When a volume was scanned: its start, else that of its first ray, else now."""
+    return F.coalesce(start, first_ray, now)
+
+
+def as_tracks(cells: DataFrame) -> DataFrame:
+    """Tracked cells under the names that track scores read."""
+    return cells.withColumnsRenamed({"cell_uid": "track_id", "family_uid": "family_id"})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galeframe.functions.geo import haversine_km
+
 MATCH_KM, WITHIN_MIN, SITE_KM = 15.0, 15, 140.0
 
 
@@ -30,12 +32,29 @@ def contingency(objects: DataFrame, reports: DataFrame, pairs: DataFrame) -> Dat
     return out.withColumns({"pod": over(F.col("detected"), F.col("reports")), "far": over(F.col("false_alarms"), F.col("objects")), "csi": over(F.col("detected"), F.col("reports") + F.col("false_alarms"))})
 
 
+def in_range(reports: DataFrame, sites: DataFrame, km: float = SITE_KM) -> DataFrame:
+    """Reports (lat, lon) with each site (site, slat, slon) at most some km away; both meet in cells of two degrees."""
+    reach = km / 111.0
+    wide = F.least(F.lit(reach) / F.cos(F.radians(F.least(F.abs("slat") + reach, F.lit(89e0)))), F.lit(178e0))
+    steps = lambda low, high: F.explode(F.sequence(F.floor(low / 2), F.floor(high / 2)))
+    cells = sites.select("site", "slat", "slon", steps(F.col("slat") - reach, F.col("slat") + reach).alias("cy"), wide.alias("wide"))
+    cells = cells.select("site", "slat", "slon", "cy", steps(F.col("slon") - F.col("wide"), F.col("slon") + F.col("wide")).alias("cx"))
+    cells = cells.withColumn("cx", F.pmod("cx", F.lit(180))).distinct()
+    rows = reports.withColumns({"cy": F.floor(F.col("lat") / 2), "cx": F.pmod(F.floor(F.col("lon") / 2), F.lit(180))})
+    gap = haversine_km(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon"))
+    return rows.join(cells, ["cy", "cx"]).withColumn("site_km", gap).filter(F.col("site_km") <= km).drop("cy", "cx", "slat", "slon")
+
+
 def within_minutes(volumes: DataFrame, reports: DataFrame, minutes: int = WITHIN_MIN) -> DataFrame:
-    """Pairs of volumes (v, vt) and reports (r, rt) at most some minutes apart: equal buckets of that length, or neighbours."""
+    """Pairs of volumes (v, vt) and reports (r, rt) at most some minutes apart: equal buckets of that length, or neighbours.
+
+    Where both have a `site` (as from `in_range`), only those of one site meet.
+    """
     bucket = lambda c: F.floor(F.unix_timestamp(c) / (minutes * 60))
     spread = reports.withColumn("b", F.explode(F.sequence(bucket(F.col("rt")) - 1, bucket(F.col("rt")) + 1)))
     gap = F.abs(F.unix_timestamp("vt") - F.unix_timestamp("rt"))
-    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, "b").filter(gap <= minutes * 60).drop("b")
+    on = ["b", "site"] if "site" in volumes.columns and "site" in reports.columns else ["b"]
+    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, on).filter(gap <= minutes * 60).drop("b")
 
 
 def block_about(volumes: DataFrame, cases: DataFrame, size: int) -> DataFrame:
@@ -48,3 +67,20 @@ def block_about(volumes: DataFrame, cases: DataFrame, size: int) -> DataFrame:
     centre = rows.groupBy("case_key").agg(F.min_by("rn", F.struct(gap, F.col("rn"))).alias("at"), F.max("rn").alias("n"))
     first = F.greatest(F.lit(1), F.least(F.col("at") - size // 2, F.col("n") - size + 1))
     return rows.join(centre, "case_key").filter((F.col("rn") >= first) & (F.col("rn") < first + size)).select("case_key", "vol_time", "rn")
+
+
+def continuity(cells: DataFrame) -> DataFrame:
+    """Mean, median and share above a half of the overlap (shared cells by all cells) of families from volume to volume.
+
+    `cells` has family, vol and a cell of its footprint in each row. A family is compared with where it was last seen.
+    """
+    from pyspark.sql import Window
+
+    cells = cells.select("family", "vol", "cell").distinct()
+    sizes = cells.groupBy("family", "vol").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("family").orderBy("vol")
+    steps = sizes.withColumns({"before": F.lag("vol").over(w), "m": F.lag("n").over(w)}).filter("before IS NOT NULL")
+    earlier = cells.join(steps.select("family", F.col("before").alias("vol"), F.col("vol").alias("now")), ["family", "vol"]).select("family", F.col("now").alias("vol"), "cell")
+    both = earlier.join(cells, ["family", "vol", "cell"]).groupBy("family", "vol").agg(F.count("*").alias("both"))
+    iou = steps.join(both, ["family", "vol"], "left").select((F.coalesce("both", F.lit(0)) / (F.col("n") + F.col("m") - F.coalesce("both", F.lit(0)))).alias("iou"))
+    return iou.agg(F.count("*").alias("n"), F.avg("iou").alias("mean_iou"), F.median("iou").alias("median_iou"), F.avg((F.col("iou") > 0.5).cast("double")).alias("over_half"))

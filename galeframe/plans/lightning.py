@@ -10,7 +10,7 @@ from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.registry import query
 
 #: Places, one without a position, and the time at which they ask.
-PLACES = [("home", 30.5, -87.0), ("coast", 29.0, -90.5), ("inland", 33.25, -84.75), ("unknown", None, None)]
+PLACES = [("home", 30.5, -87.0), ("coast", 29.0, -90.5), ("inland", 33.25, -84.75), ("dateline", 0.0, 179.9), ("unknown", None, None)]
 NOW, MINUTES = "2024-01-20 00:00:00", 10 * 24 * 60
 _HAVERSINE = "2 * 6371e0 * asin(sqrt(least(pow(sin(radians(plat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(plat)) * pow(sin(radians(plon - lon) / 2), 2), 1e0))) * 1000e0 / 1609.344e0"
 _NEAR = (
@@ -28,9 +28,9 @@ def _near(spark: SparkSession, sf_dir: str, miles: float = 30) -> DataFrame:
     return L.near_places(view(spark, sf_dir, "flash"), places(spark), F.expr(f"TIMESTAMP_NTZ '{NOW}'"), miles, MINUTES)
 
 
-@query(_NEAR + "SELECT place, round(min(mi), 6) AS nearest_mi, count(*) FILTER (WHERE mi <= 10) AS n10, count(*) FILTER (WHERE mi <= 30) AS n30, max(flash_time) AS last_flash FROM near WHERE mi <= 30 GROUP BY place")
+@query(_NEAR + "SELECT p.place, round(min(mi), 6) AS nearest_mi, count(mi) FILTER (WHERE mi <= 10) AS n10, count(mi) FILTER (WHERE mi <= 30) AS n30, max(flash_time) AS last_flash FROM (SELECT place FROM places UNION ALL SELECT 'dateline') p LEFT JOIN (SELECT * FROM near WHERE mi <= 30) n ON n.place = p.place GROUP BY p.place")
 def glm_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.proximity(_near(spark, sf_dir)).withColumn("nearest_mi", F.round("nearest_mi", 6))
+    return L.proximity(_near(spark, sf_dir), places(spark)).withColumn("nearest_mi", F.round("nearest_mi", 6))
 
 
 @query(with_views("flash") + "SELECT round(lat, 0)::BIGINT AS la, round(lon, 0)::BIGINT AS lo, count(*) AS n FROM flash GROUP BY 1, 2 ORDER BY n DESC, la, lo LIMIT 3")

@@ -32,7 +32,7 @@ def abi_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid(spark, sf_dir).select("k", row.alias("row_no"), col.alias("col_no"), visible.alias("visible"))
 
 
-@query("WITH t AS (SELECT ln(tan(0.7853981633974483e0 + radians(50e0) / 2e0)) AS a, ln(tan(0.7853981633974483e0 + radians(23.5e0) / 2e0)) AS b) SELECT s_suppkey AS k, round(degrees(2e0 * atan(exp(a - (a - b) * (s_suppkey % 1000 + 0.5e0) / 1000e0)) - 1.5707963267948966e0), 9) AS lat FROM supplier, t")
+@query("WITH t AS (SELECT ln(tan(0.7853981633974483e0 + radians(50e0) / 2e0)) AS a, ln(tan(0.7853981633974483e0 + radians(23.5e0) / 2e0)) AS b) SELECT s_suppkey AS k, round(degrees(2e0 * atan(exp(a + (s_suppkey % 1000) * (b - a) / 999e0)) - pi() / 2e0), 9) AS lat FROM supplier, t")
 def mercator_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     return s.select(F.col("s_suppkey").alias("k"), F.round(R.mercator_latitude(F.col("s_suppkey") % 1000, 1000, 23.5, 50.0), 9).alias("lat"))

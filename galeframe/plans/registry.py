@@ -25,4 +25,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from galeframe.plans import alerts, extras, lightning, radar, raster, storms, streams, telemetry  # noqa: F401
+    from galeframe.plans import alerts, extras, lightning, places, radar, raster, storms, streams, telemetry  # noqa: F401

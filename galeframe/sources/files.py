@@ -175,3 +175,10 @@ def settings(lines: DataFrame, line: str = "value") -> DataFrame:
 def expired(files: DataFrame, now: Column, minutes: int) -> DataFrame:
     """Files (modified) older than some minutes."""
     return files.filter(F.unix_timestamp(now) - F.unix_timestamp("modified") > minutes * 60)
+
+
+def case_list(spark: SparkSession, path: str) -> DataFrame:
+    """Cases (site, start, end, and a note) from JSON files that hold a list of objects; those without site or times go."""
+    rows = spark.read.schema("site string, start string, end string, note string").option("multiLine", True).json(path)
+    times = {c: F.try_to_timestamp(c) for c in ("start", "end")}
+    return rows.withColumns(times).filter("site IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")

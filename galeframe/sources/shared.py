@@ -39,3 +39,20 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     names = sorted(f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
     return spark.read.parquet(f"{folder}/{names[-1]}")
+
+
+def publish(spark: SparkSession, body: str, path: str) -> None:
+    """Put a small text in place of a file at once: it is written beside it and renamed, so readers see the old or the new one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = system.create(beside)
+    try:
+        out.write(bytearray(body.encode()))
+    finally:
+        out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(context.makeQualified(beside), context.makeQualified(target), options)
