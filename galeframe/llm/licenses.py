@@ -2,8 +2,9 @@
 
 A file is streamed through the automaton: at each word it holds the longest run of words, ending there, that stands in
 any template (the matching statistics). Right-maximal runs of MIN_MATCH words or more are chained, in order, into spans
-of a template; a span that covers LEAST_COVERAGE of its template gives the template's label. Words that no template has
-break every run, so only stretches of MIN_MATCH known words are streamed: that leaves out nothing.
+of a template; a span that covers LEAST_COVERAGE of its template gives the template's label. Every MIN_MATCH words of a
+run stand in a template, so only stretches of such MIN_MATCH-grams are streamed: that leaves out nothing. Templates are the
+texts and notices of licences.txt.
 
 Beside that, fixed phrases give labels wherever they stand. The score is the best coverage of a span, 1 for a phrase.
 
@@ -14,6 +15,7 @@ repeated rows give repeated results, empty tables empty ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from importlib import resources
 from typing import NamedTuple
 
 import numpy as np
@@ -24,24 +26,19 @@ from galeframe.llm import kernels
 
 #: Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Wordings by which licences are granted, with their labels.
-TEMPLATES = (
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    ("mit", "Released under the MIT License"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-)
 MIN_MATCH, MAX_GAP, LEAST_COVERAGE = 4, 8, 0.6
 
 
+def templates() -> tuple[tuple[str, str], ...]:
+    """Label and text of each template in licences.txt."""
+    text = resources.files("galeframe.llm").joinpath("licences.txt").read_text(encoding="utf-8")
+    parts = (part.split("\n", 1) for part in text.split("\n== ")[1:])
+    return tuple((label.strip(), wording.strip()) for label, wording in parts)
+
+
+TEMPLATES = templates()
+
+
 def tokens(text: str) -> np.ndarray:
     """The word hashes of a text."""
     for chunk in kernels.chunks(pa.array([text], pa.string())):
@@ -140,7 +137,8 @@ class Automaton:
 def chained(matches: list[Match], sizes: list[int]) -> list[tuple[int, int, int, float]]:
     """Template, first and last word, and coverage of the best chain of each group of matches that stand close together.
 
-    In a chain, matches follow one another in file and template, with at most MAX_GAP words between them in the file.
+    In a chain, matches follow one another in file and template. Between them in the file are at most MAX_GAP words, or an
+    eighth of the template if that is more.
     """
     out = []
     by: dict[int, list[Match]] = {}
@@ -148,12 +146,13 @@ def chained(matches: list[Match], sizes: list[int]) -> list[tuple[int, int, int,
         by.setdefault(m.template, []).append(m)
     for t, own in by.items():
         own.sort(key=lambda m: (m.word + m.length, m.word, m.at))
+        widest = max(MAX_GAP, sizes[t] // 8)
         best: list[tuple[int, int]] = []  # words covered by the best chain that ends here, and where it begins
         for i, m in enumerate(own):
             here = (m.length, m.word)
             for j in range(i - 1, -1, -1):
                 o = own[j]
-                if m.word - (o.word + o.length) > MAX_GAP:
+                if m.word - (o.word + o.length) > widest:
                     break
                 lap = max(0, o.at + o.length - m.at, o.word + o.length - m.word)
                 if o.word < m.word and o.at < m.at and lap < m.length and best[j][0] + m.length - lap > here[0]:
@@ -167,13 +166,14 @@ def chained(matches: list[Match], sizes: list[int]) -> list[tuple[int, int, int,
 
 
 class Scanner:
-    def __init__(self, templates: tuple = TEMPLATES, phrases: dict[str, str] = PHRASES) -> None:
-        self.labels = [label for label, _ in templates]
-        sequences = [tokens(text) for _, text in templates]
+    def __init__(self, wordings: tuple = TEMPLATES, phrases: dict[str, str] = PHRASES) -> None:
+        self.labels = [label for label, _ in wordings]
+        sequences = [tokens(text) for _, text in wordings]
         self.phrases = [(tokens(p), label) for p, label in sorted(phrases.items())]
         self.known = np.unique(np.concatenate([*sequences, *(p for p, _ in self.phrases)]))
         self.table = np.zeros(1 << 16, dtype=bool)
         self.table[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.grams = np.unique(np.concatenate([kernels.ngram_hashes(s, MIN_MATCH)[: max(0, len(s) - MIN_MATCH + 1)] for s in sequences]))
         self.sizes = [len(s) for s in sequences]
         self.automaton = Automaton([self.numbers(s).tolist() for s in sequences])
         self.numbered = [(self.numbers(p), label) for p, label in self.phrases]
@@ -189,7 +189,8 @@ class Scanner:
     def scan(self, chunk: kernels.Chunk) -> list[tuple]:
         """Of each row: words, places of phrases, the first and last of them, phrase labels, labels, score, spans."""
         w = kernels.words(chunk, kernels.ALNUM, lower=True)
-        ids = self.numbers(kernels.word_hashes(chunk, w, lower=True))
+        hashes = kernels.word_hashes(chunk, w, lower=True)
+        ids = self.numbers(hashes)
         places: dict[int, list[tuple[int, str]]] = {}
         for phrase, label in self.numbered:
             hit = np.ones(max(0, len(ids) - len(phrase) + 1), dtype=bool)
@@ -201,7 +202,7 @@ class Scanner:
                 if a + len(phrase) <= w.rows[r + 1]:
                     places.setdefault(r, []).append((a - int(w.rows[r]), label))
         matches: dict[int, list[Match]] = {}
-        for r, a, b in self._stretches(ids, w.rows):
+        for r, a, b in self._stretches(hashes, ids, w.rows):
             matches.setdefault(r, []).extend(self.automaton.matches(ids[a:b].tolist(), a - int(w.rows[r])))
         out = []
         for r, n in enumerate(np.diff(w.rows).tolist()):
@@ -213,21 +214,24 @@ class Scanner:
             out.append((n, len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(names)), ",".join(sorted(found)), score, [s for s in spans if s.coverage >= LEAST_COVERAGE]))
         return out
 
-    def _stretches(self, ids: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Row, begin and end of every stretch of MIN_MATCH or more known words in a row."""
-        known = ids >= 0
-        edge = known.copy()
-        edge[1:] &= ~known[:-1]
-        heads = rows[:-1][(rows[:-1] < len(ids))]
-        edge[heads] = known[heads]
-        starts = np.flatnonzero(edge)
-        if not len(starts):
+    def _stretches(self, hashes: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Row, begin and end of every stretch of words in a row of which each MIN_MATCH in succession stand in a template."""
+        known = np.append(ids, -1) >= 0
+        known = np.flatnonzero(np.logical_and.reduce([known[j : len(known) - MIN_MATCH + 1 + j] for j in range(MIN_MATCH)])) if len(ids) >= MIN_MATCH else np.empty(0, dtype=np.int64)
+        row = np.searchsorted(rows, known, side="right") - 1
+        inside = known + MIN_MATCH <= rows[row + 1]
+        known, row = known[inside], row[inside]
+        if not len(known):
+            return
+        grams = kernels.ngram_hashes(hashes, MIN_MATCH)[known]
+        k = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        hit = self.grams[k] == grams
+        at, row = known[hit], row[hit]
+        if not len(at):
             return
-        unknown = np.append(np.flatnonzero(~known), len(ids))
-        row = np.searchsorted(rows, starts, side="right") - 1
-        ends = np.minimum(unknown[np.searchsorted(unknown, starts)], rows[row + 1])
-        long = ends - starts >= MIN_MATCH
-        yield from zip(row[long].tolist(), starts[long].tolist(), ends[long].tolist(), strict=True)
+        cuts = np.flatnonzero((np.diff(at) > 1) | (np.diff(row) > 0)) + 1
+        first, last = np.append(0, cuts), np.append(cuts, len(at)) - 1
+        yield from zip(row[first].tolist(), at[first].tolist(), (at[last] + MIN_MATCH).tolist(), strict=True)
 
 
 COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"

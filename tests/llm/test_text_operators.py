@@ -262,3 +262,31 @@ def test_lm_counts_every_word_and_bigram(spark, make_docs, share):
     for x, (d, n, a, b) in zip(sorted(got, key=key), want, strict=True):
         assert (x.doc_id, x.n_words) == (d, n)
         assert x.score is None if not n else math.isclose(x.loss_target, a, abs_tol=1e-5) and math.isclose(x.loss_background, b, abs_tol=1e-5)
+
+
+def test_whole_licences_with_edits(make_docs):
+    """Each template, alone among other words and with a word in twelve changed, is found under its label; prose isn't."""
+    whole = [(label, text) for label, text in X.TEMPLATES if len(X.tokens(text)) >= 40]
+    assert {label for label, _ in whole} >= {"mit", "apache", "gpl", "lgpl", "agpl", "bsd-2", "isc", "zlib", "unlicense"}
+    texts = [f"{prose(i, 40)} {edited(text, 1 / 12, i)} {prose(i + 1, 40)}" for i, (_, text) in enumerate(whole)] + [prose(9, 400)]
+    got = sorted(X.scan_licenses(make_docs(list(enumerate(texts)))).collect(), key=lambda r: r.doc_id)
+    for (label, _), r in zip(whole, got, strict=False):
+        assert label in r.labels.split(",") and r.score >= X.LEAST_COVERAGE
+    assert got[-1].labels == "" and got[-1].score < X.LEAST_COVERAGE
+
+
+def test_stretches_leave_out_no_match():
+    """Runs of a text found through its stretches are those found over the whole text."""
+    scanner = X.Scanner()
+    rnd = random.Random(3)
+    pool = [w for _, t in X.TEMPLATES for w in t.split()]
+    for n in range(60):
+        at = rnd.randrange(len(pool))
+        text = " ".join([*rnd.choices(pool, k=30), *pool[at : at + rnd.randrange(3, 40)], "qqq", *rnd.choices(pool, k=n)])
+        for chunk in K.chunks(pa.array([text, text[: n * 3]])):
+            w = K.words(chunk, K.ALNUM, lower=True)
+            hashes = K.word_hashes(chunk, w, lower=True)
+            ids = scanner.numbers(hashes)
+            through = {(r, m) for r, a, b in scanner._stretches(hashes, ids, w.rows) for m in scanner.automaton.matches(ids[a:b].tolist(), a)}
+            whole = {(r, m) for r in range(2) for m in scanner.automaton.matches(ids[w.rows[r] : w.rows[r + 1]].tolist(), int(w.rows[r]))}
+            assert through == whole
