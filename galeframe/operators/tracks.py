@@ -10,20 +10,34 @@ from galeframe.functions.geo import equal_area_radius_km
 VOLUME_MIN, NEAR_KM, IMPOSSIBLE_MS, TREND_MIN = 5, 20.0, 45.0, 30
 
 
+def _at(df: DataFrame) -> Column:
+    """When a sample was seen, in seconds: its time `t` if it has one, else its volume's number times VOLUME_MIN."""
+    return F.col("t").cast("double") if "t" in df.columns else (F.col("vol") * (VOLUME_MIN * 60)).cast("double")
+
+
+def _minutes(df: DataFrame) -> Column:
+    return (F.max("t") - F.min("t")) / 60 if "t" in df.columns else (F.max("vol") - F.min("vol")) * VOLUME_MIN
+
+
 def collapsed(obs: DataFrame, identity: str) -> DataFrame:
-    """One sample of each identity and volume: area-weighted centre, summed area, greatest intensity and top."""
+    """One sample of each identity and volume: area-weighted centre, summed area, greatest intensity and top.
+
+    `obs` may have the time of its volume as `t` (seconds); then samples have the latest, and all scores go by it.
+    """
     w = F.greatest(F.col("area"), F.lit(1e-9))
     one = obs.filter(F.col(identity).isNotNull() & (F.col(identity) >= 0))
     return one.groupBy(F.col(identity).alias("id"), "vol").agg(
         (F.sum(w * F.col("seed_x")) / F.sum(w)).alias("x"), (F.sum(w * F.col("seed_y")) / F.sum(w)).alias("y"),
         F.sum("area").alias("area"), F.max("dbz").alias("dbz"), F.max("top").alias("top"), F.count("*").alias("n_cells"),
+        *([F.max("t").alias("t")] if "t" in obs.columns else []),
     )
 
 
 def steps(samples: DataFrame) -> DataFrame:
     """Samples with dt (s), dx and dy since the one before of their identity, and the speed; the first ones go."""
-    w = Window.partitionBy("id").orderBy("vol")
-    out = samples.select("*", *((F.col(c) - F.lag(c).over(w)).alias(f"d{c}") for c in ("x", "y")), ((F.col("vol") - F.lag("vol").over(w)) * VOLUME_MIN * 60).alias("dt"))
+    at = _at(samples)
+    w = Window.partitionBy("id").orderBy(at)
+    out = samples.select("*", *((F.col(c) - F.lag(c).over(w)).alias(f"d{c}") for c in ("x", "y")), (at - F.lag(at).over(w)).alias("dt"))
     return out.filter("dt > 0").withColumn("speed", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) / F.col("dt"))
 
 
@@ -33,8 +47,8 @@ def speed_summary(moved: DataFrame) -> DataFrame:
 
 
 def _slope(value: str, w) -> Column:
-    """Least-squares change per minute over a frame; null with one sample or no spread in time."""
-    t, y = F.col("vol") * VOLUME_MIN, F.col(value)
+    """Least-squares change per minute (`minute`) over a frame; null with one sample or no spread in time."""
+    t, y = F.col("minute"), F.col(value)
     n = F.count("*").over(w)
     num = n * F.sum(t * y).over(w) - F.sum(t).over(w) * F.sum(y).over(w)
     den = n * F.sum(t * t).over(w) - F.sum(t).over(w) * F.sum(t).over(w)
@@ -43,30 +57,32 @@ def _slope(value: str, w) -> Column:
 
 def trends(samples: DataFrame, values: tuple[str, ...] = ("area", "dbz", "top")) -> DataFrame:
     """Slopes per minute over the last half hour; with a single sample there, over the last two of the track."""
-    base = Window.partitionBy("id").orderBy("vol")
-    recent, two = base.rangeBetween(-TREND_MIN // VOLUME_MIN, 0), base.rowsBetween(-1, 0)
+    first = F.min(_at(samples)).over(Window.partitionBy("id"))  # minutes of a track's own life, so that sums of squares stay small
+    samples = samples.withColumn("minute", (_at(samples) - first) / 60)
+    base = Window.partitionBy("id").orderBy("minute")
+    recent, two = base.rangeBetween(-TREND_MIN, 0), base.rowsBetween(-1, 0)
     cols = {f"{v}_trend": F.when(F.count("*").over(recent) >= 2, _slope(v, recent)).otherwise(_slope(v, two)) for v in values}
-    return samples.withColumns(cols)
+    return samples.withColumns(cols).drop("minute")
 
 
 def durations(samples: DataFrame) -> DataFrame:
-    per = samples.groupBy("id").agg(((F.max("vol") - F.min("vol")) * VOLUME_MIN).alias("minutes"), F.count("*").alias("n"))
+    per = samples.groupBy("id").agg(_minutes(samples).alias("minutes"), F.count("*").alias("n"))
     share = lambda c: F.avg(F.when(c, 1e0).otherwise(0e0))
     return per.agg(F.count("*").alias("tracks"), F.avg("minutes").alias("mean_min"), F.median("minutes").alias("median_min"), F.max("minutes").alias("max_min"), F.avg("n").alias("vols_mean"), share(F.col("n") >= 3).alias("frac_ge3"), share(F.col("n") == 1).alias("frac_singleton"))
 
 
 def _residual(y: str) -> Column:
-    """RMS distance from the best line in time."""
-    t = F.col("vol") * VOLUME_MIN
+    """RMS distance from the best line in time (`minute`)."""
+    t = F.col("minute")
     sxx, syy = F.var_pop(t), F.var_pop(y)
-    sxy = F.covar_pop(t.cast("double"), F.col(y))
+    sxy = F.covar_pop(t, F.col(y))
     return F.sqrt(F.greatest(syy - sxy * sxy / sxx, F.lit(0e0)))
 
 
 def linearity(samples: DataFrame) -> DataFrame:
     """Duration-weighted means over tracks of 3 samples or more: residual of position (km), of area by its mean, of dBZ."""
-    s = samples.withColumns({"xk": F.col("x") / 1000e0, "yk": F.col("y") / 1000e0})
-    per = s.groupBy("id").agg(F.count("*").alias("n"), ((F.max("vol") - F.min("vol")) * VOLUME_MIN).alias("minutes"), _residual("xk").alias("rx"), _residual("yk").alias("ry"), _residual("area").alias("ra"), F.avg("area").alias("ma"), _residual("dbz").alias("rd"))
+    s = samples.withColumns({"xk": F.col("x") / 1000e0, "yk": F.col("y") / 1000e0, "minute": _at(samples) / 60})
+    per = s.groupBy("id").agg(F.count("*").alias("n"), _minutes(samples).alias("minutes"), _residual("xk").alias("rx"), _residual("yk").alias("ry"), _residual("area").alias("ra"), F.avg("area").alias("ma"), _residual("dbz").alias("rd"))
     per = per.filter("n >= 3 AND minutes > 0")
     w = F.greatest(F.col("minutes").cast("double"), F.lit(1e-6))
     mean = lambda v: F.sum(v * w) / F.sum(w)
@@ -74,11 +90,21 @@ def linearity(samples: DataFrame) -> DataFrame:
 
 
 def fragmentation(samples: DataFrame) -> DataFrame:
-    per = samples.groupBy("id").agg((F.max("vol") - F.min("vol")).alias("d"), F.min("vol").alias("a"), F.max("vol").alias("b"))
-    hours = lambda c: F.greatest(c * VOLUME_MIN / 60e0, F.lit(1e-6))
+    at = _at(samples)
+    per = samples.groupBy("id").agg((F.max(at) - F.min(at)).alias("d"), F.min(at).alias("a"), F.max(at).alias("b"))
+    hours = lambda c: F.greatest(c / 3600e0, F.lit(1e-6))
     return per.agg((F.count("*") / hours(F.max("b") - F.min("a"))).alias("new_ids_per_hour"), (F.count("*") / hours(F.sum("d"))).alias("ids_per_storm_hour"))
 
 
+def _cells(df: DataFrame, side: str, around: bool = False) -> DataFrame:
+    """`df` with the cell of NEAR_KM (cx, cy) of its points, or those about it as well: near points share one."""
+    at = lambda c: F.floor(F.col(f"{side}{c}") / (NEAR_KM * 1000))
+    if not around:
+        return df.withColumns({"cx": at("x"), "cy": at("y")})
+    near = lambda c: F.explode(F.sequence(at(c) - 1, at(c) + 1))
+    return df.withColumn("cx", near("x")).withColumn("cy", near("y"))
+
+
 def _near(a: str, b: str) -> Column:
     return F.sqrt(F.pow(F.col(f"{a}x") - F.col(f"{b}x"), 2) + F.pow(F.col(f"{a}y") - F.col(f"{b}y"), 2)) / 1000e0
 
@@ -88,7 +114,7 @@ def lifecycle(samples: DataFrame) -> DataFrame:
 
     samples: id, vol, x, y, area, split_from, one row per id and volume. A birth's neighbours are ids alive in its
     volume and the one before, within the smaller of NEAR_KM and the sum of radii; a death's are ids alive in its
-    volume and the next, within NEAR_KM. The first volume has no births, the last no deaths.
+    volume and the next, within NEAR_KM; both meet in cells of that size. The first volume has no births, the last no deaths.
     """
     w = Window.partitionBy("id").orderBy("vol")
     whole = Window.partitionBy("id")
@@ -98,10 +124,10 @@ def lifecycle(samples: DataFrame) -> DataFrame:
     births = s.filter("vol = born AND vol > v0").select("vol", "id", "split_from", *(F.col(c).alias(f"b{c}") for c in ("x", "y", "r")))
     stay = s.filter("after = vol + 1").select((F.col("vol") + 1).alias("vol"), *(F.col(c).alias(f"p{c}") for c in ("x", "y", "r")))
     reach = F.least(F.lit(NEAR_KM), F.col("br") + F.col("pr"))
-    split_like = births.join(stay, "vol").filter(_near("b", "p") <= reach).select("id", "split_from").distinct()
+    split_like = _cells(births, "b", around=True).join(_cells(stay, "p"), ["vol", "cx", "cy"]).filter(_near("b", "p") <= reach).select("id", "split_from").distinct()
     deaths = s.filter("vol = died AND vol < v1").select("vol", "id", *(F.col(c).alias(f"b{c}") for c in ("x", "y")))
     next_ = s.filter("before = vol - 1").select((F.col("vol") - 1).alias("vol"), *(F.col(c).alias(f"p{c}") for c in ("x", "y")))
-    silent = deaths.join(next_, "vol").filter(_near("b", "p") <= NEAR_KM).select("id").distinct()
+    silent = _cells(deaths, "b", around=True).join(_cells(next_, "p"), ["vol", "cx", "cy"]).filter(_near("b", "p") <= NEAR_KM).select("id").distinct()
     count = lambda df, name: df.agg(F.count("*").alias(name))
     out = count(births, "births").crossJoin(split_like.agg(F.count(F.when(F.col("split_from").isNull(), 1)).alias("orphan_births"), F.count("split_from").alias("recorded_splits")))
     out = out.crossJoin(count(deaths, "deaths")).crossJoin(count(silent, "silent_deaths"))  # single rows
@@ -112,7 +138,7 @@ def lifecycle(samples: DataFrame) -> DataFrame:
 def motion(moved: DataFrame, last: int = 4) -> DataFrame:
     """Time-weighted mean velocity of the last displacements, those faster than a storm left out."""
     ok = moved.filter(F.col("speed") <= IMPOSSIBLE_MS)
-    w = Window.partitionBy("id").orderBy("vol").rowsBetween(-(last - 1), 0)
+    w = Window.partitionBy("id").orderBy(_at(ok)).rowsBetween(-(last - 1), 0)
     return ok.select("id", "vol", *((F.sum(c).over(w) / F.sum("dt").over(w)).alias(v) for c, v in (("dx", "u_ms"), ("dy", "v_ms"))))
 
 

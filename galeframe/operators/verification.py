@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galeframe.functions.geo import haversine_km
+from galeframe.functions.geo import haversine_km, in_ring
 
 MATCH_KM, WITHIN_MIN, SITE_KM = 15.0, 15, 140.0
 
@@ -22,6 +22,20 @@ def matched(objects: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> Dat
     return o.join(r, ["vol", "cx", "cy"]).filter(gap <= size).select("vol", "obj", "report_id")
 
 
+def inside(rings: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> DataFrame:
+    """Pairs (obj, report_id) of a volume with the report in a ring (xs, ys) of the object; they meet in cells of some km."""
+    size = km * 1000
+    span = lambda c: F.explode(F.sequence(F.floor(F.array_min(c) / size), F.floor(F.array_max(c) / size)))
+    o = rings.select("obj", "vol", "xs", "ys", span("xs").alias("cx")).withColumn("cy", span("ys"))
+    r = reports.select("report_id", "vol", "x", "y").withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
+    return o.join(r, ["vol", "cx", "cy"]).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).select("vol", "obj", "report_id")
+
+
+def matched_or_inside(objects: DataFrame, reports: DataFrame, rings: DataFrame, km: float = MATCH_KM) -> DataFrame:
+    """Pairs of one volume within some km, or with the report inside a ring (obj, vol, xs, ys) of the object."""
+    return matched(objects, reports, km).union(inside(rings, reports, km)).distinct()
+
+
 def contingency(objects: DataFrame, reports: DataFrame, pairs: DataFrame) -> DataFrame:
     """Detected reports, hits, false alarms, POD, FAR and CSI; a ratio without a base is 0."""
     one = lambda df, c, n: df.agg(F.count_distinct(c).alias(n))

@@ -70,6 +70,43 @@ def fragmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(T.fragmentation(samples(spark, sf_dir)), "new_ids_per_hour", "ids_per_storm_hour")
 
 
+#: Volumes at uneven times: every score by the clock, compared with SQL's own regressions.
+_CT = with_views("obs") + ", o AS (SELECT *, vol * 300 + (vol * vol * 37) % 120 AS t FROM obs), c AS (SELECT track_id AS id, t, sum(greatest(area, 1e-9) * seed_x) / sum(greatest(area, 1e-9)) AS x, sum(greatest(area, 1e-9) * seed_y) / sum(greatest(area, 1e-9)) AS y, sum(area) AS area, max(dbz) AS dbz, max(vol) AS vol FROM o WHERE track_id >= 0 GROUP BY ALL), s0 AS (SELECT id, vol, t, x - lag(x) OVER w AS dx, y - lag(y) OVER w AS dy, t - lag(t) OVER w AS dt FROM c WINDOW w AS (PARTITION BY id ORDER BY t)), s AS (SELECT *, sqrt(dx * dx + dy * dy) / dt AS speed FROM s0 WHERE dt > 0)"
+
+
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.col("vol") * 300 + (F.col("vol") * F.col("vol") * 37) % 120
+    return T.collapsed(view(spark, sf_dir, "obs").withColumn("t", at), "track_id")
+
+
+@query(_CT + " SELECT count(*) AS n, round(avg(speed), 6) AS mean_ms, round(quantile_cont(speed, 0.95), 6) AS p95_ms, count(*) FILTER (WHERE speed > 45) AS impossible FROM s")
+def timed_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(T.speed_summary(T.steps(timed(spark, sf_dir))), "mean_ms", "p95_ms")
+
+
+@query(_CT + ", m AS (SELECT *, (t - min(t) OVER (PARTITION BY id)) / 60e0 AS m FROM c) SELECT id, vol, round(CASE WHEN count(*) OVER r >= 2 THEN regr_slope(area, m) OVER r ELSE regr_slope(area, m) OVER b END, 5) AS area_trend, round(CASE WHEN count(*) OVER r >= 2 THEN regr_slope(dbz, m) OVER r ELSE regr_slope(dbz, m) OVER b END, 5) AS dbz_trend FROM m WINDOW r AS (PARTITION BY id ORDER BY m RANGE BETWEEN 30 PRECEDING AND CURRENT ROW), b AS (PARTITION BY id ORDER BY m ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)")
+def timed_trend30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = T.trends(timed(spark, sf_dir), ("area", "dbz")).select("id", "vol", "area_trend", "dbz_trend")
+    return rounded(out, "area_trend", "dbz_trend", places=5)
+
+
+@query(_CT + ", p AS (SELECT id, (max(t) - min(t)) / 60e0 AS m, count(*) AS n FROM c GROUP BY id) SELECT count(*) AS tracks, round(avg(m), 6) AS mean_min, round(median(m), 6) AS median_min, round(max(m), 6) AS max_min, round((SELECT count(*) FROM p) / greatest((SELECT max(t) - min(t) FROM c) / 3600e0, 1e-6), 6) AS new_ids_per_hour, round(count(*) / greatest(sum(m) / 60e0, 1e-6), 6) AS ids_per_storm_hour FROM p")
+def timed_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = timed(spark, sf_dir)
+    d = T.durations(s).select("tracks", "mean_min", "median_min", "max_min")
+    return rounded(d.crossJoin(T.fragmentation(s)), "mean_min", "median_min", "max_min", "new_ids_per_hour", "ids_per_storm_hour")  # single rows
+
+
+@query(_CT + ", p AS (SELECT id, count(*) AS n, (max(t) - min(t)) / 60e0 AS m, sqrt(var_pop(x / 1000e0) * (1 - regr_r2(x, t)) + var_pop(y / 1000e0) * (1 - regr_r2(y, t))) AS r, sqrt(greatest(var_pop(area) * (1 - regr_r2(area, t)), 0)) AS ra, avg(area) AS ma FROM c GROUP BY id HAVING count(*) >= 3) SELECT count(*) AS n_fit, round(sum(r * m) / sum(m), 5) AS pos_rms_km, round(sum(ra / ma * m) / sum(m), 5) AS area_rms_frac FROM p")
+def timed_linearity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(T.linearity(timed(spark, sf_dir)).select("n_fit", "pos_rms_km", "area_rms_frac"), "pos_rms_km", "area_rms_frac", places=5)
+
+
+@query(_CT + " SELECT id, vol, round(sum(dx) OVER w / sum(dt) OVER w, 6) AS u_ms, round(sum(dy) OVER w / sum(dt) OVER w, 6) AS v_ms FROM s WHERE speed <= 45 WINDOW w AS (PARTITION BY id ORDER BY t ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)")
+def timed_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(T.motion(T.steps(timed(spark, sf_dir))), "u_ms", "v_ms")
+
+
 #: Lives of a few volumes, so that births and deaths happen: the last observation of each id and volume.
 _LIFE = with_views("obs") + ", q AS (SELECT track_id * 1000 + vol // 12 AS id, vol, seed_x AS x, seed_y AS y, area, split_from, row_number() OVER (PARTITION BY track_id, vol ORDER BY obs_id DESC) AS r FROM obs), s0 AS (SELECT * FROM q WHERE r = 1), s AS (SELECT *, min(vol) OVER (PARTITION BY id) AS born, max(vol) OVER (PARTITION BY id) AS died, lag(vol) OVER w AS bef, lead(vol) OVER w AS aft, sqrt(greatest(area, 0) / pi()) AS rad, min(vol) OVER () AS v0, max(vol) OVER () AS v1 FROM s0 WINDOW w AS (PARTITION BY id ORDER BY vol)), births AS (SELECT * FROM s WHERE vol = born AND vol > v0), deaths AS (SELECT * FROM s WHERE vol = died AND vol < v1), sp AS (SELECT DISTINCT b.id, b.split_from FROM births b JOIN s p ON p.aft = p.vol + 1 AND p.vol + 1 = b.vol AND sqrt(pow(b.x - p.x, 2) + pow(b.y - p.y, 2)) / 1000e0 <= least(20e0, b.rad + p.rad)), si AS (SELECT DISTINCT d.id FROM deaths d JOIN s p ON p.bef = p.vol - 1 AND p.vol - 1 = d.vol AND sqrt(pow(d.x - p.x, 2) + pow(d.y - p.y, 2)) / 1000e0 <= 20)"
 
@@ -134,6 +171,18 @@ def report_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.matched(*_objects(spark, sf_dir))
 
 
+#: Envelopes: a diamond of 25 km about each object.
+_INSIDE = with_views("obs", "report") + " SELECT o.vol, o.obs_id AS obj, r.report_id FROM obs o JOIN report r ON o.vol = r.vol AND r.kind IN ('T', 'H', 'G', 'D') AND (sqrt(pow(o.seed_x - r.x, 2) + pow(o.seed_y - r.y, 2)) <= 15000 OR abs(o.seed_x - r.x) + abs(o.seed_y - r.y) < 25000.5)"
+
+
+@query(_INSIDE)
+def report_match_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, r = _objects(spark, sf_dir)
+    x, y, d = F.col("seed_x"), F.col("seed_y"), F.lit(25000.5)
+    rings = o.select("obj", "vol", F.array(x + d, x, x - d, x).alias("xs"), F.array(y, y + d, y, y - d).alias("ys"))
+    return V.matched_or_inside(o, r, rings)
+
+
 @query(_MATCH + ", t AS (SELECT (SELECT count(*) FROM obs) AS objects, (SELECT count(*) FROM r) AS reports, (SELECT count(DISTINCT report_id) FROM p) AS detected, (SELECT count(DISTINCT obj) FROM p) AS hits) SELECT *, objects - hits AS false_alarms, round(detected / nullif(reports, 0)::DOUBLE, 9) AS pod, round((objects - hits) / nullif(objects, 0)::DOUBLE, 9) AS far, round(detected / nullif(reports + objects - hits, 0)::DOUBLE, 9) AS csi FROM t")
 def contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, r = _objects(spark, sf_dir)
