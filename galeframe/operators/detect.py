@@ -25,11 +25,12 @@ class Gates:
 
 @dataclass(frozen=True)
 class LadderParams:
-    """Thresholds of the detector, the fewest pixels of a feature, and the contour that bounds footprints."""
+    """Thresholds of the detector, the fewest pixels of a feature, the contour that bounds footprints, and the grid's step."""
 
     thresholds: tuple[float, ...] = (30.0, 35.0, 40.0, 45.0, 50.0, 55.0, 60.0)
     n_min: int = 20
     base_dbz: float = 30.0
+    cell_km: float = 1.0
     gates: Gates = Gates()
 
 
@@ -151,12 +152,12 @@ def _detect_volume(pdf: pd.DataFrame, p: LadderParams) -> pd.DataFrame:
         pdf["feature"] = [owner.get(tuple(c), 0) for c in cells.tolist()]
         for k, f in enumerate(features, 1):
             own = pdf[pdf["feature"] == k]
-            low = values[f].min()
-            w = values[f] - low + 1e-9
+            level = max(t for t in p.thresholds if t <= values[f].min())  # the threshold that gave the feature
+            w = values[f] - level + 1e-9
             top = own["etop_km"].max()
             if pd.isna(top):
                 continue
-            rows.append((k, float(np.average(cells[f, 1], weights=w)), float(np.average(cells[f, 0], weights=w)), float(own["colmax"].max()), float(len(own)), float(top), float(own["ebase_km"].min()), int(own["nlev_seed"].max()), own["iy"].astype("int64").tolist(), own["ix"].astype("int64").tolist()))
+            rows.append((k, float(np.average(cells[f, 1], weights=w)), float(np.average(cells[f, 0], weights=w)), float(own["colmax"].max()), len(own) * p.cell_km**2, float(top), float(own["ebase_km"].min()), int(own["nlev_seed"].max()), own["iy"].astype("int64").tolist(), own["ix"].astype("int64").tolist()))
     out = pd.DataFrame(rows, columns=["obj", "cx", "cy", "max_dbz", "area_km2", "etop_km", "ebase_km", "n_levels", "pix_y", "pix_x"])
     keys = [pdf["site"].iloc[0], pdf["vol"].iloc[0]]
     out.insert(0, "site", keys[0])

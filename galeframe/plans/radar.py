@@ -128,4 +128,4 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The multi-threshold detector with its gates, over columns smoothed to blocks of 4 km so that objects have a size."""
     c = columns(spark, sf_dir).withColumns({"iy": F.floor(F.col("iy") / 4), "ix": F.floor(F.col("ix") / 4)})
     coarse = c.groupBy("site", "vol", "iy", "ix").agg(F.max("colmax").alias("colmax"), F.max("etop_km").alias("etop_km"), F.min("ebase_km").alias("ebase_km"), F.max("nlev_seed").alias("nlev_seed"))
-    return D.detect(coarse, D.LadderParams(n_min=5))
+    return D.detect(coarse, D.LadderParams(n_min=5, cell_km=4.0))

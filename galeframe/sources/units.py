@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,15 @@ def decoded(units: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]
     return rows.filter(~broken).select(*keep, *fields), rows.filter(broken).select(*units.columns)
 
 
-def with_attempts(units: DataFrame, fails: Column, most: int = MAX_ATTEMPTS) -> DataFrame:
-    """`units` with the attempts that each takes, and whether it ends as a dead letter."""
-    return units.withColumns({"attempts": F.when(fails, most).otherwise(1), "dead": F.coalesce(fails, F.lit(False))})
+def with_attempts(units: DataFrame, fails: Column | Callable[[int], Column], most: int = MAX_ATTEMPTS) -> DataFrame:
+    """`units` with the attempts that each takes, and whether it ends as a dead letter after `most` of them.
+
+    `fails`: whether an attempt fails, or a function of the attempt's number (from 1) that gives this. An attempt is made
+    only if those before failed; a null is no failure.
+    """
+    failed = [F.coalesce(fails(k) if callable(fails) else fails, F.lit(False)) for k in range(1, most + 1)]
+    rows = units.withColumn("_good_at", F.coalesce(*(F.when(~f, k) for k, f in enumerate(failed, 1)), F.lit(0)))
+    return rows.withColumns({"attempts": F.when(F.col("_good_at") == 0, most).otherwise(F.col("_good_at")), "dead": F.col("_good_at") == 0}).drop("_good_at")
 
 
 def not_yet_in(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

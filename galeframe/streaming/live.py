@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import pickle
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from galeframe.functions.bulletins import REMOVE
 from galeframe.operators.tracker import OUTPUT, Tracker, TrackerParams, run_volumes, tracked_columns
-from galeframe.sources.units import MAX_ATTEMPTS, decoded, not_yet_in
+from galeframe.sources.units import decoded, not_yet_in, with_attempts
 
 
 def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:  # noqa: B008
@@ -38,12 +39,13 @@ def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:
 
 EVENTS = "key string, kind string, seq bigint, pos int, ugc string, ring string"
 STATE = "segments string"
+FORGET_S, LAST = 7 * 86400, 2**31 - 1
 
 
 def folded(segments: list) -> dict[tuple, tuple]:
-    """The event (kind, ugc, ring) of each segment (seq, pos, action, ugc, ring) of a key that has one, by (seq, pos)."""
+    """The event (kind, ugc, ring) of each segment (seq, pos, action, ugc, ring, end) of a key that has one, by (seq, pos)."""
     ugc, ring, active, out = None, None, False, {}
-    for seq, pos, action, zones, own in segments:
+    for seq, pos, action, zones, own, _ in segments:
         if action in REMOVE:
             if active:
                 out[seq, pos] = ("removed", ugc, ring)
@@ -55,30 +57,45 @@ def folded(segments: list) -> dict[tuple, tuple]:
     return out
 
 
-def hazard_events(segments: DataFrame) -> DataFrame:
+def hazard_events(segments: DataFrame, expire: bool = False) -> DataFrame:
     """new, update and removed events of a stream of segments (key, seq, pos, action, ugc, ring as text).
 
     Segments apply in the order of (seq, pos), one of each; a follow-up without a ring keeps the last one. A key's state is
     its segments. One that comes after a later one of its key is put in its place, and the events that this changes go out
     again, as `void` where none is left: of several events of one (key, seq, pos) the last counts.
+
+    With `expire`, segments have an end as `ends` (timestamp). A hazard that is active when the clock passes its last
+    segment's end goes out as `expired`, at pos LAST, and its state goes; one without an end never expires. The state of a
+    removed hazard goes after FORGET_S. What comes for a key later starts it anew.
     """
+    names = [c.split()[0] for c in EVENTS.split(", ")]
+    clock = GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = json.loads(state.get[0]) if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(key[0], "expired", held[-1][0], LAST, held[-1][3], held[-1][4])] if held[-1][2] not in REMOVE else [], columns=names)
+            return
         places = {(s[0], s[1]): s for s in held}
         for r in pd.concat(list(frames)).itertuples(index=False):
-            places.setdefault((int(r.seq), int(r.pos)), [int(r.seq), int(r.pos), r.action, r.ugc, r.ring])
+            ends = None if not expire or pd.isna(r.ends) else pd.Timestamp(r.ends).timestamp()
+            places.setdefault((int(r.seq), int(r.pos)), [int(r.seq), int(r.pos), r.action, r.ugc, r.ring, ends])
         whole = [places[k] for k in sorted(places)]
         before, after = folded(held), folded(whole)
         state.update((json.dumps(whole),))
+        if expire:
+            left = FORGET_S if whole[-1][2] in REMOVE else None if whole[-1][5] is None else whole[-1][5] - time.time()
+            if left is not None:
+                state.setTimeoutDuration(max(1, int(left * 1000)))
         rows = []
         for k in sorted(before.keys() | after.keys()):
             if before.get(k) != after.get(k):
                 kind, ugc, ring = after.get(k, ("void", None, None))
                 rows.append((key[0], kind, *k, ugc, ring))
-        yield pd.DataFrame(rows, columns=["key", "kind", "seq", "pos", "ugc", "ring"])
+        yield pd.DataFrame(rows, columns=names)
 
-    return segments.groupBy("key").applyInPandasWithState(run, EVENTS, STATE, "append", GroupStateTimeout.NoTimeout)
+    return segments.groupBy("key").applyInPandasWithState(run, EVENTS, STATE, "append", clock)
 
 
 def last_events(events: DataFrame, batch: str = "batch") -> DataFrame:
@@ -100,21 +117,29 @@ def deduplicated(units: DataFrame, keys: list[str], time: str, late: str = "10 m
     return units.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
+DONE = "site string, volume_epoch bigint, vcp int, attempts int, day bigint, batch bigint"
+
+
 def unit_sink(spark, done: str, dead: str, fails, body: str = "body"):
-    """A foreachBatch sink of work units: what can't be processed in MAX_ATTEMPTS goes to `dead`, the rest once to `done`.
+    """A foreachBatch sink of work units. Those that fail MAX_ATTEMPTS times go to `dead`, bodies that can't be read to
+    `<dead>-malformed`, the rest once to `done`, with the attempts that they took (see `with_attempts` for `fails`).
 
-    A batch that runs again inserts nothing twice: a key is inserted only if the table lacks it.
+    A batch that runs again inserts nothing twice: a key is inserted only if no earlier batch did. `done` is partitioned by
+    day of the volume and batch, and a batch reads the days of its own units only; days may be deleted once no unit of
+    them can come again.
     """
+    spark.createDataFrame([], DONE).write.mode("append").partitionBy("day", "batch").parquet(done)
 
     def put(batch: DataFrame, number: int) -> None:
-        good, _ = decoded(batch, body)
-        good = good.withColumn("dead", F.coalesce(fails, F.lit(False)))
-        bad = good.filter("dead").select("site", "volume_epoch", F.lit(MAX_ATTEMPTS).alias("attempts"))
-        bad.write.mode("overwrite").parquet(f"{dead}/batch={number}")
-        fresh = good.filter("NOT dead").select("site", "volume_epoch", "vcp")
-        earlier = [f"{done}/batch={i}" for i in range(number)]
-        known = spark.read.schema("site string, volume_epoch bigint").parquet(*earlier) if earlier else spark.createDataFrame([], "site string, volume_epoch bigint")
-        not_yet_in(fresh, known, ["site", "volume_epoch"]).write.mode("overwrite").parquet(f"{done}/batch={number}")
+        good, malformed = decoded(batch, body)
+        malformed.write.mode("overwrite").parquet(f"{dead}-malformed/batch={number}")
+        good = with_attempts(good, fails).withColumn("day", F.floor(F.col("volume_epoch") / 86400))
+        good.filter("dead").select("site", "volume_epoch", "attempts").write.mode("overwrite").parquet(f"{dead}/batch={number}")
+        fresh = good.filter("NOT dead").select("site", "volume_epoch", "vcp", "attempts", "day", F.lit(number).cast("long").alias("batch"))
+        days = [r.day for r in fresh.select("day").distinct().collect()]  # a few, to prune folders by
+        known = spark.read.schema(DONE).parquet(done).filter(F.col("day").isin(days) & (F.col("batch") < number)).select("site", "volume_epoch")
+        new = not_yet_in(fresh, known, ["site", "volume_epoch"])
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(done)
 
     return put
 

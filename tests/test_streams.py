@@ -136,6 +136,37 @@ def test_units_go_once_to_one_place(spark):
     assert [(r.site, r.attempts) for r in spark.read.parquet(dead).collect()] == [("KPOISON", 3)]
 
 
+def test_units_are_tried_again(spark):
+    done, dead = new_folder(spark, "done"), new_folder(spark, "dead")
+    body = lambda s, e: json.dumps({"site": s, "volume_epoch": e, "vcp": 12})
+    put = S.unit_sink(spark, done, dead, lambda k: (F.col("site") == "DEAD") | ((F.col("site") == "SLOW") & F.lit(k < 3)))
+    put(spark.createDataFrame([(body(s, 86400 * i),) for i, s in enumerate(["DEAD", "SLOW", "FINE"])] + [("{oops",), (None,)], "body string"), 0)
+    put(spark.createDataFrame([(body("SLOW", 86400),), (body("FINE", 5),)], "body string"), 1)
+    assert sorted((r.site, r.volume_epoch, r.attempts, r.batch) for r in spark.read.parquet(done).collect()) == [("FINE", 5, 1, 1), ("FINE", 172800, 1, 0), ("SLOW", 86400, 3, 0)]
+    assert [(r.site, r.attempts) for r in spark.read.parquet(dead).collect()] == [("DEAD", 3)]
+    assert sorted(str(r.body) for r in spark.read.parquet(dead + "-malformed").collect()) == ["None", "{oops"]
+
+
+def test_hazards_expire_by_the_clock(spark):
+    table, where = new_folder(spark, "segments"), new_folder(spark, "events")
+    schema = "key string, seq bigint, pos int, action string, ugc string, ring string, ends double"
+    now = time.time()
+    rows = [("past", 1, 0, "NEW", "A", None, now - 60), ("soon", 2, 0, "NEW", "B", None, now + 8), ("open", 3, 0, "NEW", "C", None, None), ("gone", 4, 0, "NEW", "D", None, now + 3), ("gone", 5, 0, "CAN", "D", None, now + 3)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(table)
+    stream = spark.readStream.schema(schema).parquet(table).withColumn("ends", F.timestamp_seconds("ends"))
+    q = S.hazard_events(stream, expire=True).writeStream.foreachBatch(put_batch(where)).option("checkpointLocation", where + "-c").trigger(processingTime="1 second").start()
+    seen = lambda: sorted((r.key, r.kind) for r in S.last_events(spark.read.parquet(where)).collect())
+    want = sorted([("past", "new"), ("past", "expired"), ("soon", "new"), ("soon", "expired"), ("open", "new"), ("gone", "new"), ("gone", "removed")])
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if q.lastProgress and q.lastProgress["batchId"] > 1 and seen() == want:
+                break
+    finally:
+        q.stop()
+    assert seen() == want
+
+
 def test_announcement_and_settings(spark):
     df = spark.createDataFrame([(1, 0.0, i, 0.0, 0.0, float(i)) for i in range(9)], "site int, t double, cell_id long, x double, y double, dbz double")
     body = json.loads(S.announcement(df, 3).first().body)
