@@ -7,7 +7,8 @@ document marks a window about as long as the item; overlapping windows of one it
 with the words of each. Match scores 2, mismatch and gap -1; similarity is the best score by that of the whole item.
 
 The items' n-grams are broadcast. Their size is checked: a larger benchmark is dealt by item into blocks of at most
-BLOCK_WORDS words, one after another, each against all documents. Items are never cut.
+BLOCK_WORDS words. Each is matched with all documents, its result written and its broadcast freed before the next is read, so driver
+and workers hold one block. Items are never cut.
 
 Edge cases: null or empty texts, and items of fewer than 3 words, match nothing. Words are runs of letters, digits and
 non-ASCII signs, A-Z as a-z. Items with a null item_id are matched, and shown with a null. Repeated documents are
@@ -16,17 +17,20 @@ reported each, repeated items once. Other columns are ignored. An empty table of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from galeframe.llm import kernels
+from galeframe.llm.staging import staged
 
 SEED_WORDS, MATCH, OTHER, GAP = 3, 2, -1, -1
 SIMILARITY, LEAST_SCORE = 0.4, 12
@@ -160,15 +164,15 @@ def leaks(items: Items, w: kernels.Words, hashes: np.ndarray) -> list[tuple[int,
     return [(r, o, *v) for (r, o), v in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The distinct items, in blocks of a size that can be broadcast."""
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[Items, int]]:
+    """The distinct items, in blocks of a size that can be broadcast, each with the number of blocks."""
     rows = benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + int(total) // (2 * BLOCK_WORDS)
     for i in range(n):
         got = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).orderBy("item_id", "text").toArrow() if n > 1 else rows.orderBy("item_id", "text").toArrow()
         if got.num_rows:
-            yield Items.of(got["item_id"].to_pylist(), got["text"].to_pylist())
+            yield Items.of(got["item_id"].to_pylist(), got["text"].to_pylist()), n
 
 
 def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
@@ -188,26 +192,32 @@ def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, len(counts))), pa.array(np.append(counts[at], rows))], ["gram", "n"])
 
     found = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
     counts = np.zeros(len(items.grams) + 1, dtype=np.int64)
     counts[found["gram"].to_numpy()] = found["n"].to_numpy()
     return counts[np.searchsorted(items.grams, items.grams)], int(counts[-1])
 
 
-def _seeded(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
-    for items in _blocks(benchmark):
-        yield items.rarest(*_counted(docs, items))
+def _by_block(docs: DataFrame, benchmark: DataFrame, made: Callable[[Broadcast], DataFrame]) -> Iterator[DataFrame]:
+    """What is made of each block of items and its seeds. Of several blocks, each is done with before the next begins."""
+    for items, n in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items.rarest(*_counted(docs, items)))
+        out = made(shared)
+        if n == 1:
+            yield out
+        else:
+            yield staged(out, "leaks")
+            shared.destroy()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, first_word and last_word of each item's best match in each row of `docs`."""
-    spark = docs.sparkSession
     id_type, item_type = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("item_id", item_type), T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType())])
-    out, item_kind = spark.createDataFrame([], schema), to_arrow_type(item_type)
-    for items in _seeded(docs, benchmark):
-        shared = spark.sparkContext.broadcast(items)
+    item_kind = to_arrow_type(item_type)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def of(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in batches:
                 item_ids = pa.array(own.ids, item_kind)
@@ -217,16 +227,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         ids = batch.column("doc_id").take(pa.array([chunk.first + x for x in r]))
                         yield pa.RecordBatch.from_arrays([ids, item_ids.take(pa.array(o)), pa.array(share), pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema.names)
 
-        out = out.union(docs.select("doc_id", "text").mapInArrow(run, schema))
-    return out
+        return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+    return reduce(DataFrame.union, _by_block(docs, benchmark, of), docs.sparkSession.createDataFrame([], schema))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, in which no test item leaks."""
-    for items in list(_seeded(docs, benchmark)):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    rest = docs
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def of(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
@@ -235,5 +246,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         clean[chunk.first + r] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return rest.mapInArrow(run, docs.schema)
+
+    for left in _by_block(docs, benchmark, of):
+        rest = left
+    return rest

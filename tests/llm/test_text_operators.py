@@ -290,3 +290,18 @@ def test_stretches_leave_out_no_match():
             through = {(r, m) for r, a, b in scanner._stretches(hashes, ids, w.rows) for m in scanner.automaton.matches(ids[a:b].tolist(), a)}
             whole = {(r, m) for r in range(2) for m in scanner.automaton.matches(ids[w.rows[r] : w.rows[r + 1]].tolist(), int(w.rows[r]))}
             assert through == whole
+
+
+def test_blocks_of_a_benchmark_find_what_one_finds(spark, make_docs, monkeypatch):
+    """Many small blocks, each finished before the next, give the leaks and the clean rows of a single one."""
+    items = [(i, prose(100 + i, 30)) for i in range(12)] + [(99, None), (98, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [f"{prose(i, 60)} {items[i % 12][1] if i % 3 else ''} {prose(i + 50, 20)}" for i in range(24)] + [None, ""]
+    docs = make_docs(list(enumerate(texts)))
+    found = lambda: sorted(map(tuple, D.find_leaks(docs, bench).collect()))
+    left = lambda: sorted(r.doc_id for r in D.decontaminated(docs, bench).collect())
+    whole, clean = found(), left()
+    assert {(d, i) for d, i, *_ in whole} >= {(i, i % 12) for i in range(24) if i % 3} and {24, 25} <= set(clean)
+    monkeypatch.setattr(D, "BLOCK_WORDS", 300)
+    assert next(iter(D._blocks(bench)))[1] > 3
+    assert found() == whole and left() == clean
