@@ -1,16 +1,19 @@
 """The overlap tracker: cells follow the track whose advected footprint they share most with, through splits and merges.
 
-Footprints are sets of grid cells and move by whole cells (half a cell of error at most). One site is one group.
+Footprints are sets of grid cells and move by whole cells (half a cell of error at most). Volumes stream in order past a site's tracks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from math import hypot
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from galeframe.operators.ordered import by_volume
+
 
 @dataclass(frozen=True)
 class OverlapParams:
@@ -50,7 +53,7 @@ class Track:
         dt, velocity, moves = t - self.t, self.velocity, self.moves
         if dt > 0:
             v = ((c.x - self.cell.x) / dt, (c.y - self.cell.y) / dt)
-            if np.hypot(*v) <= p.max_ms:
+            if hypot(*v) <= p.max_ms:
                 moves = (*moves, (*v, dt))[-p.moves :]
                 velocity = tuple(float(np.average([m[k] for m in moves], weights=[m[2] for m in moves])) for k in (0, 1))
         return replace(self, t=t, cell=c, velocity=velocity, moves=moves, samples=min(self.samples + 1, p.history), missed=0)
@@ -74,10 +77,10 @@ class OverlapTracker:
     def score(self, tr: Track, c: Cell, t: float, gate_km: float) -> float | None:
         """Shared footprint, and a little for nearness; none if too fast, or neither overlapping nor near."""
         dt = t - tr.t
-        if dt > 0 and np.hypot(c.x - tr.cell.x, c.y - tr.cell.y) / dt > self.p.max_ms:
+        if dt > 0 and hypot(c.x - tr.cell.x, c.y - tr.cell.y) / dt > self.p.max_ms:
             return None
         dx, dy = tr.velocity[0] * dt, tr.velocity[1] * dt
-        d = float(np.hypot(c.x - tr.cell.x - dx, c.y - tr.cell.y - dy)) / 1000
+        d = hypot(c.x - tr.cell.x - dx, c.y - tr.cell.y - dy) / 1000
         iou = 0.0
         if tr.cell.pixels and c.pixels:
             sy, sx = (int(np.rint(v / 1000 / self.p.grid_km)) for v in (dy, dx))
@@ -135,9 +138,10 @@ TRACKS = "t double, cell_id long, track_id long, lineage_id long, split_from lon
 EVENTS = "t double, kind string, track_ids array<long>, child_ids array<long>, lineage_id long"
 
 
-def _run(pdf: pd.DataFrame, p: OverlapParams) -> tuple[list[tuple], list[tuple]]:
-    tracker, rows = OverlapTracker(p), []
-    for t, own in pdf.sort_values(["t", "cell_id"]).groupby("t"):
+def run_volumes(tracker: OverlapTracker, pdf: pd.DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """Tracks of the cells of the volumes of `pdf`, oldest first, and what happened to the tracks."""
+    rows, tracker.events = [], []
+    for t, own in pdf.groupby("t"):
         cells = []
         for r in own.itertuples(index=False):
             pixels = frozenset(zip(r.pix_y, r.pix_x, strict=True)) if r.pix_y is not None else frozenset()
@@ -148,11 +152,9 @@ def _run(pdf: pd.DataFrame, p: OverlapParams) -> tuple[list[tuple], list[tuple]]
 
 def overlap_tracks(cells: DataFrame, p: OverlapParams = OverlapParams(), events: bool = False) -> DataFrame:  # noqa: B008
     """Tracks of each cell (site, t, cell_id, x, y, area, pix_y, pix_x), or the births, splits, merges and deaths."""
-    kind, schema = cells.schema["site"].dataType.simpleString(), EVENTS if events else TRACKS
+    schema = EVENTS if events else TRACKS
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(_run(pdf, p)[int(events)], columns=[c.split()[0] for c in schema.split(", ")])
-        out.insert(0, "site", pdf["site"].iloc[0])
-        return out
+    def feed(tracker: OverlapTracker, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(run_volumes(tracker, pdf)[int(events)], columns=[c.split()[0] for c in schema.split(", ")])
 
-    return cells.select("site", "t", "cell_id", "x", "y", "area", "pix_y", "pix_x").groupBy("site").applyInPandas(run, f"site {kind}, {schema}")
+    return by_volume(cells.select("site", "t", "cell_id", "x", "y", "area", "pix_y", "pix_x"), lambda: OverlapTracker(p), feed, schema)

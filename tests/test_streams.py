@@ -172,3 +172,24 @@ def test_announcement_and_settings(spark):
     body = json.loads(S.announcement(df, 3).first().body)
     assert body["n"] == 9 and [c["cell_id"] for c in body["cells"]] == [8, 7, 6]
     assert S.settings_hash({"b": 1, "a": 2}) == S.settings_hash({"a": 2, "b": 1}) and len(S.settings_hash({})) == 16
+
+
+def test_volumes_stream_past_their_site_in_order(spark):
+    from galeframe.operators.ordered import by_volume
+
+    rows = [(s, float(t), c) for s in (1, 2, None) for t in range(40) for c in range(3)] + [(1, None, 7), (2, float("nan"), 7)]
+    table = spark.createDataFrame(rows, "site long, t double, cell_id long").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def feed(seen, pdf):
+        seen += pdf["t"].drop_duplicates().tolist()
+        assert seen == sorted(seen) and (pdf.groupby("t").size() == 3).all()
+        return pdf[["t"]].assign(n=len(seen)).drop_duplicates("t")
+
+    for size in (7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = by_volume(table, list, feed, "t double, n long").collect()
+        assert sorted((str(r.site), r.t) for r in got) == sorted((str(s), float(t)) for s in (1, 2, None) for t in range(40))
+        assert {(str(r.site), r.n) for r in got if r.t == 39} == {("1", 40), ("2", 40), ("None", 40)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert by_volume(table.limit(0), list, feed, "t double, n long").collect() == []
