@@ -66,6 +66,13 @@ def poly_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments(spark, sf_dir).select("bulletin_id", F.col("poly").isNotNull().alias("has_polygon"))
 
 
+#: Segments with zones and ring as texts.
+HAZARDS = _POLY + _UGC + (
+    ", ring AS (SELECT bulletin_id, '[' || array_to_string(list_transform(range(1, len(v), 2), lambda i: '{\"lon\":' || (-v[i + 1] / 100e0)::VARCHAR || ',\"lat\":' || (v[i] / 100e0)::VARCHAR || '}'), ',') || ']' AS ring FROM n)"
+    f", h AS (SELECT key, seg.bulletin_id AS seq, instr(text, regexp_extract(text, '{_V}'))::INT AS pos, action, action IN ('CAN', 'EXP', 'UPG') AS gone, array_to_string(codes, ',') AS ugc, ring FROM seg JOIN z USING (bulletin_id) LEFT JOIN ring USING (bulletin_id))"
+)
+
+
 _STATE = _SEG + ", a AS (SELECT *, action IN ('CAN', 'EXP', 'UPG') AS gone, coalesce(sum((action IN ('CAN', 'EXP', 'UPG'))::INT) OVER (PARTITION BY key ORDER BY bulletin_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life FROM seg), s AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY bulletin_id DESC) AS n, row_number() OVER (PARTITION BY key, life ORDER BY bulletin_id) AS m, count(*) FILTER (WHERE text LIKE '%LAT...LON%') OVER (PARTITION BY key, life ORDER BY bulletin_id) AS polys FROM a)"
 _ACTIVE = _STATE + ", act AS (SELECT * FROM s WHERE n = 1 AND NOT gone)"
 

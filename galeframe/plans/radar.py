@@ -108,18 +108,30 @@ def seed_base_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.majority_parent(c.select("site", "vol", block(10).alias("seed"), block(15).alias("base")))
 
 
+_SPREAD = COLUMNS.replace("WITH", "WITH RECURSIVE", 1) + (
+    ", m AS (SELECT site, vol, iy, ix FROM col WHERE colmax >= 40)"
+    ", spread AS (SELECT *, iy * 1000 + ix AS root FROM m UNION SELECT m.*, s.root FROM (SELECT site, vol, iy + dy AS iy, ix + dx AS ix, root FROM spread, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dy, dx)) s JOIN m ON m.site = s.site AND m.vol = s.vol AND m.iy = s.iy AND m.ix = s.ix AND s.root < m.iy * 1000 + m.ix)"
+    ", owned AS (SELECT site, vol, iy, ix, min(root) AS root FROM spread GROUP BY ALL)"
+)
 
 
-@query()
+@query(_SPREAD + " SELECT site, vol, dense_rank() OVER (PARTITION BY site, vol ORDER BY root) AS label, count(*) AS n, min(iy) AS iy0, min(ix) AS ix0 FROM owned GROUP BY site, vol, root")
 def components_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of 4-connected components of the 40 dBZ mask; tests compare them with a flood fill."""
+    """Sizes of 4-connected components of the 40 dBZ mask."""
     mask = columns(spark, sf_dir).filter("colmax >= 40").select("site", "vol", "iy", "ix")
     return D.label_columns(mask).groupBy("site", "vol", "label").agg(F.count("*").alias("n"), F.min("iy").alias("iy0"), F.min("ix").alias("ix0"))
 
 
-@query()
+_GREEDY = _BLOCKS.replace("WITH", "WITH RECURSIVE", 1) + (
+    ", o AS (SELECT site, vol, obj, cx, cy, row_number() OVER (PARTITION BY site, vol ORDER BY max_dbz DESC, area_km2 DESC, cx, cy, obj) AS r FROM obj WHERE etop_km IS NOT NULL)"
+    ", greedy AS (SELECT site, vol, r, [{'obj': obj, 'x': cx, 'y': cy}] AS kept FROM o WHERE r = 1 UNION ALL SELECT o.site, o.vol, o.r, CASE WHEN len(list_filter(kept, lambda k: sqrt((k.x - cx) ** 2 + (k.y - cy) ** 2) < 6)) > 0 THEN kept ELSE list_append(kept, {'obj': obj, 'x': cx, 'y': cy}) END FROM greedy g JOIN o ON o.site = g.site AND o.vol = g.vol AND o.r = g.r + 1)"
+    ", k AS (SELECT site, vol, unnest(arg_max(kept, r)) AS k FROM greedy GROUP BY site, vol)"
+)
+
+
+@query(_GREEDY + " SELECT site, vol, k.obj AS obj FROM k")
 def nms_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects left by greedy suppression of weaker ones within 6 km; tests compare with a plain loop."""
+    """Objects left by greedy suppression of weaker ones within 6 km."""
     return D.suppressed(blocks(spark, sf_dir).withColumns({"x_km": F.col("cx"), "y_km": F.col("cy")}), 6.0).select("site", "vol", "obj")
 
 

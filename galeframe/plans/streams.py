@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from galeframe.operators.alerts import segments
 from galeframe.operators.tracker import track
+from galeframe.plans.alerts import HAZARDS
 from galeframe.plans.fixtures import VIEWS, view, with_views
 from galeframe.plans.registry import query
 from galeframe.sources.shared import latest, new_folder, put_batch, replace_table
@@ -47,9 +48,16 @@ def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(done).select("site", "volume_epoch", "vcp")
 
 
-@query()
+_ORDER = "PARTITION BY key ORDER BY seq"
+_EVENTS = HAZARDS + (
+    f", p AS (SELECT *, coalesce(sum(gone::INT) OVER ({_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life, coalesce(lag(NOT gone) OVER ({_ORDER}), false) AS active, lag(ugc) OVER ({_ORDER}) AS last_ugc FROM h)"
+    ", q AS (SELECT *, last_value(CASE WHEN NOT gone THEN ring END IGNORE NULLS) OVER (PARTITION BY key, life ORDER BY seq ROWS UNBOUNDED PRECEDING) AS carried FROM p WHERE active OR NOT gone)"
+)
+
+
+@query(_EVENTS + " SELECT key, CASE WHEN gone THEN 'removed' WHEN action = 'NEW' AND NOT active THEN 'new' ELSE 'update' END AS kind, seq, pos, CASE WHEN gone THEN last_ugc ELSE ugc END AS ugc, carried AS ring FROM q")
 def stream_hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the hazard stream; tests compare them with the batch state."""
+    """Events of the hazard stream: what each segment changes, with the zones and polygon then in force."""
     where = new_folder(spark, "hazards")
     rows = segments(replayed(spark, sf_dir, "bulletin")).select("key", F.col("bulletin_id").alias("seq"), "pos", "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"))
     finished(S.hazard_events(rows), put_batch(where), "append", where)
