@@ -56,3 +56,12 @@ def publish(spark: SparkSession, body: str, path: str) -> None:
     options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = overwrite
     context.rename(context.makeQualified(beside), context.makeQualified(target), options)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """`rows` over at least as many tasks as there are cores: few large row groups would leave cores idle where each row is much work.
+
+    Deal out narrow rows, before the work. Tables that are read in as many splits stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
