@@ -15,6 +15,7 @@ repeated rows give repeated results, empty tables empty ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from importlib import resources
 from typing import NamedTuple
 
@@ -234,6 +235,12 @@ class Scanner:
         yield from zip(row[first].tolist(), at[first].tolist(), (at[last] + MIN_MATCH).tolist(), strict=True)
 
 
+@cache
+def scanner() -> Scanner:
+    """One for all tasks of a worker."""
+    return Scanner()
+
+
 COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 SPANS = "spans array<struct<label:string,first:bigint,last:bigint,coverage:double>>"
 
@@ -244,10 +251,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in [*COLUMNS.split(", "), "spans"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner()
         for batch in batches:
             for chunk in kernels.chunks(batch.column("text")):
-                rows = [(*r[:-1], [s._asdict() for s in r[-1]]) for r in scanner.scan(chunk)]
+                rows = [(*r[:-1], [s._asdict() for s in r[-1]]) for r in scanner().scan(chunk)]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(chunk.first, len(rows)), *columns], ["doc_id", *names])
 
