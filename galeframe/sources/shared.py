@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; below a temporary one only where that isn't set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below the one that the cluster names in spark.checkpoint.dir, else the context's; a temporary one only on a local master (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="galeframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/galeframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
