@@ -10,11 +10,14 @@ from galeframe.llm.bpe import round_trip
 from galeframe.llm.chat import conversation_digests, format_conversations
 from galeframe.llm.decontaminate import find_leaks
 from galeframe.llm.lang_id import fit_languages, identify_languages
+from galeframe.llm.lexical_search import search_documents
 from galeframe.llm.licenses import scan_licenses
 from galeframe.llm.lm_scoring import score_documents, target_documents
 from galeframe.llm.near_dup import near_duplicates
 from galeframe.llm.quality_classifier import fit_quality, quality_scores
 from galeframe.llm.quality_rules import quality_rules
+from galeframe.llm.sql_bpe import round_trip as sql_round_trip
+from galeframe.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, compression_report
 from galeframe.llm.warc import pages_through_warc
 
 
@@ -67,7 +70,54 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, fit_languages(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_chat, op3_quality_rules, op4_lm_scoring, op5_licenses, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe, op10_language_id)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sql_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def _codes_sql() -> str:
+    """Rounds of assignment and floored means, one after another; a part's tie goes to the lower entry."""
+    steps = [
+        f"""v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT vec_id, label, p, v[p * (len(v) // {PARTS}) + 1 : (p + 1) * (len(v) // {PARTS})] AS v FROM v, range({PARTS}) t(p)),
+        b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM p QUALIFY e < {ENTRIES})"""
+    ]
+    for i in range(ROUNDS + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT vec_id, label, p, v, (min(d * 1000 + e) % 1000) AS e, min(d * 1000 + e) // 1000 AS d
+            FROM (SELECT q.*, b.e, list_sum(list_transform(list_zip(q.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p q JOIN b{i} b USING (p)) GROUP BY ALL)"""
+        )
+        if i < ROUNDS:
+            steps.append(
+                f"""m{i} AS (
+            SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v
+            FROM (SELECT p, e, j, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS j FROM a{i}) GROUP BY ALL) GROUP BY ALL),
+        b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, b.v) AS v FROM b{i} b LEFT JOIN m{i} m USING (p, e))"""
+            )
+    return f"""
+        WITH {", ".join(steps)},
+        c AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{ROUNDS} GROUP BY ALL)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM b{ROUNDS}) AS codebooks_sha256
+        FROM c"""
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_warc, op2_chat, op3_quality_rules, op4_lm_scoring, op5_licenses, op6_minhash, op7_quality_classifier, op8_decontamination, op9_bpe, op10_language_id,
+        op11_lexical_search, op12_vector_codes, op13_sql_bpe,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
@@ -119,4 +169,22 @@ ORACLE_SQL: dict[str, str] = {
         r(d, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.d)
         SELECT n.doc_id, n.n AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept
         FROM n JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) m ON m.d = n.doc_id""",
+    "op11_lexical_search": r"""
+        WITH t AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+            FROM documents),
+        d AS (SELECT doc_id, ts, len(ts) AS n FROM t WHERE len(ts) > 0),
+        k AS (SELECT count(*) AS n, sum(n)::BIGINT AS l FROM d),
+        f AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM d) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * k.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, k GROUP BY term, k.n),
+        q AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL),
+        s AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * f.n * k.n) // k.l))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN f USING (term) CROSS JOIN k GROUP BY item_id, doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 20""",
+    "op12_vector_codes": _codes_sql(),
 }
