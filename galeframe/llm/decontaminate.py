@@ -1,16 +1,22 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every 3-word n-gram of the test items is counted over all training documents. An item's seeds are its n-grams in at most
-RARE_SHARE of them (or RARE_LEAST), and those at most twice as frequent as its median n-gram: so common phrases drop out,
-an item always has seeds however often its text was copied, and a few more copies leave them as they are. A seed in a
-document marks a window about as long as the item; overlapping windows of one item are joined, and the item is aligned
-with the words of each. Match scores 2, mismatch and gap -1; similarity is the best score by that of the whole item.
+Every 3-word n-gram of a test item is a seed, and how often it stands in the training documents never decides what is
+found: it only tells how a window goes on. A seed in a document marks a window that holds whatever an alignment through
+the seed can reach and still be similar enough (the item's length and the gaps that its score can pay for, on both
+sides); overlapping windows of one item are joined, and the item is aligned with the words of each. Match scores 2,
+mismatch and gap -1; similarity is the best score by that of the whole item.
+
+Rare seeds (in at most RARE_SHARE of the documents, or RARE_LEAST) go straight to alignment. A window of common seeds
+alone is first held against a bound: in any alignment a document's word that the item hasn't costs 1 and every other
+wins at most 2, so no score is above the best run of +2 and -1. What is below the threshold there can't be above it in
+alignment, so nothing is lost. So a pair is reported if and only if an alignment that holds a seed reaches the threshold.
 
 The items' n-grams are broadcast. Their size is checked: a larger benchmark is dealt by item into blocks of at most
 BLOCK_WORDS words. Each is matched with all documents, its result written and its broadcast freed before the next is read, so driver
 and workers hold one block. Items are never cut.
 
-Edge cases: null or empty texts, and items of fewer than 3 words, match nothing. Words are runs of letters, digits and
+Edge cases: null or empty texts, and items of fewer than 3 words (they stand in clean texts by chance), match nothing;
+items of up to 6 words need a whole copy (LEAST_SCORE). Words are runs of letters, digits and
 non-ASCII signs, A-Z as a-z. Items with a null item_id are matched, and shown with a null. Repeated documents are
 reported each, repeated items once. Other columns are ignored. An empty table of either kind gives no matches.
 """
@@ -18,7 +24,7 @@ reported each, repeated items once. Other columns are ignored. An empty table of
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -57,6 +63,7 @@ class Items:
     owners: np.ndarray
     places: np.ndarray
     table: np.ndarray
+    rare: np.ndarray | None = None
 
     @staticmethod
     def of(ids: list, texts: list) -> Items:
@@ -77,16 +84,14 @@ class Items:
         table[(grams & np.uint64(0xFFFF)).astype(np.int64)] = True
         return grams[order], owners[order], places[order], table
 
-    def rarest(self, counts: np.ndarray, documents: int) -> Items:
-        """Only the seeds. counts: in how many of the documents each n-gram stands."""
-        order = np.lexsort((counts, self.owners))
-        owners, ranked = self.owners[order], counts[order]
-        first = np.searchsorted(owners, owners, side="left")
-        size = np.searchsorted(owners, owners, side="right") - first
-        keep = np.zeros(len(self.grams), dtype=bool)
-        if len(order):
-            keep[order] = ranked <= np.maximum(2 * ranked[first + (size - 1) // 2], max(RARE_LEAST, RARE_SHARE * documents))
-        return Items(self.words, self.starts, self.ids, *Items._sorted(self.grams[keep], self.owners[keep], self.places[keep]))
+    def with_counts(self, counts: np.ndarray, documents: int) -> Items:
+        """Knows which n-grams are rare. counts: in how many of the documents each stands."""
+        return replace(self, rare=counts <= max(RARE_LEAST, RARE_SHARE * documents))
+
+    def needed(self, item: int) -> float:
+        """The least score of a leak of an item."""
+        size = int(self.starts[item + 1] - self.starts[item])
+        return max(SIMILARITY * MATCH * size, min(LEAST_SCORE, MATCH * size))
 
     def hits(self, w: kernels.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, word index in the chunk and n-gram index (the first of equals) of each n-gram that stands in a row."""
@@ -120,47 +125,77 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _windows(items: Items, w: kernels.Words, row: np.ndarray, at: np.ndarray, k: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
-    """By item: row, first and last word index of its windows. Every item that has the n-gram gets one."""
+def bounds(own: np.ndarray, windows: list[np.ndarray]) -> np.ndarray:
+    """For each window of word hashes a score that no alignment with an item of the (sorted) words `own` exceeds."""
+    most = max(len(w) for w in windows)
+    worth = np.full((len(windows), most + 1), OTHER, dtype=np.int32)
+    worth[:, 0] = 0
+    flat = np.concatenate(windows)
+    k = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    sizes = np.array([len(w) for w in windows])
+    row = np.repeat(np.arange(len(windows)), sizes)
+    column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+    worth[row, column] = np.where(own[k] == flat, MATCH, OTHER)
+    sums = np.cumsum(worth, axis=1)
+    return (sums - np.minimum.accumulate(sums, axis=1)).max(axis=1)
+
+
+def _windows(items: Items, w: kernels.Words, row: np.ndarray, at: np.ndarray, k: np.ndarray) -> dict[int, list[tuple[int, int, int, bool]]]:
+    """By item: row, first and last word index of its windows, and whether a rare seed is there. Every item that has the n-gram gets one."""
     upto = np.searchsorted(items.grams, items.grams[k], side="right")
     times = upto - k
     entry = np.repeat(k, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     row, at = np.repeat(row, times), np.repeat(at, times)
     owner, place = items.owners[entry], items.places[entry]
     size = items.starts[owner + 1] - items.starts[owner]
-    slack = size // 2
+    slack = np.ceil((1 - SIMILARITY) * MATCH * size / -GAP).astype(np.int64)  # the gaps that a similar alignment can pay for
     first = np.maximum(at - place - slack, w.rows[row])
     last = np.minimum(at - place + size + slack, w.rows[row + 1])
+    rare = np.ones(len(entry), dtype=bool) if items.rare is None else items.rare[entry]
     order = np.lexsort((first, row, owner))
-    out: dict[int, list[tuple[int, int, int]]] = {}
-    for o, r, a, b in zip(owner[order].tolist(), row[order].tolist(), first[order].tolist(), last[order].tolist(), strict=True):
-        mine = out.setdefault(o, [])
-        if mine and mine[-1][0] == r and a <= mine[-1][2]:
-            mine[-1] = (r, mine[-1][1], max(b, mine[-1][2]))
-        else:
-            mine.append((r, a, b))
+    owner, row, first, last, rare = owner[order], row[order], first[order], last[order], rare[order]
+    # A window opens where its item or row differs from the one before, or where all before it have ended.
+    group = np.cumsum(np.concatenate([[True], (owner[1:] != owner[:-1]) | (row[1:] != row[:-1])]))
+    shift = group * (int(last.max()) + 1)
+    reach = np.maximum.accumulate(last + shift)
+    opens = np.flatnonzero(np.concatenate([[True], first[1:] + shift[1:] > reach[:-1]]))
+    out: dict[int, list[tuple[int, int, int, bool]]] = {}
+    columns = (owner[opens], row[opens], first[opens], np.maximum.reduceat(last, opens), np.logical_or.reduceat(rare, opens))
+    for o, *found in zip(*(c.tolist() for c in columns), strict=True):
+        out.setdefault(o, []).append(tuple(found))
     return out
 
 
+def _runs(found: list, size: Callable) -> Iterator[list]:
+    """`found`, sorted by size, in runs that fill about CELLS once all are as wide as the widest."""
+    begin = 0
+    while begin < len(found):
+        end = begin + 1
+        while end < len(found) and (end + 1 - begin) * size(found[end]) <= CELLS:
+            end += 1
+        yield found[begin:end]
+        begin = end
+
+
 def leaks(items: Items, w: kernels.Words, hashes: np.ndarray) -> list[tuple[int, int, float, int, int]]:
     """Row, item, similarity, and first and last word (of the row) of the window of the best match of each leak in a chunk."""
     row, at, k = items.hits(w, hashes)
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    if len(row):
-        for o, found in _windows(items, w, row, at, k).items():
-            item = items.words[items.starts[o] : items.starts[o + 1]]
-            found.sort(key=lambda f: f[2] - f[1])
-            begin = 0
-            while begin < len(found):
-                end = begin + 1
-                while end < len(found) and (end + 1 - begin) * (found[end][2] - found[end][1]) <= CELLS:
-                    end += 1
-                run = found[begin:end]
-                for (r, a, b), score in zip(run, align(item, [hashes[a:b] for _, a, b in run]).tolist(), strict=True):
-                    share = score / (MATCH * len(item))
-                    if share >= SIMILARITY and score >= min(LEAST_SCORE, MATCH * len(item)) and share > best.get((r, o), (0,))[0]:
-                        best[r, o] = (share, a - int(w.rows[r]), b - int(w.rows[r]) - 1)
-                begin = end
+    if not len(row):
+        return []
+    for o, found in _windows(items, w, row, at, k).items():
+        item, needed = items.words[items.starts[o] : items.starts[o + 1]], items.needed(o)
+        own, long = np.unique(item), lambda f: f[2] - f[1]
+        found.sort(key=long)
+        common, rare = [f for f in found if not f[3]], [f for f in found if f[3]]
+        for run in _runs(common, long):
+            rare += [f for f, b in zip(run, bounds(own, [hashes[f[1] : f[2]] for f in run]).tolist(), strict=True) if b >= needed]
+        rare.sort(key=long)
+        for run in _runs(rare, long):
+            for (r, a, b, _), score in zip(run, align(item, [hashes[f[1] : f[2]] for f in run]).tolist(), strict=True):
+                share = score / (MATCH * len(item))
+                if score >= needed and share > best.get((r, o), (0,))[0]:
+                    best[r, o] = (share, a - int(w.rows[r]), b - int(w.rows[r]) - 1)
     return [(r, o, *v) for (r, o), v in sorted(best.items())]
 
 
@@ -199,9 +234,9 @@ def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
 
 
 def _by_block(docs: DataFrame, benchmark: DataFrame, made: Callable[[Broadcast], DataFrame]) -> Iterator[DataFrame]:
-    """What is made of each block of items and its seeds. Of several blocks, each is done with before the next begins."""
+    """What is made of each block of items. Of several blocks, each is done with before the next begins."""
     for items, n in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items.rarest(*_counted(docs, items)))
+        shared = docs.sparkSession.sparkContext.broadcast(items.with_counts(*_counted(docs, items)))
         out = made(shared)
         if n == 1:
             yield out

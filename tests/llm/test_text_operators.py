@@ -305,3 +305,74 @@ def test_blocks_of_a_benchmark_find_what_one_finds(spark, make_docs, monkeypatch
     monkeypatch.setattr(D, "BLOCK_WORDS", 300)
     assert next(iter(D._blocks(bench)))[1] > 3
     assert found() == whole and left() == clean
+
+
+def seeded_score(item, words):
+    """The best local alignment score among alignments with three matches in a row, cell by cell."""
+    low_score = -(10**9)
+    best, above = low_score, [(0, low_score, low_score, low_score)] * (len(words) + 1)
+    for a in item:
+        row = [(0, low_score, low_score, low_score)]
+        for j, b in enumerate(words):
+            left, up, cross = row[j], above[j + 1], above[j]
+            gap = [max(max(left[:3]), max(up[:3])) - 1, max(left[3], up[3]) - 1]
+            if a == b:
+                cell = (max(0, gap[0]), cross[0] + 2, cross[1] + 2, max(cross[2] + 2, cross[3] + 2, gap[1]))
+            else:
+                cell = (max(0, gap[0], max(cross[:3]) - 1), low_score, low_score, max(gap[1], cross[3] - 1))
+            best = max(best, cell[3])
+            row.append(cell)
+        above = row
+    return best
+
+
+def all_leaks(docs, items):
+    out = set()
+    for i, text in docs:
+        for k, item in items:
+            words, own = (re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t)) for t in (text, item))
+            if len(own) >= 3 and (s := seeded_score(own, words)) >= max(0.4 * 2 * len(own), min(12, 2 * len(own))):
+                out.add((i, k, round(s / (2 * len(own)), 9)))
+    return out
+
+
+def leak_rows(seed, copies, clean):
+    """Items, and documents with whole, half, edited, stretched and shuffled copies of them among clean ones."""
+    r = random.Random(seed)
+    items = [(k, prose(900 + k, n)) for k, n in enumerate((3, 5, 7, 12, 20, 30))]
+    items += [(10, items[5][1].rsplit(" ", 16)[0] + " " + prose(950, 16)), (11, "ra ne"), (12, None), (13, "")]  # 5 and 10 share their first half
+    docs = [(i, prose(i, r.randint(5, 50))) for i in range(clean)]
+    for k, item in items[:7]:
+        words = item.split()
+        for _ in range(copies):
+            a = r.randint(0, len(words) // 2)
+            kinds = [words, words[: len(words) // 2], words[a : a + len(words) // 2 + 1], edited(item, 0.2, r.random()).split(), [x for w in words for x in ([w, "zwischen"] if r.random() < 0.4 else [w])], r.sample(words, len(words))]
+            around = prose(r.random(), r.randint(0, 8)), prose(r.random(), r.randint(0, 8))
+            docs.append((10_000 + len(docs), " ".join([around[0], *r.choice(kinds), around[1]])))
+    return items, docs + [(1, None), (2, ""), (3, items[4][1]), (3, items[4][1])]
+
+
+@pytest.mark.parametrize("copies, clean", [(3, 40), (9, 40)])
+def test_leaks_equal_all_alignments(spark, make_docs, copies, clean):
+    items, docs = leak_rows(copies, copies, clean)
+    got = D.find_leaks(make_docs(docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(x.doc_id, x.item_id, round(x.similarity, 9)) for x in got.collect()} == all_leaks(docs, items)
+
+
+def test_no_leak_is_lost_to_its_copies(spark, make_docs):
+    """The more often a half of an item leaked, and the larger the table, the same leaks are found."""
+    item = prose(901, 30)
+    half = " ".join(item.split()[:14])
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    for copies, clean in ((8, 0), (50, 0), (400, 0), (50, 3000)):
+        docs = make_docs([(i, f"{prose(5000 + i, 5)} {half} {prose(7000 + i, 6)}") for i in range(copies)] + [(100_000 + i, prose(20_000 + i, 12)) for i in range(clean)])
+        assert {r.doc_id for r in D.find_leaks(docs, benchmark).collect()} == set(range(copies))
+        assert D.decontaminated(docs, benchmark).count() == clean
+
+
+def test_bounds_are_never_below_scores():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        item = r.integers(0, 12, 15).astype(np.uint64)
+        windows = [r.integers(0, 30, n).astype(np.uint64) for n in r.integers(1, 60, 20)]
+        assert (D.bounds(np.unique(item), windows) >= D.align(item, windows)).all()
