@@ -3,8 +3,8 @@
 Each text becomes a vector of transformed statistics. For every language with source, every language, and all documents
 the minimum covariance determinant is estimated: from each of three starts (medians with the spread of the quartiles,
 means with covariances, medians with covariances), concentration steps keep the share `SUPPORT` of vectors nearest by
-Mahalanobis distance and estimate mean and covariance anew, until no determinant falls by more than FALLS any more
-(STEPS times at most); of the starts, the one with the least determinant counts. To every variance the square of its
+Mahalanobis distance and estimate mean and covariance anew, until its determinant falls by no more than FALLS (STEPS
+times at most). Each start of each group ends by its own determinant, so no group depends on another; of the starts, the one with the least determinant counts. To every variance the square of its
 value in DIMENSIONS is added, so covariances stay regular. The estimate of a language with source is drawn towards that
 of its language, and that towards the one of all documents, as if by PRIOR rows; so a small group follows the larger
 one that it is part of, and no number of rows switches anything. A document goes if it fails the base rules or lies
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from galeframe.llm.staging import staged
 from galeframe.llm.statistics import COUNTS, let, statistics
 
-SUPPORT, STEPS, FALLS, PRIOR = 0.75, 6, 0.05, 100e0
+SUPPORT, STEPS, FALLS, PRIOR = 0.75, 20, 0.05, 100e0
 BROADCAST_GROUPS, SALTS = 50_000, 64
 #: Squared distance. A chi-squared law of 5 degrees goes beyond it with probability 1.5e-8; clean texts have heavier tails.
 CUTOFF = 45.0
@@ -63,12 +63,12 @@ D = range(len(NAMES))
 CELLS = [(i, j) for i in D for j in range(i + 1)]
 
 
-def _with(rows: DataFrame, table: DataFrame, few: bool, *keys: str) -> DataFrame:
+def _with(rows: DataFrame, table: DataFrame, few: bool, *keys: str, how: str = "left") -> DataFrame:
     """`rows` with the columns of `table` that has the same grp (and `keys`)."""
     if few:
-        return rows.join(F.broadcast(table), ["grp", *keys], "left")
+        return rows.join(F.broadcast(table), ["grp", *keys], how)
     salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.floor(F.rand(7) * SALTS).cast("int")).join(salted.hint("merge"), ["grp", *keys, "salt"], "left").drop("salt")
+    return rows.withColumn("salt", F.floor(F.rand(7) * SALTS).cast("int")).join(salted.hint("merge"), ["grp", *keys, "salt"], how).drop("salt")
 
 
 def _cholesky(fit: DataFrame) -> DataFrame:
@@ -87,14 +87,14 @@ def _moments() -> list[Column]:
 
 
 def _start(inner: DataFrame) -> DataFrame:
-    """n and the estimate of each start of every group."""
+    """n and the estimate of each start of every group; was, the determinant before, is null yet."""
     quartiles = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).alias(f"q_{i}") for i, v in enumerate(NAMES)]
     q = staged(inner.groupBy("grp").agg(F.count("*").alias("n"), *quartiles, *_moments()), "quality-start")
     spread = lambda i: f"power((q_{i}[2] - q_{i}[0]) / 1.349D, 2)"
 
     def begin(k: int) -> DataFrame:
         means = [(f"a_{i}" if k == 1 else f"q_{i}[1]") + f" AS m_{i}" for i in D]
-        return q.selectExpr("grp", f"{k} AS start", "n", *means, *(_regular(i, j, f"s_{i}_{j}" if k else spread(i) if i == j else "0D") for i, j in CELLS))
+        return q.selectExpr("grp", f"{k} AS start", "n", "double(null) AS was", *means, *(_regular(i, j, f"s_{i}_{j}" if k else spread(i) if i == j else "0D") for i, j in CELLS))
 
     return _cholesky(begin(0).union(begin(1)).union(begin(2)))
 
@@ -105,13 +105,19 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("*", *(f"({rest(i)}) / l_{i}_{i} AS y_{i}" for i in D), " + ".join(f"y_{i} * y_{i}" for i in D) + " AS d")
 
 
+def _settled() -> Column:
+    return F.coalesce(1 - F.col("det") / F.col("was") <= FALLS, F.lit(False))
+
+
 def _concentrated(inner: DataFrame, fit: DataFrame, few: bool) -> DataFrame:
-    """One step from every start: the estimate of the vectors nearest to it, with was, the determinant before."""
-    far = _distance(_with(inner, fit.drop("n", "det", *(f"c_{i}_{j}" for i, j in CELLS)), few)).select("grp", "start", *NAMES, "d")
+    """`fit` after one more step of the starts that haven't settled; only the rows of their groups are read."""
+    active = fit.filter(~_settled())
+    far = _distance(_with(inner, active.drop("n", "was", "det", *(f"c_{i}_{j}" for i, j in CELLS)), few, how="inner")).select("grp", "start", *NAMES, "d")
     edges = far.groupBy("grp", "start").agg(F.percentile_approx("d", F.lit(SUPPORT), 10000).alias("edge"))
     near = _with(far, edges, few, "start").filter("d <= edge").groupBy("grp", "start").agg(*_moments())
     new = near.selectExpr("grp", "start", *(f"a_{i} AS m_{i}" for i in D), *(_regular(i, j, f"{CONSISTENCY}D * s_{i}_{j}") for i, j in CELLS))
-    return _cholesky(_with(new, fit.select("grp", "start", "n", F.col("det").alias("was")), few, "start"))
+    moved = _cholesky(_with(new, active.select("grp", "start", "n", F.col("det").alias("was")), few, "start"))
+    return moved.unionByName(fit.filter(_settled()))
 
 
 def _least(fit: DataFrame) -> DataFrame:
@@ -143,8 +149,7 @@ def fit(vectors: DataFrame) -> tuple[DataFrame, bool]:
     few = now.count() <= BROADCAST_GROUPS
     for _ in range(STEPS):
         now = staged(_concentrated(inner, now, few), "quality-fit")
-        fell = now.agg(F.max(1 - F.col("det") / F.col("was"))).first()[0]
-        if fell is None or fell <= FALLS:
+        if now.filter(~_settled()).isEmpty():
             break
     best = staged(_least(now), "quality-fit")
     ups = passed.select("by_source", "by_lang").distinct()
