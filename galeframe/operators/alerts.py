@@ -17,7 +17,8 @@ LEVELS = {"W": "Warning", "A": "Watch", "Y": "Advisory", "S": "Statement", "F":
 
 
 def segments(bulletins: DataFrame, office: str | None = None) -> DataFrame:
-    """A row per event code (of one office, if it is given): its parts, the zone list before it, and the first polygon behind it."""
+    """A row per event code (of one office, if it is given): its parts, the zone list before it, and the first polygon behind it
+    (`poly`) with its motion (`motion`), each null where it has none. Null and empty texts have no rows."""
     parsed = bulletins.select("*", positioned(F.col("text"), VTEC, 8).alias("vtec"), ugc_blocks(F.col("text")).alias("zones"), polygons(F.col("text")).alias("polys"))
     rows = parsed.withColumn("v", F.explode_outer("vtec")).filter("v IS NOT NULL")  # an inner explode would have the codes parsed a second time, to see if there are any
     if office is not None:
@@ -26,7 +27,9 @@ def segments(bulletins: DataFrame, office: str | None = None) -> DataFrame:
     before = F.filter("zones", lambda z: z["pos"] < pos)
     behind = F.filter("polys", lambda p: p["pos"] > pos)
     parts = {"class": 1, "action": 2, "office": 3, "phen": 4, "sig": 5, "etn": 6, "begins": 7, "ends": 8}
-    out = rows.select(*bulletins.columns, pos.alias("pos"), *(F.col(f"v.g{g}").alias(n) for n, g in parts.items()), F.coalesce(F.try_element_at(before, F.lit(-1))["codes"], F.array().cast("array<string>")).alias("ugc"), F.get(behind, F.lit(0)).alias("poly"))
+    out = rows.select(*bulletins.columns, pos.alias("pos"), *(F.col(f"v.g{g}").alias(n) for n, g in parts.items()), F.coalesce(F.try_element_at(before, F.lit(-1))["codes"], F.array().cast("array<string>")).alias("ugc"), F.get(behind, F.lit(0)).alias("p"))
+    motion = F.when(F.col("p.deg").isNotNull(), F.struct("p.deg", "p.kt", "p.heading", "p.loc"))
+    out = out.withColumns({"poly": F.when(F.col("p").isNotNull(), F.struct("p.pos", "p.ring")), "motion": motion}).drop("p")
     key = F.concat_ws(".", "office", "phen", "sig", "etn")
     return out.withColumns({"key": key, "name": F.concat_ws(" ", named("phen", NAMES), named("sig", LEVELS)), "end_time": vtec_time(F.col("ends"))})
 
@@ -45,13 +48,14 @@ def alert_state(rows: DataFrame, order: list[str]) -> DataFrame:
     """The active hazard of each key once all rows are applied in order.
 
     Removal ends a hazard; anything else sets it. A follow-up without polygon keeps the last one since the removal
-    before it; the zones are those of the last row. A new hazard is `new` if its key was absent and its action NEW.
+    before it, and one without motion the last motion, each by itself; the zones are those of the last row. A new hazard is `new` if its key was absent and its action NEW.
     """
     w = Window.partitionBy("key").orderBy(*order)
     removal = F.col("action").isin(*REMOVE)
     lives = rows.withColumn("removal", removal).withColumn("life", F.coalesce(F.sum(F.col("removal").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     life = Window.partitionBy("key", "life").orderBy(*order)
-    lives = lives.withColumns({"poly": F.last("poly", ignorenulls=True).over(life), "n": F.row_number().over(Window.partitionBy("key").orderBy(*(F.desc(c) for c in order))), "is_new": (F.row_number().over(life) == 1) & (F.col("action") == "NEW") & ~F.col("removal")})
+    kept = {c: F.last(c, ignorenulls=True).over(life) for c in ("poly", "motion") if c in rows.columns}
+    lives = lives.withColumns(kept | {"n": F.row_number().over(Window.partitionBy("key").orderBy(*(F.desc(c) for c in order))), "is_new": (F.row_number().over(life) == 1) & (F.col("action") == "NEW") & ~F.col("removal")})
     return lives
 
 
@@ -79,8 +83,9 @@ def geometry(current: DataFrame, shapes: DataFrame) -> DataFrame:
 
 
 def document(current: DataFrame) -> DataFrame:
-    """One JSON text of all active hazards, sorted by key: their polygon if they have one, else their zones."""
-    item = F.struct("key", "name", "ends", "etn", F.when(F.col("poly").isNull(), F.col("ugc")).alias("ugc"), F.col("poly.ring").alias("poly"))
+    """One JSON text of all active hazards, sorted by key: their polygon if they have one, else their zones, and their motion."""
+    motion = ["motion"] if "motion" in current.columns else []
+    item = F.struct("key", "name", "ends", "etn", F.when(F.col("poly").isNull(), F.col("ugc")).alias("ugc"), F.col("poly.ring").alias("poly"), *motion)
     return current.agg(F.to_json(F.struct(F.count("*").alias("count"), F.sort_array(F.collect_list(item)).alias("alerts"))).alias("body"))
 
 

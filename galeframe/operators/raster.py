@@ -64,20 +64,61 @@ def last_frames(frames: DataFrame, most: int = 18) -> DataFrame:
 
 
 def gathered(pixels: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Output cells (out_row, out_col) with the level of their source pixel in every frame; 0 off the image."""
-    frames = pixels.select("frame").distinct()
-    wanted = frames.crossJoin(mapping)  # a fixed output grid for each frame
-    return wanted.join(pixels, ["frame", "row_no", "col_no"], "left").select("frame", "out_row", "out_col", F.coalesce("level", F.lit(0).cast("long")).alias("level"))
+    """Output cells (out_row, out_col) with the level of their source pixel in every frame; 0 where it is missing or null.
+
+    `mapping` (row_no, col_no to out_row, out_col) is a fixed output grid; pixels are unique by frame and place. A frame
+    that has all source pixels needs no more than the join with the grid; only others are filled.
+    """
+    found = pixels.join(mapping, ["row_no", "col_no"]).select("frame", "out_row", "out_col", F.coalesce("level", F.lit(0).cast("long")).alias("level"))
+    cells = mapping.count()
+    counts = pixels.select("frame").distinct().join(found.groupBy("frame").agg(F.count("*").alias("n")), "frame", "left")
+    short = counts.filter(F.coalesce("n", F.lit(0)) < cells).select("frame")
+    wanted = short.crossJoin(mapping.select("out_row", "out_col"))  # the output grid of each such frame
+    missing = wanted.join(found, ["frame", "out_row", "out_col"], "left_anti").withColumn("level", F.lit(0).cast("long"))
+    return found.unionByName(missing)
+
+
+def with_frame_before(frames: DataFrame, value: str, before: str, block: int = 48) -> DataFrame:
+    """`frames` (a row each) with the value of the frame before, however many lie between their numbers.
+
+    Blocks of frames are windows of their own, so no task sees all; the first of a block takes the last of the nearest
+    block before it, from a table with a row for each block. Null frames have none before.
+    """
+    rows = frames.withColumn("block", F.floor(F.col("frame") / block))
+    w = Window.partitionBy("block").orderBy("frame")
+    ends = rows.filter("frame IS NOT NULL").groupBy("block").agg(F.max_by(F.struct(value), "frame").alias("end"))
+    ends = ends.select("block", F.lag("end").over(Window.orderBy("block")).alias("end"))  # a row for each day of 48 frames
+    first = F.row_number().over(w) == 1
+    out = rows.join(ends, "block", "left").withColumn(before, F.when(first, F.col(f"end.{value}")).otherwise(F.lag(value).over(w)))
+    return out.drop("block", "end")
 
 
 def cloud_products(pixels: DataFrame) -> DataFrame:
-    """Per frame: coldest and warmest percentile, mean, share more than 8 K colder than the warm one, cooling since the frame before."""
-    k = pixels.withColumn("k", kelvin(F.col("level")))
-    per = k.groupBy("frame").agg(F.percentile("k", F.lit(0.01)).alias("cold_k"), F.percentile("k", F.lit(0.95)).alias("warm_k"), F.avg("k").alias("mean_k"), F.count("*").alias("n"))
-    cloudy = k.join(per.select("frame", "warm_k"), "frame").groupBy("frame").agg((100e0 * F.avg(F.when(F.col("k") < F.col("warm_k") - 8, 1e0).otherwise(0e0))).alias("cloud_pct"), F.count(F.when(F.col("k") - 273.15e0 <= -50, 1)).alias("deep"))
-    # one row per frame: the window is over a table of frames, partitioned by day of 48 frames
-    w = Window.partitionBy(F.floor(F.col("frame") / 48)).orderBy("frame")
-    return per.join(cloudy, "frame").withColumn("cooling", F.lag("cold_k").over(w) - F.col("cold_k")).withColumn("initiation", F.coalesce(F.col("cooling") >= 4, F.lit(False)))
+    """Per frame: coldest and warmest percentile, mean, share more than 8 K colder than the warm one, cooling since the frame before.
+
+    Levels are whole numbers, so percentiles come from a histogram of them. Frames without the frame before have no cooling
+    and no initiation; pixels with a null level don't count.
+    """
+    k = kelvin(F.col("level"))
+    levels = pixels.filter("level IS NOT NULL").groupBy("frame", "level").agg(F.count("*").alias("pixels")).withColumn("k", k)
+    share = lambda p: F.percentile("k", F.lit(p), F.col("pixels"))
+    per = levels.groupBy("frame").agg(share(0.01).alias("cold_k"), share(0.95).alias("warm_k"), (F.sum(F.col("k") * F.col("pixels")) / F.sum("pixels")).alias("mean_k"), F.sum("pixels").alias("n"))
+    count = lambda c: F.sum(F.when(c, F.col("pixels")).otherwise(0))
+    cloudy = levels.join(per.select("frame", "warm_k"), "frame").groupBy("frame").agg((100e0 * count(F.col("k") < F.col("warm_k") - 8) / F.sum("pixels")).alias("cloud_pct"), count(F.col("k") - 273.15e0 <= -50).alias("deep"))
+    out = with_frame_before(per.join(cloudy, "frame"), "cold_k", "cold_before")
+    return out.withColumn("cooling", F.col("cold_before") - F.col("cold_k")).withColumn("initiation", F.coalesce(F.col("cooling") >= 4, F.lit(False))).drop("cold_before")
+
+
+#: Bands of the differences, by name: the first less the second, in Kelvin.
+DIFFERENCES = {"fog_btd": (13, 7), "split_window": (13, 15)}
+
+
+def band_differences(pixels: DataFrame, differences: dict[str, tuple[int, int]] = DIFFERENCES) -> DataFrame:
+    """Per frame the mean of each difference of two bands (frame, band, row_no, col_no, level) over the pixels that have both."""
+    needed = sorted({b for pair in differences.values() for b in pair})
+    place = pixels.filter(F.col("band").isin(needed)).groupBy("frame", "row_no", "col_no")
+    bands = place.agg(*(F.avg(F.when(F.col("band") == b, kelvin(F.col("level")))).alias(f"k{b}") for b in needed))
+    return bands.groupBy("frame").agg(*(F.avg(F.col(f"k{a}") - F.col(f"k{b}")).alias(name) for name, (a, b) in differences.items()))
 
 
 def sun_elevation(lat: Column, lon: Column, day_of_year: Column, utc_hour: Column) -> Column:

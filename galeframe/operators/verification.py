@@ -1,4 +1,8 @@
-"""Objects against point reports."""
+"""Objects against point reports.
+
+Objects and reports belong to a `site` (a report to every site that it is in range of, see `in_range`), and only those of
+one site meet; scores have a row for each site. Rows with a null site, volume or place meet nothing.
+"""
 
 from __future__ import annotations
 
@@ -11,36 +15,36 @@ MATCH_KM, WITHIN_MIN, SITE_KM = 15.0, 15, 140.0
 
 
 def matched(objects: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> DataFrame:
-    """Pairs (obj, report_id) of one volume within some km; they meet in cells of that size and their neighbours."""
+    """Pairs (obj, report_id) of one site and volume within some km; they meet in cells of that size and their neighbours."""
     size = km * 1000
     cell = lambda c: F.floor(F.col(c) / size)
     near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    o = objects.select("obj", "vol", F.col("seed_x").alias("ox"), F.col("seed_y").alias("oy")).withColumns({"cx": cell("ox"), "cy": cell("oy")})
-    r = reports.select("report_id", "vol", "x", "y", F.explode(near).alias("i")).select("*", F.explode(near).alias("j"))
+    o = objects.select("site", "obj", "vol", F.col("seed_x").alias("ox"), F.col("seed_y").alias("oy")).withColumns({"cx": cell("ox"), "cy": cell("oy")})
+    r = reports.select("site", "report_id", "vol", "x", "y", F.explode(near).alias("i")).select("*", F.explode(near).alias("j"))
     r = r.withColumns({"cx": cell("x") + F.col("i"), "cy": cell("y") + F.col("j")}).drop("i", "j")
     gap = F.sqrt(F.pow(F.col("ox") - F.col("x"), 2) + F.pow(F.col("oy") - F.col("y"), 2))
-    return o.join(r, ["vol", "cx", "cy"]).filter(gap <= size).select("vol", "obj", "report_id")
+    return o.join(r, ["site", "vol", "cx", "cy"]).filter(gap <= size).select("site", "vol", "obj", "report_id")
 
 
 def inside(rings: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> DataFrame:
-    """Pairs (obj, report_id) of a volume with the report in a ring (xs, ys) of the object; they meet in cells of some km."""
+    """Pairs (obj, report_id) of a site and volume with the report in a ring (xs, ys) of the object; they meet in cells of some km."""
     size = km * 1000
     span = lambda c: F.explode(F.sequence(F.floor(F.array_min(c) / size), F.floor(F.array_max(c) / size)))
-    o = rings.select("obj", "vol", "xs", "ys", span("xs").alias("cx")).withColumn("cy", span("ys"))
-    r = reports.select("report_id", "vol", "x", "y").withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
-    return o.join(r, ["vol", "cx", "cy"]).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).select("vol", "obj", "report_id")
+    o = rings.select("site", "obj", "vol", "xs", "ys", span("xs").alias("cx")).withColumn("cy", span("ys"))
+    r = reports.select("site", "report_id", "vol", "x", "y").withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
+    return o.join(r, ["site", "vol", "cx", "cy"]).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).select("site", "vol", "obj", "report_id")
 
 
 def matched_or_inside(objects: DataFrame, reports: DataFrame, rings: DataFrame, km: float = MATCH_KM) -> DataFrame:
-    """Pairs of one volume within some km, or with the report inside a ring (obj, vol, xs, ys) of the object."""
+    """Pairs of one site and volume within some km, or with the report inside a ring (site, obj, vol, xs, ys) of the object."""
     return matched(objects, reports, km).union(inside(rings, reports, km)).distinct()
 
 
 def contingency(objects: DataFrame, reports: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Detected reports, hits, false alarms, POD, FAR and CSI; a ratio without a base is 0."""
-    one = lambda df, c, n: df.agg(F.count_distinct(c).alias(n))
-    out = objects.agg(F.count("*").alias("objects")).crossJoin(reports.agg(F.count("*").alias("reports")))
-    out = out.crossJoin(one(pairs, "report_id", "detected")).crossJoin(one(pairs, "obj", "hits"))  # single rows
+    """Per site: detected reports, hits, false alarms, POD, FAR and CSI; a ratio without a base is 0."""
+    n = lambda df, name: df.groupBy("site").agg(F.count("*").alias(name))
+    met = pairs.groupBy("site").agg(F.count_distinct("report_id").alias("detected"), F.count_distinct("obj").alias("hits"))
+    out = n(objects, "objects").join(n(reports, "reports"), "site", "full").join(met, "site", "left").fillna(0, ["objects", "reports", "detected", "hits"])
     out = out.withColumn("false_alarms", F.col("objects") - F.col("hits"))
     over = lambda a, b: F.when(b == 0, F.lit(0e0)).otherwise(a / b)
     return out.withColumns({"pod": over(F.col("detected"), F.col("reports")), "far": over(F.col("false_alarms"), F.col("objects")), "csi": over(F.col("detected"), F.col("reports") + F.col("false_alarms"))})
@@ -62,13 +66,12 @@ def in_range(reports: DataFrame, sites: DataFrame, km: float = SITE_KM) -> DataF
 def within_minutes(volumes: DataFrame, reports: DataFrame, minutes: int = WITHIN_MIN) -> DataFrame:
     """Pairs of volumes (v, vt) and reports (r, rt) at most some minutes apart: equal buckets of that length, or neighbours.
 
-    Where both have a `site` (as from `in_range`), only those of one site meet.
+    Both have a `site` (reports as from `in_range`), and only those of one site meet.
     """
     bucket = lambda c: F.floor(F.unix_timestamp(c) / (minutes * 60))
     spread = reports.withColumn("b", F.explode(F.sequence(bucket(F.col("rt")) - 1, bucket(F.col("rt")) + 1)))
     gap = F.abs(F.unix_timestamp("vt") - F.unix_timestamp("rt"))
-    on = ["b", "site"] if "site" in volumes.columns and "site" in reports.columns else ["b"]
-    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, on).filter(gap <= minutes * 60).drop("b")
+    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, ["b", "site"]).filter(gap <= minutes * 60).drop("b")
 
 
 def block_about(volumes: DataFrame, cases: DataFrame, size: int) -> DataFrame:
@@ -84,17 +87,18 @@ def block_about(volumes: DataFrame, cases: DataFrame, size: int) -> DataFrame:
 
 
 def continuity(cells: DataFrame) -> DataFrame:
-    """Mean, median and share above a half of the overlap (shared cells by all cells) of families from volume to volume.
+    """Per site: mean, median and share above a half of the overlap (shared cells by all cells) of families from volume to volume.
 
-    `cells` has family, vol and a cell of its footprint in each row. A family is compared with where it was last seen.
+    `cells` has site, family, vol and a cell of its footprint in each row. A family is compared with where it was last seen.
     """
     from pyspark.sql import Window
 
-    cells = cells.select("family", "vol", "cell").distinct()
-    sizes = cells.groupBy("family", "vol").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("family").orderBy("vol")
+    family = ["site", "family"]
+    cells = cells.select(*family, "vol", "cell").distinct()
+    sizes = cells.groupBy(*family, "vol").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*family).orderBy("vol")
     steps = sizes.withColumns({"before": F.lag("vol").over(w), "m": F.lag("n").over(w)}).filter("before IS NOT NULL")
-    earlier = cells.join(steps.select("family", F.col("before").alias("vol"), F.col("vol").alias("now")), ["family", "vol"]).select("family", F.col("now").alias("vol"), "cell")
-    both = earlier.join(cells, ["family", "vol", "cell"]).groupBy("family", "vol").agg(F.count("*").alias("both"))
-    iou = steps.join(both, ["family", "vol"], "left").select((F.coalesce("both", F.lit(0)) / (F.col("n") + F.col("m") - F.coalesce("both", F.lit(0)))).alias("iou"))
-    return iou.agg(F.count("*").alias("n"), F.avg("iou").alias("mean_iou"), F.median("iou").alias("median_iou"), F.avg((F.col("iou") > 0.5).cast("double")).alias("over_half"))
+    earlier = cells.join(steps.select(*family, F.col("before").alias("vol"), F.col("vol").alias("now")), [*family, "vol"]).select(*family, F.col("now").alias("vol"), "cell")
+    both = earlier.join(cells, [*family, "vol", "cell"]).groupBy(*family, "vol").agg(F.count("*").alias("both"))
+    iou = steps.join(both, [*family, "vol"], "left").select("site", (F.coalesce("both", F.lit(0)) / (F.col("n") + F.col("m") - F.coalesce("both", F.lit(0)))).alias("iou"))
+    return iou.groupBy("site").agg(F.count("*").alias("n"), F.avg("iou").alias("mean_iou"), F.median("iou").alias("median_iou"), F.avg((F.col("iou") > 0.5).cast("double")).alias("over_half"))

@@ -11,7 +11,7 @@ from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.registry import query
 from galeframe.sources import units as U
 
-_V = r"/([OTEX])\.(NEW|CON|CAN|EXP|EXA|EXB|EXT|UPG|ROU)\.([A-Z]{4})\.([A-Z]{2})\.([AWYSFO])\.(\d{4})\.(\d{6}T\d{4}Z)-(\d{6}T\d{4}Z)/"
+_V = B.VTEC
 _G = ", ".join(f"regexp_extract(text, '{_V}', {i}) AS {n}" for i, n in ((2, "action"), (3, "office"), (4, "phen"), (5, "sig"), (6, "etn"), (8, "ends")))
 _SEG = with_views("bulletin") + f", v AS (SELECT bulletin_id, text, {_G} FROM bulletin), seg AS (SELECT *, concat_ws('.', office, phen, sig, etn) AS key, strptime(ends, '%y%m%dT%H%MZ') AS end_time FROM v)"
 _TIE = ["bulletin_id", "pos"]
@@ -41,7 +41,7 @@ def ugc_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments(spark, sf_dir).select("bulletin_id", F.size("ugc").cast("bigint").alias("n"))
 
 
-_LL = r"LAT\.\.\.LON((?:\s+\d{3,5})+)"
+_LL = B.LATLON
 _POLY = _SEG + f", n AS (SELECT bulletin_id, list_transform(string_split(trim(regexp_extract(text, '{_LL}', 1)), ' '), lambda x: x::BIGINT) AS v FROM seg WHERE text LIKE '%LAT...LON%')"
 
 
@@ -86,6 +86,15 @@ def alert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.active(lives(spark, sf_dir)).select("key", "bulletin_id", F.col("poly").isNotNull().alias("has_polygon"))
 
 
+_CARRIED = _STATE + f", m AS (SELECT bulletin_id, try_cast(regexp_extract(text, '{_MO}', 1) AS INT) AS deg, try_cast(regexp_extract(text, '{_MO}', 2) AS INT) AS kt FROM seg), c AS (SELECT s.*, last_value(deg IGNORE NULLS) OVER w AS d, last_value(kt IGNORE NULLS) OVER w AS k FROM s JOIN m USING (bulletin_id) WINDOW w AS (PARTITION BY key, life ORDER BY bulletin_id))"
+
+
+@query(_CARRIED + " SELECT key, bulletin_id, polys > 0 AS has_polygon, d AS deg, k AS kt FROM c WHERE n = 1 AND NOT gone")
+def alert_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Motion of active hazards; some follow-ups have a polygon without motion, others neither."""
+    return A.active(lives(spark, sf_dir)).select("key", "bulletin_id", F.col("poly").isNotNull().alias("has_polygon"), "motion.deg", "motion.kt")
+
+
 @query(_ACTIVE + " SELECT key FROM act WHERE end_time >= TIMESTAMP '2024-01-12'")
 def alert_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.active(lives(spark, sf_dir), F.lit("2024-01-12").cast("timestamp")).select("key")

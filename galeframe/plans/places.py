@@ -31,11 +31,11 @@ def _columns(sql: str) -> list[str]:
     return sql[len("SELECT ") : sql.rindex(" FROM ")].split(", ")
 
 
-@query(with_views("obs") + ", c AS (SELECT DISTINCT family_id AS f, vol AS v, floor(seed_x / 20000) AS x, floor(seed_y / 20000) AS y FROM obs), n AS (SELECT f, v, count(*) AS n FROM c GROUP BY f, v), s AS (SELECT f, v, n, lag(v) OVER w AS b, lag(n) OVER w AS m FROM n WINDOW w AS (PARTITION BY f ORDER BY v)), i AS (SELECT s.f, s.v, any_value(n) AS n, any_value(m) AS m, count(q.f) AS k FROM s JOIN c p ON p.f = s.f AND p.v = s.b LEFT JOIN c q ON q.f = s.f AND q.v = s.v AND q.x = p.x AND q.y = p.y GROUP BY s.f, s.v), o AS (SELECT k / (n + m - k)::DOUBLE AS iou FROM i) SELECT count(*) AS n, round(avg(iou), 9) AS mean_iou, round(median(iou), 9) AS median_iou, round(avg((iou > 0.5)::INT), 9) AS over_half FROM o")
+@query(with_views("obs") + ", c AS (SELECT DISTINCT site, family_id AS f, vol AS v, floor(seed_x / 20000) AS x, floor(seed_y / 20000) AS y FROM obs), n AS (SELECT site, f, v, count(*) AS n FROM c GROUP BY site, f, v), s AS (SELECT site, f, v, n, lag(v) OVER w AS b, lag(n) OVER w AS m FROM n WINDOW w AS (PARTITION BY site, f ORDER BY v)), i AS (SELECT s.site, s.f, s.v, any_value(n) AS n, any_value(m) AS m, count(q.f) AS k FROM s JOIN c p ON p.site = s.site AND p.f = s.f AND p.v = s.b LEFT JOIN c q ON q.site = s.site AND q.f = s.f AND q.v = s.v AND q.x = p.x AND q.y = p.y GROUP BY s.site, s.f, s.v), o AS (SELECT site, k / (n + m - k)::DOUBLE AS iou FROM i) SELECT site, count(*) AS n, round(avg(iou), 9) AS mean_iou, round(median(iou), 9) AS median_iou, round(avg((iou > 0.5)::INT), 9) AS over_half FROM o GROUP BY site")
 def envelope_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = view(spark, sf_dir, "obs").select(F.col("family_id").alias("family"), "vol", F.struct(F.floor(F.col("seed_x") / 20000), F.floor(F.col("seed_y") / 20000)).alias("cell"))
+    cells = view(spark, sf_dir, "obs").select("site", F.col("family_id").alias("family"), "vol", F.struct(F.floor(F.col("seed_x") / 20000), F.floor(F.col("seed_y") / 20000)).alias("cell"))
     out = V.continuity(cells)
-    return out.select("n", *(F.round(c, 9).alias(c) for c in ("mean_iou", "median_iou", "over_half")))
+    return out.select("site", "n", *(F.round(c, 9).alias(c) for c in ("mean_iou", "median_iou", "over_half")))
 
 
 @query(with_views("gate") + " SELECT site, vol, floor(az_deg / 90)::BIGINT AS obj, count(DISTINCT sweep) AS n_levels FROM gate WHERE dbz >= 50 GROUP BY ALL")
@@ -93,7 +93,7 @@ def frame_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = view(spark, sf_dir, "pixel").groupBy("frame", "level").agg(F.count("*").alias("n"))
     pixels = pixels.withColumn("path", F.concat(F.lit("/frames/f"), F.col("frame").cast("string"), F.lit(".png")))
     falling = "transform(sequence(0, 255), i -> 330D - 0.9D * i - frame)"
-    tables = spark.range(24).selectExpr("id AS frame").filter("frame % 4 < 2").selectExpr("concat('/tables/f', frame, '.json') AS path", f"CASE WHEN frame % 4 = 0 THEN {falling} ELSE transform(sequence(0, 255), i -> 200D) END AS kelvin_table")
+    tables = spark.range(120).selectExpr("id AS frame").filter("frame % 4 < 2").selectExpr("concat('/tables/f', frame, '.json') AS path", f"CASE WHEN frame % 4 = 0 THEN {falling} ELSE transform(sequence(0, 255), i -> 200D) END AS kelvin_table")
     return R.calibrated(pixels, tables).select("frame", "level", "n", F.round("kelvin", 9).alias("kelvin"))
 
 

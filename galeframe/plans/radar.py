@@ -62,7 +62,7 @@ def composite_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 _D = "(dbz_max - dbz_cal) FILTER (WHERE n_gates > 1)"
 
 
-@query(VOXEL + f" SELECT site, count(*) AS n_voxels, round(100e0 * avg(CASE WHEN n_gates > 1 THEN 1e0 ELSE 0e0 END), 6) AS multi_pct, round(avg{_D}, 6) AS mean_db, round(quantile_cont(dbz_max - dbz_cal, 0.5) FILTER (WHERE n_gates > 1), 6) AS median_db, round(quantile_cont(dbz_max - dbz_cal, 0.95) FILTER (WHERE n_gates > 1), 6) AS p95_db, round(max{_D}, 6) AS max_db, round(avg(dbz_max - dbz_cal) FILTER (WHERE n_gates > 1 AND dbz_max >= 40), 6) AS mean_db_40 FROM voxel GROUP BY site")
+@query(VOXEL + f" SELECT site, count(*) AS n_voxels, round(100e0 * avg(CASE WHEN n_gates > 1 THEN 1e0 ELSE 0e0 END), 6) AS multi_pct, round(avg{_D}, 6) AS mean_db, round(quantile_cont(round((dbz_max - dbz_cal) / 0.001e0)::BIGINT, 0.5) FILTER (WHERE n_gates > 1) * 0.001e0, 6) AS median_db, round(quantile_cont(round((dbz_max - dbz_cal) / 0.001e0)::BIGINT, 0.95) FILTER (WHERE n_gates > 1) * 0.001e0, 6) AS p95_db, round(max{_D}, 6) AS max_db, round(avg(dbz_max - dbz_cal) FILTER (WHERE n_gates > 1 AND dbz_max >= 40), 6) AS mean_db_40 FROM voxel GROUP BY site")
 def bin_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("multi_pct", "mean_db", "median_db", "p95_db", "max_db", "mean_db_40")
     return G.bin_bias(voxels(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in names})

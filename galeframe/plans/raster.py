@@ -79,11 +79,22 @@ def raster_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.gathered(_pixels(spark, sf_dir), mapping)
 
 
-@query(_PX + f", k AS (SELECT frame, {_K} AS k FROM px), p AS (SELECT frame, quantile_cont(k, 0.01) AS cold_k, quantile_cont(k, 0.95) AS warm_k, avg(k) AS mean_k, count(*) AS n FROM k GROUP BY frame), c AS (SELECT k.frame, 100e0 * avg(CASE WHEN k < warm_k - 8 THEN 1e0 ELSE 0e0 END) AS cloud_pct, count(*) FILTER (WHERE k - 273.15e0 <= -50) AS deep FROM k JOIN p ON p.frame = k.frame GROUP BY k.frame), w AS (SELECT p.*, c.cloud_pct, c.deep, lag(cold_k) OVER (PARTITION BY p.frame // 48 ORDER BY p.frame) - cold_k AS cooling FROM p JOIN c USING (frame)) SELECT frame, round(cold_k, 6) AS cold_k, round(warm_k, 6) AS warm_k, round(mean_k, 6) AS mean_k, n, round(cloud_pct, 6) AS cloud_pct, deep, round(cooling, 6) AS cooling, coalesce(cooling >= 4, false) AS initiation FROM w")
+@query(_PX + f", k AS (SELECT frame, {_K} AS k FROM px), p AS (SELECT frame, quantile_cont(k, 0.01) AS cold_k, quantile_cont(k, 0.95) AS warm_k, avg(k) AS mean_k, count(*) AS n FROM k GROUP BY frame), c AS (SELECT k.frame, 100e0 * avg(CASE WHEN k < warm_k - 8 THEN 1e0 ELSE 0e0 END) AS cloud_pct, count(*) FILTER (WHERE k - 273.15e0 <= -50) AS deep FROM k JOIN p ON p.frame = k.frame GROUP BY k.frame), w AS (SELECT p.*, c.cloud_pct, c.deep, lag(cold_k) OVER (ORDER BY p.frame) - cold_k AS cooling FROM p JOIN c USING (frame)) SELECT frame, round(cold_k, 6) AS cold_k, round(warm_k, 6) AS warm_k, round(mean_k, 6) AS mean_k, n, round(cloud_pct, 6) AS cloud_pct, deep, round(cooling, 6) AS cooling, coalesce(cooling >= 4, false) AS initiation FROM w")
 def cloud_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.cloud_products(_pixels(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("cold_k", "warm_k", "mean_k", "cloud_pct", "cooling")})
 
 
+_BANDS = with_views("pixel") + f", b AS (SELECT frame, row_no, col_no, avg({_K}) FILTER (WHERE band = 13) AS a, avg({_K}) FILTER (WHERE band = 7) AS b, avg({_K}) FILTER (WHERE band = 10) AS c FROM (SELECT * REPLACE (frame // 3 AS frame, row_no // 8 AS row_no, col_no // 8 AS col_no) FROM pixel) GROUP BY ALL)"
+
+
+@query(_BANDS + " SELECT frame, round(avg(a - b), 6) AS fog_btd, round(avg(a - c), 6) AS other FROM b GROUP BY frame")
+def band_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of bands over pixels of an eighth of the size, which most bands share."""
+    p = view(spark, sf_dir, "pixel").withColumns({"frame": F.floor(F.col("frame") / 3), "row_no": F.floor(F.col("row_no") / 8), "col_no": F.floor(F.col("col_no") / 8)})
+    out = R.band_differences(p, {"fog_btd": (13, 7), "other": (13, 10)})
+    return out.select("frame", *(F.round(c, 6).alias(c) for c in ("fog_btd", "other")))
+
+
 @query()
 def envelope_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well footprints and hulls fit the detected masks; tests hold the shapes' exact values."""

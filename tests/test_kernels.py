@@ -151,10 +151,23 @@ def test_segments_of_a_bulletin(spark):
     assert [g.key for g in got] == ["KMOB.TO.W.0001", "KMOB.SV.A.0002", "KTAE.FF.Y.0003"]
     assert got[0].ugc == ["ALZ051", "FLZ201", "FLZ202", "FLZ203"] and got[1].ugc == got[2].ugc == ["GAC001"]
     assert [tuple(p) for p in got[0].poly.ring] == [(-86.0, 30.0), (-86.0, 30.3), (-86.5, 30.3)]
-    assert (got[0].poly.deg, got[0].poly.kt, got[0].poly.heading) == (200, 25, 20)
+    assert (got[0].motion.deg, got[0].motion.kt, got[0].motion.heading) == (200, 25, 20)
     assert got[1].poly is None and got[1].end_time is None and got[0].end_time is not None
 
 
+def test_polygon_and_motion_are_kept_apart(spark):
+    """Follow-ups that lack only one of them, or both, keep the last of each; a removal forgets both."""
+    from galeframe.operators.alerts import active, alert_state, segments
+
+    head = "FLZ201-072000-\n/O.{}.KMOB.{}.W.0001.240101T0000Z-240101T0100Z/\n"
+    polygon, other = "LAT...LON 3000 8600 3030 8600 3030 8650\n", "LAT...LON 3100 8600 3130 8600 3130 8650\n"
+    motion = "TIME...MOT...LOC 0041Z 200DEG 25KT 3010 8620\n"
+    texts = [head.format("NEW", "TO") + polygon + motion, head.format("CON", "TO") + other, head.format("CON", "TO"), head.format("NEW", "SV") + polygon, head.format("CON", "SV") + other + motion.replace("200", "100"), head.format("NEW", "FF") + polygon + motion, head.format("CAN", "FF"), head.format("CON", "FF"), None, ""]
+    rows = segments(spark.createDataFrame(list(enumerate(texts)), "id int, text string"))
+    got = {r.phen: (r.poly and r.poly.ring[0].lat, r.motion and r.motion.deg) for r in active(alert_state(rows, ["id", "pos"])).collect()}
+    assert got == {"TO": (31.0, 200), "SV": (31.0, 100), "FF": (None, None)}
+
+
 def test_state_of_hazards(spark):
     from galeframe.operators.alerts import active, alert_state, push_events
 
