@@ -38,12 +38,6 @@ def envelope_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("site", "n", *(F.round(c, 9).alias(c) for c in ("mean_iou", "median_iou", "over_half")))
 
 
-@query(with_views("gate") + " SELECT site, vol, floor(az_deg / 90)::BIGINT AS obj, count(DISTINCT sweep) AS n_levels FROM gate WHERE dbz >= 50 GROUP BY ALL")
-def component_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gates = view(spark, sf_dir, "gate").filter("dbz >= 50")
-    return D.component_levels(gates.select("site", "vol", F.floor(F.col("az_deg") / 90).alias("obj"), F.col("sweep").alias("iz")))
-
-
 @query("WITH v AS (SELECT user_id AS site, ts FROM events UNION ALL SELECT -1, TIMESTAMP '2024-01-01'), g AS (SELECT site, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY site ORDER BY ts) AS g FROM v) SELECT site, round(coalesce(median(g) / 1e6, 300), 6) AS dt_s FROM g GROUP BY site")
 def volume_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("site"), F.col("ts").cast("timestamp").alias("vol_time"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galeframe.operators import cores as C
 from galeframe.operators import detect as D
 from galeframe.operators import grid as G
 from galeframe.plans.fixtures import view, with_views
@@ -135,6 +136,37 @@ def nms_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.suppressed(blocks(spark, sf_dir).withColumns({"x_km": F.col("cx"), "y_km": F.col("cy")}), 6.0).select("site", "vol", "obj")
 
 
+#: Voxels of 8 by 8 columns and 3 layers, so that components have several.
+_SEEDS = VOXEL.replace("WITH", "WITH RECURSIVE", 1) + (
+    ", seed AS MATERIALIZED (SELECT site, vol, iz // 3 AS iz, iy // 8 AS iy, ix // 8 AS ix, max(dbz_max + (ix * 7 + iy * 3) % 11) AS v FROM voxel WHERE dbz_max >= 40 GROUP BY ALL)"
+    ", reach AS (SELECT site, vol, iz, iy, ix, (iz * 100 + iy) * 100 + ix AS root FROM seed UNION SELECT m.site, m.vol, m.iz, m.iy, m.ix, r.root FROM (SELECT site, vol, iz + dz AS iz, iy + dy AS iy, ix + dx AS ix, root FROM reach, (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) t(dz, dy, dx)) r JOIN seed m USING (site, vol, iz, iy, ix) WHERE r.root < (m.iz * 100 + m.iy) * 100 + m.ix)"
+    ", comp AS MATERIALIZED (SELECT *, dense_rank() OVER (PARTITION BY site, vol ORDER BY root) AS label FROM (SELECT site, vol, iz, iy, ix, min(root) AS root FROM reach GROUP BY ALL) JOIN seed USING (site, vol, iz, iy, ix))"
+)
+
+
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = voxels(spark, sf_dir).filter("dbz_max >= 40").withColumn("v", F.col("dbz_max") + (F.col("ix") * 7 + F.col("iy") * 3) % 11)
+    coarse = v.select("site", "vol", *(F.floor(F.col(c) / k).alias(c) for c, k in (("iz", 3), ("iy", 8), ("ix", 8))), "v")
+    return C.seed_components(coarse)
+
+
+@query(_SEEDS + " SELECT site, vol, label AS obj, count(DISTINCT iz) AS n_levels FROM comp GROUP BY ALL")
+def component_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of each component of seed voxels that touch by a face."""
+    return D.component_levels(seeds(spark, sf_dir).withColumnRenamed("label", "obj"))
+
+
+@query(_SEEDS + " SELECT site, vol, label, iz, iy, ix, v FROM comp p WHERE NOT EXISTS (SELECT 1 FROM comp q WHERE q.site = p.site AND q.vol = p.vol AND q.label = p.label AND q.v > p.v AND greatest(abs(q.iz - p.iz), abs(q.iy - p.iy), abs(q.ix - p.ix)) <= 2)")
+def peak_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.peak_candidates(seeds(spark, sf_dir), 2)
+
+
+@query()
+def storm_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cores of seed voxels, parted in the saddles; tests hold them against one flood of each whole volume."""
+    return C.core_statistics(C.storm_cores(seeds(spark, sf_dir), 2))
+
+
 @query()
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The multi-threshold detector with its gates, over columns smoothed to blocks of 4 km so that objects have a size."""
