@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galeframe.functions import geo
 from galeframe.operators import overlap as O
 from galeframe.operators import raster as R
-from galeframe.operators.tracker import TrackerParams, components, track
+from galeframe.operators import sweep as W
+from galeframe.operators.tracker import TrackerParams, track
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.radar import detections
 from galeframe.plans.registry import query
@@ -128,28 +128,39 @@ def cell_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "obs").select("vol", "track_id", F.coalesce(F.nullif("family_id", F.lit(3)), -F.col("track_id")).alias("family"))
 
 
-_REACHED = with_views("obs").replace("WITH", "WITH RECURSIVE", 1) + (
-    ", c AS (SELECT vol, track_id, arg_max(seed_x, obs_id) AS x, arg_max(seed_y, obs_id) AS y FROM obs GROUP BY ALL)"
-    ", near AS (SELECT km, a.vol, a.track_id AS a, b.track_id AS b FROM c a JOIN c b ON a.vol = b.vol AND a.track_id <> b.track_id, (VALUES (10e0), (25e0), (50e0), (100e0)) t(km) WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / 1000 <= km)"
-    ", reached AS (SELECT km, vol, track_id AS root, track_id AS node FROM c, (VALUES (10e0), (25e0), (50e0), (100e0)) t(km) UNION SELECT r.km, r.vol, r.root, n.b FROM reached r JOIN near n ON n.km = r.km AND n.vol = r.vol AND n.a = r.node AND n.b > r.root)"
-    ", family AS (SELECT km, vol, node, min(root) AS root FROM reached GROUP BY ALL), per AS (SELECT km, vol, count(*) FILTER (WHERE node = root) AS families, count(*) AS cells FROM family GROUP BY ALL)"
+#: Components by distance, each linked to the family that most of its tracks were in before; a family has one heir.
+_SWEEP = with_views("obs").replace("WITH", "WITH RECURSIVE", 1) + (
+    ", d AS (SELECT * FROM (VALUES (10e0), (25e0), (50e0), (100e0)) t(km))"
+    ", c AS (SELECT site, vol, track_id, arg_max(seed_x, obs_id) AS x, arg_max(seed_y, obs_id) AS y FROM obs GROUP BY ALL)"
+    ", near AS MATERIALIZED (SELECT km, a.site, a.vol, a.track_id AS a, b.track_id AS b FROM c a JOIN c b ON a.site = b.site AND a.vol = b.vol AND a.track_id <> b.track_id, d WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / 1000 <= km)"
+    ", reached AS (SELECT km, site, vol, track_id AS root, track_id AS node FROM c, d UNION SELECT r.km, r.site, r.vol, r.root, n.b FROM reached r JOIN near n ON n.km = r.km AND n.site = r.site AND n.vol = r.vol AND n.a = r.node AND n.b > r.root)"
+    ", m AS MATERIALIZED (SELECT km, site, vol, node AS track_id, min(root) AS family FROM reached GROUP BY ALL)"
+    ", p AS (SELECT *, lag(vol) OVER w AS pv, lag(family) OVER w AS pf FROM m WINDOW w AS (PARTITION BY km, site, track_id ORDER BY vol))"
+    ", g AS (SELECT km, site, vol, family, pv, pf, count(*) AS votes, min(track_id) AS seen FROM p GROUP BY ALL)"
+    ", size AS (SELECT km, site, vol, family, count(*) AS n FROM p GROUP BY ALL)"
+    ", b AS (SELECT * FROM g WHERE pv IS NOT NULL QUALIFY row_number() OVER (PARTITION BY km, site, vol, family ORDER BY votes DESC, seen) = 1)"
+    ", link AS MATERIALIZED (SELECT km, site, vol, family, pv, pf FROM b JOIN size USING (km, site, vol, family) QUALIFY row_number() OVER (PARTITION BY km, site, pv, pf ORDER BY votes DESC, n DESC, vol DESC, family DESC) = 1)"
+    ", walk AS (SELECT km, site, vol, family, vol AS rv, family AS rf FROM size ANTI JOIN link USING (km, site, vol, family) UNION ALL SELECT l.km, l.site, l.vol, l.family, w.rv, w.rf FROM walk w JOIN link l ON l.km = w.km AND l.site = w.site AND l.pv = w.vol AND l.pf = w.family)"
+    ", life AS (SELECT km, site, rv, rf, (max(vol) - min(vol)) * 5 AS minutes FROM walk GROUP BY ALL)"
+    ", sets AS (SELECT km, site, vol, family, list(track_id) AS ids FROM m GROUP BY ALL)"
+    ", churn AS (SELECT l.km, l.site, sum(len(a.ids) + len(b.ids) - 2 * len(list_intersect(a.ids, b.ids))) / sum(len(a.ids) + len(b.ids) - len(list_intersect(a.ids, b.ids))) AS churn FROM link l JOIN sets a USING (km, site, vol, family) JOIN sets b ON b.km = l.km AND b.site = l.site AND b.vol = l.pv AND b.family = l.pf GROUP BY ALL)"
+    ", foot AS MATERIALIZED (SELECT DISTINCT km, site, vol, family, floor(seed_x / 20000) AS fx, floor(seed_y / 20000) AS fy FROM m JOIN obs USING (site, vol, track_id))"
+    ", fn AS (SELECT km, site, vol, family, count(*) AS n FROM foot GROUP BY ALL)"
+    ", fb AS (SELECT l.km, l.site, l.vol, l.family, count(*) AS k FROM link l JOIN foot a USING (km, site, vol, family) JOIN foot b ON b.km = l.km AND b.site = l.site AND b.vol = l.pv AND b.family = l.pf AND b.fx = a.fx AND b.fy = a.fy GROUP BY ALL)"
+    ", iou AS (SELECT l.km, l.site, avg(coalesce(k, 0) / (a.n + b.n - coalesce(k, 0))::DOUBLE) AS overlap FROM link l JOIN fn a USING (km, site, vol, family) JOIN fn b ON b.km = l.km AND b.site = l.site AND b.vol = l.pv AND b.family = l.pf LEFT JOIN fb ON fb.km = l.km AND fb.site = l.site AND fb.vol = l.vol AND fb.family = l.family GROUP BY ALL)"
+    ", per AS (SELECT km, site, count(*) / count(DISTINCT vol)::DOUBLE AS per_volume, max(n) AS most_cells FROM size GROUP BY ALL)"
 )
 
 
-@query(_REACHED + " SELECT km, round(avg(families), 9) AS per_volume, max(cells) AS most_cells FROM per GROUP BY km")
+@query(_SWEEP + " SELECT site, km, round(per_volume, 9) AS per_volume, (SELECT count(*) FROM life f WHERE f.km = per.km AND f.site = per.site) AS families, (SELECT max(minutes) FROM life f WHERE f.km = per.km AND f.site = per.site) AS longest_min, round(overlap, 9) AS overlap, round(churn, 9) AS churn, most_cells FROM per LEFT JOIN churn USING (km, site) LEFT JOIN iou USING (km, site)")
 def family_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Families per volume at several joining distances."""
-    import numpy as np
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        xy = pdf[["seed_x", "seed_y"]].to_numpy(float)
-        d = np.hypot(*(xy[:, None] - xy[None]).transpose(2, 0, 1)) / 1000
-        n = [len(set(components(len(xy), zip(*np.nonzero(np.tril(d <= km, -1)), strict=True)))) for km in (10.0, 25.0, 50.0, 100.0)]
-        return pd.DataFrame({"vol": pdf["vol"].iloc[0], "km": [10.0, 25.0, 50.0, 100.0], "families": n, "cells": len(xy)})
-
-    cells = view(spark, sf_dir, "obs").groupBy("vol", "track_id").agg(F.max_by(F.struct("seed_x", "seed_y"), "obs_id").alias("s")).select("vol", "s.*")
-    per = cells.groupBy("vol").applyInPandas(run, "vol long, km double, families long, cells long")
-    return per.groupBy("km").agg(F.round(F.avg("families"), 9).alias("per_volume"), F.max("cells").alias("most_cells"))
+    """Families at several joining distances: their number, lives, overlap, churn and size."""
+    obs = view(spark, sf_dir, "obs")
+    last = F.max_by(F.struct(F.col("seed_x").alias("x"), F.col("seed_y").alias("y")), "obs_id").alias("s")
+    cells = obs.groupBy("site", "vol", "track_id").agg(last).select("site", "vol", "track_id", "s.*")
+    footprints = obs.select("site", "vol", "track_id", F.struct(F.floor(F.col("seed_x") / 20000), F.floor(F.col("seed_y") / 20000)).alias("cell"))
+    out = W.distance_sweep(cells, footprints, (10.0, 25.0, 50.0, 100.0))
+    return out.withColumns({c: F.round(c, 9) for c in ("per_volume", "overlap", "churn")})
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galeframe.operators import alerts as A
-from galeframe.operators import detect as D
 from galeframe.operators import raster as R
 from galeframe.operators import telemetry as M
 from galeframe.operators import tracks as T
 from galeframe.operators import verification as V
+from galeframe.operators import zones as Z
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.registry import query
 
@@ -106,3 +106,26 @@ def local_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All times are in winter."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("end_time"))
     return A.local_expiry(e, "America/Chicago").select("event_id", "expires")
+
+
+#: Zones about suppliers, some across 180 degrees, some with a hole: offsets of their rings by size.
+_OUTER = [(-1.0, -1.0), (0.2, -0.7), (1.0, -1.0), (0.7, 0.1), (1.0, 1.0), (-0.1, 0.6), (-1.0, 1.0), (-0.6, -0.2)]
+_HOLE = [(-0.3, -0.3), (-0.3, 0.3), (0.3, 0.3), (0.3, -0.3)]
+_ZONE = "s_suppkey AS zone, CASE WHEN s_suppkey % 5 = 0 THEN 179.5e0 + (s_suppkey % 7) / 10e0 ELSE -95e0 + (s_suppkey * 7919 % 17000) / 1000e0 END AS x0, 25e0 + (s_suppkey * 104729 % 13000) / 1000e0 AS y0, 0.2e0 + (s_suppkey % 9) * 0.15e0 AS r"
+_POINT = "event_id, CASE WHEN event_id % 4 = 0 THEN 178e0 + (event_id * 31 % 4000) / 1000e0 ELSE -95e0 + (event_id * 104729 % 17000) / 1000e0 END AS x, 25e0 + (event_id * 7919 % 13000) / 1000e0 AS lat"
+_SIDES = ", ".join(f"({a}e0, {b}e0, {c}e0, {d}e0, {hole})" for ring, hole in ((_OUTER, 0), (_HOLE, 1)) for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1], strict=True))
+
+
+@query(f"WITH z AS (SELECT {_ZONE} FROM supplier), e AS (SELECT zone, x0 + ax * r AS x1, y0 + ay * r AS y1, x0 + bx * r AS x2, y0 + by_ * r AS y2 FROM z, (VALUES {_SIDES}) t(ax, ay, bx, by_, hole) WHERE hole = 0 OR zone % 3 = 0), p AS (SELECT {_POINT} FROM events) SELECT event_id, zone FROM p, e WHERE (y1 > lat) <> (y2 > lat) AND x < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY event_id, zone HAVING count(*) % 2 = 1")
+def point_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones of each event's place; all longitudes are given between -180 and 180 degrees."""
+    z = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(*_split(_ZONE))
+    wrap = lambda x: x - 360e0 * F.floor((x + 180e0) / 360e0)
+    ring = lambda offsets: F.array(*(F.struct(wrap(F.col("x0") + F.lit(a) * F.col("r")).alias("lon"), (F.col("y0") + F.lit(b) * F.col("r")).alias("lat")) for a, b in offsets))
+    rings = z.select("zone", ring(_OUTER).alias("ring")).union(z.filter("zone % 3 = 0").select("zone", ring(_HOLE)))
+    points = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_split(_POINT)).select("event_id", wrap(F.col("x")).alias("lon"), "lat")
+    return Z.in_zones(points, Z.zone_index(rings)).select("event_id", "zone")
+
+
+def _split(columns: str) -> list[str]:
+    return [c.strip() for c in columns.replace(", CASE", ";CASE").replace("END AS x0, ", "END AS x0;").replace("END AS x, ", "END AS x;").replace(" AS y0, ", " AS y0;").split(";")]

@@ -15,7 +15,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="galeframe-")
-    return f"{base.rstrip('/')}/galeframe/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{qualified(spark, base).rstrip('/')}/galeframe/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path without a scheme as one of the cluster's file system, so that no executor takes it for its own disk."""
+    if ":" in path.split("/")[0]:
+        return path
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once in the shared folder and read again: later steps start from there, also after executors are lost."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def put_batch(folder: str):
