@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from galeframe.functions import bulletins as B
 from galeframe.operators import alerts as A
+from galeframe.operators import polygons as P
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.registry import query
 from galeframe.sources import units as U
@@ -112,6 +113,19 @@ def alert_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.geometry(A.active(lives(spark, sf_dir)), shapes).select("key", "kind", "ugc")
 
 
+#: The fixture's polygons are one right triangle, moved about: two of them share a smaller one of its shape.
+_TRIANGLE = _STATE + ", g AS (SELECT key, life, bulletin_id, 30 + (bulletin_id % 400) / 100e0 AS lat, 86 + (bulletin_id % 300) / 100e0 AS west FROM s WHERE text LIKE '%LAT...LON%' AND NOT gone), l AS (SELECT key, lat, west FROM g JOIN (SELECT key, life FROM s WHERE n = 1 AND NOT gone) USING (key, life) QUALIFY row_number() OVER (PARTITION BY key ORDER BY bulletin_id DESC) = 1), o AS (SELECT a.key AS a, b.key AS b, least(a.lat, b.lat) + 0.3e0 - 0.6e0 * greatest(a.west, b.west) - greatest(a.lat - 0.6e0 * a.west, b.lat - 0.6e0 * b.west) AS leg FROM l a JOIN l b ON a.key < b.key)"
+
+
+@query(_TRIANGLE + " SELECT a, b, round(leg * leg / 1.2e0, 9) AS shared, round((leg * leg / 1.2e0) / (0.15e0 - leg * leg / 1.2e0), 6) AS iou FROM o WHERE leg > 0.001")
+def hazard_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of active hazards whose polygons overlap, with the area (square degrees) that they share."""
+    corner = F.transform("poly.ring", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y")))
+    shapes = A.active(lives(spark, sf_dir)).filter("poly IS NOT NULL").select(F.col("key").alias("id"), F.array(corner).alias("polygon"))
+    pairs = P.overlaps(shapes, shapes, [], 0.5).filter("a < b AND shared > 0.001 * 0.001 / 1.2")
+    return pairs.select("a", "b", F.round("shared", 9).alias("shared"), F.round("iou", 6).alias("iou"))
+
+
 _NAME = "(CASE phen WHEN 'TO' THEN 'Tornado' WHEN 'SV' THEN 'Severe Thunderstorm' WHEN 'FF' THEN 'Flash Flood' WHEN 'MA' THEN 'Marine' ELSE 'Wind' END || ' ' || CASE sig WHEN 'W' THEN 'Warning' WHEN 'A' THEN 'Watch' ELSE 'Advisory' END)"
 
 

@@ -99,5 +99,5 @@ def band_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def envelope_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well footprints and hulls fit the detected masks; tests hold the shapes' exact values."""
     found = detections(spark, sf_dir)
-    parts = [E.envelope_summary(E.envelopes(found, m)).withColumn("method", F.lit(m)) for m in ("footprint", "convex")]
-    return parts[0].unionByName(parts[1])
+    parts = [E.envelope_summary(E.envelopes(found, m)).withColumn("method", F.lit(m)) for m in ("footprint", "concave", "convex")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
