@@ -10,7 +10,9 @@ from galeframe.operators.tracker import track
 from galeframe.plans.alerts import HAZARDS
 from galeframe.plans.fixtures import VIEWS, view, with_views
 from galeframe.plans.registry import query
-from galeframe.sources.shared import latest, new_folder, put_batch, replace_table
+from galeframe.sources.manifest import Published
+from galeframe.sources.shared import kept, latest, new_folder, put_batch, replace_table
+from galeframe.streaming import hazards as H
 from galeframe.streaming import live as S
 
 
@@ -43,9 +45,29 @@ def stream_flash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_views("unit") + ", p AS (SELECT DISTINCT json_extract_string(body, '$.site') AS site, (json_extract_string(body, '$.volume_epoch'))::BIGINT AS volume_epoch, (json_extract_string(body, '$.vcp'))::INT AS vcp FROM unit WHERE json_valid(body)) SELECT * FROM p WHERE volume_epoch % 700 <> 0")
 def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done, dead = new_folder(spark, "units-done"), new_folder(spark, "units-dead")
-    finished(replayed(spark, sf_dir, "unit"), S.unit_sink(spark, done, dead, F.col("volume_epoch") % 700 == 0), "append", done)
-    return spark.read.parquet(done).select("site", "volume_epoch", "vcp")
+    root = new_folder(spark, "units")
+    fails = lambda units: units.withColumn("failed", F.col("volume_epoch") % 700 == 0)
+    finished(replayed(spark, sf_dir, "unit"), S.unit_sink(spark, root, fails), "append", root)
+    return Published(spark, root).table("done").select("site", "volume_epoch", "vcp")
+
+
+_RETRY = with_views("unit") + ", p AS (SELECT DISTINCT json_extract_string(body, '$.site') AS site, (json_extract_string(body, '$.volume_epoch'))::BIGINT AS volume_epoch FROM unit WHERE json_valid(body)), q AS (SELECT *, (volume_epoch // 300) % 5 AS bad FROM p)"
+
+
+@query(_RETRY + " SELECT site, volume_epoch, least(bad + 1, 3)::INTEGER AS delivery, bad >= 3 AS dead FROM q")
+def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units over several files and batches, of which many fail in their first deliveries: three of five work in the end."""
+    root, table = new_folder(spark, "retries"), new_folder(spark, "unit-files")
+    view(spark, sf_dir, "unit").repartitionByRange(4, "unit_id").write.parquet(table)
+    fails = lambda units: units.withColumn("failed", F.col("delivery") <= F.floor(F.col("volume_epoch") / 300) % 5)
+    sink = S.unit_sink(spark, root, fails, idle_s=0)
+    source = spark.readStream.schema("unit_id bigint, body string").option("maxFilesPerTrigger", 1).parquet(table)
+    finished(source, sink, "append", root)
+    for n in range(10, 12):  # batches without new rows, as a later trigger brings them
+        sink(spark.createDataFrame([], "unit_id bigint, body string"), n)
+    tables = Published(spark, root)
+    own = lambda df, dead: df.select("site", "volume_epoch", "delivery", F.lit(dead).alias("dead"))
+    return own(tables.table("done"), False).unionByName(own(tables.latest("dead"), True))
 
 
 _ORDER = "PARTITION BY key ORDER BY seq"
@@ -77,3 +99,32 @@ def stream_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     source.write.parquet(table)
     finished(S.tracked(spark.readStream.schema(source.schema).parquet(table)), put_batch(where), "append", where)
     return spark.read.parquet(where).drop("batch")
+
+
+#: Segments by the time of their bulletins; a hazard ends by removal, or at its end before the next segment.
+_BY_TIME = HAZARDS + (
+    ", t AS (SELECT h.*, 1704067200 + (h.seq // 8) * 60 AS sent, epoch(end_time)::BIGINT AS ends FROM h JOIN seg ON seg.bulletin_id = h.seq), mark AS (SELECT max(sent) - 1830 AS w FROM t)"
+    ", i AS (SELECT t.*, w, lead(sent) OVER k AS next_at, lag(gone) OVER k AS was_gone, lag(ends) OVER k AS was_end FROM t, mark WHERE sent <= w WINDOW k AS (PARTITION BY key ORDER BY sent, seq, pos))"
+    ", j AS (SELECT *, NOT coalesce(was_gone, true) AND coalesce(was_end > sent, true) AS active FROM i)"
+    ", l AS (SELECT *, sum((NOT active)::INT) OVER (PARTITION BY key ORDER BY sent, seq, pos) AS life FROM j)"
+    ", q AS (SELECT *, lag(ugc) OVER (PARTITION BY key ORDER BY sent, seq, pos) AS last_ugc, last_value(CASE WHEN NOT gone THEN ring END IGNORE NULLS) OVER (PARTITION BY key, life ORDER BY sent, seq, pos ROWS UNBOUNDED PRECEDING) AS carried FROM l)"
+    ", e AS (SELECT key, CASE WHEN gone THEN 'removed' WHEN action = 'NEW' AND NOT active THEN 'new' ELSE 'update' END AS kind, seq, pos, CASE WHEN gone THEN last_ugc ELSE ugc END AS ugc, carried AS ring FROM q WHERE active OR NOT gone"
+    " UNION ALL SELECT key, 'expired', seq, pos, ugc, carried FROM q WHERE NOT gone AND ends <= coalesce(next_at, w))"
+)
+
+
+@query(_BY_TIME + " SELECT key, kind, seq, pos, ugc, ring FROM e")
+def stream_hazard_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hazards by the bulletins' own clock: several files and batches, out of order, ended by the watermark."""
+    where, table = new_folder(spark, "hazard-times"), new_folder(spark, "segment-files")
+    at = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("bulletin_id") / 8) * 60)
+    rows = segments(view(spark, sf_dir, "bulletin")).select("key", F.col("bulletin_id").alias("seq"), "pos", "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"), at.alias("at"), F.col("end_time").alias("ends"))
+    # Files come one after another, overlap by some minutes, and have their rows in any order.
+    parts = rows.repartitionByRange(4, F.col("seq") + F.pmod(F.xxhash64("seq"), F.lit(64))).withColumn("part", F.spark_partition_id())
+    parts = kept(parts, "segments")
+    for i in range(4):
+        parts.filter(F.col("part") == i).drop("part").coalesce(1).sortWithinPartitions(F.xxhash64("seq")).write.mode("append").parquet(table)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(table)
+    with H.state_in_rocksdb(spark):
+        finished(H.hazards_by_time(stream, "1830 seconds"), put_batch(where), "append", where)
+    return spark.read.parquet(where).drop("batch")

@@ -5,16 +5,18 @@ from __future__ import annotations
 import json
 import pickle
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from galeframe.functions.bulletins import REMOVE
 from galeframe.operators.tracker import OUTPUT, Tracker, TrackerParams, run_volumes, tracked_columns
-from galeframe.sources.units import decoded, not_yet_in, with_attempts
+from galeframe.sources.manifest import Published
+from galeframe.sources.shared import kept
+from galeframe.sources.units import MAX_ATTEMPTS, decoded
 
 
 def tracked(cells: DataFrame, p: TrackerParams = TrackerParams()) -> DataFrame:  # noqa: B008
@@ -117,37 +119,60 @@ def deduplicated(units: DataFrame, keys: list[str], time: str, late: str = "10 m
     return units.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-DONE = "site string, volume_epoch bigint, vcp int, attempts int, day bigint, batch bigint"
+IDLE_S, DEAD_ROWS = 600, 10_000
 
 
-def unit_sink(spark, done: str, dead: str, fails, body: str = "body"):
-    """A foreachBatch sink of work units. Those that fail MAX_ATTEMPTS times go to `dead`, bodies that can't be read to
-    `<dead>-malformed`, the rest once to `done`, with the attempts that they took (see `with_attempts` for `fails`).
+def unit_sink(spark, root: str, work: Callable[[DataFrame], DataFrame], body: str = "body", idle_s: float = IDLE_S, most: int = MAX_ATTEMPTS, clock: Callable[[], float] = time.time):
+    """A foreachBatch sink of work units, published batch by batch below `root` (see `Published`).
 
-    A batch that runs again inserts nothing twice: a key is inserted only if no earlier batch did. `done` is partitioned by
-    day of the volume and batch, and a batch reads the days of its own units only; days may be deleted once no unit of
-    them can come again.
+    `work` returns its units (site, volume_epoch, vcp, delivery from 1, at) with a column `failed`; a null is no failure. It
+    runs once for each delivery, and once more if its batch dies before it is published. Tables of a batch: `done`, units that
+    worked, with their deliveries; `malformed`, bodies that can't be read; and, whole in each batch, `pending`, units that
+    failed fewer than `most` times, with the time of the last, and `dead`, the DEAD_ROWS latest of those that failed `most`
+    times, with the time they were dropped. A pending unit is delivered again in the first batch that begins `idle_s` seconds
+    after its last delivery (batches without new rows serve as well). Units that are done, dead or pending aren't taken anew.
+
+    Of `done`, only batches are read whose volumes overlap the batch's own in time.
     """
-    spark.createDataFrame([], DONE).write.mode("append").partitionBy("day", "batch").parquet(done)
+    tables = Published(spark, root)
+    key = ["site", "volume_epoch"]
 
     def put(batch: DataFrame, number: int) -> None:
-        good, malformed = decoded(batch, body)
-        malformed.write.mode("overwrite").parquet(f"{dead}-malformed/batch={number}")
-        good = with_attempts(good, fails).withColumn("day", F.floor(F.col("volume_epoch") / 86400))
-        good.filter("dead").select("site", "volume_epoch", "attempts").write.mode("overwrite").parquet(f"{dead}/batch={number}")
-        fresh = good.filter("NOT dead").select("site", "volume_epoch", "vcp", "attempts", "day", F.lit(number).cast("long").alias("batch"))
-        days = [r.day for r in fresh.select("day").distinct().collect()]  # a few, to prune folders by
-        known = spark.read.schema(DONE).parquet(done).filter(F.col("day").isin(days) & (F.col("batch") < number)).select("site", "volume_epoch")
-        new = not_yet_in(fresh, known, ["site", "volume_epoch"])
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(done)
+        now = clock()
+        good, malformed = decoded(kept(batch.select(body), "bodies"), body)  # the source is read once
+        fresh = kept(good.select(*key, "vcp").dropDuplicates(key), "units")
+        low, high = fresh.agg(F.min("volume_epoch"), F.max("volume_epoch")).first()
+        pending, dead = tables.latest("pending", before=number), tables.latest("dead", before=number)
+        done = None if low is None else tables.table("done", low, high, before=number)
+        for known in (done, pending, dead):
+            fresh = fresh if known is None else fresh.join(known.select(*key), key, "left_anti")
+        new = fresh.select(*key, "vcp", F.lit(1).alias("delivery"), F.lit(now).alias("at"))
+        waiting = None if pending is None else pending.filter(F.col("at") > now - idle_s)
+        if pending is not None:
+            again = pending.filter(F.col("at") <= now - idle_s)
+            new = new.unionByName(again.select(*key, "vcp", (F.col("delivery") + 1).alias("delivery"), F.lit(now).alias("at")))
+        tried = kept(work(new).withColumn("failed", F.coalesce("failed", F.lit(False))), "tried")  # so each unit is worked on once
+        rest = tried.filter("failed").select(*new.columns)
+        still = rest.filter(F.col("delivery") < most)
+        dropped = rest.filter(F.col("delivery") >= most).select(*key, "vcp", "delivery", F.lit(now).alias("dropped_at"))
+        dropped = dropped if dead is None else dropped.unionByName(dead)
+        tables.commit(number, {
+            "done": tried.filter("NOT failed").select(*key, "vcp", "delivery"),
+            "malformed": malformed,
+            "pending": still if waiting is None else still.unionByName(waiting),
+            "dead": dropped.orderBy(F.desc("dropped_at"), *key).limit(DEAD_ROWS),
+        }, ranged="volume_epoch")
 
     return put
 
 
 def announcement(cells: DataFrame, most: int = 5000) -> DataFrame:
-    """One JSON text per volume of its `most` strongest cells."""
-    ranked = F.slice(F.sort_array(F.collect_list(F.struct(F.col("dbz"), "cell_id", "x", "y")), False), 1, most)
-    return cells.groupBy("site", "t").agg(F.to_json(F.struct(F.count("*").alias("n"), ranked.alias("cells"))).alias("body"))
+    """One JSON text per volume of its `most` strongest cells, and how many there are. Only those are collected."""
+    w = Window.partitionBy("site", "t")
+    strongest = F.row_number().over(w.orderBy(F.desc("dbz"), F.desc("cell_id")))
+    rows = cells.withColumns({"n": F.count("*").over(w), "rank": strongest}).filter(F.col("rank") <= most)
+    ranked = F.sort_array(F.collect_list(F.struct("dbz", "cell_id", "x", "y")), False)
+    return rows.groupBy("site", "t").agg(F.to_json(F.struct(F.first("n").alias("n"), ranked.alias("cells"))).alias("body"))
 
 
 def settings_hash(settings: dict) -> str:

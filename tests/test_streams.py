@@ -1,13 +1,16 @@
+import datetime
 import json
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from galeframe.operators.alerts import active, alert_state, segments
 from galeframe.operators.tracker import Tracker, TrackerParams
 from galeframe.plans.fixtures import view
 from galeframe.plans.streams import finished, storm_tracks, stream_hazards, stream_tracks
+from galeframe.sources.manifest import Published
 from galeframe.sources.shared import new_folder, put_batch
 from galeframe.streaming import live as S
 
@@ -124,27 +127,108 @@ def test_late_volumes_go_out_without_identity(spark):
     assert sorted((r.t, r.cell_uid is None) for r in spark.read.parquet(where).collect()) == [(0.0, False), (300.0, True), (600.0, False)]
 
 
-def test_units_go_once_to_one_place(spark):
-    done, dead = new_folder(spark, "done"), new_folder(spark, "dead")
-    body = lambda s, e: json.dumps({"site": s, "volume_epoch": e, "vcp": 12})
-    put = S.unit_sink(spark, done, dead, F.col("site") == "KPOISON")
-    one = spark.createDataFrame([(body("A", 1),), (body("A", 1),), (body("KPOISON", 2),), ("{oops",)], "body string")
-    put(one, 0)
-    put(one, 0)
-    put(spark.createDataFrame([(body("A", 1),), (body("B", 3),)], "body string"), 1)
-    assert sorted((r.site, r.volume_epoch) for r in spark.read.parquet(done).collect()) == [("A", 1), ("B", 3)]
-    assert [(r.site, r.attempts) for r in spark.read.parquet(dead).collect()] == [("KPOISON", 3)]
-
-
-def test_units_are_tried_again(spark):
-    done, dead = new_folder(spark, "done"), new_folder(spark, "dead")
-    body = lambda s, e: json.dumps({"site": s, "volume_epoch": e, "vcp": 12})
-    put = S.unit_sink(spark, done, dead, lambda k: (F.col("site") == "DEAD") | ((F.col("site") == "SLOW") & F.lit(k < 3)))
-    put(spark.createDataFrame([(body(s, 86400 * i),) for i, s in enumerate(["DEAD", "SLOW", "FINE"])] + [("{oops",), (None,)], "body string"), 0)
-    put(spark.createDataFrame([(body("SLOW", 86400),), (body("FINE", 5),)], "body string"), 1)
-    assert sorted((r.site, r.volume_epoch, r.attempts, r.batch) for r in spark.read.parquet(done).collect()) == [("FINE", 5, 1, 1), ("FINE", 172800, 1, 0), ("SLOW", 86400, 3, 0)]
-    assert [(r.site, r.attempts) for r in spark.read.parquet(dead).collect()] == [("DEAD", 3)]
-    assert sorted(str(r.body) for r in spark.read.parquet(dead + "-malformed").collect()) == ["None", "{oops"]
+def units(spark, *rows):
+    return spark.createDataFrame([(json.dumps({"site": s, "volume_epoch": e, "vcp": 12}) if e is not None else s,) for s, e in rows], "body string")
+
+
+def of(tables, name, *columns, latest=False):
+    return sorted(tuple(r[c] for c in columns) for r in (tables.latest(name) if latest else tables.table(name)).collect())
+
+
+def test_units_are_delivered_again(spark):
+    """One fails in two batches and works in the third, one never works; each waits until it has been idle long enough."""
+    root, clock, made = new_folder(spark, "units"), [1000.0], []
+    fails = {"SLOW": 2, "DEAD": 9}
+
+    def work(df):
+        made.extend((r.site, r.delivery) for r in df.collect())
+        bad = F.coalesce(*(F.when((F.col("site") == s) & (F.col("delivery") <= n), True) for s, n in fails.items()))
+        return df.withColumn("failed", bad)
+
+    put, tables = S.unit_sink(spark, root, work, idle_s=600, clock=lambda: clock[0]), Published(spark, root)
+    put(units(spark, ("SLOW", 1), ("DEAD", 2), ("FINE", 3), ("FINE", 3), ("{oops", None), (None, None)), 0)
+    put(units(spark, ("SLOW", 1), ("FINE", 3)), 0)  # runs again: nothing changes
+    assert of(tables, "done", "site", "delivery") == [("FINE", 1)] and len(of(tables, "pending", "site", latest=True)) == 2
+    clock[0] += 599
+    put(units(spark, ("SLOW", 1), ("LATER", 4)), 1)
+    assert of(tables, "pending", "site", "delivery", latest=True) == [("DEAD", 1), ("SLOW", 1)]
+    for n, wait in ((2, 1), (3, 600)):
+        clock[0] += wait
+        put(units(spark), n)
+    assert of(tables, "done", "site", "delivery") == [("FINE", 1), ("LATER", 1), ("SLOW", 3)]
+    assert of(tables, "dead", "site", "delivery", "dropped_at", latest=True) == [("DEAD", 3, 2200.0)] and of(tables, "pending", "site", latest=True) == []
+    assert sorted(str(r.body) for r in tables.table("malformed").collect()) == ["None", "{oops"]
+    put(units(spark, ("DEAD", 2), ("SLOW", 1)), 4)  # neither is taken anew
+    runs = [m for m in made if m[0] in ("SLOW", "DEAD", "LATER")]
+    assert sorted(set(runs)) == [("DEAD", 1), ("DEAD", 2), ("DEAD", 3), ("LATER", 1), ("SLOW", 1), ("SLOW", 2), ("SLOW", 3)]
+
+
+def test_a_batch_that_dies_publishes_nothing(spark):
+    root = new_folder(spark, "units")
+    dies = lambda df: df.withColumn("failed", F.when(F.col("site") == "B", F.raise_error(F.lit("killed")).cast("boolean")).otherwise(False))
+    with pytest.raises(Exception, match="killed"):
+        S.unit_sink(spark, root, dies)(units(spark, ("A", 1), ("B", 2)), 0)
+    tables = Published(spark, root)
+    assert tables.batches() == [] and tables.table("done") is None
+    S.unit_sink(spark, root, lambda df: df.withColumn("failed", F.lit(None).cast("boolean")))(units(spark, ("A", 1), ("B", 2)), 0)
+    assert of(tables, "done", "site") == [("A",), ("B",)]
+
+
+def test_tables_of_a_batch_are_published_together(spark):
+    tables = Published(spark, new_folder(spark, "storms"))
+    cells, families = spark.createDataFrame([(1, 2.5)], "cell int, dbz float"), spark.createDataFrame([("f",)], "family string")
+    with pytest.raises(Exception, match="dies here"):
+        tables.commit(0, {"cells": cells, "families": families.withColumn("n", F.raise_error(F.lit("dies here")))})
+    assert tables.table("cells") is None and tables.table("families") is None
+    assert tables.commit(0, {"cells": cells, "families": families}) and not tables.commit(0, {"cells": cells.limit(0), "families": families})
+    # A column is added and two are widened; both batches stay readable, a change of kind is refused.
+    tables.commit(1, {"cells": spark.createDataFrame([(2**40, 3.25, "x")], "cell bigint, dbz double, note string"), "families": families})
+    with pytest.raises(TypeError, match="can't change"):
+        tables.commit(2, {"cells": spark.createDataFrame([("a",)], "cell string")})
+    out = tables.table("cells")
+    assert out.dtypes == [("cell", "bigint"), ("dbz", "double"), ("note", "string")]
+    assert sorted(map(tuple, out.collect())) == [(1, 2.5, None), (2**40, 3.25, "x")]
+    tables.merged()
+    assert tables.batches() == [0, 1] and len(tables._files()) == 1 and tables.table("families").count() == 2
+
+
+def test_metrics_equal_the_rows(spark):
+    from galeframe.streaming import metrics as M
+
+    table, root = new_folder(spark, "unit-files"), new_folder(spark, "units")
+    rows = [(json.dumps({"site": f"S{i}", "volume_epoch": i, "vcp": 12}) if i % 7 else "{oops",) for i in range(60)]
+    spark.createDataFrame(rows, "body string").repartition(3).write.parquet(table)
+    stream = spark.readStream.schema("body string").option("maxFilesPerTrigger", 1).parquet(table)
+    with M.recorded(spark) as seen:
+        finished(M.observed(stream, "units", {"malformed": F.col("body").startswith("{oops")}), S.unit_sink(spark, root, lambda df: df.withColumn("failed", F.lit(False))), "append", root)
+    got = {(r["name"], r["le"]): r["value"] for r in seen.rows()}
+    assert got["units_rows_total", None] == 60 and got["units_malformed_total", None] == 9 and got["batches_total", None] == 3
+    assert got["batch_seconds_bucket", float("inf")] == got["batch_seconds_count", None] == 3
+    steps = [v for (n, le), v in sorted(got.items(), key=str) if n == "batch_seconds_bucket"]
+    assert max(steps) == 3
+    where = new_folder(spark, "metrics")
+    seen.write(where)
+    assert spark.read.parquet(where).count() == len(seen.rows())
+
+
+def test_hazards_by_event_time_hold_little(spark):
+    """Out of order within the delay, ended by the watermark; what is left as state is what is active or not yet due."""
+    from galeframe.streaming import hazards as H
+
+    table, where = new_folder(spark, "segments"), new_folder(spark, "events")
+    schema = "key string, seq bigint, pos int, action string, ugc string, ring string, at timestamp, ends timestamp"
+    at = lambda m: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=m)
+    first = [("a", 2, 0, "CON", "Z2", None, at(5), at(60)), ("a", 1, 0, "NEW", "Z1", "R1", at(1), at(60)), ("b", 3, 0, "NEW", "Z3", None, at(6), None), ("c", 4, 0, "NEW", "Z4", None, at(7), at(20))]
+    then = [("clock", 9, 0, "NEW", "Z", None, at(120), at(500)), ("a", 8, 0, "CAN", "Z1", None, at(30), at(60)), ("c", 7, 0, "CON", "Z4", "R4", at(25), at(40))]
+    last = [("clock", 10, 0, "CON", "Z", None, at(240), at(500)), ("b", 5, 0, "CAN", "Z3", None, at(10), None)]  # the second is far too late
+    for rows in (first, then, last):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(table)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(table)
+    with H.state_in_rocksdb(spark):
+        finished(H.hazards_by_time(stream, "30 minutes"), put_batch(where), "append", where)
+    got = sorted((r.key, r.seq, r.kind, r.ugc, r.ring) for r in spark.read.parquet(where).collect())
+    assert got == sorted([("a", 1, "new", "Z1", "R1"), ("a", 2, "update", "Z2", "R1"), ("a", 8, "removed", "Z2", "R1"), ("b", 3, "new", "Z3", None), ("c", 4, "new", "Z4", None), ("c", 4, "expired", "Z4", None), ("c", 7, "update", "Z4", "R4"), ("c", 7, "expired", "Z4", "R4"), ("clock", 9, "new", "Z", None)])
 
 
 def test_hazards_expire_by_the_clock(spark):
