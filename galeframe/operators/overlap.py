@@ -1,6 +1,7 @@
 """The overlap tracker: cells follow the track whose advected footprint they share most with, through splits and merges.
 
-Footprints are sets of grid cells and move by whole cells (half a cell of error at most). Volumes stream in order past a site's tracks.
+Footprints are sets of grid cells and move by whole cells (half a cell of error at most). Volumes stream in order past the
+tracks of an episode of their site (see `by_volume`).
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from galeframe.operators.ordered import by_volume
+from galeframe.operators.ordered import after_earlier, by_volume
+from galeframe.sources.shared import kept
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,7 @@ class OverlapParams:
     moves: int = 4
     history: int = 120
     merge_share: float = 0.15
+    gap_min: float = 60.0
 
 
 @dataclass(frozen=True)
@@ -139,9 +142,9 @@ EVENTS = "t double, kind string, track_ids array<long>, child_ids array<long>, l
 
 
 def run_volumes(tracker: OverlapTracker, pdf: pd.DataFrame) -> tuple[list[tuple], list[tuple]]:
-    """Tracks of the cells of the volumes of `pdf`, oldest first, and what happened to the tracks."""
+    """Tracks of the cells of the volumes of `pdf`, oldest first, and what happened to the tracks. Cells without an id go."""
     rows, tracker.events = [], []
-    for t, own in pdf.groupby("t"):
+    for t, own in pdf.dropna(subset=["cell_id"]).groupby("t"):
         cells = []
         for r in own.itertuples(index=False):
             pixels = frozenset(zip(r.pix_y, r.pix_x, strict=True)) if r.pix_y is not None else frozenset()
@@ -151,10 +154,17 @@ def run_volumes(tracker: OverlapTracker, pdf: pd.DataFrame) -> tuple[list[tuple]
 
 
 def overlap_tracks(cells: DataFrame, p: OverlapParams = OverlapParams(), events: bool = False) -> DataFrame:  # noqa: B008
-    """Tracks of each cell (site, t, cell_id, x, y, area, pix_y, pix_x), or the births, splits, merges and deaths."""
+    """Tracks of each cell (site, t, cell_id, x, y, area, pix_y, pix_x), or the births, splits, merges and deaths.
+
+    Tracks don't go on over more than `gap_min` without any cell of their site; their deaths then have no event. A cell without
+    pixels is followed by nearness alone, one without an id or time is left out; an empty table gives an empty result."""
     schema = EVENTS if events else TRACKS
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def feed(tracker: OverlapTracker, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(run_volumes(tracker, pdf)[int(events)], columns=[c.split()[0] for c in schema.split(", ")])
+        out = pd.DataFrame(run_volumes(tracker, pdf)[int(events)], columns=names)
+        return out.assign(ids=tracker.last_id, lineages=tracker.last_lineage)
 
-    return by_volume(cells.select("site", "t", "cell_id", "x", "y", "area", "pix_y", "pix_x"), lambda: OverlapTracker(p), feed, schema)
+    rows = cells.select("site", "t", "cell_id", "x", "y", "area", "pix_y", "pix_x")
+    found = kept(by_volume(rows, lambda: OverlapTracker(p), feed, schema + ", ids long, lineages long", p.gap_min * 60), "episodes")
+    return after_earlier(found, {"ids": ["track_ids", "child_ids"] if events else ["track_id", "split_from"], "lineages": ["lineage_id"]})

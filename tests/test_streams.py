@@ -272,8 +272,47 @@ def test_volumes_stream_past_their_site_in_order(spark):
 
     for size in (7, 10_000):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-        got = by_volume(table, list, feed, "t double, n long").collect()
+        got = by_volume(table, list, feed, "t double, n long", 100.0).collect()
         assert sorted((str(r.site), r.t) for r in got) == sorted((str(s), float(t)) for s in (1, 2, None) for t in range(40))
         assert {(str(r.site), r.n) for r in got if r.t == 39} == {("1", 40), ("2", 40), ("None", 40)}
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    assert by_volume(table.limit(0), list, feed, "t double, n long").collect() == []
+    assert by_volume(table.limit(0), list, feed, "t double, n long", 100.0).collect() == []
+
+
+def test_episodes_track_like_one_history(spark):
+    """A site's episodes run apart and get the numbers that one pass over its whole history gives."""
+    from galeframe.operators import overlap as O
+    from galeframe.operators.tracker import run_volumes, track
+
+    rnd, rows = random.Random(7), []
+    for site in ("a", "b", None):
+        t = 0.0
+        for _ in range(60):
+            t += rnd.choice((300.0, 300.0, 300.0, 600.0, 4000.0, 9000.0))
+            for i in range(rnd.randint(1, 5)):
+                y, x = rnd.randint(0, 20), rnd.randint(0, 20)
+                rows.append((site, t, i, 8000.0 * x + rnd.uniform(0, 500), 8000.0 * y, rnd.uniform(4, 40), 50.0 + i, [y, y + 1], [x, x]))
+    rows += [("a", None, 1, 0.0, 0.0, 1.0, 1.0, [0], [0]), ("a", 300.0, None, 0.0, 0.0, 1.0, 1.0, [0], [0])]
+    schema = "site string, t double, cell_id long, x double, y double, area double, dbz double, pix_y array<long>, pix_x array<long>"
+    cells = spark.createDataFrame(rows, schema).repartition(5)
+    pdf = cells.toPandas().sort_values(["t", "cell_id"])
+    plain = lambda v: None if v is None or v != v else v
+    want, moved = set(), set()
+    for site in ("a", "b", None):
+        own = pdf[pdf["site"].isna() if site is None else pdf["site"] == site].dropna(subset=["t"])
+        want |= {(site, r["t"], r["cell_id"], r["cell_uid"], r["family_uid"], plain(r["split_from"])) for r in run_volumes(Tracker(TrackerParams()), own.drop(columns="site"))}
+        o, last = O.OverlapTracker(), None
+        for t, volume in own.groupby("t"):
+            if last is not None and t - last > 3600:
+                o.active = {}
+            last = t
+            moved |= {(site, *r[:5]) for r in O.run_volumes(o, volume)[0]}
+    names = ("site", "t", "cell_id", "cell_uid", "family_uid", "split_from")
+    assert {tuple(r[c] for c in names) for r in track(cells).collect()} == want
+    assert {(r.site, r.t, r.cell_id, r.track_id, r.lineage_id, r.split_from) for r in O.overlap_tracks(cells).collect()} == moved
+    from galeframe.operators.ordered import with_episodes
+
+    assert with_episodes(cells.filter("t IS NOT NULL"), 3600.0).select("site", "episode").distinct().count() > 20
+    births = O.overlap_tracks(cells, events=True).filter("kind = 'birth'").count()
+    assert births == len({(m[0], m[4]) for m in moved})  # a birth for each lineage
+    assert track(cells.limit(0)).count() == 0 and O.overlap_tracks(cells.limit(0)).count() == 0
