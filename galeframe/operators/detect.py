@@ -32,14 +32,15 @@ class LadderParams:
     base_dbz: float = 30.0
     cell_km: float = 1.0
     gates: Gates = Gates()
+    sigma: float = 0.5  # of the Gaussian, in cells, that smooths the field before thresholds are applied; 0: none
 
 
-def object_statistics(pixels: DataFrame, dz_km: float = 0.5) -> DataFrame:
-    """Of columns with `obj`: area, extremes, depth and the centroid weighted by intensity; no echo top: no object."""
+def object_statistics(pixels: DataFrame, dz_km: float = 0.5, cell_km: float = 1.0) -> DataFrame:
+    """Of columns (cell_km wide) with `obj`: area, extremes, depth and the centroid weighted by intensity; no echo top: no object."""
     w = F.greatest(F.col("colmax"), F.lit(0e0))
     centre = lambda c: F.when(F.sum(w) > 0, F.sum(w * F.col(c)) / F.sum(w)).otherwise(F.avg(c))
     out = pixels.groupBy(*VOLUME, "obj").agg(
-        F.count("*").cast("double").alias("area_km2"), F.max("colmax").alias("max_dbz"), F.max("etop_km").alias("etop_km"), F.min("ebase_km").alias("ebase_km"),
+        (F.count("*") * cell_km**2).cast("double").alias("area_km2"), F.max("colmax").alias("max_dbz"), F.max("etop_km").alias("etop_km"), F.min("ebase_km").alias("ebase_km"),
         F.max("nlev_seed").alias("n_levels"), centre("ix").alias("cx"), centre("iy").alias("cy"),
     )
     return out.filter("etop_km IS NOT NULL").withColumn("depth_km", F.col("etop_km") - F.col("ebase_km") + dz_km)
@@ -140,10 +141,27 @@ def ladder(cells: np.ndarray, values: np.ndarray, p: LadderParams) -> list[np.nd
     return sorted(features, key=lambda f: int(f[0]))
 
 
+def smoothed(cells: np.ndarray, values: np.ndarray, sigma: float) -> np.ndarray:
+    """`values` at (y, x) cells after a separable Gaussian, cut off at 4 sigma; where there is no cell the field is 0."""
+    if sigma <= 0 or not len(cells):
+        return values
+    reach = int(4 * sigma + 0.5)
+    weights = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    weights /= weights.sum()
+    low = cells.min(axis=0) - reach
+    field = np.zeros(cells.max(axis=0) - low + reach + 1)
+    field[tuple((cells - low).T)] = values
+    for axis in (0, 1):
+        padded = np.pad(field, [(reach, reach) if a == axis else (0, 0) for a in (0, 1)])
+        field = sum(w * np.take(padded, range(k, k + field.shape[axis]), axis=axis) for k, w in enumerate(weights))
+    return field[tuple((cells - low).T)]
+
+
 def _detect_volume(pdf: pd.DataFrame, p: LadderParams) -> pd.DataFrame:
     pdf = pdf.sort_values(["iy", "ix"]).reset_index(drop=True)
     cells, values = pdf[["iy", "ix"]].to_numpy(np.int64), pdf["colmax"].to_numpy(float)
-    features = ladder(cells, values, p)
+    smooth = smoothed(cells, values, p.sigma)
+    features = ladder(cells, smooth, p)
     rows = []
     if features:
         base = {tuple(c): v for c, v in zip(cells.tolist(), values.tolist(), strict=True) if v >= p.base_dbz}
@@ -152,8 +170,8 @@ def _detect_volume(pdf: pd.DataFrame, p: LadderParams) -> pd.DataFrame:
         pdf["feature"] = [owner.get(tuple(c), 0) for c in cells.tolist()]
         for k, f in enumerate(features, 1):
             own = pdf[pdf["feature"] == k]
-            level = max(t for t in p.thresholds if t <= values[f].min())  # the threshold that gave the feature
-            w = values[f] - level + 1e-9
+            level = max(t for t in p.thresholds if t <= smooth[f].min())  # the threshold that gave the feature
+            w = smooth[f] - level + 1e-9
             top = own["etop_km"].max()
             if pd.isna(top):
                 continue

@@ -55,6 +55,28 @@ def approach_trend(series: DataFrame) -> DataFrame:
     return series.withColumn("trend", trend)
 
 
+def rates(near: DataFrame, now: Column, minutes: int = WINDOW_MIN) -> DataFrame:
+    """Of each place with flashes: how many a minute, and the minutes since the last."""
+    since = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.max("flash_time").cast("timestamp"))) / 6e7
+    return near.groupBy("place").agg((F.count("*") / float(minutes)).alias("per_minute"), since.alias("minutes_since"))
+
+
+def feed_counts(flashes: DataFrame, now: Column, stale_s: int = STALE_S) -> DataFrame:
+    """Flashes of each satellite; a feed whose newest row is older than some seconds counts as unknown (null), never as 0."""
+    age = F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(F.max("flash_time").cast("timestamp"))
+    return flashes.groupBy("satellite").agg(F.when(age <= stale_s, F.count("*")).alias("n"))
+
+
+def held(samples: DataFrame, key: str, order: str, at: str, least_s: int) -> DataFrame:
+    """Runs of one `state` of each key that lasted some seconds or longer: state, n and began. Null states are a state."""
+    w = Window.partitionBy(key).orderBy(order)
+    changed = F.coalesce(~F.col("state").eqNullSafe(F.lag("state").over(w)), F.lit(True)) | (F.row_number().over(w) == 1)
+    islands = samples.withColumn("island", F.sum(changed.cast("int")).over(w))
+    runs = islands.groupBy(key, "island", "state").agg(F.count("*").alias("n"), F.min(at).alias("began"), F.max(at).alias("ended"))
+    length = F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("began").cast("timestamp"))
+    return runs.filter(length >= least_s * 1_000_000).select(key, "state", "n", "began")
+
+
 def rising_edges(states: DataFrame) -> DataFrame:
     """Rows at which a place's `on` turns from false to true; a first true row is no edge."""
     w = Window.partitionBy("place").orderBy("t")

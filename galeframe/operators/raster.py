@@ -138,6 +138,12 @@ def plate_pixel(lon: Column, lat: Column, west: float, south: float, east: float
     return (lon - west) / (east - west) * width, (north - lat) / (north - south) * height
 
 
+def stale_loops(frames: DataFrame, key: str, at: str, now: Column, minutes: int = 75) -> DataFrame:
+    """Whether the newest frame of each loop is older than some minutes."""
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.max(F.col(at).cast("timestamp")))
+    return frames.groupBy(key).agg((age > minutes * 60_000_000).alias("stale"))
+
+
 def manifest(frames: DataFrame, bounds: tuple[float, float, float, float]) -> DataFrame:
     """One JSON text: bounds, palette and the frames (path, frame_time) in time order, their files named by time."""
     name = F.concat(F.date_format("frame_time", "yyyyMMdd'T'HHmmss'Z'"), F.lit(".png"))

@@ -79,6 +79,27 @@ def socket_age(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"lastrcv:(\d+)", 1), F.lit("")).cast("long")
 
 
+def scraped(lines: DataFrame, source: str, order: str, line: str, marker: str, keys: dict[str, str]) -> DataFrame:
+    """Of each source's last line that holds a marker, the numbers behind some keys (name: pattern), as in `key: -1.5`.
+
+    A key that isn't there, or whose number doesn't read, is null; a source without such a line has no row."""
+    marked = lines.filter(F.contains(F.col(line), F.lit(marker)))
+    last = marked.groupBy(source).agg(F.max_by(line, order).alias("last"))
+    number = lambda pattern: F.regexp_extract("last", rf"{pattern}:\s*([-0-9.]+)", 1).try_cast("double")
+    return last.select(source, *(number(p).alias(n) for n, p in keys.items()))
+
+
+def busy_percent(samples: DataFrame, keys: list[str], order: str, counter: str, seconds: str) -> DataFrame:
+    """100 less the share of idle seconds: the counter's increase by the time between samples, averaged over each key's counters."""
+    per = increases(samples, keys, order, counter).groupBy(*keys).agg(F.sum("delta").alias("idle"), (F.max(seconds) - F.min(seconds)).alias("s"))
+    return per.select(*keys, (100e0 - 100e0 * F.col("idle") / F.nullif(F.col("s"), F.lit(0))).alias("busy_pct"))
+
+
+def used_and_free(samples: DataFrame, keys: list[str], free: Column, whole: Column) -> DataFrame:
+    """Per cent in use, and what is free, by aggregates of a capacity; a capacity of 0 gives null."""
+    return samples.groupBy(*keys).agg(((1e0 - free / F.nullif(whole, F.lit(0e0))) * 100e0).alias("used_pct"), (whole - free).alias("free"))
+
+
 def deliveries(messages: DataFrame) -> DataFrame:
     """`messages` (unit_id, at) with how often their unit has been delivered by then."""
     return messages.withColumn("delivery", F.row_number().over(Window.partitionBy("unit_id").orderBy("at")))

@@ -207,6 +207,29 @@ def volume_time(start: Column, first_ray: Column, now: Column) -> Column:
     return F.coalesce(start, first_ray, now)
 
 
+def own_family(cells: DataFrame) -> DataFrame:
+    """`cells` with `family`: that of the cell, else its own negative number, so that cells without one stay apart."""
+    return cells.withColumn("family", F.coalesce("family_id", -F.col("track_id")))
+
+
+def public_cells(cells: DataFrame, at: Column) -> DataFrame:
+    """Cells (site, cell_id, lon, lat, dbz, split_from and, if known, polygons of (x, y)) as they are announced: ISO time, no NaN
+    but null, and a GeoJSON feature: its outline if it has one, else its place. Cells without a place have no geometry."""
+    clean = lambda c: F.when(~F.isnan(c), F.round(c, 3))
+    lon, lat = clean(F.col("lon")), clean(F.col("lat"))
+    point = F.when(lon.isNotNull() & lat.isNotNull(), F.struct(F.lit("Point").alias("type"), F.to_json(F.array(lon, lat)).alias("coordinates")))
+    geometry = point
+    if "polygons" in cells.columns:
+        rings = F.transform("polygons", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.array(F.round(p["x"], 3), F.round(p["y"], 3)))))
+        area = F.struct(F.lit("MultiPolygon").alias("type"), F.to_json(rings).alias("coordinates"))
+        geometry = F.when(F.size("polygons") > 0, area).otherwise(point)
+    stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    shape = F.when(geometry.isNotNull(), F.concat(F.lit('{"type":"'), geometry["type"], F.lit('","coordinates":'), geometry["coordinates"], F.lit("}"))).otherwise("null")
+    facts = F.to_json(F.struct("site", "cell_id", clean(F.col("dbz")).alias("dbz"), "split_from", stamp.alias("valid_time")))
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), facts, F.lit("}"))
+    return cells.select("site", "cell_id", "split_from", lon.alias("lon"), lat.alias("lat"), clean(F.col("dbz")).alias("dbz"), stamp.alias("valid_time"), feature.alias("feature"))
+
+
 def as_tracks(cells: DataFrame) -> DataFrame:
     """Tracked cells under the names that track scores read."""
     return cells.withColumnsRenamed({"cell_uid": "track_id", "family_uid": "family_id"})

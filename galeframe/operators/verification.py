@@ -74,6 +74,22 @@ def within_minutes(volumes: DataFrame, reports: DataFrame, minutes: int = WITHIN
     return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, ["b", "site"]).filter(gap <= minutes * 60).drop("b")
 
 
+def pooled(objects: DataFrame, case: str, member: str, metric: Column) -> DataFrame:
+    """A metric of each member, its mean in each case, and the mean of the cases: pooled, with the rows and the cases.
+
+    Members without the metric (null) don't count, nor cases of only such."""
+    per = objects.groupBy(case, member).agg(metric.alias("m"), F.count("*").alias("rows"))
+    cases = per.groupBy(case).agg(F.avg("m").alias("m"), F.sum("rows").alias("rows"))
+    return cases.agg(F.avg("m").alias("pooled"), F.sum("rows").alias("n"), F.count("*").alias("cases"))
+
+
+def case_times(start: Column, end: Column, minutes: int = 30) -> tuple[Column, Column, Column, Column]:
+    """Of a case: its first day, the times some minutes before and after it, and its midpoint (to the microsecond)."""
+    a, b = F.unix_micros(start), F.unix_micros(end)
+    wide = minutes * 60_000_000
+    return F.date_trunc("day", start), F.timestamp_micros(a - wide), F.timestamp_micros(b + wide), F.timestamp_micros(a + F.floor((b - a) / 2).cast("long"))
+
+
 def block_about(volumes: DataFrame, cases: DataFrame, size: int) -> DataFrame:
     """The `size` consecutive volumes (case_key, vol_time) about each case's midpoint; the earlier of two equally near."""
     from pyspark.sql import Window

@@ -10,6 +10,7 @@ from galeframe.operators import alerts as A
 from galeframe.operators import polygons as P
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.registry import query
+from galeframe.sources import files as S
 from galeframe.sources import units as U
 
 _V = B.VTEC
@@ -159,7 +160,7 @@ def volume_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT props AS name, min(event_id) AS first_id FROM events GROUP BY props")
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return e.groupBy(F.col("props").alias("name")).agg(F.min("event_id").alias("first_id"))
+    return U.first_seen(e, "props", "event_id")
 
 
 @query("WITH old AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') SELECT o_orderkey, 'old' AS origin FROM old UNION ALL SELECT DISTINCT o_orderkey, 'new' FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)")
@@ -174,5 +175,5 @@ def idempotent_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of links as the product resolver reads them."""
     p = spark.read.parquet(f"{sf_dir}/pages.parquet").filter("url IS NOT NULL")
-    parts = F.split("url", "/")
-    return p.select("page_id", (F.size(parts) - 1).cast("bigint").alias("depth"), F.regexp_extract("url", r"^([a-z]+)://([^/?#]+)", 2).alias("host"), F.element_at(parts, -1).alias("tail"))
+    depth, host, tail = S.link_parts(F.col("url"))
+    return p.select("page_id", depth.alias("depth"), host.alias("host"), tail.alias("tail"))

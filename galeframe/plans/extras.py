@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galeframe.functions import geo
+from galeframe.operators import lightning as L
 from galeframe.operators import overlap as O
 from galeframe.operators import raster as R
 from galeframe.operators import sweep as W
+from galeframe.operators import tracks as T
+from galeframe.operators import verification as V
 from galeframe.operators.tracker import TrackerParams, track
 from galeframe.plans.fixtures import view, with_views
 from galeframe.plans.radar import detections
@@ -88,9 +91,8 @@ def sun_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_views("obs") + ", p AS (SELECT family_id, track_id, CASE WHEN count(*) >= 3 THEN max(area) - min(area) END AS spread, count(*) AS n FROM obs GROUP BY ALL) , f AS (SELECT family_id, avg(spread) AS m, sum(n) AS n FROM p GROUP BY family_id) SELECT round(avg(m), 6) AS pooled, sum(n)::BIGINT AS n, count(*) AS cases FROM f")
 def pooled_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A metric of each case first, then its mean over cases; cases without it don't count."""
-    per = view(spark, sf_dir, "obs").groupBy("family_id", "track_id").agg(F.when(F.count("*") >= 3, F.max("area") - F.min("area")).alias("spread"), F.count("*").alias("n"))
-    case = per.groupBy("family_id").agg(F.avg("spread").alias("m"), F.sum("n").alias("n"))
-    return case.agg(F.round(F.avg("m"), 6).alias("pooled"), F.sum("n").alias("n"), F.count("*").alias("cases"))
+    spread = F.when(F.count("*") >= 3, F.max("area") - F.min("area"))
+    return V.pooled(view(spark, sf_dir, "obs"), "family_id", "track_id", spread).withColumn("pooled", F.round("pooled", 6))
 
 
 _STATES = "WITH s AS (SELECT user_id, event_id, ts, value > 60 AS st FROM events), c AS (SELECT *, CASE WHEN st IS DISTINCT FROM lag(st) OVER w THEN 1 ELSE 0 END AS ch FROM s WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), i AS (SELECT *, sum(ch) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM c), r AS (SELECT user_id, island, st, count(*) AS n, min(ts) AS began, max(ts) AS ended FROM i GROUP BY ALL)"
@@ -99,33 +101,34 @@ _STATES = "WITH s AS (SELECT user_id, event_id, ts, value > 60 AS st FROM events
 @query(_STATES + " SELECT user_id, st AS state, n, began FROM r WHERE epoch(ended) - epoch(began) >= 86400")
 def held_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of one state that lasted a day or longer."""
-    w = Window.partitionBy("user_id").orderBy("event_id")
     s = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "ts", (F.col("value") > 60).alias("state"))
-    s = s.withColumn("island", F.sum(F.when(F.col("state").eqNullSafe(F.lag("state").over(w)), 0).otherwise(1)).over(w))
-    runs = s.groupBy("user_id", "island", "state").agg(F.count("*").alias("n"), F.min("ts").alias("began"), F.max("ts").alias("ended"))
-    length = F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("began").cast("timestamp"))
-    return runs.filter(length >= 86_400_000_000).select("user_id", "state", "n", "began")
+    return L.held(s, "user_id", "event_id", "ts", 86_400)
 
 
-@query(with_views("obs") + " SELECT obs_id, CASE WHEN split_from IS NULL THEN NULL ELSE split_from END AS split_from, round(seed_x / 1000e0, 3) AS x_km, strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST(vol * 5 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') AS valid_time FROM obs")
+_PLACE = "CASE WHEN obs_id % 7 = 0 THEN NULL ELSE -90e0 + (obs_id % 999) * 0.5e0 / 8 END"
+_VALID = "strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST(vol * 5 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@query(with_views("obs") + f", p AS (SELECT site, obs_id AS cell_id, split_from, round({_PLACE}, 3) AS lon, round(30e0 + obs_id % 50 * 0.25e0, 3) AS lat, round(dbz * 1e0, 3) AS dbz, {_VALID} AS valid_time FROM obs) SELECT *, lon IS NOT NULL AS placed FROM p")
 def public_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells as they are announced: no working columns, ISO time, no NaN."""
-    at = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("vol") * 300), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    clean = lambda c: F.when(~F.isnan(c), F.round(c, 3))
-    return view(spark, sf_dir, "obs").select("obs_id", "split_from", clean(F.col("seed_x") / 1000e0).alias("x_km"), at.alias("valid_time"))
+    """Cells as they are announced; the feature's own fields are read back from its text."""
+    lon = F.when(F.col("obs_id") % 7 == 0, float("nan")).otherwise(-90e0 + (F.col("obs_id") % 999) * 0.5 / 8)
+    o = view(spark, sf_dir, "obs").select("site", F.col("obs_id").alias("cell_id"), "split_from", lon.alias("lon"), (30e0 + F.col("obs_id") % 50 * 0.25).alias("lat"), F.col("dbz").cast("double").alias("dbz"), "vol")
+    out = T.public_cells(o, F.timestamp_seconds(F.lit(1704067200) + F.col("vol") * 300))
+    read = F.from_json("feature", "geometry struct<coordinates:array<double>>, properties struct<valid_time:string>")
+    return out.select("site", "cell_id", "split_from", "lon", "lat", "dbz", read["properties"]["valid_time"].alias("valid_time"), read["geometry"]["coordinates"].isNotNull().alias("placed"))
 
 
 @query("SELECT user_id, (epoch(TIMESTAMP '2024-01-30') - epoch(max(ts))) > 4500 AS stale FROM events GROUP BY user_id")
 def frame_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A loop whose newest frame is older than 75 minutes is stale."""
-    age = F.unix_timestamp(F.lit("2024-01-30 00:00:00")) - F.unix_micros(F.max(F.col("ts").cast("timestamp"))) / 1e6
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id").agg((age > 4500).alias("stale"))
+    return R.stale_loops(spark.read.parquet(f"{sf_dir}/events.parquet"), "user_id", "ts", F.lit("2024-01-30 00:00:00").cast("timestamp"))
 
 
 @query(with_views("obs") + " SELECT vol, track_id, coalesce(nullif(family_id, 3), -track_id) AS family FROM obs")
 def cell_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells without a family are their own, under their negative number."""
-    return view(spark, sf_dir, "obs").select("vol", "track_id", F.coalesce(F.nullif("family_id", F.lit(3)), -F.col("track_id")).alias("family"))
+    return T.own_family(view(spark, sf_dir, "obs").withColumn("family_id", F.nullif("family_id", F.lit(3)))).select("vol", "track_id", "family")
 
 
 #: Components by distance, each linked to the family that most of its tracks were in before; a family has one heir.

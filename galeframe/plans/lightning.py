@@ -40,8 +40,8 @@ def glm_hot_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_NEAR + f"SELECT place, round(count(*) / {MINUTES}e0, 9) AS per_minute, round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(flash_time))) / 6e7, 9) AS minutes_since FROM near WHERE mi <= 30 GROUP BY place")
 def glm_rate_since_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    since = (F.unix_micros(F.lit(NOW).cast("timestamp")) - F.unix_micros(F.max("flash_time").cast("timestamp"))) / 6e7
-    return _near(spark, sf_dir).groupBy("place").agg(F.round(F.count("*") / float(MINUTES), 9).alias("per_minute"), F.round(since, 9).alias("minutes_since"))
+    out = L.rates(_near(spark, sf_dir), F.lit(NOW), MINUTES)
+    return out.select("place", F.round("per_minute", 9).alias("per_minute"), F.round("minutes_since", 9).alias("minutes_since"))
 
 
 @query(_NEAR + ", d AS (SELECT place, date_trunc('day', flash_time) AS t, min(mi) AS m FROM near WHERE mi <= 100 GROUP BY 1, 2), w AS (SELECT *, first_value(m) OVER k AS f, count(*) OVER k AS c FROM d WINDOW k AS (PARTITION BY place ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) SELECT place, t, round(m, 6) AS nearest_mi, CASE WHEN c < 3 THEN 'Unknown' WHEN m - f < -1 THEN 'Approaching' WHEN m - f > 1 THEN 'Receding' ELSE 'Steady' END AS trend FROM w")
@@ -59,5 +59,4 @@ def edge_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_views("flash") + f"SELECT satellite, CASE WHEN epoch(TIMESTAMP '{NOW}') - epoch(max(flash_time)) > 600 THEN NULL ELSE count(*) END AS n FROM flash GROUP BY 1")
 def stale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed whose last row is older than STALE_S counts as unknown, never as 0."""
-    age = F.unix_timestamp(F.lit(NOW)) - F.unix_timestamp(F.max("flash_time").cast("timestamp"))
-    return view(spark, sf_dir, "flash").groupBy("satellite").agg(F.when(age <= L.STALE_S, F.count("*")).alias("n"))
+    return L.feed_counts(view(spark, sf_dir, "flash"), F.lit(NOW))

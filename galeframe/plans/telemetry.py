@@ -43,10 +43,12 @@ def metric_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query(with_views("metric") + " SELECT name, site, round(100e0 - avg(value / 5e0), 9) AS busy_pct, round((1e0 - min(value) / max(value)) * 100e0, 9) AS used_pct, round(max(value) - min(value), 9) AS free FROM metric GROUP BY ALL")
+@query(_DELTA + ", b AS (SELECT name, 100e0 - 100e0 * sum(delta) / (max(metric_id) - min(metric_id)) AS busy FROM d GROUP BY name), u AS (SELECT name, (1e0 - min(value) / max(value)) * 100e0 AS used, max(value) - min(value) AS free FROM metric GROUP BY name) SELECT name, round(busy, 9) AS busy_pct, round(used, 9) AS used_pct, round(free, 9) AS free FROM b JOIN u USING (name)")
 def metric_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.col("value")
-    return view(spark, sf_dir, "metric").groupBy("name", "site").agg(F.round(100e0 - F.avg(v / 5e0), 9).alias("busy_pct"), F.round((1e0 - F.min(v) / F.max(v)) * 100e0, 9).alias("used_pct"), F.round(F.max(v) - F.min(v), 9).alias("free"))
+    m = view(spark, sf_dir, "metric")
+    busy = M.busy_percent(m, ["name"], "metric_id", "counter", "metric_id")
+    both = busy.join(M.used_and_free(m, ["name"], F.min("value"), F.max("value")), "name")
+    return both.select("name", *(F.round(c, 9).alias(c) for c in ("busy_pct", "used_pct", "free")))
 
 
 _STATUS = "CASE WHEN user_id % 13 = 0 THEN 'down' WHEN event_id % 400 < 120 THEN 'ok (grace)' WHEN event_id % 17 = 0 THEN 'disconnected' WHEN (event_id * 37) % 200000 > 120000 THEN 'stalled' WHEN value / 10 > 30 THEN 'no-products' ELSE 'ok' END"
@@ -60,11 +62,15 @@ def status_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT regexp_extract(props, '([0-9]+)', 1) AS found, count(*) AS n FROM events GROUP BY 1")
+_LINE = "CASE WHEN event_id % 4 = 0 THEN concat('tick ', CAST(event_id AS VARCHAR(12))) WHEN event_id % 9 = 1 THEN concat('[monitor] gain: -', CAST(event_id % 50 AS VARCHAR(4)), '.5') ELSE concat('[monitor] gain: ', CAST(event_id % 50 AS VARCHAR(4)), '.25, vit(avg):  ', CAST(event_id % 300 AS VARCHAR(4)), ', omega: ', CAST(event_id % 7 AS VARCHAR(4)), CASE WHEN event_id % 5 = 0 THEN '.1.2' ELSE '' END) END"
+_MONITOR = f"WITH l AS (SELECT user_id, event_id, {_LINE} AS line FROM events), m AS (SELECT user_id, arg_max(line, event_id) AS line FROM l WHERE contains(line, '[monitor]') GROUP BY user_id)"
+
+
+@query(_MONITOR + r" SELECT user_id, try_cast(regexp_extract(line, 'gain:\s*([-0-9.]+)', 1) AS DOUBLE) AS gain, try_cast(regexp_extract(line, 'vit\(avg\):\s*([-0-9.]+)', 1) AS DOUBLE) AS vit, try_cast(regexp_extract(line, 'omega:\s*([-0-9.]+)', 1) AS DOUBLE) AS omega FROM m")
 def log_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first number of a log line, empty if there is none."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return e.groupBy(F.regexp_extract("props", r"([0-9]+)", 1).alias("found")).agg(F.count("*").alias("n"))
+    """Numbers of each source's last line of its monitor."""
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("user_id", "event_id", f"{_LINE} AS line")
+    return M.scraped(lines, "user_id", "event_id", "line", "[monitor]", {"gain": "gain", "vit": r"vit\(avg\)", "omega": "omega"})
 
 
 _ALLOWED = "WITH RECURSIVE e AS (SELECT DISTINCT user_id, floor(epoch(ts))::BIGINT AS t FROM events WHERE ts IS NOT NULL), r AS (SELECT user_id, min(t) AS t FROM e GROUP BY user_id UNION ALL SELECT r.user_id, min(e.t) FROM r JOIN e ON e.user_id IS NOT DISTINCT FROM r.user_id AND e.t >= r.t + 36000 GROUP BY r.user_id)"

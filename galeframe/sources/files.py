@@ -177,6 +177,25 @@ def expired(files: DataFrame, now: Column, minutes: int) -> DataFrame:
     return files.filter(F.unix_timestamp(now) - F.unix_timestamp("modified") > minutes * 60)
 
 
+def of_age(files: DataFrame, now: Column, seconds: int = 45) -> DataFrame:
+    """Files (modified) that nobody writes any more: at least some seconds old, and so ready to be copied."""
+    return files.filter(F.unix_micros(now) - F.unix_micros(F.col("modified").cast("timestamp")) >= seconds * 1_000_000)
+
+
+SIDECAR = "struct<ImageDataFunction:struct<Table:array<double>>>"
+
+
+def sidecar_tables(files: DataFrame, body: str = "value") -> DataFrame:
+    """path and kelvin_table of calibration sidecars (path, JSON text); nonsense, or a text without a table, has a null one."""
+    return files.select("path", F.from_json(body, SIDECAR)["ImageDataFunction"]["Table"].alias("kelvin_table"))
+
+
+def link_parts(url: Column) -> tuple[Column, Column, Column]:
+    """How many parts a link has after the first, its host, and its last part."""
+    parts = F.split(url, "/")
+    return (F.size(parts) - 1).cast("bigint"), F.regexp_extract(url, r"^([a-z]+)://([^/?#]+)", 2), F.element_at(parts, -1)
+
+
 def case_list(spark: SparkSession, path: str) -> DataFrame:
     """Cases (site, start, end, and a note) from JSON files that hold a list of objects; those without site or times go."""
     rows = spark.read.schema("site string, start string, end string, note string").option("multiLine", True).json(path)

@@ -38,6 +38,11 @@ def not_yet_in(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     return batch.dropDuplicates(keys).join(target, keys, "left_anti").select(*batch.columns)
 
 
+def first_seen(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Each key (as `name`) with the least `order` (as `first_id`) at which it came; nulls are a key."""
+    return rows.groupBy(F.col(key).alias("name")).agg(F.min(order).alias("first_id"))
+
+
 def complete_volumes(chunks: DataFrame) -> DataFrame:
     """Volumes whose last chunk has come, but for clear air."""
     per = chunks.filter(~F.col("vcp").isin(*CLEAR_AIR)).groupBy("volume").agg(F.count("*").alias("chunks"), F.max("chunk_no").alias("last_chunk"), F.bool_or(F.col("kind") == "E").alias("done"))
