@@ -17,6 +17,7 @@ responses too. An empty table makes no file, and reads as no record. Other colum
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
 import re
 import uuid
@@ -37,6 +38,9 @@ RANGE_BYTES, FILE_BYTES, KEPT_BYTES = 4 << 20, 256 << 20, 1 << 20
 #: The first bytes that every gzip member written here or by common tools has, and how much of one is decoded as a probe.
 MAGIC, PROBE = b"\x1f\x8b\x08", 4096
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+PAGE = re.compile(r"<urn:page:(-?\d+)>$")
+#: Shared digests (of 28 bytes and a page) that are sent to all tasks, and parts of one beyond that number.
+BROADCAST_DIGESTS, SALTS = 500_000, 32
 #: Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -102,14 +106,27 @@ def _write(folder: str):
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """`pages` (page_id, url, html) with refers_to: the page of the response for revisits, else null."""
+    """`pages` (page_id, url, html) with refers_to: the page of the response for revisits, else null.
+
+    Only digests that large payloads share are looked for, from a narrow table of digests. Up to BROADCAST_DIGESTS of them
+    go to all tasks, and pages stay where they are; more are joined by digest and one of SALTS numbers, so that a payload
+    of very many pages isn't one task's."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    p = p.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")))).withColumn("size", F.octet_length(F.coalesce("html", F.lit(""))))
-    large = p.filter(F.col("size") >= REVISIT_BYTES)
-    first = large.groupBy("digest", "size").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).filter("n > 1 AND largest IS NOT NULL").drop("n")
-    found = large.join(first, ["digest", "size"], "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
-    small = p.filter(F.col("size") < REVISIT_BYTES)  # these stay where they are
-    return found.union(small.select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to")))
+    body = F.coalesce("html", F.lit(""))
+    size = F.octet_length(body)
+    digest = F.when(size >= REVISIT_BYTES, F.unhex(F.sha1(body)))  # small payloads have none, and meet nothing
+    narrow = p.select("page_id", digest.alias("digest"), size.alias("size")).filter("digest IS NOT NULL")
+    shared = narrow.groupBy("digest", "size").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).filter("n > 1 AND largest IS NOT NULL").drop("n")
+    shared = staged(shared, "warc-digests")
+    rows = p.withColumns({"digest": digest, "size": size})
+    if shared.count() <= BROADCAST_DIGESTS:
+        found = rows.join(F.broadcast(shared), ["digest", "size"], "left")
+    else:
+        salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        large = rows.filter("digest IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        joined = large.join(salted, ["digest", "size", "salt"], "left").drop("salt")
+        found = joined.unionByName(rows.filter("digest IS NULL").withColumn("largest", F.lit(None).cast("long")))
+    return found.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
 
 
 def write_pages(pages: DataFrame, folder: str) -> DataFrame:
@@ -233,27 +250,36 @@ def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
 
 
-def _hex(digest: str) -> str:
-    return base64.b32decode(digest.removeprefix("sha1:")).hex()
+def _hex(digest: str) -> str | None:
+    """The digest of a header in hex; null if it is of another kind or form."""
+    try:
+        return base64.b32decode(digest.removeprefix("sha1:")).hex() if digest.startswith("sha1:") else None
+    except binascii.Error:
+        return None
 
 
 def page_table(records: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of each record, from its headers and block.
 
-    A response's length and digest are those of its payload as read; a revisit's are those that it tells of the full one.
+    A response's length and digest are those of its payload as read; a revisit's are those that it tells of the full one, null
+    where it doesn't. Records of other writers and kinds keep their type; what they don't say in our way is null, and the
+    payload of one without an HTTP head is its block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda s: int(s[10:-1]) if s and s[10:-1] != "none" else None
+        number = lambda s: int(m[1]) if (m := PAGE.match(s or "")) else None
         for batch in batches:
             out = []
             for pairs, block in zip(batch.column("headers").to_pylist(), batch.column("block").to_pylist(), strict=True):
-                h = dict(pairs)
-                http, _, payload = block.partition(b"\r\n\r\n")
-                told = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])
-                is_new = h["WARC-Type"] == "response"
-                digest = hashlib.sha1(payload).hexdigest() if is_new else _hex(h["WARC-Payload-Digest"])
-                out.append((number(h["WARC-Record-ID"]), len(payload) if is_new else told, digest, h["WARC-Type"], number(h.get("WARC-Refers-To"))))
+                h, block = dict(pairs or []), block or b""
+                head, gap, payload = block.partition(b"\r\n\r\n")
+                told = re.search(rb"\r\nContent-Length: *(\d+)", head) if gap else None
+                if h.get("WARC-Type") == "revisit":
+                    size, digest = int(told[1]) if told else None, _hex(h.get("WARC-Payload-Digest", ""))
+                else:
+                    payload = payload if gap and head.startswith(b"HTTP/") else block
+                    size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+                out.append((number(h.get("WARC-Record-ID")), size, digest, h.get("WARC-Type"), number(h.get("WARC-Refers-To"))))
             a, b, c, d, e = zip(*out, strict=True) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()), pa.array(d, pa.string()), pa.array(e, pa.int64())], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 

@@ -97,6 +97,32 @@ def pages(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
 
 
+def test_revisits_of_many_digests(spark, monkeypatch):
+    """The join by salted digests gives what the broadcast gives."""
+    rows = [(i, "u", f"{i % 7}" * (2000 if i % 3 else 10)) for i in range(200)] + [(None, "u", "1" * 2000), (5, None, "1" * 2000), (900, "u", None)]
+    plain = sorted(map(str, warc.pages_through_warc(pages(spark, rows)).collect()))
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert sorted(map(str, warc.pages_through_warc(pages(spark, rows)).collect())) == plain
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    """Their kinds stay, and what they don't tell is null."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Length:5\r\n\r\nhello"
+    kinds = [
+        ([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:uuid:1>")], b"software: x\r\n\r\nmore"),
+        ([("WARC-Type", "request"), ("WARC-Record-ID", "<urn:page:x>")], b"GET / HTTP/1.1\r\n\r\n"),
+        ([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:2>"), ("WARC-Payload-Digest", "md5:0")], http),
+        ([("WARC-Type", "revisit"), ("WARC-Payload-Digest", "sha1:!!")], b"HTTP/1.1 304 Not Modified\r\n\r\n"),
+        ([("WARC-Type", "revisit")], b""),
+    ]
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(warc.member(h, b) for h, b in kinds))
+    files = spark.createDataFrame([(str(path), path.stat().st_size, 5)], warc.FILES)
+    got = [tuple(r)[:1] + (r.payload_bytes, r.payload_digest and r.payload_digest[:6], r.record_type, r.refers_to) for r in warc.page_table(warc.read_warc(spark, files)).collect()]
+    sha = lambda b: hashlib.sha1(b).hexdigest()[:6]
+    assert sorted(got, key=str) == sorted([(None, 19, sha(kinds[0][1]), "warcinfo", None), (None, 18, sha(kinds[1][1]), "request", None), (None, 5, sha(b"hello"), "response", None), (None, None, None, "revisit", None), (None, None, None, "revisit", None)], key=str)
+
+
 def test_warc_round_trip(spark, tmp_path):
     long = "é" * 600
     rows = [(1, "http://a/\r\nX: y", long), (2, None, long), (3, "u", None), (4, "u", ""), (5, "u", "x" * 999), (6, "u", "x" * 999), (None, "u", long), (2, "u", long), (7, "u", "\r\n\r\nWARC/1.1\r\n" * 200)]
