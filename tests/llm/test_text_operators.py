@@ -376,3 +376,13 @@ def test_bounds_are_never_below_scores():
         item = r.integers(0, 12, 15).astype(np.uint64)
         windows = [r.integers(0, 30, n).astype(np.uint64) for n in r.integers(1, 60, 20)]
         assert (D.bounds(np.unique(item), windows) >= D.align(item, windows)).all()
+
+
+def test_short_grants_give_labels(make_docs):
+    texts = {
+        "The library is licensed under LGPL terms": "lgpl", "licensed under the LGPL, see below": "lgpl", "The Eclipse Public License v2 applies": "epl", "is licensed under AGPL": "agpl",
+        "Code: BSD 3-Clause License.": "bsd-3", "text under CC BY 4.0": "cc-by", "Figures: CC BY-SA 4.0": "cc-by-sa", "Licensed under CC BY-NC 4.0": "cc-by-nc", "See the Mozilla Public License": "mpl",
+        "this is licensed under the sun": "", "the eclipse was public, a license to look up": "", "by a creative person under common terms 4.0": "",
+    }
+    got = {r.doc_id: r.labels for r in X.scan_licenses(make_docs(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
