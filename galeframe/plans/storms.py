@@ -195,9 +195,9 @@ def report_match_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _MATCH + ", t AS (SELECT site, objects, reports, detected, hits FROM (SELECT site, count(*) AS objects FROM obs GROUP BY site) FULL JOIN (SELECT site, count(*) AS reports FROM r GROUP BY site) USING (site)"
+    _MATCH + ", t AS (SELECT site, coalesce(objects, 0) AS objects, coalesce(reports, 0) AS reports, coalesce(detected, 0) AS detected, coalesce(hits, 0) AS hits FROM (SELECT site, count(*) AS objects FROM obs GROUP BY site) FULL JOIN (SELECT site, count(*) AS reports FROM r GROUP BY site) USING (site)"
     " LEFT JOIN (SELECT site, count(DISTINCT report_id) AS detected, count(DISTINCT obj) AS hits FROM p GROUP BY site) USING (site))"
-    " SELECT *, objects - hits AS false_alarms, round(detected / nullif(reports, 0)::DOUBLE, 9) AS pod, round((objects - hits) / nullif(objects, 0)::DOUBLE, 9) AS far, round(detected / nullif(reports + objects - hits, 0)::DOUBLE, 9) AS csi FROM t"
+    " SELECT *, objects - hits AS false_alarms, coalesce(round(detected / nullif(reports, 0)::DOUBLE, 9), 0) AS pod, coalesce(round((objects - hits) / nullif(objects, 0)::DOUBLE, 9), 0) AS far, coalesce(round(detected / nullif(reports + objects - hits, 0)::DOUBLE, 9), 0) AS csi FROM t"
 )
 def contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, r = _objects(spark, sf_dir)
