@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galeframe.operators.detect import VOLUME, label_columns
+from galeframe.sources.shared import kept
 
 PLACE = ["iz", "iy", "ix"]
 
@@ -94,7 +95,8 @@ def flood(cells: np.ndarray, values: np.ndarray, owners: np.ndarray) -> np.ndarr
 
 def storm_cores(seeds: DataFrame, apart: int) -> DataFrame:
     """The voxels of `seed_components` with `core`, the number of the core of their volume that they belong to."""
-    own = peaks(seeds, apart).select(*VOLUME, "label", *PLACE, "core")
+    seeds = kept(seeds, "seeds")  # labels are made once
+    own = kept(peaks(seeds, apart).select(*VOLUME, "label", *PLACE, "core"), "peaks")
     per = own.groupBy(*VOLUME, "label").agg(F.count("*").alias("n"), F.min("core").alias("only"))
     rows = seeds.join(per, [*VOLUME, "label"])
     single = rows.filter("n = 1").select(*VOLUME, *PLACE, "v", "label", F.col("only").alias("core"))

@@ -38,11 +38,11 @@ def envelope_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("site", "n", *(F.round(c, 9).alias(c) for c in ("mean_iou", "median_iou", "over_half")))
 
 
-@query("WITH v AS (SELECT user_id AS site, ts FROM events UNION ALL SELECT -1, TIMESTAMP '2024-01-01'), g AS (SELECT site, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY site ORDER BY ts) AS g FROM v) SELECT site, round(coalesce(median(g) / 1e6, 300), 6) AS dt_s FROM g GROUP BY site")
+@query("WITH v AS (SELECT user_id AS site, ts FROM events UNION ALL SELECT -1, TIMESTAMP '2024-01-01'), g AS (SELECT site, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY site ORDER BY ts) AS g FROM v) SELECT site, round(coalesce(median(g) / 1e6, 300), 3) AS dt_s FROM g GROUP BY site")
 def volume_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("site"), F.col("ts").cast("timestamp").alias("vol_time"))
     alone = spark.createDataFrame([(-1, "2024-01-01 00:00:00")], "site long, t string").select(F.col("site").cast(v.schema["site"].dataType), F.to_timestamp("t"))
-    return T.volume_gap(v.union(alone)).withColumn("dt_s", F.round("dt_s", 6))
+    return T.volume_gap(v.union(alone)).withColumn("dt_s", F.round("dt_s", 3))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ts WHEN event_id % 3 = 1 THEN ts - INTERVAL 1 MINUTE ELSE TIMESTAMP '2024-02-01' END AS t FROM events")
