@@ -6,7 +6,11 @@ languages votes on the language. Ties go to the larger sum of margins, then to t
 least margin of the winner in either step.
 
 It learns from about MAX_ROWS documents, dealt evenly over all languages, and from LEAST_ROWS of each at least: those of
-the smallest hashes of doc_id and text. A language outside FAMILIES is a family of its own.
+the smallest hashes of doc_id and text. A language outside FAMILIES is a family of its own; if there are more than GROUP of
+them, they form families of up to GROUP, each of a language and those whose mean vectors are nearest to its own. So the
+number of machines grows with (languages / GROUP) squared and with GROUP x languages. More than LOCAL machines are
+trained in tasks, come back as their weights that aren't 0, and may have MODEL_BYTES in all (an error beyond, before
+they are collected or sent to anyone).
 
 Edge cases: a text that is null or has no letter is `und` with score 0. Rows without doc_id or lang aren't learnt from.
 With one known language it is the prediction for all other texts, at score 1; with none, all are `und`. Texts are taken
@@ -15,18 +19,20 @@ whole. Other columns are ignored; repeated rows give repeated results, empty tab
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galeframe.llm import kernels
+from galeframe.llm.staging import staged
 
 DIMENSIONS, MAX_ROWS, LEAST_ROWS = 4096, 6000, 20
+GROUP, LOCAL, MODEL_BYTES = 16, 64, 256 << 20
 UNKNOWN = "und"
 #: The family of each language.
 FAMILIES = {
@@ -79,32 +85,87 @@ def svm(x: np.ndarray, y: np.ndarray, steps: int = 120, penalty: float = 1e-4) -
     return w, b
 
 
+@dataclass
+class Rows:
+    """Training vectors, their places and values one after another."""
+
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+
+    @staticmethod
+    def of(places: list[np.ndarray], values: list[np.ndarray]) -> Rows:
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in places])]).astype(np.int64)
+        none = np.empty(0, dtype=np.int32)
+        return Rows(starts, np.concatenate([none, *places]), np.concatenate([none.astype(np.float32), *values]))
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
+        for i, r in enumerate(rows.tolist()):
+            a, b = self.starts[r], self.starts[r + 1]
+            out[i, self.places[a:b]] = self.values[a:b]
+        return out
+
+
+#: The rows of two classes, 1 and -1; and the weights and offset of the machine between them.
+Job = tuple[np.ndarray, np.ndarray]
+Machine = tuple[np.ndarray, float]
+
+
+def trained_here(x: Rows, jobs: list[Job]) -> list[Machine]:
+    return [svm(x.dense(rows), y) for rows, y in jobs]
+
+
+def trained_in_tasks(spark: SparkSession, x: Rows, jobs: list[Job]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Places and values of the weights that aren't 0, and the offset, of each job's machine."""
+    shared = spark.sparkContext.broadcast(x)  # a bounded number of rows for each language
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, rows, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                w, b = svm(shared.value.dense(np.array(rows)), np.array(y, dtype=np.float32))
+                at = np.flatnonzero(w).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"i": [i], "places": [at], "values": [w[at]], "offset": pa.array([b], pa.float64())})
+
+    table = pa.table({"i": pa.array(range(len(jobs)), pa.int64()), "rows": pa.array([r for r, _ in jobs], pa.list_(pa.int64())), "y": pa.array([y for _, y in jobs], pa.list_(pa.float32()))})
+    parts = max(spark.sparkContext.defaultParallelism, len(jobs) // 100)
+    found = staged(spark.createDataFrame(table).repartition(parts).mapInArrow(run, "i long, places array<int>, values array<float>, offset double"), "language-machines")
+    size = 8 * (found.agg(F.sum(F.size("places"))).first()[0] or 0)
+    if size > MODEL_BYTES:
+        raise ValueError(f"{len(jobs)} machines between languages have {size} bytes of weights, more than MODEL_BYTES")
+    got = found.toArrow().sort_by("i")
+    return [(p.values.to_numpy(), v.values.to_numpy(), o.as_py()) for p, v, o in zip(got["places"], got["values"], got["offset"], strict=True)]
+
+
 @dataclass
 class Duel:
-    """Pairwise machines between some classes."""
+    """Pairwise machines between some classes: a matrix of weights, or for many machines the weights that aren't 0."""
 
     names: list[str]
     pairs: list[tuple[int, int]] = field(default_factory=list)
     weights: np.ndarray | None = None
     offsets: np.ndarray | None = None
+    sparse: list[tuple[np.ndarray, np.ndarray]] | None = None
 
     @staticmethod
-    def fit(x: np.ndarray, labels: np.ndarray) -> Duel:
-        names = sorted(set(labels.tolist()))
-        pairs = list(combinations(range(len(names)), 2))
-        found = []
-        for a, b in pairs:
-            rows = np.flatnonzero((labels == names[a]) | (labels == names[b]))
-            found.append(svm(x[rows], np.where(labels[rows] == names[a], 1.0, -1.0).astype(np.float32)))
-        if not found:
+    def of(names: list[str], pairs: list[tuple[int, int]], machines: list) -> Duel:
+        if not pairs:
             return Duel(names)
-        return Duel(names, pairs, np.stack([w for w, _ in found], axis=1), np.array([b for _, b in found], dtype=np.float32))
+        offsets = np.array([m[-1] for m in machines], dtype=np.float32)
+        if len(machines[0]) == 2:
+            return Duel(names, pairs, np.stack([w for w, _ in machines], axis=1), offsets)
+        return Duel(names, pairs, None, offsets, [m[:2] for m in machines])
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        if self.sparse is None:
+            return x @ self.weights + self.offsets
+        return np.stack([x[:, p] @ v for p, v in self.sparse], axis=1) + self.offsets
 
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The winner of each row, and its least margin."""
         if not self.pairs:
             return np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
-        margins = x @ self.weights + self.offsets
+        margins = self.margins(x)
         votes, sums = np.zeros((len(x), len(self.names))), np.zeros((len(x), len(self.names)))
         least = np.full((len(x), len(self.names)), np.inf)
         for k, (a, b) in enumerate(self.pairs):
@@ -116,17 +177,49 @@ class Duel:
         return best, least[np.arange(len(x)), best]
 
 
+def families_of(x: Rows, langs: np.ndarray) -> np.ndarray:
+    """The family of each row's language."""
+    odd = sorted({lang for lang in langs.tolist() if lang not in FAMILY_OF})
+    of = FAMILY_OF | {lang: f"only {lang}" for lang in odd}
+    if len(odd) > GROUP:
+        means = np.zeros((len(odd), DIMENSIONS), dtype=np.float32)
+        for k, lang in enumerate(odd):
+            for r in np.flatnonzero(langs == lang).tolist():
+                a, b = x.starts[r], x.starts[r + 1]
+                means[k, x.places[a:b]] += x.values[a:b]
+        means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+        left = list(range(len(odd)))
+        while left:
+            near = np.argsort(-(means[left] @ means[left[0]]), kind="stable")[: GROUP - 1].tolist()
+            mine = {left[0], *(left[k] for k in near)}
+            of |= {odd[k]: f"about {odd[left[0]]}" for k in mine}
+            left = [k for k in left if k not in mine]
+    return np.array([of[lang] for lang in langs.tolist()])
+
+
 @dataclass
 class LanguageModel:
     families: Duel | None
     within: dict[str, Duel]
 
     @staticmethod
-    def fit(x: np.ndarray, langs: np.ndarray) -> LanguageModel:
+    def fit(x: Rows, langs: np.ndarray, many: Callable[[Rows, list[Job]], list]) -> LanguageModel:
+        """`many` trains more than LOCAL machines."""
         if not len(langs):
             return LanguageModel(None, {})
-        family = np.array([FAMILY_OF.get(lang, f"only {lang}") for lang in langs.tolist()])
-        return LanguageModel(Duel.fit(x, family), {f: Duel.fit(x[family == f], langs[family == f]) for f in sorted(set(family.tolist()))})
+        family = families_of(x, langs)
+        plans = [("", np.arange(len(langs)), family)] + [(f, own := np.flatnonzero(family == f), langs[own]) for f in sorted(set(family.tolist()))]
+        jobs, classes = [], []
+        for _, rows, labels in plans:
+            names = sorted(set(labels.tolist()))
+            pairs = list(combinations(range(len(names)), 2))
+            for a, b in pairs:
+                at = np.flatnonzero((labels == names[a]) | (labels == names[b]))
+                jobs.append((rows[at], np.where(labels[at] == names[a], 1.0, -1.0).astype(np.float32)))
+            classes.append((names, pairs))
+        machines = iter(trained_here(x, jobs) if len(jobs) <= LOCAL else many(x, jobs))
+        duels = [Duel.of(names, pairs, [next(machines) for _ in pairs]) for names, pairs in classes]
+        return LanguageModel(duels[0], {f: d for (f, *_), d in zip(plans[1:], duels[1:], strict=True)})
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         if self.families is None:
@@ -172,17 +265,16 @@ def fit_languages(docs: DataFrame, most: int = MAX_ROWS) -> LanguageModel:
     rows = training_rows(docs.select("doc_id", "text", "lang"), most)
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = rows.mapInArrow(_vectors, f"doc_id {kind}, lang string, places array<int>, values array<float>").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
-    x = np.zeros((got.num_rows, DIMENSIONS), dtype=np.float32)
-    for i, (p, v) in enumerate(zip(got["places"], got["values"], strict=True)):
-        x[i, p.values.to_numpy()] = v.values.to_numpy()
-    langs = np.array(got["lang"].to_pylist(), dtype=object)
-    some = x.any(axis=1)
-    return LanguageModel.fit(x[some], langs[some])
+    places, values = ([c.values.to_numpy() for c in got[n]] for n in ("places", "values"))
+    some = np.array([len(p) > 0 for p in places], dtype=bool)
+    langs = np.array(got["lang"].to_pylist(), dtype=object)[some]
+    x = Rows.of([p for p, s in zip(places, some, strict=True) if s], [v for v, s in zip(values, some, strict=True) if s])
+    return LanguageModel.fit(x, langs, lambda x, jobs: trained_in_tasks(docs.sparkSession, x, jobs))
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a size set by DIMENSIONS and the number of languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most LOCAL machines of DIMENSIONS weights, or MODEL_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -113,3 +113,26 @@ def test_pipeline_with_long_empty_and_repeated_rows(spark, tmp_path):
     out = P.run(spark, str(tmp_path))
     ids = [x.doc_id for x in out.collect()]
     assert len(ids) == len(set(ids)) and 200_001 not in ids and 200_002 not in ids and np.all([i is None or i >= 0 for i in ids])
+
+
+def test_machines_trained_in_tasks_are_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    here = {r.doc_id: (r.lang_pred, round(r.score, 4)) for r in L.identify_languages(docs, L.fit_languages(docs)).collect()}
+    monkeypatch.setattr(L, "LOCAL", 0)
+    model = L.fit_languages(docs)
+    assert model.families.sparse is not None
+    assert {r.doc_id: (r.lang_pred, round(r.score, 4)) for r in L.identify_languages(docs, model).collect()} == here
+    monkeypatch.setattr(L, "MODEL_BYTES", 100)
+    with pytest.raises(ValueError, match="MODEL_BYTES"):
+        L.fit_languages(docs)
+
+
+def test_many_languages_form_families(make_docs):
+    r = random.Random(6)
+    own = {f"x{k:02}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(12)] for k in range(40)}
+    text = lambda lang: " ".join("".join(r.choices(own[lang], k=2)) for _ in range(40))
+    docs = make_docs([(100 * k + i, text(lang), lang, "s") for k, lang in enumerate(own) for i in range(16)])
+    model = L.fit_languages(docs)
+    assert len(model.families.names) == 3 and sum(len(d.pairs) for d in model.within.values()) <= 40 * L.GROUP
+    got = [(r.lang_pred, int(r.doc_id) // 100) for r in L.identify_languages(docs, model).collect()]
+    assert sum(p == f"x{k:02}" for p, k in got) > 0.95 * len(got)
