@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,21 +57,55 @@ def zone(record: dict[str, str]) -> str | None:
     return f"{state}Z{number.zfill(3)}" if number else None
 
 
+def shape_records(content: bytes) -> list[tuple[str, list[np.ndarray]]]:
+    """Zone code and rings of each record of a zipped shapefile; records without a code are left out."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = {n.lower()[-4:]: n for n in z.namelist()}
+        if missing := {".shp", ".dbf"} - names.keys():
+            raise ValueError(f"no {', '.join(sorted(missing))} in the archive")
+        fields = list(records(z.read(names[".dbf"])))
+        pairs = zip(polygons(z.read(names[".shp"])), fields, strict=False)
+        return [(code, shape) for shape, record in pairs if (code := zone(record))]
+
+
+#: What a file that isn't a whole zipped shapefile can raise.
+BROKEN = (ValueError, IndexError, KeyError, zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, TypeError)
+
+
 def zone_shapes(files: DataFrame, box: tuple[float, float, float, float] | None = None, margin: float = 1.5) -> DataFrame:
-    """ugc, ring_id and ring of the zipped shapefiles in `files` (content), those that meet a box (w, s, e, n) if given."""
+    """ugc, ring_id and ring of the zipped shapefiles in `files` (content), those that meet a box (w, s, e, n) if given.
+
+    A file that can't be read, or a null one, has no rings (see `broken_shapes`)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for content in pdf["content"]:
                 rows = []
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    names = {n.lower()[-4:]: n for n in z.namelist()}
-                    for shape, record in zip(polygons(z.read(names[".shp"])), records(z.read(names[".dbf"])), strict=False):
-                        code = zone(record)
-                        for i, ring in enumerate(shape if code else []):
-                            lo, hi = ring.min(axis=0), ring.max(axis=0)
-                            if box is None or (hi[0] >= box[0] - margin and lo[0] <= box[2] + margin and hi[1] >= box[1] - margin and lo[1] <= box[3] + margin):
-                                rows.append((code, i, [{"lon": float(a), "lat": float(b)} for a, b in ring]))
+                try:
+                    found = shape_records(content)
+                except BROKEN:
+                    found = []
+                for code, shape in found:
+                    for i, ring in enumerate(shape):
+                        lo, hi = ring.min(axis=0), ring.max(axis=0)
+                        if box is None or (hi[0] >= box[0] - margin and lo[0] <= box[2] + margin and hi[1] >= box[1] - margin and lo[1] <= box[3] + margin):
+                            rows.append((code, i, [{"lon": float(a), "lat": float(b)} for a, b in ring]))
                 yield pd.DataFrame(rows, columns=["ugc", "ring_id", "ring"])
 
     return files.select("content").mapInPandas(run, RINGS)
+
+
+def broken_shapes(files: DataFrame) -> DataFrame:
+    """path and error of each of `files` (path, content) that can't be read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            bad = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    shape_records(content)
+                except BROKEN as error:
+                    bad.append((path, f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(bad, columns=["path", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, error string")

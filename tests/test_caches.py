@@ -100,3 +100,23 @@ def test_smoothing_is_a_gaussian():
     got = smoothed(cells, values, 0.5).reshape(9, 9)
     assert np.allclose(got[2:7, 2:7], 100 * np.outer(w, w)) and got[0].sum() == 0
     assert smoothed(cells, values, 0.0) is values
+
+
+def test_broken_shapefiles_have_no_rings(spark):
+    import io
+    import zipfile
+
+    from galeframe.sources.shapes import broken_shapes, zone_shapes
+
+    def archive(**members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, data in members.items():
+                z.writestr(name.replace("_", "."), data)
+        return out.getvalue()
+
+    files = [("no zip", b"nonsense"), ("no table", archive(a_shp=b"\0" * 100)), ("cut off", archive(a_shp=b"\0" * 100, a_dbf=b"\0" * 5)), ("empty", b""), ("null", None)]
+    table = spark.createDataFrame([(p, bytearray(c) if c is not None else None) for p, c in files], "path string, content binary")
+    assert zone_shapes(table).count() == 0
+    got = {r.path: r.error for r in broken_shapes(table).collect()}
+    assert set(got) == {p for p, _ in files} and "no .dbf" in got["no table"]
