@@ -154,7 +154,7 @@ def test_reader_goes_on_after_damage(tmp_path):
 
 
 def test_queries_are_all_there():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 def test_staged_tables_are_cleared(spark):
