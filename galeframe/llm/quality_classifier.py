@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galeframe.llm.staging import staged
 from galeframe.llm.statistics import let, statistics
 
 #: At most so many labelled documents, and different texts of them, are learnt from: those of the smallest hashes.
@@ -146,13 +147,17 @@ def fit_rules(x: dict[str, np.ndarray], y: np.ndarray) -> RuleEnsemble:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """Features and label of at most `most` labelled documents of `docs` that aren't held out."""
+    """Features and label of at most `most` labelled documents of `docs` that aren't held out.
+
+    Texts stay in the tasks that read them: their digests tell them apart, and a collected limit would merge whole rows on the driver.
+    """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     known = known.filter(~held_out(5, 0)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most `most` rows of 16 bytes
-    texts = texts.dropDuplicates(["doc_id", "text"]).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(most)
-    s = texts.select("doc_id", "y", statistics(F.col("text"), extra=True).alias("s"))
-    return s.select("doc_id", "y", *(v.alias(k) for k, v in features(F.col("s")).items()))
+    s = texts.select("doc_id", "y", F.sha2("text", 256).alias("digest"), F.xxhash64("doc_id", "text").alias("h"), statistics(F.col("text"), extra=True).alias("s"))
+    rows = s.select("doc_id", "y", "digest", "h", *(v.alias(k) for k, v in features(F.col("s")).items()))
+    first = rows.dropDuplicates(["doc_id", "digest"]).orderBy("h", "doc_id", "digest").limit(most)
+    return staged(first.drop("digest", "h"), "quality-training")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> RuleEnsemble:

@@ -87,6 +87,29 @@ def test_classifier_without_labels(spark, make_docs):
     assert C.quality_scores(make_docs([]), C.fit_quality(docs, none)).count() == 0
 
 
+def test_training_leaves_texts_in_the_tasks(spark, make_docs):
+    """The texts learnt from are larger together than all that the driver may collect."""
+    from galeframe.llm.statistics import statistics
+
+    rows = [(i, prose(i, 15_000 if i < 60 else i % 80)) for i in range(90)]
+    rows += [rows[3], (4, "another text"), (4, None), (4, None), (4, ""), (None, "x")]
+    docs = make_docs(rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, quality int")
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    assert sum(len(t or "") for _, t in rows) > 3_000_000
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        C.fit_quality(docs, labels)
+        got = C.training_rows(docs, labels).collect()
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+    once = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", C.held_out(5, 0).alias("out")).filter("NOT out").distinct()
+    want = once.select("doc_id", (F.col("doc_id") % 2).cast("double"), statistics(F.col("text"), extra=True).alias("s"))
+    want = want.select(*want.columns[:2], *C.features(F.col("s")).values()).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def concentrated(x, floor):
     """The regularised minimum covariance determinant of the rows of `x`, from the starts that the operator names."""
     cov = lambda y: np.cov(y.T, bias=True).reshape(x.shape[1], -1)
