@@ -1,7 +1,8 @@
 """Objects against point reports.
 
 Objects and reports belong to a `site` (a report to every site that it is in range of, see `in_range`), and only those of
-one site meet; scores have a row for each site. Rows with a null site, volume or place meet nothing.
+one site meet; scores have a row for each site. Rows with a null site, volume or place meet nothing. `within_minutes` goes
+by time alone unless it is given columns.
 """
 
 from __future__ import annotations
@@ -63,15 +64,15 @@ def in_range(reports: DataFrame, sites: DataFrame, km: float = SITE_KM) -> DataF
     return rows.join(cells, ["cy", "cx"]).withColumn("site_km", gap).filter(F.col("site_km") <= km).drop("cy", "cx", "slat", "slon")
 
 
-def within_minutes(volumes: DataFrame, reports: DataFrame, minutes: int = WITHIN_MIN) -> DataFrame:
+def within_minutes(volumes: DataFrame, reports: DataFrame, minutes: int = WITHIN_MIN, by: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of volumes (v, vt) and reports (r, rt) at most some minutes apart: equal buckets of that length, or neighbours.
 
-    Both have a `site` (reports as from `in_range`), and only those of one site meet.
+    All that are near in time meet; with `by` (such as site, reports as from `in_range`) only those that are equal there.
     """
     bucket = lambda c: F.floor(F.unix_timestamp(c) / (minutes * 60))
     spread = reports.withColumn("b", F.explode(F.sequence(bucket(F.col("rt")) - 1, bucket(F.col("rt")) + 1)))
     gap = F.abs(F.unix_timestamp("vt") - F.unix_timestamp("rt"))
-    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, ["b", "site"]).filter(gap <= minutes * 60).drop("b")
+    return volumes.withColumn("b", bucket(F.col("vt"))).join(spread, ["b", *by]).filter(gap <= minutes * 60).drop("b")
 
 
 def pooled(objects: DataFrame, case: str, member: str, metric: Column) -> DataFrame:
