@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galeframe.functions.geo import beam_height_m, ground_range_m, to_dbz, to_linear
-from galeframe.functions.quantiles import stepped_quantiles
+from galeframe.functions.quantiles import exact_quantiles
+from galeframe.sources.shared import kept
 
+#: Steps in which differences are counted to find their quantiles; these don't depend on it.
 BIAS_STEP = 0.001
 
 
@@ -66,16 +68,20 @@ def column_products(layers: DataFrame, p: GridParams = GRID) -> DataFrame:
 
 
 def bin_bias(voxels: DataFrame) -> DataFrame:
-    """How far the maximum of a voxel's gates lies above their linear mean, where there are several; quantiles to BIAS_STEP dB."""
-    d = F.col("dbz_max") - F.col("dbz_cal")
+    """How far the maximum of a voxel's gates lies above their linear mean, where there are several.
+
+    The differences are written once: means of doubles may differ in their last bits when they are worked out again.
+    """
     several, strong = F.col("n_gates") > 1, (F.col("n_gates") > 1) & (F.col("dbz_max") >= 40)
-    sums = voxels.groupBy("site").agg(
+    rows = kept(voxels.select("site", several.alias("several"), strong.alias("strong"), (F.col("dbz_max") - F.col("dbz_cal")).alias("d")), "bin-bias")
+    several, strong = F.when(F.col("several"), F.col("d")), F.when(F.col("strong"), F.col("d"))
+    sums = rows.groupBy("site").agg(
         F.count("*").alias("n_voxels"),
-        (100e0 * F.avg(F.when(several, 1e0).otherwise(0e0))).alias("multi_pct"),
-        F.avg(F.when(several, d)).alias("mean_db"),
-        F.max(F.when(several, d)).alias("max_db"),
-        F.avg(F.when(strong, d)).alias("mean_db_40"),
+        (100e0 * F.avg(F.when(F.col("several"), 1e0).otherwise(0e0))).alias("multi_pct"),
+        F.avg(several).alias("mean_db"),
+        F.max(several).alias("max_db"),
+        F.avg(strong).alias("mean_db_40"),
     )
-    quantiles = stepped_quantiles(voxels, ["site"], F.when(several, d), {"median_db": 0.5, "p95_db": 0.95}, BIAS_STEP)
-    both = sums.join(quantiles.withColumnRenamed("site", "of"), F.col("site").eqNullSafe(F.col("of"))).drop("of")
+    quantiles = exact_quantiles(rows, ["site"], several, {"median_db": 0.5, "p95_db": 0.95}, BIAS_STEP)
+    both = sums.join(quantiles.withColumnRenamed("site", "of"), F.col("site").eqNullSafe(F.col("of")), "left").drop("of")
     return both.select("site", "n_voxels", "multi_pct", "mean_db", "median_db", "p95_db", "max_db", "mean_db_40")
