@@ -3,6 +3,9 @@
 Objects and reports belong to a `site` (a report to every site that it is in range of, see `in_range`), and only those of
 one site meet; scores have a row for each site. Rows with a null site, volume or place meet nothing. `within_minutes` goes
 by time alone unless it is given columns.
+
+Where cells multiply rows before a join, Spark's estimate of a table's size doesn't count the copies and would have millions
+of them broadcast from the driver; such joins of `matched` and `inside` are always merged, so the driver holds no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ def matched(objects: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> Dat
     r = reports.select("site", "report_id", "vol", "x", "y", F.explode(near).alias("i")).select("*", F.explode(near).alias("j"))
     r = r.withColumns({"cx": cell("x") + F.col("i"), "cy": cell("y") + F.col("j")}).drop("i", "j")
     gap = F.sqrt(F.pow(F.col("ox") - F.col("x"), 2) + F.pow(F.col("oy") - F.col("y"), 2))
-    return o.join(r, ["site", "vol", "cx", "cy"]).filter(gap <= size).select("site", "vol", "obj", "report_id")
+    return o.join(r.hint("merge"), ["site", "vol", "cx", "cy"]).filter(gap <= size).select("site", "vol", "obj", "report_id")
 
 
 def inside(rings: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> DataFrame:
@@ -33,7 +36,7 @@ def inside(rings: DataFrame, reports: DataFrame, km: float = MATCH_KM) -> DataFr
     span = lambda c: F.explode(F.sequence(F.floor(F.array_min(c) / size), F.floor(F.array_max(c) / size)))
     o = rings.select("site", "obj", "vol", "xs", "ys", span("xs").alias("cx")).withColumn("cy", span("ys"))
     r = reports.select("site", "report_id", "vol", "x", "y").withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
-    return o.join(r, ["site", "vol", "cx", "cy"]).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).select("site", "vol", "obj", "report_id")
+    return o.join(r.hint("merge"), ["site", "vol", "cx", "cy"]).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).select("site", "vol", "obj", "report_id")
 
 
 def matched_or_inside(objects: DataFrame, reports: DataFrame, rings: DataFrame, km: float = MATCH_KM) -> DataFrame:
