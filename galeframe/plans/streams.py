@@ -120,6 +120,7 @@ def stream_hazard_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("bulletin_id") / 8) * 60)
     rows = segments(view(spark, sf_dir, "bulletin")).select("key", F.col("bulletin_id").alias("seq"), "pos", "action", F.array_join("ugc", ",").alias("ugc"), F.to_json("poly.ring").alias("ring"), at.alias("at"), F.col("end_time").alias("ends"))
     # Files come one after another, overlap by some minutes, and have their rows in any order.
+    rows = kept(rows, "rows")  # ranges are found in a pass of their own, which shouldn't parse all texts once more
     parts = rows.repartitionByRange(4, F.col("seq") + F.pmod(F.xxhash64("seq"), F.lit(64))).withColumn("part", F.spark_partition_id())
     parts = kept(parts, "segments")
     for i in range(4):
