@@ -67,7 +67,7 @@ def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink(spark.createDataFrame([], "unit_id bigint, body string"), n)
     tables = Published(spark, root)
     own = lambda df, dead: df.select("site", "volume_epoch", "delivery", F.lit(dead).alias("dead"))
-    return own(tables.table("done"), False).unionByName(own(tables.latest("dead"), True))
+    return own(tables.table("done"), False).unionByName(own(tables.table("dead"), True))
 
 
 _ORDER = "PARTITION BY key ORDER BY seq"

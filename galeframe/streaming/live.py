@@ -119,7 +119,7 @@ def deduplicated(units: DataFrame, keys: list[str], time: str, late: str = "10 m
     return units.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-IDLE_S, DEAD_ROWS = 600, 10_000
+IDLE_S = 600
 
 
 def unit_sink(spark, root: str, work: Callable[[DataFrame], DataFrame], body: str = "body", idle_s: float = IDLE_S, most: int = MAX_ATTEMPTS, clock: Callable[[], float] = time.time):
@@ -127,12 +127,12 @@ def unit_sink(spark, root: str, work: Callable[[DataFrame], DataFrame], body: st
 
     `work` returns its units (site, volume_epoch, vcp, delivery from 1, at) with a column `failed`; a null is no failure. It
     runs once for each delivery, and once more if its batch dies before it is published. Tables of a batch: `done`, units that
-    worked, with their deliveries; `malformed`, bodies that can't be read; and, whole in each batch, `pending`, units that
-    failed fewer than `most` times, with the time of the last, and `dead`, the DEAD_ROWS latest of those that failed `most`
-    times, with the time they were dropped. A pending unit is delivered again in the first batch that begins `idle_s` seconds
+    worked, with their deliveries; `dead`, those that failed the last of `most` times, with the time they were dropped (all of
+    them over all batches, as of `done`); `malformed`, bodies that can't be read; and, whole in each batch, `pending`, units
+    that failed fewer times, with the time of the last. A pending unit is delivered again in the first batch that begins `idle_s` seconds
     after its last delivery (batches without new rows serve as well). Units that are done, dead or pending aren't taken anew.
 
-    Of `done`, only batches are read whose volumes overlap the batch's own in time.
+    Of `done` and `dead`, only batches are read whose volumes overlap the batch's own in time.
     """
     tables = Published(spark, root)
     key = ["site", "volume_epoch"]
@@ -142,8 +142,8 @@ def unit_sink(spark, root: str, work: Callable[[DataFrame], DataFrame], body: st
         good, malformed = decoded(kept(batch.select(body), "bodies"), body)  # the source is read once
         fresh = kept(good.select(*key, "vcp").dropDuplicates(key), "units")
         low, high = fresh.agg(F.min("volume_epoch"), F.max("volume_epoch")).first()
-        pending, dead = tables.latest("pending", before=number), tables.latest("dead", before=number)
-        done = None if low is None else tables.table("done", low, high, before=number)
+        pending = tables.latest("pending", before=number)
+        done, dead = (None if low is None else tables.table(name, low, high, before=number) for name in ("done", "dead"))
         for known in (done, pending, dead):
             fresh = fresh if known is None else fresh.join(known.select(*key), key, "left_anti")
         new = fresh.select(*key, "vcp", F.lit(1).alias("delivery"), F.lit(now).alias("at"))
@@ -155,12 +155,11 @@ def unit_sink(spark, root: str, work: Callable[[DataFrame], DataFrame], body: st
         rest = tried.filter("failed").select(*new.columns)
         still = rest.filter(F.col("delivery") < most)
         dropped = rest.filter(F.col("delivery") >= most).select(*key, "vcp", "delivery", F.lit(now).alias("dropped_at"))
-        dropped = dropped if dead is None else dropped.unionByName(dead)
         tables.commit(number, {
             "done": tried.filter("NOT failed").select(*key, "vcp", "delivery"),
             "malformed": malformed,
             "pending": still if waiting is None else still.unionByName(waiting),
-            "dead": dropped.orderBy(F.desc("dropped_at"), *key).limit(DEAD_ROWS),
+            "dead": dropped,
         }, ranged="volume_epoch")
 
     return put
