@@ -3,8 +3,8 @@
 A zone is all rings (zone, ring: an array of struct(lon, lat)) of its name, by parity: a ring within another is a hole. The
 index has a row for each cell that a zone touches: `full` cells lie wholly inside; others keep the zone's edges of their row
 of cells, which is all that a ray to the right can cross there. Cells with more than CROWDED edges are cut again into
-FINER x FINER cells. Points meet cells by an equal join, so a small index is broadcast by its measured size, and a crowded
-place is left to adaptive skew handling of an equal join.
+FINER x FINER cells. Points meet cells by an equal join; a crowded place is left to its adaptive skew handling. The test of a
+pair is plain arithmetic over a cell's edges, which Spark compiles; arrays are walked only in cells of more than SLOTS edges.
 
 Rings may cross 180 degrees: a step of more than half a turn is taken the short way, and cells wrap around. A ring's last
 point joins its first. A point on an edge belongs to the side that the ray test gives it: left and lower edges are inside.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL_DEG, FINER, CROWDED = 0.5, 8, 64
+CELL_DEG, FINER, CROWDED, SLOTS = 0.5, 8, 64, 6
 EDGE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
@@ -98,12 +98,38 @@ def zone_index(zones: DataFrame, cell: float = CELL_DEG) -> DataFrame:
     return level(coarse.filter(~crowded), 0, cell).unionByName(level(fine, 1, cell / FINER))
 
 
+def _lean(index: DataFrame, cell: float) -> DataFrame:
+    """`index` without the edges that lie wholly left of their cell: no ray to the right from within it meets them."""
+    left = F.col("cx") * F.when(F.col("level") == 0, cell).otherwise(cell / FINER) - 1e-6
+    return index.withColumn("edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left))
+
+
+def _slots(index: DataFrame) -> DataFrame:
+    """Rows of up to SLOTS edges with these in columns of their own; empty slots are never hit."""
+    slot = lambda i, c: F.coalesce(F.get("edges", F.lit(i))[c], F.lit(0e0)).alias(f"{c}_{i}")
+    return index.select("zone", "level", "cx", "cy", "full", *(slot(i, c) for i in range(SLOTS) for c in ("x1", "y1", "x2", "y2")))
+
+
+def _held(x: Column, y: Column) -> Column:
+    """Whether a ray to the right crosses an odd number of a row's edges: `crossings` as plain arithmetic over slots."""
+    odd = F.lit(False)
+    for i in range(SLOTS):
+        x1, y1, x2, y2 = (F.col(f"{c}_{i}") for c in ("x1", "y1", "x2", "y2"))
+        odd = odd != (((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1))  # no division unless y1 and y2 differ
+    return odd
+
+
 def in_zones(points: DataFrame, index: DataFrame, cell: float = CELL_DEG) -> DataFrame:
-    """`points` (with lat, lon) with the `zone` of each that holds them, by an index of the same cell size."""
+    """`points` (with lat, lon) with the `zone` of each that holds them, by an index of the same cell size, which is read twice.
+
+    Both are always merged: an index made in the same plan is far larger than Spark's estimate of it."""
     x = F.pmod(F.col("lon"), F.lit(360e0))
     at = lambda k: F.struct(F.lit(k).alias("level"), F.floor(x / (cell / FINER**k)).alias("cx"), F.floor(F.col("lat") / (cell / FINER**k)).alias("cy"))
     names = points.columns
     sound = (F.abs("lat") <= 90) & (F.abs("lon") <= 540)
-    rows = points.filter(sound).select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("p"), x.alias("x"), F.col("lat").alias("y"), F.explode(F.array(at(0), at(1))).alias("k")).select("p", "x", "y", "k.*")
-    met = rows.join(index, ["level", "cx", "cy"]).filter(F.col("full") | (crossings(F.col("x"), F.col("y"), F.col("edges")) % 2 == 1))
-    return met.select("p.*", "zone")
+    rows = points.filter(sound).select(*(F.col(f"`{c}`").alias(f"p_{i}") for i, c in enumerate(names)), F.coalesce(x, F.lit(0e0)).alias("x"), F.coalesce("lat", F.lit(0e0)).alias("y"), F.explode(F.array(at(0), at(1))).alias("k")).select("*", "k.*").drop("k")
+    met = lambda part, test: rows.join(part.hint("merge"), ["level", "cx", "cy"]).filter(F.col("full") | test).select(*(F.col(f"p_{i}").alias(c) for i, c in enumerate(names)), "zone")
+    lean, few = _lean(index, cell), F.size("edges") <= SLOTS
+    plain = met(_slots(lean.filter(few)), _held(F.col("x"), F.col("y")))
+    # An array in a join's condition keeps Spark from compiling the join, so the few long rows have one of their own.
+    return plain.unionByName(met(lean.filter(~few), crossings(F.col("x"), F.col("y"), F.col("edges")) % 2 == 1))
