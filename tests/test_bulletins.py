@@ -1,5 +1,11 @@
 """Bulletins and hazards: results on odd rows against plain loops, and plans that do each piece of work once."""
 
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from galeframe.functions import bulletins as B
 from galeframe.operators import alerts as A
 
 RING = "array<struct<lon:double,lat:double>>"
@@ -21,3 +27,40 @@ def test_geometry_makes_the_hazards_once(spark, tmp_path):
     assert got.columns == ["key", "kind", "ugc", "ring"]
     assert sorted(((r.key, r.kind, r.ugc, plain(r.ring)) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert plan(got).count("parquet") == 1
+
+
+def expanded(tokens):
+    """A plain loop over the tokens of a zone list."""
+    out, prefix = set(), ""
+    for t in tokens.split("-"):
+        prefix, numbers = (t[:3], t[3:]) if t[:1].isalpha() else (prefix, t)
+        if prefix and numbers:
+            first, _, last = numbers.partition(">")
+            out |= {f"{prefix}{n:03d}" for n in range(int(first), int(last or first) + 1)}
+    return sorted(out)
+
+
+def test_zone_lists_are_expanded_once(spark):
+    r = random.Random(2)
+    number = lambda: f"{(n := r.randrange(1000)):03d}" + r.choice(["", "", "", f">{min(999, n + r.randrange(9)):03d}", f">{r.randrange(1000):03d}"])
+    lists = ["-".join(r.choice(["", "", "FLZ", "FLC", "GAC"]) + number() for _ in range(r.randrange(1, 9))) for _ in range(300)] + ["", "007", "FLZ999>000-001", "FLZ000>999-FLC000"]
+    df = spark.createDataFrame([(x,) for x in [*lists, *lists[:20], None]], "t string")
+    got = [(x.t, x.u) for x in df.select("t", B.expand_ugc(F.col("t")).alias("u")).collect()]
+    assert sorted(got, key=repr) == sorted([(x, expanded(x)) for x in [*lists, *lists[:20]]] + [(None, None)], key=repr)
+    # Each list is matched by one pattern, once; a pattern inside a lambda for the numbers would be matched for each number again.
+    blocks = plan(df.select(B.ugc_blocks(F.col("t")).alias("u")))
+    assert len(re.findall(r"rlike|regexp_extract", blocks, re.I)) == 3 and blocks.count("[A-Z]{2}[CZ]") == 3
+
+
+def test_places_and_parts_of_repeated_codes(spark):
+    """Codes that come twice, touch each other, or stand in other text are found where they stand."""
+    code = "/O.NEW.KMOB.TO.W.0001.240101T0000Z-240102T0100Z/"
+    other = code.replace("NEW", "CAN").replace("KMOB", "KTAE")
+    texts = [code, f"é {code}{code}\n{other}{code}", f"{code[:-1]} {other}", f"/{code}/{code}", "", None, "no code"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(1, texts[1])], "id int, text string")
+    got = [(x.id, x.pos, x["class"], x.action, x.office, x.phen, x.sig, x.etn, x.begins, x.ends) for x in A.segments(df).collect()]
+    want = [(i, m.start() + 1, *m.groups()) for i, t in [*enumerate(texts), (1, texts[1])] for m in re.finditer(B.VTEC, t or "")]
+    assert sorted(got) == sorted(want) and len(want) == 12
+    assert sorted(x.pos for x in A.segments(df, "KTAE").collect()) == sorted(w[1] for w in want if w[4] == "KTAE")
+    key = plan(A.segments(df).select("key"))
+    assert not re.search(r"substring\([^()]*, (2, 1|4, 3|23, 12|36, 12)\)", key)  # parts that no one asks for aren't cut
