@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from galeframe.functions import bulletins as B
 from galeframe.operators import alerts as A
+from galeframe.plans import alerts as P
 
 RING = "array<struct<lon:double,lat:double>>"
 
@@ -64,3 +65,50 @@ def test_places_and_parts_of_repeated_codes(spark):
     assert sorted(x.pos for x in A.segments(df, "KTAE").collect()) == sorted(w[1] for w in want if w[4] == "KTAE")
     key = plan(A.segments(df).select("key"))
     assert not re.search(r"substring\([^()]*, (2, 1|4, 3|23, 12|36, 12)\)", key)  # parts that no one asks for aren't cut
+
+
+def polygons_of(text):
+    """A plain loop over the polygons of a bulletin: place, ring, and the place of the first sign behind them."""
+    out = []
+    for m in re.finditer(B.LATLON, text or "", re.ASCII):
+        n = [int(x) for x in m[1].split()]
+        ring = [(-n[i + 1] / 100, n[i] / 100) for i in range(0, len(n) - 1, 2)]
+        if len(ring) >= 3:
+            out.append((m.start() + 1, ring, m.end()))
+    return out
+
+
+def odd_bulletins(n, seed):
+    r = random.Random(seed)
+    space = lambda: r.choice([" ", " ", "\n", "\r\n", "\t ", " \x0b", "\f"])
+    numbers = lambda most: "".join(space() + str(r.randrange(10 ** r.randint(2, 6))).zfill(3) for _ in range(r.randrange(most)))
+    polygon = lambda: "LAT...LON" + numbers(10)
+    motion = lambda: f"TIME...MOT...LOC{space()}{r.choice(['0041', '41'])}Z{space()}{r.randrange(2000)}DEG{space()}{r.randrange(1200)}KT{numbers(5)}"
+    other = lambda: r.choice(["é🌀 ", "12345 ", "x" * 380, "x" * 410, "/O.NEW.KMOB.TO.W.0001.240101T0000Z-240102T0100Z/"])
+    texts = ["".join(r.choice([polygon, polygon, motion, other])() + r.choice(["", "\n", "\n"]) for _ in range(r.randrange(8))) for _ in range(n)]
+    return [(i, t) for i, t in enumerate(texts)] + [(i, texts[i]) for i in range(20)] + [(n, None), (n + 1, ""), (None, texts[7]), (None, None)]
+
+
+def plain(ring):
+    return [tuple(p) for p in ring]
+
+
+def test_polygons_are_matched_once(spark):
+    rows = odd_bulletins(400, 3)
+    df = spark.createDataFrame(rows, "bulletin_id int, text string")
+    got = [(x.bulletin_id, x.text, None if x.p is None else [(p.pos, plain(p.ring), p.rest) for p in x.p]) for x in df.select("*", B.rings(F.col("text")).alias("p")).collect()]
+    want = [(i, t, None if t is None else [(pos, ring, t[end : end + 600]) for pos, ring, end in polygons_of(t)]) for i, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and sum(len(w[2] or []) > 1 for w in want) > 5
+    parsed = plan(df.select(B.rings(F.col("text")).alias("p")))
+    assert parsed.count(r"LAT\.\.\.LON") == 1 and len(re.findall(r"regexp_extract|split\(", parsed)) == 3  # the numbers are cut twice, not anew for each
+
+
+def test_first_polygons_are_filtered_behind_the_parsing(spark, tmp_path):
+    rows = odd_bulletins(200, 4)
+    df = spark.createDataFrame(rows, "bulletin_id int, text string")
+    got = P.first_polygons(df).select("bulletin_id", "p.pos", "p.ring").collect()
+    assert sorted([(x.bulletin_id, x.pos, plain(x.ring)) for x in got], key=repr) == sorted([(i, *polygons_of(t)[0][:2]) for i, t in rows if polygons_of(t)], key=repr)
+    spark.createDataFrame([(k,) for k in [*range(50), 3, 3, None]], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = plan(P.latlon_polygon(spark, str(tmp_path)))
+    assert lines.count(r"LAT\.\.\.LON") == 1 and lines.index("Filter isnotnull(p#") < lines.index("Generate")
+    assert P.latlon_polygon(spark, str(tmp_path)).filter("bulletin_id = 3").count() == 3 and P.latlon_polygon(spark, str(tmp_path)).count() == 39
