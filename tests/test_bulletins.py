@@ -112,3 +112,34 @@ def test_first_polygons_are_filtered_behind_the_parsing(spark, tmp_path):
     lines = plan(P.latlon_polygon(spark, str(tmp_path)))
     assert lines.count(r"LAT\.\.\.LON") == 1 and lines.index("Filter isnotnull(p#") < lines.index("Generate")
     assert P.latlon_polygon(spark, str(tmp_path)).filter("bulletin_id = 3").count() == 3 and P.latlon_polygon(spark, str(tmp_path)).count() == 39
+
+
+def motion_of(rest):
+    """A plain search in the signs behind a polygon: deg, kt, heading and first place."""
+    m = re.match(r"[\s\S]{0,400}?TIME\.\.\.MOT\.\.\.LOC\s+\d{4}Z\s+(\d{1,3})DEG\s+(\d{1,3})KT((?:\s+\d{3,5})+)", rest, re.ASCII)
+    if not m:
+        return None, None, None, None
+    n = [int(x) for x in m[3].split()]
+    return int(m[1]), int(m[2]), (int(m[1]) + 180) % 360, (-n[1] / 100, n[0] / 100) if len(n) > 1 else None
+
+
+def test_motion_is_matched_once(spark, tmp_path):
+    near = "LAT...LON 3000 8600 3030 8600 3030 8650"
+    move = "TIME...MOT...LOC 0041Z {}DEG\n{}KT 3010"
+    edges = [f"{near}{gap * 'x'}{move.format(200, 25)}{tail}" for gap in (0, 399, 400, 401, 550) for tail in ("", " 8620", "\r\n8620 3011", "1 862015")]
+    rows = odd_bulletins(600, 5) + [(1000 + i, t) for i, t in enumerate(edges + [f"{near}\n{near}\n{move.format(0, 0)} 000"])]
+    df = spark.createDataFrame(rows, "bulletin_id int, text string")
+    moves = lambda p: (p.deg, p.kt, p.heading, p.loc and tuple(p.loc))
+    got = [(x.bulletin_id, x.text, None if x.p is None else [(p.pos, plain(p.ring), *moves(p)) for p in x.p]) for x in df.select("*", B.polygons(F.col("text")).alias("p")).collect()]
+    want = [(i, t, None if t is None else [(pos, ring, *motion_of(t[end : end + 600])) for pos, ring, end in polygons_of(t)]) for i, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and sum(p[2] is not None for w in want for p in w[2] or []) > 20
+    # The same motion goes with an event code before the polygon.
+    code = "/O.NEW.KMOB.TO.W.0001.240101T0000Z-240102T0100Z/"
+    own = A.segments(df.select("bulletin_id", F.concat(F.lit(code), "text").alias("text"))).filter("pos = 1")
+    first = {t: polygons_of(t)[0] for _, t in rows if t is not None and polygons_of(t)}
+    want = [(i, motion_of(t[first[t][2] :][:600]) if t in first else (None,) * 4) for i, t in rows if t is not None]
+    assert sorted([(x.bulletin_id, moves(x.motion) if x.motion else (None,) * 4) for x in own.collect()], key=repr) == sorted(want, key=repr)
+    spark.createDataFrame([(k,) for k in [*range(50), 3, 3, None]], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    for parsed in (df.select(B.polygons(F.col("text")).alias("p")), P.motion_parse(spark, str(tmp_path))):
+        assert plan(parsed).count(r"TIME\.\.\.MOT") == 1 and plan(parsed).count(r"LAT\.\.\.LON") == 1
+    assert P.motion_parse(spark, str(tmp_path)).filter("bulletin_id = 3").count() == 3
